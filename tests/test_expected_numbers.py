@@ -1,0 +1,70 @@
+"""Published numbers of the fixture (FIXTURES.md §4, sf0.001), recomputed
+through the library's operators."""
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.functions import blank_or_null
+from tessera.operators import analysis, cleaning, quality
+from tessera.plans.layers import Layers
+from tessera.sources.tables import load
+
+
+@pytest.fixture(scope="module")
+def lay(spark, sf001):
+    return Layers(spark, sf001)
+
+
+def test_bronze_profile(lay):
+    b = lay.bronze
+    row = b.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"),
+        F.count_if(F.col("sale_date").isNull()).alias("null_date"),
+        F.count_if(F.col("product_name").isNull()).alias("null_name"),
+        F.count_if(F.col("region").isNull()).alias("null_region"),
+        F.count_if(F.col("quantity") <= 0).alias("bad_qty"),
+        F.count_if(F.col("unit_price") < 0).alias("bad_price"),
+        F.count_if(blank_or_null("product_name")).alias("blank_name"),
+        F.count_if(blank_or_null("region")).alias("blank_region"),
+    ).first().asDict()
+    assert row == {"rows": 6000, "ids": 4599, "null_date": 58, "null_name": 67, "null_region": 139,
+                   "bad_qty": 19, "bad_price": 545, "blank_name": 128, "blank_region": 269}
+    assert cleaning.require_columns(b).count() == 5942
+    assert cleaning.business_rules(b).count() == 5438
+    assert cleaning.business_rules(cleaning.require_columns(b)).count() == 5386
+    per_id = b.groupBy("id").count()
+    assert per_id.filter("count > 1").count() == 1161
+    assert per_id.agg(F.max("count")).first()[0] == 5
+    assert quality.inconsistent_mappings(b, "product_id", "product_name").first()[0] == 196
+
+
+def test_silver_and_star(lay):
+    s = lay.silver
+    assert s.count() == 4225
+    assert s.filter(F.col("region") == "UNKNOWN").count() == 194
+    assert quality.inconsistent_mappings(s, "product_id", "product_name").first()[0] == 0
+    assert [lay.dim_date.count(), lay.dim_product.count(), lay.dim_customer.count(),
+            lay.dim_region.count()] == [2028, 200, 150, 6]
+    f = lay.fact.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(F.col(k).isNull()).alias(f"null_{k}") for k in quality.FACT_KEY_COLUMNS],
+        F.sum("date_key").alias("date_key"), F.sum("product_key").alias("product_key"),
+        F.sum("customer_key").alias("customer_key"), F.sum("region_key").alias("region_key"),
+        F.sum("total_amount").alias("amount"), F.sum("quantity").alias("qty")).first().asDict()
+    assert f == {"rows": 4225, "null_date_key": 0, "null_product_key": 0, "null_customer_key": 0,
+                 "null_region_key": 0, "date_key": 84_427_271_757, "product_key": 418_312,
+                 "customer_key": 316_628, "region_key": 13_166, "amount": Decimal("5622137029.45"),
+                 "qty": 106_698}
+
+
+def test_africa_revenue(lay):
+    rows = {r["region_name"]: r for r in analysis.by_region(lay.fact, lay.dim_region).collect()}
+    assert rows["AFRICA"]["revenue"] == Decimal("1063331852.34")
+    assert rows["AFRICA"]["sales"] == 816
+
+
+def test_part_brand_mapping(spark, sf001):
+    part = load(spark, sf001, "part")
+    assert quality.inconsistent_mappings(part, "p_name", "p_brand").first()[0] == 50
+    assert quality.mapping_report_max(part, "p_name", "p_brand").first()[0] == 7

@@ -1,0 +1,85 @@
+"""Each gate fires on one injected violation, and only that gate."""
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.operators import quality
+from tessera.plans.layers import Layers
+
+ROW_GATES = {
+    "invalid_quantity": ("quantity", 0),
+    "invalid_price": ("unit_price", -1.0),
+}
+
+
+@pytest.fixture(scope="module")
+def silver(spark, sf001):
+    return Layers(spark, sf001).silver.cache()
+
+
+def _inject(df, column, value):
+    """Replace ``column`` by ``value`` on exactly one row (the smallest id)."""
+    first = df.agg(F.min("id")).first()[0]
+    return df.withColumn(column, F.when(F.col("id") == first, F.lit(value)).otherwise(F.col(column)))
+
+
+@pytest.mark.parametrize("gate", sorted(ROW_GATES))
+def test_row_gate_fires_alone(silver, gate):
+    checks = [f() for f in quality.SALES_ROW_CHECKS]
+    assert all(v == 0 for k, v in quality.count_violations(silver, checks).first().asDict().items()
+               if k != "rows")
+    col, val = ROW_GATES[gate]
+    got = quality.count_violations(_inject(silver, col, val), checks).first().asDict()
+    assert {k: v for k, v in got.items() if k != "rows" and v} == {gate: 1}
+    with pytest.raises(quality.GateFailure) as err:
+        quality.enforce(got, [c.name for c in checks])
+    assert err.value.failures == {gate: 1}
+
+
+def test_duplicate_id_gate(silver):
+    assert quality.duplicate_keys(silver, "id").first()[0] == 0
+    dup = silver.unionByName(silver.limit(1))
+    assert quality.duplicate_keys(dup, "id").first()[0] == 1
+    assert quality.inconsistent_mappings(dup, "product_id", "product_name").first()[0] == 0
+
+
+def test_product_mapping_gate(silver):
+    one = silver.limit(1).withColumn("product_name", F.lit("another name")).withColumn("id", F.lit(-1))
+    bad = silver.unionByName(one)
+    assert quality.inconsistent_mappings(bad, "product_id", "product_name").first()[0] == 1
+    assert quality.duplicate_keys(bad, "id").first()[0] == 0
+    report = quality.mapping_report(bad, "product_id", "product_name").collect()
+    assert len(report) == 2 and {r["name_count"] for r in report} == {2}
+    assert quality.mapping_report_max(bad, "product_id", "product_name").first()[0] == 2
+
+
+def test_fact_gates(spark, sf001):
+    fact = Layers(spark, sf001).fact.cache()
+    checks = [quality.null_key(k) for k in quality.FACT_KEY_COLUMNS] + [quality.negative_amount()]
+    clean = quality.count_violations(fact, checks).first().asDict()
+    assert clean["rows"] == 4225 and sum(v for k, v in clean.items() if k != "rows") == 0
+    for c in checks:
+        column = c.name.replace("null_", "") if c.name.startswith("null_") else "total_amount"
+        value = F.lit(None) if c.name.startswith("null_") else F.lit(-1).cast("decimal(18,2)")
+        first = fact.agg(F.min("sale_id")).first()[0]
+        bad = fact.withColumn(column, F.when(F.col("sale_id") == first, value).otherwise(F.col(column)))
+        got = quality.count_violations(bad, checks).first().asDict()
+        assert {k: v for k, v in got.items() if k != "rows" and v} == {c.name: 1}
+
+
+def test_null_amount_passes_negative_gate(spark):
+    from decimal import Decimal
+    df = spark.createDataFrame([(None,), (Decimal("1.00"),)], "total_amount decimal(18,2)")
+    assert quality.count_violations(df, [quality.negative_amount()]).first()["negative_amount"] == 0
+
+
+def test_reconcile_multiset(spark):
+    a = spark.createDataFrame([(1,), (1,), (2,)], "x int")
+    b = spark.createDataFrame([(1,), (3,), (3,)], "x int")
+    got = quality.reconcile(a, b, ["x"]).first().asDict()
+    assert got == {"missing_rows": 2, "extra_rows": 2}
+
+
+def test_null_profile(spark):
+    df = spark.createDataFrame([(1, None), (None, None), (3, "x")], "a int, b string")
+    got = {r["column_name"]: r["null_count"] for r in quality.null_profile(df).collect()}
+    assert got == {"a": 1, "b": 2}
