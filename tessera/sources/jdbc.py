@@ -21,7 +21,7 @@ class JdbcConfig:
     password: str | None = field(default=None, repr=False)
     driver: str | None = None
     schema: str | None = None          # table prefix, e.g. ``public``
-    probe_sql: str = "SELECT 1"        # Derby: ``SELECT 1 FROM SYSIBM.SYSDUMMY1``
+    probe_sql: str = "SELECT 1 AS ok"  # Derby: ``SELECT 1 AS ok FROM SYSIBM.SYSDUMMY1``
     properties: dict = field(default_factory=dict, repr=False)
 
     def options(self) -> dict:
@@ -51,16 +51,18 @@ def probe(spark: SparkSession, cfg: JdbcConfig) -> bool:
 
 def extract_source(spark: SparkSession, cfg: JdbcConfig, table: str, *,
                    columns: Sequence[str] = SOURCE_COLUMNS, partition_column: str = "id",
-                   num_partitions: int = 8, fetch_size: int = 10_000) -> DataFrame:
+                   num_partitions: int = 8, fetch_size: int = 10_000, quote: str = "") -> DataFrame:
     """Full snapshot of ``table`` read by ``num_partitions`` parallel cursors.
 
     The id range comes from one pushed-down ``min/max`` query; Spark splits it
     into strides, one task and one connection each (rows outside the bounds
-    still land in the first/last stride, so nothing is lost)."""
+    still land in the first/last stride, so nothing is lost).  ``quote``
+    wraps column names for databases that keep their case (``'"'``)."""
     name = cfg.qualified(table)
-    bounds = jdbc_query(spark, cfg, f"SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi "
-                                    f"FROM {name}").first()
-    cols = ", ".join(columns)
+    q = lambda c: f"{quote}{c}{quote}"
+    bounds = jdbc_query(spark, cfg, f"SELECT MIN({q(partition_column)}) AS lo, "
+                                    f"MAX({q(partition_column)}) AS hi FROM {name}").first()
+    cols = ", ".join(q(c) for c in columns)
     reader = (spark.read.format("jdbc").options(**cfg.options())
               .option("dbtable", f"(SELECT {cols} FROM {name}) src")
               .option("fetchsize", str(fetch_size)))
