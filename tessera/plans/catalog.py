@@ -277,7 +277,7 @@ def scaled_customer_key(spark, root):
        + "SELECT s.id, s.sale_date, d.date_key FROM silver s LEFT JOIN dim_date d ON s.sale_date = d.full_date")
 def join_date(spark, root):
     lay = Layers(spark, root)
-    return star.lookup_key(lay.silver, lay.dim_date, "sale_date", "full_date", "date_key") \
+    return star.lookup_key(lay.stored_silver, lay.dim_date, "sale_date", "full_date", "date_key") \
         .select("id", "sale_date", "date_key")
 
 
@@ -286,7 +286,7 @@ def join_date(spark, root):
          "LEFT JOIN dim_product p ON s.product_id = p.product_id")
 def join_product(spark, root):
     lay = Layers(spark, root)
-    return star.lookup_key(lay.silver, lay.dim_product, "product_id", "product_id", "product_key") \
+    return star.lookup_key(lay.stored_silver, lay.dim_product, "product_id", "product_id", "product_key") \
         .select("id", "product_id", "product_key")
 
 
@@ -295,7 +295,7 @@ def join_product(spark, root):
          "LEFT JOIN dim_customer c ON s.customer_id = c.customer_id")
 def join_customer(spark, root):
     lay = Layers(spark, root)
-    return star.lookup_key(lay.silver, lay.dim_customer, "customer_id", "customer_id", "customer_key") \
+    return star.lookup_key(lay.stored_silver, lay.dim_customer, "customer_id", "customer_id", "customer_key") \
         .select("id", "customer_id", "customer_key")
 
 
@@ -303,7 +303,7 @@ def join_customer(spark, root):
        + "SELECT s.id, s.region, r.region_key FROM silver s LEFT JOIN dim_region r ON s.region = r.region_name")
 def join_region(spark, root):
     lay = Layers(spark, root)
-    return star.lookup_key(lay.silver, lay.dim_region, "region", "region_name", "region_key") \
+    return star.lookup_key(lay.stored_silver, lay.dim_region, "region", "region_name", "region_key") \
         .select("id", "region", "region_key")
 
 
@@ -316,7 +316,7 @@ def gold_fact_sales(spark, root):
 def gold_fact_sales_joined_date(spark, root):
     """Fact with ``date_key`` looked up in ``dim_date`` (the four-join form)."""
     lay = Layers(spark, root)
-    return star.fact_sales(lay.silver, lay.dim_product, lay.dim_customer, lay.dim_region,
+    return star.fact_sales(lay.stored_silver, lay.dim_product, lay.dim_customer, lay.dim_region,
                            dates=lay.dim_date)
 
 
@@ -327,7 +327,7 @@ def gold_fact_sales_joined_date(spark, root):
          "FROM (SELECT count(*) AS n FROM silver) s, (SELECT count(*) AS n FROM fact) f")
 def gate_fact_grain(spark, root):
     lay = Layers(spark, root)
-    both = _side_by_side({"silver_rows": _rows(lay.silver), "fact_rows": _rows(lay.fact)})
+    both = _side_by_side({"silver_rows": _rows(lay.stored_silver), "fact_rows": _rows(lay.fact)})
     return both.withColumn("grain_difference", F.abs(F.col("silver_rows") - F.col("fact_rows")))
 
 
@@ -387,7 +387,7 @@ def gold_row_checks(spark, root):
          "SELECT id, quantity, unit_price FROM silver) b) AS extra_rows")
 def reconcile_rows(spark, root):
     lay = Layers(spark, root)
-    return quality.reconcile(lay.silver.withColumnRenamed("id", "sale_id"), lay.fact,
+    return quality.reconcile(lay.stored_silver.withColumnRenamed("id", "sale_id"), lay.fact,
                              ["sale_id", "quantity", "unit_price"])
 
 
@@ -404,7 +404,7 @@ def _counts_sql(tables: dict[str, str], columns: dict[str, int] | None = None) -
     {"bronze": "bronze", "silver": "silver", "fact_sales": "fact"}))
 def layer_row_counts(spark, root):
     lay = Layers(spark, root)
-    return _row_counts({"bronze": lay.bronze, "silver": lay.silver, "fact_sales": lay.fact})
+    return _row_counts({"bronze": lay.bronze, "silver": lay.stored_silver, "fact_sales": lay.fact})
 
 
 def _row_counts(tables: dict[str, DataFrame], with_columns: bool = False) -> DataFrame:

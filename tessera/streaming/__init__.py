@@ -1 +1 @@
-
+"""Streaming: new raw drops processed as they arrive (Structured Streaming)."""
