@@ -38,6 +38,7 @@ class PipelineConfig:
     table_format: str = "parquet"          # "delta" when its jar is on the classpath
     bronze_schema: StructType | None = SALES_SCHEMA   # None = infer types (extra pass)
     strict_reference_order: bool = False   # de-duplicate before filtering
+    variant: str = "standard"              # "basic": only a missing id drops a row, blanks stay
     expected_rows: int | None = None       # exact raw row count the newest drop must hold
     key_partitions: int | None = None      # range partitions for surrogate keys
     max_broadcast_rows: int = star.DEFAULT_BROADCAST_ROWS
@@ -95,8 +96,13 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, *, bronze: DataFr
         source = latest_drop(spark, cfg.bronze_root)
         bronze = read_bronze(spark, source, schema=cfg.bronze_schema)
     seen = Observation()
-    silver = cleaning.build_silver(bronze.observe(seen, F.count(F.lit(1)).alias("bronze_rows")),
-                                   strict_reference_order=cfg.strict_reference_order)
+    observed = bronze.observe(seen, F.count(F.lit(1)).alias("bronze_rows"))
+    if cfg.variant == "basic":
+        silver = cleaning.build_silver_basic(observed)
+    elif cfg.variant == "standard":
+        silver = cleaning.build_silver(observed, strict_reference_order=cfg.strict_reference_order)
+    else:
+        raise ValueError(f"unknown cleaning variant {cfg.variant!r}")
     staged = sink.staging_path(cfg.silver_path, uuid.uuid4().hex[:12])
     written = sink.write_table(silver, staged, table_format=cfg.table_format,
                                metrics=[F.count_if(c.violates).alias(c.name)

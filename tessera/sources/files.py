@@ -79,3 +79,33 @@ def latest_drop(spark: SparkSession, root: str) -> str:
     parent = path.rsplit("/", 1)[0]
     # A run folder of part files (``sales_<stamp>.csv/part-*.csv``) is one drop.
     return parent if parent.rsplit("/", 1)[-1].startswith(DROP_PREFIX) else path
+
+
+def drop_dates(spark: SparkSession, root: str) -> list[str]:
+    """The ``ingestion_date`` folder values under ``root`` (names only: one
+    directory listing, no file is opened)."""
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return []
+    prefix = f"{DROP_PARTITION}="
+    return sorted(st.getPath().getName()[len(prefix):] for st in fs.listStatus(base)
+                  if st.isDirectory() and st.getPath().getName().startswith(prefix))
+
+
+def read_drops(spark: SparkSession, root: str, *, schema: StructType | None = SALES_SCHEMA,
+               since: str | None = None, until: str | None = None, **options) -> DataFrame:
+    """Every drop under ``root`` whose ``ingestion_date`` lies in
+    ``[since, until]``, with that date as a column.  Only the selected date
+    folders are listed and read (pruning by folder, before any file is
+    opened); the date itself comes from each row's file path."""
+    dates = [d for d in drop_dates(spark, root)
+             if (since is None or d >= since) and (until is None or d <= until)]
+    if not dates:
+        raise NoDropFound(f"no drop under {root} in [{since}, {until}]")
+    paths = [f"{root.rstrip('/')}/{DROP_PARTITION}={d}" for d in dates]
+    df = read_bronze(spark, paths, schema=schema, recursiveFileLookup="true",
+                     pathGlobFilter=f"*{DROP_SUFFIX}", **options)
+    date = F.regexp_extract(F.col("_metadata.file_path"), rf"{DROP_PARTITION}=([0-9-]+)", 1)
+    return df.withColumn(DROP_PARTITION, date.cast("date"))

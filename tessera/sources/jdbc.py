@@ -74,19 +74,22 @@ def extract_source(spark: SparkSession, cfg: JdbcConfig, table: str, *,
     return reader.load()
 
 
-# Environment variables describing the BI database.
-BI_ENV = ("BI_DB_HOST", "BI_DB_PORT", "BI_DB_NAME", "BI_DB_USER", "BI_DB_PASSWORD")
+# Prefixes of the environment variables describing the source
+# and the BI databases (``<PREFIX>_HOST``, ``_PORT``, ``_NAME``, ``_USER``, ``_PASSWORD``).
+SOURCE_ENV_PREFIX = "SOURCE_DB"
+BI_ENV_PREFIX = "BI_DB"
 
 
-def postgres_from_env(env=None, *, schema: str = "public") -> JdbcConfig:
-    """PostgreSQL connection from ``BI_DB_*`` variables (port defaults to 5432);
-    every missing variable is named in one error, no value is ever shown."""
+def postgres_from_env(env=None, *, prefix: str = BI_ENV_PREFIX, schema: str | None = "public") -> JdbcConfig:
+    """PostgreSQL connection from ``<prefix>_*`` variables (port defaults to
+    5432); every missing variable is named in one error, no value is shown."""
     import os
 
     env = os.environ if env is None else env
-    missing = [k for k in BI_ENV if k != "BI_DB_PORT" and not env.get(k)]
+    names = {k: f"{prefix}_{k}" for k in ("HOST", "PORT", "NAME", "USER", "PASSWORD")}
+    missing = [v for k, v in names.items() if k != "PORT" and not env.get(v)]
     if missing:
         raise ValueError(f"missing environment variables: {', '.join(missing)}")
-    url = f"jdbc:postgresql://{env['BI_DB_HOST']}:{env.get('BI_DB_PORT') or '5432'}/{env['BI_DB_NAME']}"
-    return JdbcConfig(url=url, user=env["BI_DB_USER"], password=env["BI_DB_PASSWORD"],
+    url = f"jdbc:postgresql://{env[names['HOST']]}:{env.get(names['PORT']) or '5432'}/{env[names['NAME']]}"
+    return JdbcConfig(url=url, user=env[names["USER"]], password=env[names["PASSWORD"]],
                       driver="org.postgresql.Driver", schema=schema)

@@ -91,3 +91,27 @@ def test_latest_drop_and_empty_guard(spark, tmp_path):
     assert old != new
     with pytest.raises(EmptySource):
         write_drop(df.limit(0), root)
+
+
+def test_read_drops_by_date(spark, tmp_path):
+    from tessera.sources.files import drop_dates, read_drops
+
+    root = str(tmp_path / "bronze")
+    df = spark.createDataFrame([(1,), (2,)], "id int")
+    for day in (1, 2, 3):
+        write_drop(df, root, now=datetime(2024, 1, day, tzinfo=timezone.utc))
+    assert drop_dates(spark, root) == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    got = read_drops(spark, root, schema="id int", since="2024-01-02")
+    rows = sorted((str(r["ingestion_date"]), r["id"]) for r in got.collect())
+    assert rows == [("2024-01-02", 1), ("2024-01-02", 2), ("2024-01-03", 1), ("2024-01-03", 2)]
+
+
+def test_check_schema(spark):
+    from tessera.schemas import SALES_SCHEMA, SchemaMismatch, check_schema
+
+    df = spark.createDataFrame([], SALES_SCHEMA)
+    assert check_schema(df, SALES_SCHEMA) is df
+    with pytest.raises(SchemaMismatch, match="missing columns"):
+        check_schema(df.drop("region"), SALES_SCHEMA)
+    with pytest.raises(SchemaMismatch, match="quantity"):
+        check_schema(df.withColumn("quantity", F.col("quantity").cast("string")), SALES_SCHEMA)

@@ -138,3 +138,14 @@ def test_s3a_settings():
     assert conf["spark.hadoop.fs.s3a.endpoint.region"] == "us-east-1"
     assert conf["spark.hadoop.fs.s3a.path.style.access"] == "true"
     assert "s" not in redacted(conf).values()
+
+
+def test_cli(spark, pipeline, cfg, capsys):
+    from tessera import cli
+
+    base = ["--bronze", cfg.bronze_root, "--silver", cfg.silver_path, "--gold", cfg.gold_root]
+    assert cli.main(["validate", *base]) == 0
+    assert '"silver_rows": 4225' in capsys.readouterr().out
+    assert cli.main(["inspect", *base]) == 0
+    assert cli.main(["gold", "--bronze", cfg.bronze_root, "--silver", cfg.silver_path + "_missing",
+                     "--gold", cfg.gold_root]) == 1
