@@ -144,19 +144,25 @@ def build_star(silver: DataFrame, cfg: PipelineConfig, staged: dict[str, str]) -
     fmt = cfg.table_format
     metrics: dict[str, dict] = {}
 
-    metrics["dim_date"] = sink.write_table(star.dim_date(silver), staged["dim_date"], table_format=fmt)
-
-    # The product-name gate rides on the dimension build: the per-product
-    # distinct-name count is computed by the same aggregation that picks the name.
-    base = silver.groupBy("product_id").agg(F.min("product_name").alias("product_name"),
-                                            F.count_distinct("product_name").alias("_names"))
-    product = dense_key(base, "product_id", "product_key", partitions=cfg.key_partitions)
-    metrics["dim_product"] = _write_dim_product(product, staged["dim_product"], fmt)
-
-    metrics["dim_customer"] = sink.write_table(
-        star.dim_customer(silver, partitions=cfg.key_partitions), staged["dim_customer"], table_format=fmt)
-    metrics["dim_region"] = sink.write_table(
-        star.dim_region(silver, partitions=cfg.key_partitions), staged["dim_region"], table_format=fmt)
+    def product() -> dict:
+        # The product-name gate rides on the dimension build: the per-product
+        # distinct-name count comes from the same aggregation that picks the name.
+        base = silver.groupBy("product_id").agg(F.min("product_name").alias("product_name"),
+                                                F.count_distinct("product_name").alias("_names"))
+        keyed = dense_key(base, "product_id", "product_key", partitions=cfg.key_partitions)
+        return _write_dim_product(keyed, staged["dim_product"], fmt)
+
+    builders = {
+        "dim_date": lambda: sink.write_table(star.dim_date(silver), staged["dim_date"], table_format=fmt),
+        "dim_product": product,
+        "dim_customer": lambda: sink.write_table(star.dim_customer(silver, partitions=cfg.key_partitions),
+                                                 staged["dim_customer"], table_format=fmt),
+        "dim_region": lambda: sink.write_table(star.dim_region(silver, partitions=cfg.key_partitions),
+                                               staged["dim_region"], table_format=fmt),
+    }
+    # The four dimensions are independent: their jobs are submitted together
+    # and share the executors (each is small next to the fact).
+    metrics.update(_concurrently(builders))
 
     stored = {t: spark.read.format(fmt).load(staged[t]) for t in STAR_TABLES if t != "fact_sales"}
     seen = Observation()
@@ -172,6 +178,16 @@ def build_star(silver: DataFrame, cfg: PipelineConfig, staged: dict[str, str]) -
     return metrics
 
 
+def _concurrently(tasks: dict) -> dict:
+    """Run independent Spark actions from a small thread pool (Spark schedules
+    concurrent jobs of one session side by side); re-raise the first error."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def _write_dim_product(product: DataFrame, path: str, fmt: str) -> dict:
     seen = Observation()
     out = (product.observe(seen, F.count_if(F.col("_names") > 1).alias("inconsistent_products"))
@@ -208,9 +224,11 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict:
     # are missing from the published dimensions of the same run.
     for t in STAR_TABLES:
         sink.publish(spark, staged[t], cfg.gold_path(t))
-    for t in STAR_TABLES:
-        sink.verify_table(spark, cfg.gold_path(t), report["rows"][t], table_format=cfg.table_format)
+    def verify(t):
         sink.verify_commit(spark, cfg.gold_path(t), table_format=cfg.table_format)
+        return sink.verify_table(spark, cfg.gold_path(t), report["rows"][t], table_format=cfg.table_format)
+
+    _concurrently({t: (lambda t=t: verify(t)) for t in STAR_TABLES})
     return report
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
+from tessera.sources.tables import ensure_parallel
 from tessera.sources.files import DROP_PARTITION, DROP_PREFIX, DROP_SUFFIX, TIMESTAMP_FORMAT
 
 
@@ -21,21 +23,30 @@ def drop_path(root: str, now: datetime | None = None) -> str:
 
 
 def write_drop(df: DataFrame, root: str, *, now: datetime | None = None,
-               allow_empty: bool = False) -> str:
+               allow_empty: bool = False, min_files: int | None = None) -> str:
     """Write ``df`` as one drop and return its path.
 
     The drop is a folder of CSV part files written by the executors in
     parallel (one file per partition), with a header line, UTF-8, and quoting
     that round-trips commas, quotes and newlines.  Values keep their leading
     and trailing spaces (the raw layer must not be cleaned on the way in).
-    An empty source raises ``EmptySource`` and writes nothing."""
-    if not allow_empty and df.isEmpty():
-        raise EmptySource("source returned no rows; nothing written")
+    A source with fewer partitions than ``min_files`` (default: the cluster's
+    parallelism) is spread first: drops are read with ``multiLine``, one task
+    per file, so the file count is the read parallelism of the next job.
+    The row count is observed during the write (the source is read once --
+    a JDBC source is not queried twice); an empty source raises
+    ``EmptySource`` and its empty drop folder is removed, so no run sees it."""
     path = drop_path(root, now)
-    (df.write.mode("errorifexists")
+    seen = Observation()
+    out = ensure_parallel(df, min_files).observe(seen, F.count(F.lit(1)).alias("rows"))
+    (out.write.mode("errorifexists")
        .option("header", "true").option("encoding", "UTF-8")
        .option("quote", '"').option("escape", '"').option("quoteAll", "false")
        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
        .option("timestampFormat", TIMESTAMP_FORMAT).option("timestampNTZFormat", TIMESTAMP_FORMAT)
        .csv(path))
+    if not allow_empty and seen.get["rows"] == 0:
+        from tessera.sinks.tables import discard
+        discard(df.sparkSession, path)
+        raise EmptySource("source returned no rows; nothing written")
     return path
