@@ -23,22 +23,22 @@ _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
-def _partitions(df: DataFrame, requested: int | None) -> int:
-    if requested:
-        return int(requested)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def dense_key(df: DataFrame, key: str, out: str, *, partitions: int | None = None,
               checkpoint: bool = True) -> DataFrame:
     """Add ``out`` = rank of ``key`` among the distinct keys (1-based, int).
 
     ``df`` must hold each key once (a dimension base); its other columns are
     carried along.  Order is ascending with NULL first, as ``ORDER BY key``.
+
+    Without ``partitions`` the range shuffle uses the session's partition count
+    and AQE may merge small neighbouring partitions (a six-row dimension ends
+    up in one task, not thousands); merged partitions are contiguous ranges,
+    so the numbering stays in key order.  ``partitions`` fixes the count.
     """
-    n = _partitions(df, partitions)
-    numbered = (df.repartitionByRange(n, F.col(key).asc_nulls_first())
-                  .sortWithinPartitions(F.col(key).asc_nulls_first())
+    order = F.col(key).asc_nulls_first()
+    ranged = (df.repartitionByRange(int(partitions), order) if partitions
+              else df.repartitionByRange(order))
+    numbered = (ranged.sortWithinPartitions(order)
                   .withColumn("_mid", F.monotonically_increasing_id()))
     if checkpoint:
         checkpoint_dir(df.sparkSession)
@@ -47,7 +47,8 @@ def dense_key(df: DataFrame, key: str, out: str, *, partitions: int | None = Non
         "_part": F.shiftright(F.col("_mid"), _POS_BITS).cast("int"),
         "_pos": F.col("_mid").bitwiseAND(F.lit(_POS_MASK)),
     })
-    # One row per range partition: bounded by ``n``, so broadcasting it is safe.
+    # One row per range partition (at most the shuffle partition count, not a
+    # quantity that grows with the data), so broadcasting it is safe.
     sizes = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     offsets = sizes.select(
         "_part",

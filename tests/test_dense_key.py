@@ -37,3 +37,11 @@ def test_plan_range_partitions_keys(spark):
     assert "rangepartitioning" in plan.lower()
     # The only window left is the running sum over the per-partition sizes.
     assert "row_number" not in plan.lower()
+
+
+def test_default_partitions_are_coalesced_and_ordered(spark):
+    """No fixed count: AQE merges the range partitions of a small key set and
+    the keys stay 1..N in order."""
+    base = spark.range(0, 500).select((F.col("id") * 7919 % 500).cast("int").alias("k"))
+    got = dense_key(base, "k", "key")
+    assert sorted((r["k"], r["key"]) for r in got.collect()) == [(i, i + 1) for i in range(500)]
