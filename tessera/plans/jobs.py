@@ -191,11 +191,15 @@ def build_star(silver: DataFrame, cfg: PipelineConfig, staged: dict[str, str]) -
 
 def _concurrently(tasks: dict) -> dict:
     """Run independent Spark actions from a small thread pool (Spark schedules
-    concurrent jobs of one session side by side); re-raise the first error."""
+    concurrent jobs of one session side by side); re-raise the first error.
+    Each thread inherits the caller's job group and local properties, so
+    cancelling the caller's group cancels these jobs too."""
     from concurrent.futures import ThreadPoolExecutor
 
+    from pyspark import inheritable_thread_target
+
     with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
-        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        futures = {name: pool.submit(inheritable_thread_target(fn)) for name, fn in tasks.items()}
         return {name: f.result() for name, f in futures.items()}
 
 

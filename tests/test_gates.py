@@ -83,3 +83,20 @@ def test_null_profile(spark):
     df = spark.createDataFrame([(1, None), (None, None), (3, "x")], "a int, b string")
     got = {r["column_name"]: r["null_count"] for r in quality.null_profile(df).collect()}
     assert got == {"a": 1, "b": 2}
+
+
+def test_checks_share_one_pass(spark, silver):
+    """Adding row-level checks adds aggregate columns, not Spark jobs."""
+    sc = spark.sparkContext
+    tracker = sc.statusTracker()
+    one = [quality.invalid_quantity()]
+    many = [quality.invalid_quantity(), quality.invalid_price(), quality.null_key("region"),
+            quality.null_key("created_at"), quality.Check("big", F.col("quantity") > 1000)]
+    counts = []
+    for i, checks in enumerate((one, many)):
+        group = f"checks-{i}"
+        sc.setJobGroup(group, group)
+        quality.count_violations(silver, checks).collect()
+        counts.append(len(tracker.getJobIdsForGroup(group)))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert counts[0] == counts[1]
