@@ -149,3 +149,15 @@ def test_cli(spark, pipeline, cfg, capsys):
     assert cli.main(["inspect", *base]) == 0
     assert cli.main(["gold", "--bronze", cfg.bronze_root, "--silver", cfg.silver_path + "_missing",
                      "--gold", cfg.gold_root]) == 1
+
+
+def test_duplicate_sale_ids_stop_gold(spark, pipeline, cfg, tmp_path):
+    silver = spark.read.parquet(cfg.silver_path)
+    bad_path = str(tmp_path / "dup_silver")
+    silver.unionByName(silver.limit(1)).write.parquet(bad_path)
+    bad_cfg = jobs.PipelineConfig(bronze_root=cfg.bronze_root, silver_path=bad_path,
+                                  gold_root=str(tmp_path / "gold"))
+    with pytest.raises(quality.GateFailure) as err:
+        jobs.silver_to_gold(spark, bad_cfg)
+    assert err.value.failures == {"duplicate_sale_ids": 1}
+    assert not sink.path_exists(spark, bad_cfg.gold_path("fact_sales"))
