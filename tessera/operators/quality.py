@@ -30,7 +30,6 @@ class GateFailure(RuntimeError):
 class Check:
     name: str
     violates: Column          # boolean per row: TRUE = violation (NULL = pass)
-    gate: bool = True         # False: reported only
 
 
 def invalid_quantity() -> Check:
@@ -46,6 +45,11 @@ def negative_amount() -> Check:
     return Check("negative_amount", F.col("total_amount") < 0)
 
 
+def null_amount() -> Check:
+    """Optional: an amount that could not be computed (NaN price, overflow)."""
+    return Check("null_amount", F.col("total_amount").isNull())
+
+
 def null_key(column: str) -> Check:
     return Check(f"null_{column}", F.col(column).isNull())
 

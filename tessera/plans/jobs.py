@@ -42,6 +42,7 @@ class PipelineConfig:
     expected_rows: int | None = None       # exact raw row count the newest drop must hold
     key_partitions: int | None = None      # range partitions for surrogate keys
     max_broadcast_rows: int = star.DEFAULT_BROADCAST_ROWS
+    null_amount_gate: bool = False         # also fail on a NULL total_amount
     bi: JdbcConfig | None = None
     bi_batch_size: int = 5000
     bi_partitions: int = 2
@@ -189,7 +190,8 @@ def build_star(silver: DataFrame, cfg: PipelineConfig, staged: dict[str, str]) -
                            stored["dim_product"], stored["dim_customer"], stored["dim_region"],
                            dim_rows={t: m["rows"] for t, m in metrics.items() if t.startswith("dim_")},
                            max_broadcast_rows=cfg.max_broadcast_rows)
-    checks = [quality.null_key(k) for k in quality.FACT_KEY_COLUMNS] + [quality.negative_amount()]
+    checks = ([quality.null_key(k) for k in quality.FACT_KEY_COLUMNS]
+              + [quality.negative_amount(), quality.null_amount()])
     metrics["fact_sales"] = sink.write_table(
         fact, staged["fact_sales"], table_format=fmt,
         metrics=[F.count_if(c.violates).alias(c.name) for c in checks])
@@ -237,8 +239,9 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict:
             "inconsistent_products": m["dim_product"]["inconsistent_products"],
             **{g: fm[g] for g in FACT_ROW_GATES}, **dup,
         }
-        quality.enforce(report, ["inconsistent_products", "grain_difference", *FACT_ROW_GATES,
-                                 "duplicate_sale_ids"])
+        report["null_amount"] = fm["null_amount"]
+        gates = ["inconsistent_products", "grain_difference", *FACT_ROW_GATES, "duplicate_sale_ids"]
+        quality.enforce(report, gates + (["null_amount"] if cfg.null_amount_gate else []))
     except Exception:
         for p in staged.values():
             sink.discard(spark, p)

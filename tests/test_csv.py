@@ -115,3 +115,22 @@ def test_check_schema(spark):
         check_schema(df.drop("region"), SALES_SCHEMA)
     with pytest.raises(SchemaMismatch, match="quantity"):
         check_schema(df.withColumn("quantity", F.col("quantity").cast("string")), SALES_SCHEMA)
+
+
+def test_single_file_drops_and_folders_mix(spark, tmp_path):
+    """A drop written by a single-process CSV writer is one file; one written
+    by Spark is a folder of parts.  Both are found and read."""
+    root = tmp_path / "bronze"
+    day = root / "ingestion_date=2024-01-01"
+    day.mkdir(parents=True)
+    single = day / "sales_20240101_000000.csv"
+    single.write_text(HEADER + "1,2024-01-01,1,n,1,r,1,1.0,2024-01-01 00:00:00\n", encoding="utf-8")
+    assert latest_drop(spark, str(root)) == f"file:{single}" or latest_drop(spark, str(root)).endswith(
+        "sales_20240101_000000.csv")
+    assert read_bronze(spark, latest_drop(spark, str(root))).count() == 1
+    time.sleep(1.1)
+    df = spark.createDataFrame([(2,), (3,)], "id int")
+    folder = write_drop(df, str(root), now=datetime(2024, 1, 2, tzinfo=timezone.utc))
+    newest = latest_drop(spark, str(root))
+    assert newest.endswith(folder.split("/")[-1])
+    assert read_bronze(spark, newest, schema="id int").count() == 2

@@ -161,3 +161,21 @@ def test_duplicate_sale_ids_stop_gold(spark, pipeline, cfg, tmp_path):
         jobs.silver_to_gold(spark, bad_cfg)
     assert err.value.failures == {"duplicate_sale_ids": 1}
     assert not sink.path_exists(spark, bad_cfg.gold_path("fact_sales"))
+
+
+def test_null_amount_gate_is_optional(spark, pipeline, cfg, tmp_path):
+    """A NaN price passes the business rules and yields a NULL amount: reported
+    always, a failure only with ``null_amount_gate``."""
+    silver = spark.read.parquet(cfg.silver_path)
+    first = silver.agg(F.min("id")).first()[0]
+    nan = silver.withColumn("unit_price", F.when(F.col("id") == first, F.lit(float("nan")))
+                            .otherwise(F.col("unit_price")))
+    path = str(tmp_path / "nan_silver")
+    nan.write.parquet(path)
+    lax = jobs.PipelineConfig(bronze_root=cfg.bronze_root, silver_path=path, gold_root=str(tmp_path / "g1"))
+    assert jobs.silver_to_gold(spark, lax)["null_amount"] == 1
+    strict = jobs.PipelineConfig(bronze_root=cfg.bronze_root, silver_path=path,
+                                 gold_root=str(tmp_path / "g2"), null_amount_gate=True)
+    with pytest.raises(quality.GateFailure) as err:
+        jobs.silver_to_gold(spark, strict)
+    assert err.value.failures == {"null_amount": 1}
