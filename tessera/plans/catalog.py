@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import analysis, cleaning, quality, star
-from tessera.operators.dedup import keep_best
 from tessera.plans import oracle as sql
 from tessera.plans.layers import Layers
 from tessera.schemas import SALES_COLUMNS
