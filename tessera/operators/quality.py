@@ -77,9 +77,13 @@ def duplicate_keys(df: DataFrame, key: str | Sequence[str], alias: str = "duplic
 def inconsistent_mappings(df: DataFrame, key: str, value: str,
                           alias: str = "inconsistent_keys") -> DataFrame:
     """One row: number of ``key`` values mapped to more than one distinct
-    non-NULL ``value``."""
-    return (df.groupBy(key).agg(F.count_distinct(value).alias("_n"))
-              .agg(F.count_if(F.col("_n") > 1).alias(alias)))
+    non-NULL ``value``.
+
+    "More than one distinct value" is ``min(value) < max(value)``: one plain
+    aggregation, combined on the map side, where ``COUNT(DISTINCT)`` would
+    first de-duplicate ``(key, value)`` pairs in a shuffle of its own."""
+    return (df.groupBy(key).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+              .agg(F.count_if(F.col("_lo") < F.col("_hi")).alias(alias)))
 
 
 def null_profile(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:

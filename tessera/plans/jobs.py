@@ -159,8 +159,9 @@ def build_star(silver: DataFrame, cfg: PipelineConfig, staged: dict[str, str]) -
     def product() -> dict:
         # The product-name gate rides on the dimension build: the per-product
         # distinct-name count comes from the same aggregation that picks the name.
-        base = silver.groupBy("product_id").agg(F.min("product_name").alias("product_name"),
-                                                F.count_distinct("product_name").alias("_names"))
+        base = silver.groupBy("product_id").agg(
+            F.min("product_name").alias("product_name"),
+            (F.min("product_name") < F.max("product_name")).alias("_several_names"))
         keyed = dense_key(base, "product_id", "product_key", partitions=cfg.key_partitions)
         return _write_dim_product(keyed, staged["dim_product"], fmt)
 
@@ -216,7 +217,7 @@ def _concurrently(spark: SparkSession, tasks: dict) -> dict:
 
 def _write_dim_product(product: DataFrame, path: str, fmt: str) -> dict:
     seen = Observation()
-    out = (product.observe(seen, F.count_if(F.col("_names") > 1).alias("inconsistent_products"))
+    out = (product.observe(seen, F.count_if(F.col("_several_names")).alias("inconsistent_products"))
                   .select("product_key", "product_id", "product_name"))
     m = sink.write_table(out, path, table_format=fmt)
     m["inconsistent_products"] = int(seen.get["inconsistent_products"])
