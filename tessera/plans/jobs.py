@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 
 from tessera.operators import cleaning, quality, star
 from tessera.operators.keys import dense_key
+from tessera.plans.parallel import run_concurrently
 from tessera.schemas import SALES_SCHEMA, STAR_TABLES
 from tessera.sinks import tables as sink
 from tessera.sinks.bi import load_star
@@ -183,7 +184,7 @@ def build_star(silver: DataFrame, cfg: PipelineConfig, staged: dict[str, str]) -
         {"duplicate_sale_ids": quality.duplicate_keys(silver, "id")})
     # The dimensions (and that check) are independent: their jobs are
     # submitted together and share the executors (each is small next to the fact).
-    metrics.update(_concurrently(spark, builders))
+    metrics.update(run_concurrently(spark, builders))
 
     stored = {t: spark.read.format(fmt).load(staged[t]) for t in STAR_TABLES if t != "fact_sales"}
     seen = Observation()
@@ -200,21 +201,6 @@ def build_star(silver: DataFrame, cfg: PipelineConfig, staged: dict[str, str]) -
     return metrics
 
 
-def _concurrently(spark: SparkSession, tasks: dict) -> dict:
-    """Run independent Spark actions from a small thread pool (Spark schedules
-    concurrent jobs of one session side by side); re-raise the first error.
-    Each thread inherits the caller's job group and local properties, so
-    cancelling the caller's group cancels these jobs too."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    from pyspark import inheritable_thread_target
-
-    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
-        wrap = inheritable_thread_target(spark)
-        futures = {name: pool.submit(wrap(fn)) for name, fn in tasks.items()}
-        return {name: f.result() for name, f in futures.items()}
-
-
 def _write_dim_product(product: DataFrame, path: str, fmt: str) -> dict:
     seen = Observation()
     out = (product.observe(seen, F.count_if(F.col("_several_names")).alias("inconsistent_products"))
@@ -255,7 +241,7 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict:
         sink.verify_commit(spark, cfg.gold_path(t), table_format=cfg.table_format)
         return sink.verify_table(spark, cfg.gold_path(t), report["rows"][t], table_format=cfg.table_format)
 
-    _concurrently(spark, {t: (lambda t=t: verify(t)) for t in STAR_TABLES})
+    run_concurrently(spark, {t: (lambda t=t: verify(t)) for t in STAR_TABLES})
     return report
 
 

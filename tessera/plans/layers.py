@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators import cleaning, star
+from tessera.plans.parallel import run_concurrently
 from tessera.session import checkpoint_dir
 from tessera.sources.fixture import bronze_from_tables
 
@@ -55,8 +56,17 @@ class Layers:
     def dim_region(self) -> DataFrame:
         return star.dim_region(self.stored_silver, partitions=self.key_partitions)
 
+    def build_keyed_dimensions(self) -> None:
+        """Materialise the cleaned layer once, then build the three keyed
+        dimensions (each a checkpoint job) concurrently."""
+        self.stored_silver
+        run_concurrently(self.spark, {name: (lambda n=name: getattr(self, n))
+                                      for name in ("dim_product", "dim_customer", "dim_region")
+                                      if name not in self.__dict__})
+
     @cached_property
     def fact(self) -> DataFrame:
+        self.build_keyed_dimensions()
         return star.fact_sales(self.stored_silver, self.dim_product, self.dim_customer,
                                self.dim_region)
 
