@@ -28,7 +28,7 @@ def kpis(fact: DataFrame) -> DataFrame:
     """One row: sales, units, revenue and the average basket (revenue / sales)."""
     return (fact.agg(*_measures())
                 .withColumn("avg_basket",
-                            F.round(F.col("revenue") / F.col("sales"), 2).cast(MONEY)))
+                            F.round(F.try_divide(F.col("revenue"), F.col("sales")), 2).cast(MONEY)))
 
 
 def by_month(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -48,11 +48,16 @@ def by_region(fact: DataFrame, dim_region: DataFrame) -> DataFrame:
 def top_by_revenue(fact: DataFrame, dim: DataFrame, key: str, n: int = 10) -> DataFrame:
     """The ``n`` keys with the highest revenue (ties: lower key first), with
     their dimension attributes.  The limit is the feature: a top-k report.
-    ``orderBy().limit()`` runs as a per-partition top-k and a merge, and only
-    those ``n`` rows meet the dimension."""
+    ``orderBy().limit()`` runs as a per-partition top-k and a merge.  The
+    dimension is then filtered by a semi-join against the ``n`` broadcast keys
+    (streamed once, never shuffled, however large it is), and the at most
+    ``n`` matching rows are joined back to the top-k -- a left join, so a key
+    missing from the dimension still shows, with NULL attributes."""
     per_key = fact.groupBy(key).agg(*_measures())
     top = per_key.orderBy(F.col("revenue").desc(), F.col(key).asc()).limit(n)
-    return top.join(dim, key, "left").select(*dim.columns, "sales", "units", "revenue")
+    matched = dim.join(F.broadcast(top.select(key)), key, "left_semi")
+    return (top.join(F.broadcast(matched), key, "left")
+               .select(*dim.columns, "sales", "units", "revenue"))
 
 
 def region_year_cube(fact: DataFrame, dim_region: DataFrame, dim_date: DataFrame) -> DataFrame:
