@@ -1,0 +1,70 @@
+"""Plan shape: the properties that matter at scale, read from the physical
+plan (what Catalyst and AQE will run), not from timings."""
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.operators import analysis, cleaning, star
+from tessera.plans.layers import Layers
+from tessera.sinks.drops import write_drop
+from tessera.sources.files import read_bronze
+
+
+def plan(df) -> str:
+    """The formatted physical plan, untruncated (what ``explain("formatted")`` prints)."""
+    jvm = df.sparkSession.sparkContext._jvm
+    return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+@pytest.fixture(scope="module")
+def lay(spark, sf001):
+    return Layers(spark, sf001)
+
+
+def test_silver_filters_reach_the_scan_and_dedup_combines_early(spark, lay, tmp_path):
+    drop = write_drop(lay.bronze, str(tmp_path / "bronze"))
+    p = plan(cleaning.build_silver(read_bronze(spark, drop)))
+    assert "PushedFilters: [IsNotNull(id)" in p and "GreaterThan(quantity,0)" in p
+    assert "GreaterThanOrEqual(unit_price,0.0)" in p
+    assert "partial_max" in p                # combined before the shuffle
+    assert "Window" not in p and "row_number" not in p
+
+
+def test_fact_date_key_is_computed_and_dims_are_broadcast(lay):
+    p = plan(lay.fact)
+    assert "SortMergeJoin" not in p
+    assert p.count("BroadcastHashJoin") >= 3
+    assert "year(sale_date" in p             # date key computed, no dim_date join
+
+
+def test_fact_scan_prunes_unused_columns(spark, lay, tmp_path):
+    path = str(tmp_path / "silver")
+    lay.silver.write.parquet(path)
+    silver = spark.read.parquet(path)
+    fact = star.fact_sales(silver, lay.dim_product, lay.dim_customer, lay.dim_region)
+    p = plan(fact)
+    schemas = [line for line in p.splitlines() if line.startswith("ReadSchema:") and "sale_date" in line]
+    assert schemas and all("product_name" not in s for s in schemas)
+
+
+def test_reports_aggregate_before_joining(lay):
+    p = plan(analysis.by_region(lay.fact, lay.dim_region))
+    tree = p.split("\n\n")[0]
+    lines = tree.splitlines()
+    # The tree prints parents first: the region join sits above the per-key aggregate.
+    join_line = next(i for i, l in enumerate(lines) if "Join" in l)
+    agg_line = next(i for i, l in enumerate(lines) if "HashAggregate" in l)
+    assert join_line < agg_line
+
+
+def test_top_k_streams_the_dimension(lay):
+    p = plan(analysis.top_by_revenue(lay.fact, lay.dim_customer, "customer_key"))
+    assert "TakeOrderedAndProject" in p
+    assert "LeftSemi" in p and "SortMergeJoin" not in p
+
+
+def test_key_gates_combine_on_the_map_side(lay):
+    from tessera.operators import quality
+    p = plan(quality.inconsistent_mappings(lay.silver, "product_id", "product_name"))
+    assert "partial_min" in p and "partial_max" in p and "count(distinct" not in p.lower()
+    p = plan(quality.duplicate_keys(lay.silver, "id"))
+    assert "partial_count" in p
