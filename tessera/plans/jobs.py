@@ -158,8 +158,8 @@ def build_star(silver: DataFrame, cfg: PipelineConfig, staged: dict[str, str]) -
     metrics: dict[str, dict] = {}
 
     def product() -> dict:
-        # The product-name gate rides on the dimension build: the per-product
-        # distinct-name count comes from the same aggregation that picks the name.
+        # The product-name gate rides on the dimension build: "several names"
+        # (min < max) comes from the same aggregation that picks the name.
         base = silver.groupBy("product_id").agg(
             F.min("product_name").alias("product_name"),
             (F.min("product_name") < F.max("product_name")).alias("_several_names"))
@@ -237,6 +237,7 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict:
     # are missing from the published dimensions of the same run.
     for t in STAR_TABLES:
         sink.publish(spark, staged[t], cfg.gold_path(t))
+
     def verify(t):
         sink.verify_commit(spark, cfg.gold_path(t), table_format=cfg.table_format)
         return sink.verify_table(spark, cfg.gold_path(t), report["rows"][t], table_format=cfg.table_format)
