@@ -115,7 +115,7 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, *, bronze: DataFr
                                metrics=[F.count_if(c.violates).alias(c.name)
                                         for c in (quality.invalid_quantity(), quality.invalid_price())])
     bronze_rows = int(seen.get["bronze_rows"])
-    stored = spark.read.format(cfg.table_format).load(staged)
+    stored = sink.read_back(spark, staged, silver.schema, table_format=cfg.table_format)
     keys = _one_row({
         "duplicate_ids": quality.duplicate_keys(stored, "id"),
         "inconsistent_products": quality.inconsistent_mappings(stored, "product_id", "product_name"),
@@ -139,7 +139,8 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, *, bronze: DataFr
         sink.discard(spark, staged)
         raise
     sink.publish(spark, staged, cfg.silver_path)
-    sink.verify_table(spark, cfg.silver_path, written["rows"], table_format=cfg.table_format)
+    sink.verify_table(spark, cfg.silver_path, written["rows"], table_format=cfg.table_format,
+                      schema=silver.schema)
     sink.verify_commit(spark, cfg.silver_path, table_format=cfg.table_format)
     return report
 
@@ -186,7 +187,8 @@ def build_star(silver: DataFrame, cfg: PipelineConfig, staged: dict[str, str]) -
     # submitted together and share the executors (each is small next to the fact).
     metrics.update(run_concurrently(spark, builders))
 
-    stored = {t: spark.read.format(fmt).load(staged[t]) for t in STAR_TABLES if t != "fact_sales"}
+    stored = {t: sink.read_back(spark, staged[t], metrics[t]["schema"], table_format=fmt)
+              for t in STAR_TABLES if t != "fact_sales"}
     seen = Observation()
     fact = star.fact_sales(silver.observe(seen, F.count(F.lit(1)).alias("silver_rows")),
                            stored["dim_product"], stored["dim_customer"], stored["dim_region"],
@@ -219,6 +221,7 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict:
         m = build_star(silver, cfg, staged)
         dup = m["duplicate_sale_ids"]
         fm = m["fact_sales"]
+        schemas = {t: m[t]["schema"] for t in STAR_TABLES}
         report = {
             "rows": {t: m[t]["rows"] for t in STAR_TABLES},
             "silver_rows": fm["silver_rows"],
@@ -240,7 +243,8 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict:
 
     def verify(t):
         sink.verify_commit(spark, cfg.gold_path(t), table_format=cfg.table_format)
-        return sink.verify_table(spark, cfg.gold_path(t), report["rows"][t], table_format=cfg.table_format)
+        return sink.verify_table(spark, cfg.gold_path(t), report["rows"][t], table_format=cfg.table_format,
+                                 schema=schemas[t])
 
     run_concurrently(spark, {t: (lambda t=t: verify(t)) for t in STAR_TABLES})
     return report

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql.types import StructType
 from pyspark.sql import functions as F
 
 from tessera.schemas import SchemaMismatch, schema_problems
@@ -27,7 +28,8 @@ def write_table(df: DataFrame, path: str, *, table_format: str = "parquet",
                 replace_schema: bool = True, metrics: Sequence[Column] = (),
                 partition_by: Sequence[str] = ()) -> dict:
     """Overwrite the table at ``path`` and return metrics observed *during* the
-    write: ``rows`` plus each aggregate in ``metrics`` (e.g. violation counts).
+    write: ``rows`` plus each aggregate in ``metrics`` (e.g. violation counts),
+    and the ``schema`` written (for reading it back without inference).
     No second pass over the data is needed to know what was written.
 
     ``replace_schema=False`` refuses to overwrite a table whose stored schema
@@ -47,7 +49,9 @@ def write_table(df: DataFrame, path: str, *, table_format: str = "parquet",
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
-    return {k: (int(v) if isinstance(v, int) else v) for k, v in obs.get.items()}
+    out = {k: (int(v) if isinstance(v, int) else v) for k, v in obs.get.items()}
+    out["schema"] = df.schema
+    return out
 
 
 def staging_path(path: str, run_id: str) -> str:
@@ -89,10 +93,18 @@ class VerificationError(RuntimeError):
     pass
 
 
+def read_back(spark: SparkSession, path: str, schema: StructType | None = None, *,
+              table_format: str = "parquet") -> DataFrame:
+    """A table this run has just written.  Passing the schema it was written
+    with skips schema inference (a footer-reading job per read)."""
+    reader = spark.read.format(table_format)
+    return (reader.schema(schema) if schema is not None else reader).load(path)
+
+
 def verify_table(spark: SparkSession, path: str, expected_rows: int, *,
-                 table_format: str = "parquet") -> int:
+                 table_format: str = "parquet", schema: StructType | None = None) -> int:
     """Re-read the stored table; its row count must equal ``expected_rows``."""
-    got = spark.read.format(table_format).load(path).count()
+    got = read_back(spark, path, schema, table_format=table_format).count()
     if got != expected_rows:
         raise VerificationError(f"{path}: {got} rows stored, {expected_rows} written")
     return got
