@@ -39,6 +39,22 @@ def by_month(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
                         F.sum("revenue").cast(MONEY).alias("revenue")))
 
 
+def by_date(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """One row per sale date: the daily series."""
+    per_day = fact.groupBy("date_key").agg(*_measures())
+    return (per_day.join(dim_date.select("date_key", "full_date"), "date_key", "left")
+                   .select("date_key", "full_date", "sales", "units", "revenue"))
+
+
+def by_key(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """One row per member of a dimension that has sales (every product, every
+    customer), with its attributes.  The fact is reduced to one row per key
+    first; that result and the dimension are then the same size, so the
+    planner shuffles or broadcasts them by their actual sizes."""
+    per_key = fact.groupBy(key).agg(*_measures())
+    return per_key.join(dim, key, "left").select(*dim.columns, "sales", "units", "revenue")
+
+
 def by_region(fact: DataFrame, dim_region: DataFrame) -> DataFrame:
     per_key = fact.groupBy("region_key").agg(*_measures())
     return (per_key.join(dim_region, "region_key", "left")

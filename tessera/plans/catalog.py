@@ -459,6 +459,32 @@ def bi_by_month(spark, root):
     return analysis.by_month(lay.fact, lay.dim_date)
 
 
+@query("bi_by_date", sql.with_layers("fact", "dim_date")
+       + f"SELECT f.date_key, d.full_date, {_MEASURES.replace('quantity', 'f.quantity')} FROM fact f "
+         "LEFT JOIN dim_date d ON f.date_key = d.date_key GROUP BY f.date_key, d.full_date")
+def bi_by_date(spark, root):
+    lay = Layers(spark, root)
+    return analysis.by_date(lay.fact, lay.dim_date)
+
+
+@query("bi_by_product", sql.with_layers("fact")
+       + f"SELECT p.product_key, p.product_id, p.product_name, t.sales, t.units, t.revenue FROM "
+         f"(SELECT product_key, {_MEASURES} FROM fact GROUP BY product_key) t "
+         f"LEFT JOIN dim_product p ON t.product_key = p.product_key")
+def bi_by_product(spark, root):
+    lay = Layers(spark, root)
+    return analysis.by_key(lay.fact, lay.dim_product, "product_key")
+
+
+@query("bi_by_customer", sql.with_layers("fact")
+       + f"SELECT c.customer_key, c.customer_id, t.sales, t.units, t.revenue FROM "
+         f"(SELECT customer_key, {_MEASURES} FROM fact GROUP BY customer_key) t "
+         f"LEFT JOIN dim_customer c ON t.customer_key = c.customer_key")
+def bi_by_customer(spark, root):
+    lay = Layers(spark, root)
+    return analysis.by_key(lay.fact, lay.dim_customer, "customer_key")
+
+
 @query("bi_by_region", sql.with_layers("fact")
        + f"SELECT f.region_key, r.region_name, {_MEASURES.replace('quantity', 'f.quantity')} FROM fact f "
          "LEFT JOIN dim_region r ON f.region_key = r.region_key GROUP BY f.region_key, r.region_name")
