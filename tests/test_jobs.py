@@ -196,3 +196,22 @@ def test_cleaning_variants_in_the_job(spark, sf001, pipeline, cfg, tmp_path):
     assert jobs.bronze_to_silver(spark, basic)["silver_rows"] == want
     stored = spark.read.parquet(basic.silver_path)
     assert stored.filter(F.col("product_name") == "").count() > 0
+
+
+def test_all_invalid_drop_gives_empty_tables(spark, tmp_path):
+    """Every row fails the rules: the cleaned table and the star are published
+    empty, every gate reads 0, nothing breaks on empty inputs."""
+    from datetime import datetime
+
+    from tessera.schemas import SALES_SCHEMA
+    from tessera.sinks.drops import write_drop
+
+    rows = [(i, None, 1, "p", 1, "r", 0, -1.0, datetime(2024, 1, 1)) for i in range(5)]
+    c = jobs.PipelineConfig(bronze_root=str(tmp_path / "bronze"), silver_path=str(tmp_path / "silver"),
+                            gold_root=str(tmp_path / "gold"))
+    write_drop(spark.createDataFrame(rows, SALES_SCHEMA), c.bronze_root)
+    s = jobs.bronze_to_silver(spark, c)
+    assert s["bronze_rows"] == 5 and s["silver_rows"] == 0 and s["rows_removed"] == 5
+    g = jobs.silver_to_gold(spark, c)
+    assert g["rows"] == {t: 0 for t in g["rows"]}
+    assert spark.read.parquet(c.gold_path("fact_sales")).count() == 0
