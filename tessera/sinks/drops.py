@@ -22,24 +22,32 @@ def drop_path(root: str, now: datetime | None = None) -> str:
             f"{DROP_PREFIX}{now:%Y%m%d_%H%M%S}{DROP_SUFFIX}")
 
 
+# Rows per CSV part file: a drop is read with ``multiLine`` (one task per
+# file), so this bounds the work of one task -- about 100-200 MB of CSV.
+DEFAULT_ROWS_PER_FILE = 1_000_000
+
+
 def write_drop(df: DataFrame, root: str, *, now: datetime | None = None,
-               allow_empty: bool = False, min_files: int | None = None) -> str:
+               allow_empty: bool = False, min_files: int | None = None,
+               max_rows_per_file: int = DEFAULT_ROWS_PER_FILE) -> str:
     """Write ``df`` as one drop and return its path.
 
     The drop is a folder of CSV part files written by the executors in
     parallel (one file per partition), with a header line, UTF-8, and quoting
     that round-trips commas, quotes and newlines.  Values keep their leading
     and trailing spaces (the raw layer must not be cleaned on the way in).
-    A source with fewer partitions than ``min_files`` (default: the cluster's
-    parallelism) is spread first: drops are read with ``multiLine``, one task
-    per file, so the file count is the read parallelism of the next job.
+    Drops are read with ``multiLine``, one task per file, so the file layout
+    is the read parallelism of the next job: a source with fewer partitions
+    than ``min_files`` (default: the cluster's parallelism) is spread first,
+    and no file holds more than ``max_rows_per_file`` rows, so the number of
+    files grows with the data and no reading task grows with it.
     The row count is observed during the write (the source is read once --
     a JDBC source is not queried twice); an empty source raises
     ``EmptySource`` and its empty drop folder is removed, so no run sees it."""
     path = drop_path(root, now)
     seen = Observation()
     out = ensure_parallel(df, min_files).observe(seen, F.count(F.lit(1)).alias("rows"))
-    (out.write.mode("errorifexists")
+    (out.write.mode("errorifexists").option("maxRecordsPerFile", str(max_rows_per_file))
        .option("header", "true").option("encoding", "UTF-8")
        .option("quote", '"').option("escape", '"').option("quoteAll", "false")
        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")

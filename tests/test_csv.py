@@ -134,3 +134,11 @@ def test_single_file_drops_and_folders_mix(spark, tmp_path):
     newest = latest_drop(spark, str(root))
     assert newest.endswith(folder.split("/")[-1])
     assert read_bronze(spark, newest, schema="id int").count() == 2
+
+
+def test_drop_files_are_bounded(spark, tmp_path):
+    df = spark.range(0, 1000, numPartitions=2).selectExpr("cast(id as int) as id")
+    path = write_drop(df, str(tmp_path / "bronze"), min_files=2, max_rows_per_file=100)
+    parts = [f for f in os.listdir(path) if f.endswith(".csv")]
+    assert len(parts) == 10
+    assert read_bronze(spark, path, schema="id int").count() == 1000
