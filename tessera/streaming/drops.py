@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.plans import jobs
+from tessera.schemas import SALES_SCHEMA
 from tessera.sources.files import DROP_PARTITION, DROP_PREFIX, csv_options
 
 
@@ -24,7 +25,8 @@ def drop_stream(spark: SparkSession, cfg: jobs.PipelineConfig, *, max_files_per_
     """Streaming scan of every drop file under ``cfg.bronze_root``, with the
     drop each row came from (``_drop``: the run folder or file name, which
     sorts by its UTC timestamp)."""
-    reader = spark.readStream.options(**csv_options()).schema(cfg.bronze_schema)
+    # A stream cannot infer types: without a configured schema, the sales schema.
+    reader = spark.readStream.options(**csv_options()).schema(cfg.bronze_schema or SALES_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     pattern = f"{cfg.bronze_root.rstrip('/')}/{DROP_PARTITION}=*/{DROP_PREFIX}*"

@@ -45,3 +45,14 @@ def test_default_partitions_are_coalesced_and_ordered(spark):
     base = spark.range(0, 500).select((F.col("id") * 7919 % 500).cast("int").alias("k"))
     got = dense_key(base, "k", "key")
     assert sorted((r["k"], r["key"]) for r in got.collect()) == [(i, i + 1) for i in range(500)]
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.sets(st.integers(-10**9, 10**9), max_size=60), st.integers(1, 12))
+def test_dense_key_property(spark, keys, parts):
+    base = spark.createDataFrame([(k,) for k in keys], "k long")
+    got = {r["k"]: r["key"] for r in dense_key(base, "k", "key", partitions=parts).collect()}
+    assert got == {k: i + 1 for i, k in enumerate(sorted(keys))}
