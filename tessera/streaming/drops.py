@@ -1,46 +1,39 @@
 """New drops → cleaned table, driven by Structured Streaming.
 
 The batch job finds the newest drop by listing the drop folder on each run.
-Here the file source remembers which drop files it has already processed (in
-the query's checkpoint), so each run only sees drops that arrived since the
-last one, and a crashed run resumes where it stopped.  Each micro-batch keeps
-the rows of its newest drop -- a drop is a full snapshot, so older drops in the
-same batch are superseded -- and hands them to the ordinary gated
-``bronze_to_silver`` job, which publishes only if every gate passes.
+Here a file stream over the drop folder is the *arrival signal*: its
+checkpoint remembers which drop files have been seen, so a run does work only
+when something new arrived, and a crashed run resumes where it stopped.
+
+The micro-batch itself is never read.  A batch may hold only part of a drop
+(a drop still being committed, or ``maxFilesPerTrigger``), so each batch looks
+up the newest drop by name and, if it is complete, hands the *whole* drop to
+the ordinary gated ``bronze_to_silver`` job (a drop is a full snapshot, so
+older drops are superseded).  If the newest drop is still being written the
+batch fails, is not committed to the checkpoint, and is retried by the next
+run -- no partial snapshot is ever published.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.plans import jobs
 from tessera.schemas import SALES_SCHEMA
-from tessera.sources.files import DROP_PARTITION, DROP_PREFIX, csv_options
+from tessera.sources.files import (DROP_PARTITION, DROP_PREFIX, csv_options, newest_complete_drop,
+                                  read_bronze)
 
 
 def drop_stream(spark: SparkSession, cfg: jobs.PipelineConfig, *, max_files_per_trigger: int | None = None
                 ) -> DataFrame:
-    """Streaming scan of every drop file under ``cfg.bronze_root``, with the
-    drop each row came from (``_drop``: the run folder or file name, which
-    sorts by its UTC timestamp)."""
+    """Streaming scan of every drop file under ``cfg.bronze_root`` -- the
+    arrival signal (its rows are not read by ``start_silver_stream``)."""
     # A stream cannot infer types: without a configured schema, the sales schema.
     reader = spark.readStream.options(**csv_options()).schema(cfg.bronze_schema or SALES_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    pattern = f"{cfg.bronze_root.rstrip('/')}/{DROP_PARTITION}=*/{DROP_PREFIX}*"
-    raw = reader.csv(pattern)
-    drop = F.regexp_extract(F.col("_metadata.file_path"), rf"/({DROP_PREFIX}[^/]+)", 1)
-    return raw.withColumn("_drop", drop)
-
-
-def newest_drop_rows(batch: DataFrame) -> DataFrame:
-    """Rows of the newest drop in a batch.  The newest name is one value found
-    by a global ``max`` (partial per task), then a filter -- no row moves."""
-    newest = batch.agg(F.max("_drop").alias("_newest"))
-    return (batch.join(F.broadcast(newest), F.col("_drop") == F.col("_newest"))
-                 .drop("_drop", "_newest"))
+    return reader.csv(f"{cfg.bronze_root.rstrip('/')}/{DROP_PARTITION}=*/{DROP_PREFIX}*")
 
 
 def start_silver_stream(spark: SparkSession, cfg: jobs.PipelineConfig, checkpoint: str, *,
@@ -52,9 +45,11 @@ def start_silver_stream(spark: SparkSession, cfg: jobs.PipelineConfig, checkpoin
     ``processing_time`` (e.g. ``"1 hour"``) keeps watching.  ``checkpoint``
     must be a shared folder; it holds the list of processed drop files."""
     def process(batch: DataFrame, epoch: int) -> None:
-        if batch.isEmpty():
-            return
-        report = jobs.bronze_to_silver(batch.sparkSession, cfg, bronze=newest_drop_rows(batch))
+        session = batch.sparkSession
+        newest = newest_complete_drop(session, cfg.bronze_root)
+        bronze = read_bronze(session, newest, schema=cfg.bronze_schema or SALES_SCHEMA)
+        report = jobs.bronze_to_silver(session, cfg, bronze=bronze)
+        report["source"] = newest
         if reports is not None:
             reports.append({"epoch": epoch, **report})
 

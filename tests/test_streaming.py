@@ -1,16 +1,31 @@
-"""Drops processed by Structured Streaming: only new drops, newest wins,
-progress survives a restart."""
+"""Drops processed by Structured Streaming: only new drops, newest wins, a
+drop still being written is retried, progress survives a restart."""
 from datetime import datetime, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.plans import jobs
 from tessera.sinks.drops import write_drop
+from tessera.sources.files import IncompleteDrop, drops
 from tessera.sources.fixture import bronze_from_tables
 from tessera.streaming.drops import start_silver_stream
 
+HEADER = "id,sale_date,product_id,product_name,customer_id,region,quantity,unit_price,created_at\n"
 
-def test_stream_cleans_newest_drop(spark, sf001, tmp_path):
+
+def run(spark, cfg, ckpt, reports):
+    from pyspark.errors import StreamingQueryException
+
+    q = start_silver_stream(spark, cfg, ckpt, reports=reports)
+    try:
+        q.awaitTermination(300)
+    except StreamingQueryException:
+        pass  # inspected through q.exception()
+    return q
+
+
+def test_stream_cleans_newest_complete_drop(spark, sf001, tmp_path):
     cfg = jobs.PipelineConfig(bronze_root=str(tmp_path / "bronze"), silver_path=str(tmp_path / "silver"),
                               gold_root=str(tmp_path / "gold"))
     raw = bronze_from_tables(spark, sf001).withColumn("created_at", F.col("created_at").cast("timestamp"))
@@ -19,19 +34,39 @@ def test_stream_cleans_newest_drop(spark, sf001, tmp_path):
     write_drop(raw, cfg.bronze_root, now=datetime(2024, 1, 2, tzinfo=timezone.utc))
     reports = []
     ckpt = str(tmp_path / "stream-ckpt")
-    q = start_silver_stream(spark, cfg, ckpt, reports=reports)
-    q.awaitTermination(300)
-    assert q.exception() is None
+    assert run(spark, cfg, ckpt, reports).exception() is None
     assert [r["bronze_rows"] for r in reports] == [6000]
     assert spark.read.parquet(cfg.silver_path).count() == 4225
 
     # Nothing new: a second run does nothing.
-    q = start_silver_stream(spark, cfg, ckpt, reports=reports)
-    q.awaitTermination(300)
+    run(spark, cfg, ckpt, reports)
     assert len(reports) == 1
 
     # A new, smaller drop arrives: only it is processed.
     write_drop(old, cfg.bronze_root, now=datetime(2024, 1, 3, tzinfo=timezone.utc))
-    q = start_silver_stream(spark, cfg, ckpt, reports=reports)
-    q.awaitTermination(300)
+    run(spark, cfg, ckpt, reports)
     assert [r["bronze_rows"] for r in reports] == [6000, old.count()]
+
+    # A drop still being written (parts, no _SUCCESS): the run fails and
+    # commits nothing; once the marker appears, the retried run publishes it.
+    folder = tmp_path / "bronze" / "ingestion_date=2024-01-04" / "sales_20240104_000000.csv"
+    folder.mkdir(parents=True)
+    (folder / "part-00000.csv").write_text(HEADER + "1,2024-01-04,1,n,1,EUROPE,2,3.0,2024-01-04 00:00:00\n")
+    assert [d[2] for d in drops(spark, cfg.bronze_root)] == [True, True, True, False]
+    q = run(spark, cfg, ckpt, reports)
+    assert q.exception() is not None and "IncompleteDrop" in str(q.exception())
+    assert spark.read.parquet(cfg.silver_path).count() != 1
+    (folder / "_SUCCESS").write_text("")
+    assert run(spark, cfg, ckpt, reports).exception() is None
+    assert reports[-1]["bronze_rows"] == 1
+    assert spark.read.parquet(cfg.silver_path).count() == 1
+
+
+def test_incomplete_newest_drop_is_reported(spark, tmp_path):
+    from tessera.sources.files import newest_complete_drop
+
+    folder = tmp_path / "ingestion_date=2024-01-01" / "sales_20240101_000000.csv"
+    folder.mkdir(parents=True)
+    (folder / "part-00000.csv").write_text(HEADER)
+    with pytest.raises(IncompleteDrop):
+        newest_complete_drop(spark, str(tmp_path))
