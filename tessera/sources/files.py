@@ -19,6 +19,10 @@ class NoDropFound(FileNotFoundError):
     pass
 
 
+class IncompleteDrop(RuntimeError):
+    """The newest drop is still being written (a folder without ``_SUCCESS``)."""
+
+
 def csv_options(*, multiline: bool = True, enforce_header: bool = False) -> dict:
     """Reader options that read what a standard CSV writer produces.
 
@@ -62,10 +66,12 @@ def list_drops(spark: SparkSession, root: str) -> DataFrame:
                  .load(pattern).select("path", "modificationTime", "length"))
 
 
-def latest_drop(spark: SparkSession, root: str) -> str:
+def latest_drop(spark: SparkSession, root: str, *, require_complete: bool = True) -> str:
     """Path of the newest drop (latest modification time; ties → smallest
     path).  A drop written by Spark is a folder of part files: the newest part
-    names the folder that is returned."""
+    names the folder that is returned, and with ``require_complete`` a folder
+    without its ``_SUCCESS`` marker (still being committed) raises
+    ``IncompleteDrop`` rather than being read half-written."""
     try:
         files = list_drops(spark, root)
         newest = files.orderBy(F.col("modificationTime").desc(), F.col("path")).select("path").first()
@@ -78,7 +84,14 @@ def latest_drop(spark: SparkSession, root: str) -> str:
     path = newest["path"]
     parent = path.rsplit("/", 1)[0]
     # A run folder of part files (``sales_<stamp>.csv/part-*.csv``) is one drop.
-    return parent if parent.rsplit("/", 1)[-1].startswith(DROP_PREFIX) else path
+    if not parent.rsplit("/", 1)[-1].startswith(DROP_PREFIX):
+        return path
+    if require_complete:
+        jvm = spark.sparkContext._jvm
+        marker = jvm.org.apache.hadoop.fs.Path(f"{parent}/_SUCCESS")
+        if not marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker):
+            raise IncompleteDrop(f"{parent} has no _SUCCESS marker yet")
+    return parent
 
 
 def drop_dates(spark: SparkSession, root: str) -> list[str]:
@@ -111,10 +124,6 @@ def read_drops(spark: SparkSession, root: str, *, schema: StructType | None = SA
     return df.withColumn(DROP_PARTITION, date.cast("date"))
 
 
-class IncompleteDrop(RuntimeError):
-    """The newest drop is still being written (a folder without ``_SUCCESS``)."""
-
-
 def drops(spark: SparkSession, root: str) -> list[tuple[str, str, bool]]:
     """``(name, path, complete)`` of every drop, oldest first by name (names
     carry the UTC time of the drop).  A single file is complete (it appears

@@ -142,3 +142,16 @@ def test_drop_files_are_bounded(spark, tmp_path):
     parts = [f for f in os.listdir(path) if f.endswith(".csv")]
     assert len(parts) == 10
     assert read_bronze(spark, path, schema="id int").count() == 1000
+
+
+def test_latest_drop_refuses_a_folder_being_written(spark, tmp_path):
+    from tessera.sources.files import IncompleteDrop
+
+    folder = tmp_path / "ingestion_date=2024-01-01" / "sales_20240101_000000.csv"
+    folder.mkdir(parents=True)
+    (folder / "part-00000.csv").write_text(HEADER)
+    with pytest.raises(IncompleteDrop):
+        latest_drop(spark, str(tmp_path))
+    assert latest_drop(spark, str(tmp_path), require_complete=False).endswith("sales_20240101_000000.csv")
+    (folder / "_SUCCESS").write_text("")
+    assert latest_drop(spark, str(tmp_path)).endswith("sales_20240101_000000.csv")
