@@ -8,9 +8,24 @@ from pyspark.sql import functions as F
 from tessera.functions import date_key, sale_amount
 from tessera.operators.keys import dense_key
 
-# Dimensions up to this many rows are broadcast to the fact join; larger ones
-# go through a shuffle join that AQE can still convert or split for skew.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# A dimension whose estimated in-memory size is within this budget is broadcast
+# to the fact join; a larger one goes through a shuffle join that AQE can still
+# convert (by actual size) or split for skew.
+DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
+# Per-row overhead of a broadcast hash relation (pointers, hash slots).
+_ROW_OVERHEAD_BYTES = 16
+# Spark's default size in bytes per column type (its own size
+# estimate); decimals up to 18 digits are 8 bytes, wider ones 16.
+_TYPE_BYTES = {"byte": 1, "boolean": 1, "short": 2, "integer": 4, "float": 4, "date": 4,
+               "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "string": 20,
+               "binary": 100}
+
+
+def _width(data_type) -> int:
+    name = data_type.typeName()
+    if name == "decimal":
+        return 8 if data_type.precision <= 18 else 16
+    return _TYPE_BYTES.get(name, 64)
 
 
 def dim_date(silver: DataFrame) -> DataFrame:
@@ -44,27 +59,36 @@ def dim_region(silver: DataFrame, *, partitions: int | None = None) -> DataFrame
         .select("region_key", "region_name")
 
 
+def estimated_bytes(df: DataFrame, rows: int) -> int:
+    """In-memory size of ``rows`` rows of ``df``'s columns as a broadcast hash
+    relation: Spark's default width per column type plus a fixed overhead."""
+    width = sum(_width(f.dataType) for f in df.schema.fields) + _ROW_OVERHEAD_BYTES
+    return rows * width
+
+
 def lookup_key(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str, key: str, *,
                dim_rows: int | None = None,
-               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """``fact LEFT JOIN dim ON fact_col = dim_col``, adding ``key``.
 
-    The dimension is broadcast only when its row count (given, or counted --
-    cheap on a stored or checkpointed dimension) is within
-    ``max_broadcast_rows``.  Beyond that the join shuffles on the natural key,
-    and AQE splits a hot key's partition (``spark.sql.adaptive.skewJoin``).
-    A NULL natural key never matches, so it keeps a NULL surrogate key.
+    The dimension is broadcast only when its estimated size -- row count
+    (given, e.g. observed while writing it, or counted: cheap on a stored or
+    checkpointed dimension) times the width of the two columns shipped -- is
+    within ``max_broadcast_bytes``.  Beyond that the join shuffles on the
+    natural key, and AQE splits a hot key's partition
+    (``spark.sql.adaptive.skewJoin``).  A NULL natural key never matches, so
+    it keeps a NULL surrogate key.
     """
     side = dim.select(F.col(dim_col).alias("_nk"), F.col(key))
     rows = dim_rows if dim_rows is not None else dim.count()
-    if rows <= max_broadcast_rows:
+    if estimated_bytes(side, rows) <= max_broadcast_bytes:
         side = F.broadcast(side)
     return fact.join(side, fact[fact_col] == side["_nk"], "left").drop("_nk")
 
 
 def fact_sales(silver: DataFrame, product: DataFrame, customer: DataFrame, region: DataFrame,
                *, dates: DataFrame | None = None, dim_rows: dict | None = None,
-               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """One fact row per cleaned sale, keyed to the four dimensions.
 
     ``date_key`` is a pure function of the date, so by default it is computed,
@@ -77,13 +101,13 @@ def fact_sales(silver: DataFrame, product: DataFrame, customer: DataFrame, regio
         f = f.withColumn("date_key", date_key("sale_date"))
     else:
         f = lookup_key(f, dates, "sale_date", "full_date", "date_key",
-                       dim_rows=rows.get("dim_date"), max_broadcast_rows=max_broadcast_rows)
+                       dim_rows=rows.get("dim_date"), max_broadcast_bytes=max_broadcast_bytes)
     f = lookup_key(f, product, "product_id", "product_id", "product_key",
-                   dim_rows=rows.get("dim_product"), max_broadcast_rows=max_broadcast_rows)
+                   dim_rows=rows.get("dim_product"), max_broadcast_bytes=max_broadcast_bytes)
     f = lookup_key(f, customer, "customer_id", "customer_id", "customer_key",
-                   dim_rows=rows.get("dim_customer"), max_broadcast_rows=max_broadcast_rows)
+                   dim_rows=rows.get("dim_customer"), max_broadcast_bytes=max_broadcast_bytes)
     f = lookup_key(f, region, "region", "region_name", "region_key",
-                   dim_rows=rows.get("dim_region"), max_broadcast_rows=max_broadcast_rows)
+                   dim_rows=rows.get("dim_region"), max_broadcast_bytes=max_broadcast_bytes)
     return f.select(
         F.col("id").alias("sale_id"), "date_key", "product_key", "customer_key", "region_key",
         "quantity", "unit_price", sale_amount("quantity", "unit_price").alias("total_amount"),

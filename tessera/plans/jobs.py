@@ -42,7 +42,7 @@ class PipelineConfig:
     variant: str = "standard"              # "basic": only a missing id drops a row, blanks stay
     expected_rows: int | None = None       # exact raw row count the newest drop must hold
     key_partitions: int | None = None      # range partitions for surrogate keys
-    max_broadcast_rows: int = star.DEFAULT_BROADCAST_ROWS
+    max_broadcast_bytes: int = star.DEFAULT_BROADCAST_BYTES
     null_amount_gate: bool = False         # also fail on a NULL total_amount
     bi: JdbcConfig | None = None
     bi_batch_size: int = 5000
@@ -193,7 +193,7 @@ def build_star(silver: DataFrame, cfg: PipelineConfig, staged: dict[str, str]) -
     fact = star.fact_sales(silver.observe(seen, F.count(F.lit(1)).alias("silver_rows")),
                            stored["dim_product"], stored["dim_customer"], stored["dim_region"],
                            dim_rows={t: m["rows"] for t, m in metrics.items() if t.startswith("dim_")},
-                           max_broadcast_rows=cfg.max_broadcast_rows)
+                           max_broadcast_bytes=cfg.max_broadcast_bytes)
     checks = ([quality.null_key(k) for k in quality.FACT_KEY_COLUMNS]
               + [quality.negative_amount(), quality.null_amount()])
     metrics["fact_sales"] = sink.write_table(

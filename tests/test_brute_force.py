@@ -52,7 +52,7 @@ def test_shuffle_join_path_with_hot_key(spark, lay):
     skewed = silver.withColumn(
         "customer_id", F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.col("customer_id")))
     dims = (star.dim_product(skewed), star.dim_customer(skewed), star.dim_region(skewed))
-    shuffled = star.fact_sales(skewed, *dims, max_broadcast_rows=0)
+    shuffled = star.fact_sales(skewed, *dims, max_broadcast_bytes=0)
     broadcast = star.fact_sales(skewed, *dims)
     plan = shuffled._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastExchange" not in plan or "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
@@ -60,3 +60,14 @@ def test_shuffle_join_path_with_hot_key(spark, lay):
     assert shuffled.exceptAll(broadcast).count() == 0 and broadcast.exceptAll(shuffled).count() == 0
     n_hot = skewed.filter(F.col("customer_id") == hot).count()
     assert n_hot >= skewed.count() // 3
+
+
+def test_broadcast_budget(spark, lay):
+    """The size check decides the join strategy: a budget below the dimension's
+    estimated size means no broadcast hint (the planner then sizes the join)."""
+    side = lay.dim_customer.select(F.col("customer_id").alias("_nk"), "customer_key")
+    rows = lay.dim_customer.count()
+    assert star.estimated_bytes(side, rows) == rows * (4 + 4 + 16)
+    hinted = star.lookup_key(lay.stored_silver, lay.dim_customer, "customer_id", "customer_id",
+                             "customer_key", dim_rows=rows)
+    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
