@@ -56,19 +56,19 @@ class Layers:
     def dim_region(self) -> DataFrame:
         return star.dim_region(self.stored_silver, partitions=self.key_partitions)
 
-    def build_keyed_dimensions(self) -> None:
+    def build_keyed_dimensions(self) -> dict[str, int]:
         """Materialise the cleaned layer once, then build the three keyed
-        dimensions (each a checkpoint job) concurrently."""
+        dimensions (each a checkpoint job) and count their rows (for the
+        broadcast size check), all concurrently."""
         self.stored_silver
-        run_concurrently(self.spark, {name: (lambda n=name: getattr(self, n))
-                                      for name in ("dim_product", "dim_customer", "dim_region")
-                                      if name not in self.__dict__})
+        names = ("dim_product", "dim_customer", "dim_region")
+        return run_concurrently(self.spark, {n: (lambda n=n: getattr(self, n).count()) for n in names})
 
     @cached_property
     def fact(self) -> DataFrame:
-        self.build_keyed_dimensions()
+        rows = self.build_keyed_dimensions()
         return star.fact_sales(self.stored_silver, self.dim_product, self.dim_customer,
-                               self.dim_region)
+                               self.dim_region, dim_rows=rows)
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, "fact" if name == "fact_sales" else name)
