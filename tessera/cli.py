@@ -34,7 +34,7 @@ def _config(args) -> jobs.PipelineConfig:
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="tessera")
     p.add_argument("command", choices=["ingest", "validate-drop", "silver", "gold", "bi", "validate",
-                                       "diagnose", "inspect", "pipeline"])
+                                       "diagnose", "inspect", "pipeline", "stream"])
     p.add_argument("--bronze", required=True, help="folder of raw drops")
     p.add_argument("--silver", default="", help="cleaned table path")
     p.add_argument("--gold", default="", help="folder of the star tables")
@@ -47,6 +47,11 @@ def main(argv=None) -> int:
     p.add_argument("--sort-drop", action="store_true",
                    help="write the drop in id order (a range-partitioned sort of the whole source)")
     p.add_argument("--with-bi", action="store_true", help="load the BI database (BI_DB_* variables)")
+    p.add_argument("--stream-checkpoint", default="",
+                   help="stream: shared folder for the stream's progress (required)")
+    p.add_argument("--every", default=None,
+                   help="stream: keep watching, one trigger per interval (e.g. '1 hour'); "
+                        "default: process what has arrived and stop")
     args = p.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
 
@@ -71,6 +76,16 @@ def main(argv=None) -> int:
             out = jobs.diagnose_mapping(spark, cfg)
         elif args.command == "inspect":
             out = jobs.inspect_gold(spark, cfg)
+        elif args.command == "stream":
+            from tessera.streaming.drops import start_silver_stream
+
+            if not args.stream_checkpoint:
+                raise ValueError("--stream-checkpoint is required")
+            reports: list = []
+            q = start_silver_stream(spark, cfg, args.stream_checkpoint, processing_time=args.every,
+                                    reports=reports)
+            q.awaitTermination()
+            out = {"batches": reports}
         else:
             out = jobs.run_pipeline(spark, cfg)
         print(json.dumps(out, default=str, indent=2))

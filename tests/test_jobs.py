@@ -215,3 +215,12 @@ def test_all_invalid_drop_gives_empty_tables(spark, tmp_path):
     g = jobs.silver_to_gold(spark, c)
     assert g["rows"] == {t: 0 for t in g["rows"]}
     assert spark.read.parquet(c.gold_path("fact_sales")).count() == 0
+
+
+def test_cli_stream(spark, pipeline, cfg, tmp_path, capsys):
+    from tessera import cli
+
+    base = ["--bronze", cfg.bronze_root, "--silver", str(tmp_path / "silver"), "--gold", str(tmp_path / "gold")]
+    assert cli.main(["stream", *base]) == 1          # no checkpoint folder given
+    assert cli.main(["stream", *base, "--stream-checkpoint", str(tmp_path / "ck")]) == 0
+    assert spark.read.parquet(str(tmp_path / "silver")).count() == 4225
