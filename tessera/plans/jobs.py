@@ -38,6 +38,7 @@ class PipelineConfig:
     gold_root: str
     table_format: str = "parquet"          # "delta" when its jar is on the classpath
     bronze_schema: StructType | None = SALES_SCHEMA   # None = infer types (extra pass)
+    enforce_header: bool = False           # fail when a drop's header differs from the schema
     strict_reference_order: bool = False   # de-duplicate before filtering
     variant: str = "standard"              # "basic": only a missing id drops a row, blanks stay
     expected_rows: int | None = None       # exact raw row count the newest drop must hold
@@ -90,27 +91,9 @@ SILVER_ROW_GATES = ("invalid_quantity", "invalid_price")
 SILVER_KEY_GATES = ("duplicate_ids", "inconsistent_products")
 
 
-def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, *, bronze: DataFrame | None = None) -> dict:
-    """Newest drop → cleaned table.  One pass reads, cleans, writes and counts;
-    one more job checks keys on the written files.
-
-    Counts observed in the write's final stage (rows written, violations) are
-    exact.  ``bronze_rows`` is observed before the shuffle: exact unless a map
-    stage is re-run after an executor loss, when it can only over-count; it is
-    a report, and the exact-row-count gate re-counts before failing."""
-    source = None
-    if bronze is None:
-        source = latest_drop(spark, cfg.bronze_root)
-        bronze = read_bronze(spark, source, schema=cfg.bronze_schema)
-    seen = Observation()
-    observed = bronze.observe(seen, F.count(F.lit(1)).alias("bronze_rows"))
-    if cfg.variant == "basic":
-        silver = cleaning.build_silver_basic(observed)
-    elif cfg.variant == "standard":
-        silver = cleaning.build_silver(observed, strict_reference_order=cfg.strict_reference_order)
-    else:
-        raise ValueError(f"unknown cleaning variant {cfg.variant!r}")
-    staged = sink.staging_path(cfg.silver_path, uuid.uuid4().hex[:12])
+def _stage_silver(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame, silver: DataFrame,
+                  seen: Observation, staged: str, source: str | None) -> dict:
+    """Write the cleaned table to ``staged`` and run every gate on it."""
     written = sink.write_table(silver, staged, table_format=cfg.table_format,
                                metrics=[F.count_if(c.violates).alias(c.name)
                                         for c in (quality.invalid_quantity(), quality.invalid_price())])
@@ -133,13 +116,38 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, *, bronze: DataFr
             report["rows_removed"] = bronze_rows - written["rows"]
         report["row_count_mismatch"] = abs(bronze_rows - cfg.expected_rows)
         gates.append("row_count_mismatch")
+    quality.enforce(report, gates)
+    return report
+
+
+def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, *, bronze: DataFrame | None = None) -> dict:
+    """Newest drop → cleaned table.  One pass reads, cleans, writes and counts;
+    one more job checks keys on the written files.
+
+    Counts observed in the write's final stage (rows written, violations) are
+    exact.  ``bronze_rows`` is observed before the shuffle: exact unless a map
+    stage is re-run after an executor loss, when it can only over-count; it is
+    a report, and the exact-row-count gate re-counts before failing."""
+    source = None
+    if bronze is None:
+        source = latest_drop(spark, cfg.bronze_root)
+        bronze = read_bronze(spark, source, schema=cfg.bronze_schema, enforce_header=cfg.enforce_header)
+    seen = Observation()
+    observed = bronze.observe(seen, F.count(F.lit(1)).alias("bronze_rows"))
+    if cfg.variant == "basic":
+        silver = cleaning.build_silver_basic(observed)
+    elif cfg.variant == "standard":
+        silver = cleaning.build_silver(observed, strict_reference_order=cfg.strict_reference_order)
+    else:
+        raise ValueError(f"unknown cleaning variant {cfg.variant!r}")
+    staged = sink.staging_path(cfg.silver_path, uuid.uuid4().hex[:12])
     try:
-        quality.enforce(report, gates)
-    except quality.GateFailure:
-        sink.discard(spark, staged)
+        report = _stage_silver(spark, cfg, bronze, silver, seen, staged, source)
+    except Exception:
+        sink.discard(spark, staged)  # a failed write or gate leaves nothing behind
         raise
     sink.publish(spark, staged, cfg.silver_path)
-    sink.verify_table(spark, cfg.silver_path, written["rows"], table_format=cfg.table_format,
+    sink.verify_table(spark, cfg.silver_path, report["silver_rows"], table_format=cfg.table_format,
                       schema=silver.schema)
     sink.verify_commit(spark, cfg.silver_path, table_format=cfg.table_format)
     return report

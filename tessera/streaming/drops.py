@@ -47,7 +47,8 @@ def start_silver_stream(spark: SparkSession, cfg: jobs.PipelineConfig, checkpoin
     def process(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
         newest = newest_complete_drop(session, cfg.bronze_root)
-        bronze = read_bronze(session, newest, schema=cfg.bronze_schema or SALES_SCHEMA)
+        bronze = read_bronze(session, newest, schema=cfg.bronze_schema or SALES_SCHEMA,
+                             enforce_header=cfg.enforce_header)
         report = jobs.bronze_to_silver(session, cfg, bronze=bronze)
         report["source"] = newest
         if reports is not None:

@@ -224,3 +224,18 @@ def test_cli_stream(spark, pipeline, cfg, tmp_path, capsys):
     assert cli.main(["stream", *base]) == 1          # no checkpoint folder given
     assert cli.main(["stream", *base, "--stream-checkpoint", str(tmp_path / "ck")]) == 0
     assert spark.read.parquet(str(tmp_path / "silver")).count() == 4225
+
+
+def test_enforced_header_stops_a_swapped_drop(spark, tmp_path):
+    day = tmp_path / "bronze" / "ingestion_date=2024-01-01"
+    day.mkdir(parents=True)
+    (day / "sales_20240101_000000.csv").write_text(
+        "sale_date,id,product_id,product_name,customer_id,region,quantity,unit_price,created_at\n"
+        "2024-01-01,1,1,n,1,r,1,1.0,2024-01-01 00:00:00\n")
+    c = jobs.PipelineConfig(bronze_root=str(tmp_path / "bronze"), silver_path=str(tmp_path / "silver"),
+                            gold_root=str(tmp_path / "gold"), enforce_header=True)
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        jobs.bronze_to_silver(spark, c)
+    assert not sink.path_exists(spark, c.silver_path)
+    import os
+    assert [n for n in os.listdir(tmp_path) if "__staging_" in n] == []
