@@ -68,3 +68,19 @@ def test_part_brand_mapping(spark, sf001):
     part = load(spark, sf001, "part")
     assert quality.inconsistent_mappings(part, "p_name", "p_brand").first()[0] == 50
     assert quality.mapping_report_max(part, "p_name", "p_brand").first()[0] == 7
+
+
+def test_star_numbers_at_sf001(spark):
+    """FIXTURES.md §4, sf0.01 column."""
+    lay = Layers(spark, "/root/testdata/sf0.01")
+    assert lay.silver.count() == 44_581
+    f = lay.fact.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("date_key").alias("date_key"), F.sum("product_key").alias("product_key"),
+        F.sum("customer_key").alias("customer_key"), F.sum("region_key").alias("region_key"),
+        F.sum("total_amount").alias("amount"), F.sum("quantity").alias("qty")).first().asDict()
+    assert f == {"rows": 44_581, "date_key": 890_855_288_259, "product_key": 44_630_030,
+                 "customer_key": 33_586_997, "region_key": 140_375,
+                 "amount": Decimal("59891590614.44"), "qty": 1_129_054}
+    africa = [r for r in analysis.by_region(lay.fact, lay.dim_region).collect() if r["region_name"] == "AFRICA"]
+    assert africa[0]["revenue"] == Decimal("11033116400.44") and africa[0]["sales"] == 8_272
