@@ -34,7 +34,8 @@ def _config(args) -> jobs.PipelineConfig:
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="tessera")
     p.add_argument("command", choices=["ingest", "validate-drop", "silver", "gold", "bi", "validate",
-                                       "diagnose", "inspect", "pipeline", "stream"])
+                                       "diagnose", "inspect", "pipeline", "stream", "storage-check",
+                                       "bi-check"])
     p.add_argument("--bronze", required=True, help="folder of raw drops")
     p.add_argument("--silver", default="", help="cleaned table path")
     p.add_argument("--gold", default="", help="folder of the star tables")
@@ -76,6 +77,11 @@ def main(argv=None) -> int:
             out = jobs.diagnose_mapping(spark, cfg)
         elif args.command == "inspect":
             out = jobs.inspect_gold(spark, cfg)
+        elif args.command == "storage-check":
+            out = jobs.storage_check(spark, f"{args.gold.rstrip('/')}/_storage_check", table_format=args.format)
+        elif args.command == "bi-check":
+            out = jobs.bi_check(spark, postgres_from_env(prefix=BI_ENV_PREFIX),
+                                identity_sql="SELECT current_database() AS db, current_user AS usr")
         elif args.command == "stream":
             from tessera.streaming.drops import start_silver_stream
 

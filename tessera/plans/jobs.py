@@ -318,3 +318,33 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig, *, source: DataFrame
     if cfg.bi is not None:
         report["bi"] = gold_to_bi(spark, cfg)
     return report
+
+
+# ---------------------------------------------------------- health checks ---
+
+# The three rows of the storage round trip.
+ROUND_TRIP_ROWS = [(1, "Bronze"), (2, "Silver"), (3, "Gold")]
+
+
+def storage_check(spark: SparkSession, path: str, *, table_format: str = "parquet") -> dict:
+    """Write three known rows to ``path`` (schema fixed), read them back, and
+    check the count and the commit marker -- the storage round trip a
+    deployment runs before trusting a new bucket or table format."""
+    rows = spark.createDataFrame(ROUND_TRIP_ROWS, "id long, layer string")
+    written = sink.write_table(rows, path, table_format=table_format, replace_schema=False)
+    stored = sink.verify_table(spark, path, len(ROUND_TRIP_ROWS), table_format=table_format,
+                               schema=written["schema"])
+    sink.verify_commit(spark, path, table_format=table_format)
+    return {"path": path, "written": written["rows"], "read_back": stored}
+
+
+def bi_check(spark: SparkSession, cfg: JdbcConfig, *, identity_sql: str | None = None) -> dict:
+    """The BI database answers: the probe query runs, and optionally an
+    identity query (PostgreSQL: ``SELECT current_database() AS db,
+    current_user AS usr``) whose single row is returned."""
+    probe(spark, cfg)
+    out: dict = {"reachable": True}
+    if identity_sql:
+        from tessera.sources.jdbc import jdbc_query
+        out.update(jdbc_query(spark, cfg, identity_sql).first().asDict())
+    return out

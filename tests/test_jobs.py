@@ -103,12 +103,10 @@ def test_silver_gate_failure_on_wrong_expected_rows(spark, pipeline, cfg, tmp_pa
 
 
 def test_storage_round_trip(spark, tmp_path):
-    rows = spark.createDataFrame([(1, "Bronze"), (2, "Silver"), (3, "Gold")], "id long, layer string")
     path = str(tmp_path / "roundtrip")
-    written = sink.write_table(rows, path, replace_schema=False)
-    assert written["rows"] == 3
-    assert sink.verify_table(spark, path, 3) == 3 and sink.verify_commit(spark, path)
-    sink.write_table(rows, path, replace_schema=False)      # same schema: allowed
+    assert jobs.storage_check(spark, path) == {"path": path, "written": 3, "read_back": 3}
+    assert jobs.storage_check(spark, path)["read_back"] == 3     # same schema: overwrite allowed
+    rows = spark.createDataFrame(jobs.ROUND_TRIP_ROWS, "id long, layer string")
     with pytest.raises(Exception):
         sink.write_table(rows.withColumn("extra", F.lit(1)), path, replace_schema=False)
     sink.write_table(rows.withColumn("extra", F.lit(1)), path, replace_schema=True)
@@ -117,6 +115,12 @@ def test_storage_round_trip(spark, tmp_path):
         sink.verify_table(spark, path, 4)
 
 
+def test_bi_check(spark):
+    db = derby()
+    got = jobs.bi_check(spark, db, identity_sql="SELECT CURRENT_USER AS usr FROM SYSIBM.SYSDUMMY1")
+    assert got["reachable"] is True and "USR" in got
+
+
 def test_jdbc_extract_is_partitioned(spark, sf001):
     db = derby()
     assert probe(spark, db)
