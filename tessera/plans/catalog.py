@@ -8,6 +8,7 @@ is the feature.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,10 @@ from pyspark.sql import functions as F
 from tessera.operators import analysis, cleaning, quality, star
 from tessera.plans import oracle as sql
 from tessera.plans.layers import Layers
-from tessera.schemas import SALES_COLUMNS
+from tessera.schemas import SALES_COLUMNS, sales_schema
+from tessera.session import checkpoint_dir
+from tessera.sinks.drops import write_drop
+from tessera.sources.files import read_bronze
 from tessera.sources.tables import load
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -51,13 +55,8 @@ def source_extract(spark, root):
 
 @query("bronze_scan", sql.with_layers("bronze") + f"SELECT {sql.COLS} FROM bronze")
 def bronze_scan(spark, root):
-    """Raw feed written as a CSV drop, then read back with the explicit schema."""
-    from tessera.sinks.drops import write_drop
-    from tessera.sources.files import read_bronze
-    from tessera.schemas import sales_schema
-    from tessera.session import checkpoint_dir
-    import uuid
-
+    """Raw feed written as a CSV drop (into the shared checkpoint folder), then
+    read back with the explicit schema."""
     drop_root = f"{checkpoint_dir(spark).rstrip('/')}/bronze-drops-{uuid.uuid4().hex}"
     path = write_drop(Layers(spark, root).bronze, drop_root)
     return read_bronze(spark, path, schema=sales_schema(timestamp_ntz=True))
