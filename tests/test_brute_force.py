@@ -71,3 +71,35 @@ def test_broadcast_budget(spark, lay):
     hinted = star.lookup_key(lay.stored_silver, lay.dim_customer, "customer_id", "customer_id",
                              "customer_key", dim_rows=rows)
     assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_customer_is_split_by_aqe_when_not_broadcast(spark):
+    """sf0.1 with a third of all sales moved onto one customer and broadcasting
+    off: the fact's customer join runs as a sort-merge join whose hot
+    partition AQE splits (``skew=true``), and no row is lost."""
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    saved = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        silver = Layers(spark, "/root/testdata/sf0.1").stored_silver
+        hot = silver.agg(F.min("customer_id")).first()[0]
+        skewed = silver.withColumn(
+            "customer_id", F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.col("customer_id")))
+        dims = (star.dim_product(skewed), star.dim_customer(skewed), star.dim_region(skewed))
+        fact = star.fact_sales(skewed, *dims, max_broadcast_bytes=0)
+        keys = fact.select("sale_id", "customer_key")
+        rows = keys.collect()
+        plan = keys._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true) [customer_id" in plan
+        assert len(rows) == skewed.count() and all(r["customer_key"] is not None for r in rows)
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
