@@ -1,7 +1,7 @@
 """Command line for ``spark-submit``: one sub-command per job.
 
-    spark-submit -m tessera.cli silver --bronze s3a://lake/bronze/sales \\
-        --silver s3a://lake/silver/sales --gold s3a://lake/gold
+    spark-submit --py-files tessera.zip tessera/cli.py silver \\
+        --bronze s3a://lake/bronze/sales --silver s3a://lake/silver/sales --gold s3a://lake/gold
 
 The session comes from ``spark-submit`` (cluster, memory, object-store and
 checkpoint settings); the command only adds the job's paths.  Exit code is

@@ -243,3 +243,21 @@ def test_enforced_header_stops_a_swapped_drop(spark, tmp_path):
     assert not sink.path_exists(spark, c.silver_path)
     import os
     assert [n for n in os.listdir(tmp_path) if "__staging_" in n] == []
+
+
+def test_bi_reconcile_reports_every_difference():
+    from tessera.sinks.bi import reconcile_counts
+
+    assert reconcile_counts({"a": 1, "b": 2}, {"a": 1, "b": 2}) == {}
+    assert reconcile_counts({"a": 1, "b": 2, "c": 3}, {"a": 1, "b": 5}) == {"b": (2, 5), "c": (3, -1)}
+
+
+def test_bi_load_detects_a_short_table(spark, monkeypatch):
+    """If the database holds fewer rows than were written, the load fails."""
+    from tessera.sinks import bi
+
+    db = derby()
+    df = spark.createDataFrame([(1,), (2,)], "x int")
+    monkeypatch.setattr(bi, "table_count", lambda spark, cfg, table: 1)
+    with pytest.raises(bi.BIMismatch, match="t"):
+        bi.load_star(spark, {"t": df}, db, {"t": 2})
