@@ -261,3 +261,13 @@ def test_bi_load_detects_a_short_table(spark, monkeypatch):
     monkeypatch.setattr(bi, "table_count", lambda spark, cfg, table: 1)
     with pytest.raises(bi.BIMismatch, match="t"):
         bi.load_star(spark, {"t": df}, db, {"t": 2})
+
+
+def test_s3a_settings_with_own_names():
+    from tessera.sources.s3a import MissingSettings, s3a_conf
+
+    names = {"endpoint": "STORE_URL", "access_key": "STORE_KEY", "secret_key": "STORE_SECRET"}
+    conf = s3a_conf({"STORE_URL": "http://s:9000", "STORE_KEY": "k", "STORE_SECRET": "x"}, names=names)
+    assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://s:9000"
+    with pytest.raises(MissingSettings, match="STORE_KEY, STORE_SECRET"):
+        s3a_conf({"STORE_URL": "u"}, names=names)
