@@ -5,7 +5,8 @@ row into a single partition.  Here the distinct keys are range-partitioned
 (Spark samples the bounds), sorted inside each partition, and numbered with
 ``monotonically_increasing_id`` (partition id in the upper 31 bits, position in
 the lower 33).  The per-partition sizes form a table with one row per range
-partition -- a number we choose, not one that grows with the data -- whose
+partition -- at most the shuffle partition count, not a number that grows
+with the data -- whose
 running sum gives each partition's offset.
 
 The numbered keys are checkpointed into the cluster's checkpoint folder before
@@ -61,6 +62,6 @@ def dense_key(df: DataFrame, key: str, out: str, *, partitions: int | None = Non
 
 def dense_key_single_task(df: DataFrame, key: str, out: str) -> DataFrame:
     """The textbook form, one global window: fine for a few thousand keys, kept
-    as the baseline the bench and the tests compare against."""
+    as the reference form the tests compare against."""
     return df.withColumn(out, F.row_number().over(Window.orderBy(F.col(key).asc_nulls_first()))
                          .cast("int"))
