@@ -6,8 +6,7 @@ row into a single partition.  Here the distinct keys are range-partitioned
 ``monotonically_increasing_id`` (partition id in the upper 31 bits, position in
 the lower 33).  The per-partition sizes form a table with one row per range
 partition -- at most the shuffle partition count, not a number that grows
-with the data -- whose
-running sum gives each partition's offset.
+with the data -- whose running sum gives each partition's offset.
 
 The numbered keys are checkpointed into the cluster's checkpoint folder before
 the offsets are taken, so a recomputed task can never renumber a key.
