@@ -36,14 +36,25 @@ def drop_stream(spark: SparkSession, cfg: jobs.PipelineConfig, *, max_files_per_
     return reader.csv(f"{cfg.bronze_root.rstrip('/')}/{DROP_PARTITION}=*/{DROP_PREFIX}*")
 
 
+STEPS = ("silver", "gold", "bi")
+
+
 def start_silver_stream(spark: SparkSession, cfg: jobs.PipelineConfig, checkpoint: str, *,
                         available_now: bool = True, processing_time: str | None = None,
-                        reports: list | None = None) -> StreamingQuery:
+                        reports: list | None = None, steps: tuple[str, ...] = ("silver",)
+                        ) -> StreamingQuery:
     """Start the drop → cleaned-table stream.
 
     ``available_now`` processes what is there and stops (a scheduled run);
     ``processing_time`` (e.g. ``"1 hour"``) keeps watching.  ``checkpoint``
-    must be a shared folder; it holds the list of processed drop files."""
+    must be a shared folder; it holds the list of processed drop files.
+    ``steps`` extends each run down the chain: ``("silver", "gold")`` rebuilds
+    the star after the cleaned table, ``("silver", "gold", "bi")`` also loads
+    the BI database -- in order, stopping at the first failure."""
+    unknown = [s for s in steps if s not in STEPS]
+    if unknown or not steps or steps[0] != "silver":
+        raise ValueError(f"steps must start with 'silver' and use {STEPS}: {steps}")
+
     def process(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
         newest = newest_complete_drop(session, cfg.bronze_root)
@@ -51,6 +62,10 @@ def start_silver_stream(spark: SparkSession, cfg: jobs.PipelineConfig, checkpoin
                              enforce_header=cfg.enforce_header)
         report = jobs.bronze_to_silver(session, cfg, bronze=bronze)
         report["source"] = newest
+        if "gold" in steps:
+            report["gold"] = jobs.silver_to_gold(session, cfg)
+        if "bi" in steps:
+            report["bi"] = jobs.gold_to_bi(session, cfg)
         if reports is not None:
             reports.append({"epoch": epoch, **report})
 

@@ -70,3 +70,15 @@ def test_incomplete_newest_drop_is_reported(spark, tmp_path):
     (folder / "part-00000.csv").write_text(HEADER)
     with pytest.raises(IncompleteDrop):
         newest_complete_drop(spark, str(tmp_path))
+
+
+def test_stream_runs_the_chain(spark, sf001, tmp_path):
+    cfg = jobs.PipelineConfig(bronze_root=str(tmp_path / "bronze"), silver_path=str(tmp_path / "silver"),
+                              gold_root=str(tmp_path / "gold"))
+    write_drop(bronze_from_tables(spark, sf001), cfg.bronze_root)
+    reports = []
+    q = start_silver_stream(spark, cfg, str(tmp_path / "ck"), reports=reports, steps=("silver", "gold"))
+    q.awaitTermination(300)
+    assert reports[0]["gold"]["rows"]["fact_sales"] == 4225
+    with pytest.raises(ValueError):
+        start_silver_stream(spark, cfg, str(tmp_path / "ck2"), steps=("gold",))
