@@ -50,6 +50,8 @@ def main(argv=None) -> int:
     p.add_argument("--with-bi", action="store_true", help="load the BI database (BI_DB_* variables)")
     p.add_argument("--stream-checkpoint", default="",
                    help="stream: shared folder for the stream's progress (required)")
+    p.add_argument("--steps", default="silver",
+                   help="stream: comma-separated chain run per new drop (silver[,gold[,bi]])")
     p.add_argument("--every", default=None,
                    help="stream: keep watching, one trigger per interval (e.g. '1 hour'); "
                         "default: process what has arrived and stop")
@@ -89,7 +91,7 @@ def main(argv=None) -> int:
                 raise ValueError("--stream-checkpoint is required")
             reports: list = []
             q = start_silver_stream(spark, cfg, args.stream_checkpoint, processing_time=args.every,
-                                    reports=reports)
+                                    reports=reports, steps=tuple(args.steps.split(",")))
             q.awaitTermination()
             out = {"batches": reports}
         else:
