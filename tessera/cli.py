@@ -26,7 +26,7 @@ def _config(args) -> jobs.PipelineConfig:
                               table_format=args.format, expected_rows=args.expected_rows,
                               strict_reference_order=args.strict_order, variant=args.variant,
                               key_partitions=args.key_partitions)
-    if args.command in ("bi", "pipeline") and args.with_bi:
+    if args.command in ("bi", "pipeline", "stream") and args.with_bi:
         cfg.bi = postgres_from_env(prefix=BI_ENV_PREFIX)
     return cfg
 
