@@ -116,6 +116,7 @@ def _stage_silver(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame, s
             report["rows_removed"] = bronze_rows - written["rows"]
         report["row_count_mismatch"] = abs(bronze_rows - cfg.expected_rows)
         gates.append("row_count_mismatch")
+    log.info("cleaned layer gates: %s", {g: report[g] for g in gates})
     quality.enforce(report, gates)
     return report
 
@@ -141,6 +142,7 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, *, bronze: DataFr
     else:
         raise ValueError(f"unknown cleaning variant {cfg.variant!r}")
     staged = sink.staging_path(cfg.silver_path, uuid.uuid4().hex[:12])
+    log.info("cleaned layer: reading %s", source or "given raw rows")
     try:
         report = _stage_silver(spark, cfg, bronze, silver, seen, staged, source)
     except Exception:
@@ -150,6 +152,7 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, *, bronze: DataFr
     sink.verify_table(spark, cfg.silver_path, report["silver_rows"], table_format=cfg.table_format,
                       schema=silver.schema)
     sink.verify_commit(spark, cfg.silver_path, table_format=cfg.table_format)
+    log.info("cleaned layer published: %s raw rows -> %s rows", report["bronze_rows"], report["silver_rows"])
     return report
 
 
@@ -239,7 +242,9 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict:
         }
         report["null_amount"] = fm["null_amount"]
         gates = ["inconsistent_products", "grain_difference", *FACT_ROW_GATES, "duplicate_sale_ids"]
-        quality.enforce(report, gates + (["null_amount"] if cfg.null_amount_gate else []))
+        gates += ["null_amount"] if cfg.null_amount_gate else []
+        log.info("star gates: %s", {g: report[g] for g in gates})
+        quality.enforce(report, gates)
     except Exception:
         for p in staged.values():
             sink.discard(spark, p)
@@ -255,6 +260,7 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict:
                                  schema=schemas[t])
 
     run_concurrently(spark, {t: (lambda t=t: verify(t)) for t in STAR_TABLES})
+    log.info("star published: %s", report["rows"])
     return report
 
 
