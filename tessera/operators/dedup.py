@@ -15,9 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def desc(c: str | Column) -> Column:
-    """Rank term: larger value wins; NULL loses (``DESC NULLS LAST``)."""
-    return F.col(c) if isinstance(c, str) else c
+def desc(c: str | Column) -> str | Column:
+    """Rank term: larger value wins; NULL loses (``DESC NULLS LAST``).  A
+    column name stays a name, so ``keep_best`` can reuse its value instead of
+    carrying the column twice."""
+    return c
 
 
 def asc(c: str | Column) -> Column:
@@ -27,18 +29,26 @@ def asc(c: str | Column) -> Column:
     return -(c.cast("long"))
 
 
-def keep_best(df: DataFrame, key: str | Sequence[str], rank_by: Sequence[Column]) -> DataFrame:
+def keep_best(df: DataFrame, key: str | Sequence[str], rank_by: Sequence[str | Column]) -> DataFrame:
     """One row per ``key``: the row with the largest ``rank_by`` tuple.
 
-    Terms compare left to right; a NULL term ranks below any value.  All other
-    columns follow as descending tie-breaks, so two rows only tie when they are
-    equal, and the result does not depend on input order or partitioning.
-    A NULL key forms one group of its own, as ``dropDuplicates`` does.
+    Terms compare left to right; a NULL term ranks below any value.  A term
+    given as a column name (``desc("created_at")``) ranks that column
+    descending and is not repeated in the payload.  All other columns follow
+    as descending tie-breaks, so two rows only tie when they are equal, and
+    the result does not depend on input order or partitioning.  A NULL key
+    forms one group of its own, as ``dropDuplicates`` does.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in df.columns if c not in keys]
-    order = [t.alias(f"_rank{i}") for i, t in enumerate(rank_by)]
-    best = F.max(F.struct(*order, *[F.col(c) for c in rest])).alias("_best")
-    return (df.groupBy(*keys).agg(best)
-              .select(*keys, *[F.col("_best").getField(c).alias(c) for c in rest])
-              .select(*df.columns))
+    terms, reused = [], {}
+    for i, t in enumerate(rank_by):
+        name = f"_rank{i}"
+        if isinstance(t, str):
+            terms.append(F.col(t).alias(name))
+            reused.setdefault(t, name)
+        else:
+            terms.append(t.alias(name))
+    rest = [c for c in df.columns if c not in keys and c not in reused]
+    best = F.max(F.struct(*terms, *[F.col(c) for c in rest])).alias("_best")
+    picked = [F.col("_best").getField(reused.get(c, c)).alias(c) for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(best).select(*keys, *picked).select(*df.columns)
