@@ -21,7 +21,19 @@ from tessera.plans import jobs
 from tessera.sources.jdbc import BI_ENV_PREFIX, SOURCE_ENV_PREFIX, extract_source, postgres_from_env
 
 
+# Which paths each command needs.
+_NEEDS = {"ingest": (), "validate-drop": (), "silver": ("silver",), "gold": ("silver", "gold"),
+          "bi": ("gold",), "validate": ("silver",), "diagnose": ("silver",), "inspect": ("gold",),
+          "pipeline": ("silver", "gold"), "stream": ("silver",), "storage-check": ("gold",),
+          "bi-check": ()}
+
+
 def _config(args) -> jobs.PipelineConfig:
+    missing = [f"--{name}" for name in _NEEDS[args.command] if not getattr(args, name)]
+    if args.command == "stream" and "gold" in args.steps.split(",") and not args.gold:
+        missing.append("--gold")
+    if missing:
+        raise SystemExit(f"tessera {args.command}: missing {', '.join(missing)}")
     cfg = jobs.PipelineConfig(bronze_root=args.bronze, silver_path=args.silver, gold_root=args.gold,
                               table_format=args.format, expected_rows=args.expected_rows,
                               strict_reference_order=args.strict_order, variant=args.variant,

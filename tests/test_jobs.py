@@ -271,3 +271,10 @@ def test_s3a_settings_with_own_names():
     assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://s:9000"
     with pytest.raises(MissingSettings, match="STORE_KEY, STORE_SECRET"):
         s3a_conf({"STORE_URL": "u"}, names=names)
+
+
+def test_cli_names_missing_paths(spark, cfg):
+    from tessera import cli
+
+    with pytest.raises(SystemExit, match="--silver, --gold"):
+        cli.main(["gold", "--bronze", cfg.bronze_root])
