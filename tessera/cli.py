@@ -70,8 +70,8 @@ def main(argv=None) -> int:
     args = p.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
 
+    cfg = _config(args)   # fail on missing arguments before starting anything
     spark = SparkSession.builder.appName(f"tessera-{args.command}").getOrCreate()
-    cfg = _config(args)
     try:
         if args.command == "ingest":
             src = extract_source(spark, postgres_from_env(prefix=SOURCE_ENV_PREFIX, schema=None),
