@@ -82,3 +82,23 @@ def test_stream_runs_the_chain(spark, sf001, tmp_path):
     assert reports[0]["gold"]["rows"]["fact_sales"] == 4225
     with pytest.raises(ValueError):
         start_silver_stream(spark, cfg, str(tmp_path / "ck2"), steps=("gold",))
+
+
+def test_watching_stream_picks_up_a_new_drop(spark, sf001, tmp_path):
+    import time
+
+    cfg = jobs.PipelineConfig(bronze_root=str(tmp_path / "bronze"), silver_path=str(tmp_path / "silver"),
+                              gold_root=str(tmp_path / "gold"))
+    (tmp_path / "bronze").mkdir()
+    reports = []
+    q = start_silver_stream(spark, cfg, str(tmp_path / "ck"), processing_time="1 second", reports=reports)
+    try:
+        time.sleep(2)
+        assert reports == []                       # nothing has arrived yet
+        write_drop(bronze_from_tables(spark, sf001), cfg.bronze_root)
+        deadline = time.time() + 120
+        while not reports and time.time() < deadline and q.isActive:
+            time.sleep(0.5)
+        assert [r["silver_rows"] for r in reports] == [4225]
+    finally:
+        q.stop()
