@@ -63,3 +63,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError(
         "spark.checkpoint.dir is not set: point it at a folder every executor "
         "can reach (HDFS, S3A, ...) before building surrogate keys")
+
+
+def cluster_conf(total_cores: int, checkpoint_dir: str, *, partition_mb: int = 256) -> dict[str, str]:
+    """Settings for a large cluster, to pass to ``spark-submit --conf`` or the
+    session builder (the library never sets them itself).
+
+    Shuffles start with about three partitions per core and AQE merges them
+    towards ``partition_mb`` each, or splits skewed ones; scans read
+    ``partition_mb`` splits; the broadcast threshold stays modest, since the
+    library broadcasts its dimensions itself after a size check; checkpoints
+    go to the shared ``checkpoint_dir``."""
+    mb = 1024 * 1024
+    return {
+        **{k: v for k, v in DEFAULT_CONF.items() if k != "spark.ui.showConsoleProgress"},
+        "spark.sql.shuffle.partitions": str(max(200, 3 * total_cores)),
+        "spark.sql.files.maxPartitionBytes": str(partition_mb * mb),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_mb * mb),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_mb * mb),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * mb),
+        "spark.checkpoint.dir": checkpoint_dir,
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }

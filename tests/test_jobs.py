@@ -278,3 +278,12 @@ def test_cli_names_missing_paths(spark, cfg):
 
     with pytest.raises(SystemExit, match="--silver, --gold"):
         cli.main(["gold", "--bronze", cfg.bronze_root])
+
+
+def test_cluster_conf():
+    from tessera.session import cluster_conf
+
+    conf = cluster_conf(4000, "hdfs:///shared/checkpoints")
+    assert conf["spark.sql.shuffle.partitions"] == "12000"
+    assert conf["spark.checkpoint.dir"] == "hdfs:///shared/checkpoints"
+    assert conf["spark.sql.adaptive.enabled"] == "true" and conf["spark.ui.enabled"] == "false"
