@@ -287,3 +287,15 @@ def test_cluster_conf():
     assert conf["spark.sql.shuffle.partitions"] == "12000"
     assert conf["spark.checkpoint.dir"] == "hdfs:///shared/checkpoints"
     assert conf["spark.sql.adaptive.enabled"] == "true" and conf["spark.ui.enabled"] == "false"
+
+
+def test_postgres_from_env():
+    from tessera.sources.jdbc import postgres_from_env
+
+    env = {"SOURCE_DB_HOST": "db", "SOURCE_DB_NAME": "shop", "SOURCE_DB_USER": "u", "SOURCE_DB_PASSWORD": "pw"}
+    cfg = postgres_from_env(env, prefix="SOURCE_DB", schema=None)
+    assert cfg.url == "jdbc:postgresql://db:5432/shop" and cfg.qualified("sales") == "sales"
+    assert "pw" not in repr(cfg)
+    with pytest.raises(ValueError) as err:
+        postgres_from_env({"BI_DB_HOST": "h", "BI_DB_PASSWORD": "secret"})
+    assert "BI_DB_NAME, BI_DB_USER" in str(err.value) and "secret" not in str(err.value)
