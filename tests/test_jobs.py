@@ -299,3 +299,31 @@ def test_postgres_from_env():
     with pytest.raises(ValueError) as err:
         postgres_from_env({"BI_DB_HOST": "h", "BI_DB_PASSWORD": "secret"})
     assert "BI_DB_NAME, BI_DB_USER" in str(err.value) and "secret" not in str(err.value)
+
+
+def test_results_do_not_depend_on_partitioning(spark, tmp_path):
+    """The production jobs at sf0.01 with many shuffle and key partitions and
+    small scan splits publish exactly the published fixture numbers."""
+    from decimal import Decimal
+
+    confs = {"spark.sql.shuffle.partitions": "64", "spark.sql.files.maxPartitionBytes": str(256 * 1024),
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    saved = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        c = jobs.PipelineConfig(bronze_root=str(tmp_path / "b"), silver_path=str(tmp_path / "s"),
+                                gold_root=str(tmp_path / "g"), key_partitions=37)
+        jobs.ingest(bronze_from_tables(spark, "/root/testdata/sf0.01"), c)
+        assert jobs.bronze_to_silver(spark, c)["silver_rows"] == 44_581
+        jobs.silver_to_gold(spark, c)
+        f = spark.read.parquet(c.gold_path("fact_sales")).agg(
+            F.sum("date_key"), F.sum("product_key"), F.sum("customer_key"), F.sum("region_key"),
+            F.sum("total_amount")).first()
+        assert tuple(f) == (890_855_288_259, 44_630_030, 33_586_997, 140_375, Decimal("59891590614.44"))
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
