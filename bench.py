@@ -164,7 +164,9 @@ def main() -> None:
         drop = latest_drop(spark, cfg.bronze_root)
         for rep in range(repeat):
             timed(b, "naive_silver_and_gold", lambda: naive_pipeline(spark, drop, f"{scratch}/naive{rep}"))
-        out["baseline"] = {**b, "ours_silver_and_gold": round(q["silver"] + q["gold"], 3)}
+        ours = round(q["silver"] + q["gold"], 3)
+        out["baseline"] = {**b, "ours_silver_and_gold": ours,
+                           "speedup": round(b["naive_silver_and_gold"] / ours, 2) if ours else None}
     print(json.dumps(out))
     spark.stop()
 
