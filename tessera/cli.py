@@ -37,7 +37,8 @@ def _config(args) -> jobs.PipelineConfig:
     cfg = jobs.PipelineConfig(bronze_root=args.bronze, silver_path=args.silver, gold_root=args.gold,
                               table_format=args.format, expected_rows=args.expected_rows,
                               strict_reference_order=args.strict_order, variant=args.variant,
-                              key_partitions=args.key_partitions)
+                              key_partitions=args.key_partitions, enforce_header=args.enforce_header,
+                              null_amount_gate=args.null_amount_gate)
     if args.command in ("bi", "pipeline", "stream") and args.with_bi:
         cfg.bi = postgres_from_env(prefix=BI_ENV_PREFIX)
     return cfg
@@ -56,6 +57,10 @@ def main(argv=None) -> int:
     p.add_argument("--strict-order", action="store_true", help="de-duplicate before filtering")
     p.add_argument("--variant", default="standard", choices=["standard", "basic"])
     p.add_argument("--key-partitions", type=int, default=None)
+    p.add_argument("--enforce-header", action="store_true",
+                   help="fail when a drop's header differs from the schema")
+    p.add_argument("--null-amount-gate", action="store_true",
+                   help="also fail the star on a NULL total_amount")
     p.add_argument("--source-table", default="sales")
     p.add_argument("--sort-drop", action="store_true",
                    help="write the drop in id order (a range-partitioned sort of the whole source)")
