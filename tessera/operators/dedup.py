@@ -22,14 +22,33 @@ def desc(c: str | Column) -> str | Column:
     return c
 
 
-def asc(c: str | Column) -> Column:
-    """Rank term for a numeric column: smaller value wins; NULL loses
-    (``ASC NULLS LAST``).  Widened before negation so no value overflows."""
-    c = F.col(c) if isinstance(c, str) else c
-    return -(c.cast("long"))
+class asc:  # noqa: N801 -- reads as a function at the call site: asc("quantity")
+    """Rank term: smaller value wins; NULL loses (``ASC NULLS LAST``).
 
+    Resolved against the DataFrame's schema by ``keep_best``: integers are
+    widened to ``long`` then negated (no value overflows), floating-point and
+    decimal values are negated as they are, dates and timestamps through their
+    day / microsecond counts.  Other types have no order-reversing negation
+    and are refused."""
 
-def keep_best(df: DataFrame, key: str | Sequence[str], rank_by: Sequence[str | Column]) -> DataFrame:
+    def __init__(self, column: str):
+        self.column = column
+
+    def resolve(self, df: DataFrame) -> Column:
+        c = F.col(self.column)
+        kind = df.schema[self.column].dataType.typeName()
+        if kind in ("byte", "short", "integer", "long"):
+            return -(c.cast("long"))
+        if kind in ("float", "double", "decimal"):
+            return -c
+        if kind == "date":
+            return -F.unix_date(c)
+        if kind in ("timestamp", "timestamp_ntz"):
+            return -F.unix_micros(c.cast("timestamp"))
+        raise TypeError(f"asc({self.column!r}): no ascending rank for type {kind}")
+
+
+def keep_best(df: DataFrame, key: str | Sequence[str], rank_by: Sequence[str | Column | asc]) -> DataFrame:
     """One row per ``key``: the row with the largest ``rank_by`` tuple.
 
     Terms compare left to right; a NULL term ranks below any value.  A term
@@ -46,6 +65,8 @@ def keep_best(df: DataFrame, key: str | Sequence[str], rank_by: Sequence[str | C
         if isinstance(t, str):
             terms.append(F.col(t).alias(name))
             reused.setdefault(t, name)
+        elif isinstance(t, asc):
+            terms.append(t.resolve(df).alias(name))
         else:
             terms.append(t.alias(name))
     rest = [c for c in df.columns if c not in keys and c not in reused]

@@ -60,3 +60,16 @@ def test_hot_key_is_combined_before_the_shuffle(spark):
     assert "partial_max" in plan
     assert out.filter("k = -1").first()["a"] == 0
     assert out.count() == 20001
+
+
+def test_ascending_terms_follow_the_column_type(spark):
+    import datetime
+    import pytest
+
+    rows = [(1, 2.5, datetime.date(2024, 1, 2)), (1, 2.25, datetime.date(2024, 1, 3)),
+            (2, 1.0, datetime.date(2024, 1, 5)), (2, 1.0, datetime.date(2024, 1, 4))]
+    df = spark.createDataFrame(rows, "k int, x double, d date")
+    got = {r["k"]: (r["x"], r["d"]) for r in keep_best(df, "k", [asc("x"), asc("d")]).collect()}
+    assert got == {1: (2.25, datetime.date(2024, 1, 3)), 2: (1.0, datetime.date(2024, 1, 4))}
+    with pytest.raises(TypeError):
+        keep_best(spark.createDataFrame([(1, "a")], "k int, s string"), "k", [asc("s")])
