@@ -57,3 +57,8 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["region_key", "region_name", "sales", "units", "revenue"]
     assert df.count() == 6
+
+
+def test_entry_schema_is_stable(spark):
+    first = entry.entry(spark).schema
+    assert entry.entry(spark).schema == first
