@@ -51,8 +51,8 @@ def build_silver(bronze: DataFrame, *, strict_reference_order: bool = False) ->
     """Cleaned sales: valid rows only, one per id, normalised text.
 
     Default order is filter → clean → de-duplicate: the filters are row-local,
-    so they run in the scan stage (and reach the Parquet reader as pushed
-    filters) and no id is lost because its arbitrary survivor happened to be
+    so they run in the scan stage (and reach the CSV or Parquet reader as
+    pushed filters) and no id is lost because its arbitrary survivor happened to be
     invalid.  ``strict_reference_order`` de-duplicates first, then filters, which
     reproduces the original order of steps (with a deterministic survivor).
     """
