@@ -13,7 +13,9 @@ SF = {s: f"/root/testdata/sf{s}" for s in ("0.001", "0.01", "0.1")}
 def spark(tmp_path_factory):
     from tessera.session import local_session
 
-    s = local_session(cores="*", shuffle_partitions=8)
+    # TESSERA_TEST_ANSI=false runs the suite as on a Spark 3.x-style session.
+    s = local_session(cores="*", shuffle_partitions=8,
+                      extra={"spark.sql.ansi.enabled": os.environ.get("TESSERA_TEST_ANSI", "true")})
     # Tests own their session, so they may set the checkpoint folder.
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
