@@ -130,6 +130,17 @@ def reconcile(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Data
          .cast("long").alias("extra_rows"))
 
 
+def side_by_side(values: Mapping[str, DataFrame]) -> DataFrame:
+    """Several one-row, one-column results (counts, gate values) as one row
+    with a column per name: the values are tagged and unioned, then pivoted
+    back by a single global aggregate -- one job for all of them, no join."""
+    parts = None
+    for name, df in values.items():
+        tagged = df.select(F.lit(name).alias("_name"), F.col(df.columns[0]).cast("long").alias("_v"))
+        parts = tagged if parts is None else parts.unionByName(tagged)
+    return parts.agg(*[F.max(F.when(F.col("_name") == n, F.col("_v"))).alias(n) for n in values])
+
+
 def failures(result: DataFrame | Mapping[str, int], gates: Iterable[str]) -> dict[str, int]:
     """Gates among ``gates`` with a non-zero count.  Collects one row."""
     values = result if isinstance(result, Mapping) else result.first().asDict()

@@ -117,16 +117,6 @@ def _per_layer_sql(select: str, layers=("bronze", "silver")) -> str:
         select.format(layer=l) for l in layers)
 
 
-def _side_by_side(values: dict[str, DataFrame]) -> DataFrame:
-    """Several one-row, one-column aggregates as one row: union the values
-    tagged by name, then pivot them back with a single global aggregate."""
-    parts = None
-    for name, df in values.items():
-        tagged = df.select(F.lit(name).alias("_name"), F.col(df.columns[0]).cast("long").alias("_v"))
-        parts = tagged if parts is None else parts.unionByName(tagged)
-    return parts.agg(*[F.max(F.when(F.col("_name") == n, F.col("_v"))).alias(n) for n in values])
-
-
 def _rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
 
@@ -136,7 +126,7 @@ def _rows(df: DataFrame) -> DataFrame:
          "FROM (SELECT count(*) AS n FROM bronze) b, (SELECT count(*) AS n FROM silver) s")
 def report_rows_removed(spark, root):
     lay = Layers(spark, root)
-    both = _side_by_side({"bronze_rows": _rows(lay.bronze), "silver_rows": _rows(lay.silver)})
+    both = quality.side_by_side({"bronze_rows": _rows(lay.bronze), "silver_rows": _rows(lay.silver)})
     return both.withColumn("rows_removed", F.col("bronze_rows") - F.col("silver_rows"))
 
 
@@ -325,7 +315,7 @@ def gold_fact_sales_joined_date(spark, root):
          "FROM (SELECT count(*) AS n FROM silver) s, (SELECT count(*) AS n FROM fact) f")
 def gate_fact_grain(spark, root):
     lay = Layers(spark, root)
-    both = _side_by_side({"silver_rows": _rows(lay.stored_silver), "fact_rows": _rows(lay.fact)})
+    both = quality.side_by_side({"silver_rows": _rows(lay.stored_silver), "fact_rows": _rows(lay.fact)})
     return both.withColumn("grain_difference", F.abs(F.col("silver_rows") - F.col("fact_rows")))
 
 
@@ -343,17 +333,14 @@ def gate_fk_nulls(spark, root):
                  ("customer_key", "dim_customer"), ("region_key", "dim_region"))))
 def gate_fk_orphans(spark, root):
     """Fact keys with no dimension row, one left-anti join per dimension; the
-    four one-row counts are unioned and pivoted back into one row."""
+    four one-row counts come back as one row (``side_by_side``)."""
     lay = Layers(spark, root)
-    parts = None
-    for k, dim in (("date_key", lay.dim_date), ("product_key", lay.dim_product),
-                   ("customer_key", lay.dim_customer), ("region_key", lay.dim_region)):
-        orphans = (lay.fact.where(F.col(k).isNotNull()).select(k)
-                   .join(dim.select(k), k, "left_anti")
-                   .agg(F.count(F.lit(1)).alias("n")).select(F.lit(f"orphan_{k}").alias("gate"), "n"))
-        parts = orphans if parts is None else parts.unionByName(orphans)
-    names = [f"orphan_{k}" for k in quality.FACT_KEY_COLUMNS]
-    return parts.agg(*[F.sum(F.when(F.col("gate") == n, F.col("n"))).cast("long").alias(n) for n in names])
+    dims = {"date_key": lay.dim_date, "product_key": lay.dim_product,
+            "customer_key": lay.dim_customer, "region_key": lay.dim_region}
+    return quality.side_by_side({
+        f"orphan_{k}": (lay.fact.where(F.col(k).isNotNull()).select(k)
+                        .join(dim.select(k), k, "left_anti").agg(F.count(F.lit(1))))
+        for k, dim in dims.items()})
 
 
 @query("gate_duplicate_sale_ids", sql.with_layers("fact")

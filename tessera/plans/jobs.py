@@ -56,11 +56,7 @@ class PipelineConfig:
 
 def _one_row(parts: dict[str, DataFrame]) -> dict:
     """Collect several one-row, one-column aggregates with a single action."""
-    union = None
-    for name, df in parts.items():
-        tagged = df.select(F.lit(name).alias("_name"), F.col(df.columns[0]).cast("long").alias("_v"))
-        union = tagged if union is None else union.unionByName(tagged)
-    return {r["_name"]: r["_v"] for r in union.collect()}
+    return quality.side_by_side(parts).first().asDict()
 
 
 # ------------------------------------------------------------------ ingest ---
