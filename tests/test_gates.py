@@ -100,3 +100,10 @@ def test_checks_share_one_pass(spark, silver):
         counts.append(len(tracker.getJobIdsForGroup(group)))
     sc.setLocalProperty("spark.jobGroup.id", None)
     assert counts[0] == counts[1]
+
+
+def test_side_by_side(spark):
+    a = spark.range(5).agg(F.count(F.lit(1)))
+    b = spark.range(3).agg(F.sum("id"))
+    row = quality.side_by_side({"five": a, "three": b}).first().asDict()
+    assert row == {"five": 5, "three": 3}
