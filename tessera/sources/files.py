@@ -26,14 +26,15 @@ class IncompleteDrop(RuntimeError):
 def csv_options(*, multiline: bool = True, enforce_header: bool = False) -> dict:
     """Reader options that read what a standard CSV writer produces.
 
-    ``multiLine`` + ``escape='"'`` keep doubled quotes and embedded newlines in
-    one field (each drop file then goes to one task, which is why drops are
-    written as many part files).  ``enforceSchema=false`` makes Spark compare
+    ``escape='"'`` reads doubled quotes inside a quoted field; ``multiLine``
+    also keeps embedded newlines in one field (each drop file then goes to one
+    task, which is why drops are written as many part files; ``multiline=False``
+    gives split reads of files known to have no embedded newline).  ``enforceSchema=false`` makes Spark compare
     the header to the schema instead of silently matching by position."""
     opts = {"header": "true", "mode": "PERMISSIVE", "timestampFormat": TIMESTAMP_FORMAT,
-            "timestampNTZFormat": TIMESTAMP_FORMAT}
+            "timestampNTZFormat": TIMESTAMP_FORMAT, "quote": '"', "escape": '"'}
     if multiline:
-        opts.update({"multiLine": "true", "escape": '"', "quote": '"'})
+        opts["multiLine"] = "true"
     if enforce_header:
         opts["enforceSchema"] = "false"
     return opts

@@ -155,3 +155,9 @@ def test_latest_drop_refuses_a_folder_being_written(spark, tmp_path):
     assert latest_drop(spark, str(tmp_path), require_complete=False).endswith("sales_20240101_000000.csv")
     (folder / "_SUCCESS").write_text("")
     assert latest_drop(spark, str(tmp_path)).endswith("sales_20240101_000000.csv")
+
+
+def test_split_reads_keep_doubled_quotes(spark, tmp_path):
+    path = _write(tmp_path, "q.csv", '7,2024-01-01,1,"say ""hi"", you",2,EUROPE,1,1.0,2024-01-01 00:00:00\n')
+    row = read_bronze(spark, path, multiline=False).first()
+    assert row["product_name"] == 'say "hi", you' and row["region"] == "EUROPE"
