@@ -352,3 +352,14 @@ def test_source_database_to_bi_end_to_end(spark, sf001, tmp_path):
     assert report["bi"]["tables"]["dim_region"] == 6
     total = jdbc_query(spark, bi_db, 'SELECT SUM("total_amount") AS s FROM fact_sales').first()[0]
     assert Decimal(str(total)) == Decimal("5622137029.45")
+
+
+def test_cli_more_commands(spark, pipeline, cfg, tmp_path, capsys):
+    from tessera import cli
+
+    base = ["--bronze", cfg.bronze_root, "--silver", cfg.silver_path, "--gold", cfg.gold_root]
+    assert cli.main(["validate-drop", *base]) == 1        # raw names are padded: the gate fires
+    assert cli.main(["diagnose", *base]) == 0
+    assert '"max_names": null' in capsys.readouterr().out
+    assert cli.main(["storage-check", "--bronze", cfg.bronze_root, "--gold", str(tmp_path / "g")]) == 0
+    assert '"read_back": 3' in capsys.readouterr().out
