@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping
 
-# Names of the settings read from the environment.
+# Names of the settings read from the environment, and the
+# region used when none is given.
 ENV_ENDPOINT = "S3_ENDPOINT"
 ENV_ACCESS_KEY = "S3_ACCESS_KEY"
 ENV_SECRET_KEY = "S3_SECRET_KEY"
