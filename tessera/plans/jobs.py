@@ -22,7 +22,7 @@ from tessera.operators.keys import dense_key
 from tessera.plans.parallel import run_concurrently
 from tessera.schemas import SALES_SCHEMA, STAR_TABLES
 from tessera.sinks import tables as sink
-from tessera.sinks.bi import load_star
+from tessera.sinks.bi import BI_BATCH_SIZE, BI_WRITERS, load_star
 from tessera.sinks.drops import write_drop
 from tessera.sources.files import latest_drop, read_bronze
 from tessera.sources.jdbc import JdbcConfig, probe
@@ -46,8 +46,8 @@ class PipelineConfig:
     max_broadcast_bytes: int = star.DEFAULT_BROADCAST_BYTES
     null_amount_gate: bool = False         # also fail on a NULL total_amount
     bi: JdbcConfig | None = None
-    bi_batch_size: int = 5000
-    bi_partitions: int = 2
+    bi_batch_size: int = BI_BATCH_SIZE
+    bi_partitions: int = BI_WRITERS
     extra: dict = field(default_factory=dict)
 
     def gold_path(self, table: str) -> str:

@@ -11,9 +11,13 @@ from tessera.sources.jdbc import JdbcConfig, jdbc_query
 
 log = logging.getLogger(__name__)
 
+# Rows per insert batch and concurrent writers of the BI load.
+BI_BATCH_SIZE = 5000
+BI_WRITERS = 2
 
-def load_table(df: DataFrame, cfg: JdbcConfig, table: str, *, batch_size: int = 5000,
-               num_partitions: int = 2, truncate: bool = False) -> None:
+
+def load_table(df: DataFrame, cfg: JdbcConfig, table: str, *, batch_size: int = BI_BATCH_SIZE,
+               num_partitions: int = BI_WRITERS, truncate: bool = False) -> None:
     """Overwrite ``table``: drop + create + insert by default (``truncate``
     keeps the table definition).  ``num_partitions`` caps the concurrent
     connections the database receives."""
@@ -41,7 +45,8 @@ def reconcile_counts(expected: dict[str, int], loaded: dict[str, int]) -> dict[s
 
 
 def load_star(spark: SparkSession, tables: dict[str, DataFrame], cfg: JdbcConfig,
-              expected: dict[str, int], *, batch_size: int = 5000, num_partitions: int = 2) -> dict:
+              expected: dict[str, int], *, batch_size: int = BI_BATCH_SIZE,
+              num_partitions: int = BI_WRITERS) -> dict:
     """Load dimensions first, then the fact; recount each table in the database
     and raise ``BIMismatch`` if any count differs.  An empty table is loaded
     and reported with a warning, not an error."""
