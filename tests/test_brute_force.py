@@ -1,6 +1,8 @@
 """The cleaned layer and the star against plain pandas implementations of the
 same rules (a third, independent implementation next to Spark and SQL), and
 the non-broadcast join path under a skewed key."""
+from decimal import Decimal
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -156,3 +158,35 @@ def test_silver_matches_pandas_on_random_raw_rows(spark, rows):
     norm = sorted(tuple(r) for r in got)
     want = _pandas_silver(rows)
     assert [tuple(str(x) for x in r) for r in norm] == [tuple(str(x) for x in r) for r in want]
+
+
+silver_rows = st.lists(st.tuples(
+    st.integers(1, 10_000),                                                     # id (made unique below)
+    st.sampled_from([date(2023, 12, 31), date(2024, 1, 1), date(2024, 2, 29)]),
+    st.integers(1, 40),
+    st.integers(1, 40),
+    st.sampled_from(["ASIA", "EUROPE", "UNKNOWN", "AFRICA"]),
+    st.integers(1, 50),
+    st.sampled_from([0.0, 0.005, 1.25, 19.99, 333.333]),
+), min_size=1, max_size=40, unique_by=lambda r: r[0])
+
+
+@settings(max_examples=10, deadline=None)
+@given(silver_rows)
+def test_star_matches_pandas_on_random_cleaned_rows(spark, rows):
+    from decimal import ROUND_HALF_UP
+
+    data = [(i, d, p, f"name{p}", c, r, q, u, datetime(2024, 1, 1)) for i, d, p, c, r, q, u in rows]
+    silver = spark.createDataFrame(data, SALES_SCHEMA)
+    product, customer, region = (star.dim_product(silver, partitions=3), star.dim_customer(silver, partitions=2),
+                                 star.dim_region(silver, partitions=2))
+    fact = {r["sale_id"]: r for r in star.fact_sales(silver, product, customer, region).collect()}
+    pk = {p: i + 1 for i, p in enumerate(sorted({r[2] for r in data}))}
+    ck = {c: i + 1 for i, c in enumerate(sorted({r[4] for r in data}))}
+    rk = {g: i + 1 for i, g in enumerate(sorted({r[5] for r in data}))}
+    assert len(fact) == len(data)
+    for i, d, p, _, c, g, q, u, _ in data:
+        f = fact[i]
+        assert (f["date_key"], f["product_key"], f["customer_key"], f["region_key"]) == \
+            (d.year * 10000 + d.month * 100 + d.day, pk[p], ck[c], rk[g])
+        assert f["total_amount"] == Decimal(repr(q * u)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
