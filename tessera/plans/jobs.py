@@ -357,3 +357,18 @@ def bi_check(spark: SparkSession, cfg: JdbcConfig, *, identity_sql: str | None =
         from tessera.sources.jdbc import jdbc_query
         out.update(jdbc_query(spark, cfg, identity_sql).first().asDict())
     return out
+
+
+def register_views(spark: SparkSession, cfg: PipelineConfig, *, prefix: str = "") -> list[str]:
+    """Expose the published cleaned table and star as temporary views
+    (``sales`` plus the five star tables, optionally prefixed), so analysts
+    can query them with ``spark.sql``.  Nothing is read until a query runs."""
+    names = []
+    if cfg.silver_path:
+        read_table(spark, cfg.silver_path, cfg.table_format).createOrReplaceTempView(f"{prefix}sales")
+        names.append(f"{prefix}sales")
+    if cfg.gold_root:
+        for t in STAR_TABLES:
+            read_table(spark, cfg.gold_path(t), cfg.table_format).createOrReplaceTempView(f"{prefix}{t}")
+            names.append(f"{prefix}{t}")
+    return names

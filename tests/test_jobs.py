@@ -363,3 +363,17 @@ def test_cli_more_commands(spark, pipeline, cfg, tmp_path, capsys):
     assert '"max_names": null' in capsys.readouterr().out
     assert cli.main(["storage-check", "--bronze", cfg.bronze_root, "--gold", str(tmp_path / "g")]) == 0
     assert '"read_back": 3' in capsys.readouterr().out
+
+
+def test_register_views(spark, pipeline, cfg):
+    from tessera.operators import analysis
+
+    assert jobs.register_views(spark, cfg, prefix="t_") == [
+        "t_sales", "t_dim_date", "t_dim_product", "t_dim_customer", "t_dim_region", "t_fact_sales"]
+    got = spark.sql("""
+        SELECT r.region_name, count(*) AS sales, CAST(sum(f.total_amount) AS DECIMAL(38,2)) AS revenue
+        FROM t_fact_sales f JOIN t_dim_region r ON f.region_key = r.region_key
+        GROUP BY r.region_name""").collect()
+    want = analysis.by_region(spark.table("t_fact_sales"), spark.table("t_dim_region")).collect()
+    assert sorted((r["region_name"], r["sales"], r["revenue"]) for r in got) == \
+        sorted((r["region_name"], r["sales"], r["revenue"]) for r in want)
