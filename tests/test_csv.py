@@ -104,6 +104,10 @@ def test_read_drops_by_date(spark, tmp_path):
     got = read_drops(spark, root, schema="id int", since="2024-01-02")
     rows = sorted((str(r["ingestion_date"]), r["id"]) for r in got.collect())
     assert rows == [("2024-01-02", 1), ("2024-01-02", 2), ("2024-01-03", 1), ("2024-01-03", 2)]
+    one_day = read_drops(spark, root, schema="id int", since="2024-01-02", until="2024-01-02")
+    assert sorted(r["id"] for r in one_day.collect()) == [1, 2]
+    with pytest.raises(NoDropFound):
+        read_drops(spark, root, schema="id int", since="2025-01-01")
 
 
 def test_check_schema(spark):
