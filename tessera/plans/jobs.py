@@ -283,8 +283,8 @@ def gold_to_bi(spark: SparkSession, cfg: PipelineConfig) -> dict:
 # ------------------------------------------------------------ inspection ---
 
 def validate_silver(spark: SparkSession, cfg: PipelineConfig) -> dict:
-    """Report (never raise): raw vs cleaned rows, duplicate ids, NULLs per
-    column, invalid quantities and prices of the stored cleaned table."""
+    """Report (never raise): schema, raw vs cleaned rows, duplicate ids, NULLs
+    per column, invalid quantities and prices of the stored cleaned table."""
     silver = read_table(spark, cfg.silver_path, cfg.table_format)
     raw = read_bronze(spark, latest_drop(spark, cfg.bronze_root), schema=None)
     checks = [f() for f in quality.SALES_ROW_CHECKS]
@@ -294,7 +294,8 @@ def validate_silver(spark: SparkSession, cfg: PipelineConfig) -> dict:
     counts = _one_row({"bronze_rows": raw.agg(F.count(F.lit(1))),
                        "duplicate_ids": quality.duplicate_keys(silver, "id")})
     nulls = {c: row[f"_null_{c}"] for c in silver.columns}
-    return {"bronze_rows": counts["bronze_rows"], "silver_rows": row["rows"],
+    return {"schema": [(f.name, f.dataType.simpleString(), f.nullable) for f in silver.schema.fields],
+            "bronze_rows": counts["bronze_rows"], "silver_rows": row["rows"],
             "rows_removed": counts["bronze_rows"] - row["rows"], "duplicate_ids": counts["duplicate_ids"],
             "nulls": nulls, **{c.name: row[c.name] for c in checks}}
 

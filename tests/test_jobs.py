@@ -61,6 +61,7 @@ def test_inspection_jobs(spark, pipeline, cfg):
     v = jobs.validate_silver(spark, cfg)
     assert v["silver_rows"] == 4225 and v["bronze_rows"] == 6000 and v["duplicate_ids"] == 0
     assert v["nulls"]["created_at"] == 0 and v["nulls"]["product_name"] == 0
+    assert [c[0] for c in v["schema"]][:3] == ["id", "sale_date", "product_id"]
     d = jobs.diagnose_mapping(spark, cfg)
     assert d["max_names"] is None and d["preview"] == []
     i = jobs.inspect_gold(spark, cfg)
