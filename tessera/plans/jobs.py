@@ -303,9 +303,13 @@ def validate_silver(spark: SparkSession, cfg: PipelineConfig) -> dict:
 def diagnose_mapping(spark: SparkSession, cfg: PipelineConfig, *, limit: int = 100) -> dict:
     """Products with more than one name in the cleaned table (worst first)."""
     silver = read_table(spark, cfg.silver_path, cfg.table_format)
+    # How many products are inconsistent and the worst case, from one aggregation.
+    per_product = silver.groupBy("product_id").agg(F.count_distinct("product_name").alias("_n"))
+    summary = per_product.agg(
+        F.count_if(F.col("_n") > 1).alias("inconsistent_products"),
+        F.max(F.when(F.col("_n") > 1, F.col("_n"))).cast("long").alias("max_names")).first().asDict()
     report = quality.mapping_report(silver, "product_id", "product_name")
-    worst = quality.mapping_report_max(silver, "product_id", "product_name").first()["max_names"]
-    return {"max_names": worst, "preview": [r.asDict() for r in report.limit(limit).collect()]}
+    return {**summary, "preview": [r.asDict() for r in report.limit(limit).collect()]}
 
 
 def inspect_gold(spark: SparkSession, cfg: PipelineConfig, *, preview: int = 5) -> dict:

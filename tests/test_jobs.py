@@ -63,7 +63,7 @@ def test_inspection_jobs(spark, pipeline, cfg):
     assert v["nulls"]["created_at"] == 0 and v["nulls"]["product_name"] == 0
     assert [c[0] for c in v["schema"]][:3] == ["id", "sale_date", "product_id"]
     d = jobs.diagnose_mapping(spark, cfg)
-    assert d["max_names"] is None and d["preview"] == []
+    assert d == {"inconsistent_products": 0, "max_names": None, "preview": []}
     i = jobs.inspect_gold(spark, cfg)
     assert i["dim_region"]["rows"] == 6 and len(i["fact_sales"]["preview"]) == 5
 
