@@ -378,3 +378,14 @@ def test_register_views(spark, pipeline, cfg):
     want = analysis.by_region(spark.table("t_fact_sales"), spark.table("t_dim_region")).collect()
     assert sorted((r["region_name"], r["sales"], r["revenue"]) for r in got) == \
         sorted((r["region_name"], r["sales"], r["revenue"]) for r in want)
+
+
+def test_diagnose_finds_a_renamed_product(spark, pipeline, cfg, tmp_path):
+    silver = spark.read.parquet(cfg.silver_path)
+    bad_path = str(tmp_path / "renamed")
+    silver.unionByName(silver.limit(1).withColumn("id", F.lit(-1)).withColumn("product_name", F.lit("zz")))\\
+        .write.parquet(bad_path)
+    c = jobs.PipelineConfig(bronze_root=cfg.bronze_root, silver_path=bad_path, gold_root=cfg.gold_root)
+    d = jobs.diagnose_mapping(spark, c)
+    assert d["inconsistent_products"] == 1 and d["max_names"] == 2
+    assert len(d["preview"]) == 2 and {r["product_name"] for r in d["preview"]} >= {"zz"}
