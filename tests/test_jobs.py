@@ -383,8 +383,8 @@ def test_register_views(spark, pipeline, cfg):
 def test_diagnose_finds_a_renamed_product(spark, pipeline, cfg, tmp_path):
     silver = spark.read.parquet(cfg.silver_path)
     bad_path = str(tmp_path / "renamed")
-    silver.unionByName(silver.limit(1).withColumn("id", F.lit(-1)).withColumn("product_name", F.lit("zz")))\\
-        .write.parquet(bad_path)
+    renamed = silver.limit(1).withColumn("id", F.lit(-1)).withColumn("product_name", F.lit("zz"))
+    silver.unionByName(renamed).write.parquet(bad_path)
     c = jobs.PipelineConfig(bronze_root=cfg.bronze_root, silver_path=bad_path, gold_root=cfg.gold_root)
     d = jobs.diagnose_mapping(spark, c)
     assert d["inconsistent_products"] == 1 and d["max_names"] == 2
