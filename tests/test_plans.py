@@ -1,7 +1,6 @@
 """Plan shape: the properties that matter at scale, read from the physical
 plan (what Catalyst and AQE will run), not from timings."""
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.operators import analysis, cleaning, star
 from tessera.plans.layers import Layers
