@@ -389,3 +389,16 @@ def test_diagnose_finds_a_renamed_product(spark, pipeline, cfg, tmp_path):
     d = jobs.diagnose_mapping(spark, c)
     assert d["inconsistent_products"] == 1 and d["max_names"] == 2
     assert len(d["preview"]) == 2 and {r["product_name"] for r in d["preview"]} >= {"zz"}
+
+
+def test_basic_cleaning_is_stopped_at_the_star(spark, sf001, tmp_path):
+    """The CSV-era rule keeps rows without a date; the star job's key gates stop
+    them instead of publishing a fact with NULL keys."""
+    c = jobs.PipelineConfig(bronze_root=str(tmp_path / "b"), silver_path=str(tmp_path / "s"),
+                            gold_root=str(tmp_path / "g"), variant="basic")
+    jobs.ingest(bronze_from_tables(spark, sf001), c)
+    jobs.bronze_to_silver(spark, c)
+    with pytest.raises(quality.GateFailure) as err:
+        jobs.silver_to_gold(spark, c)
+    assert set(err.value.failures) == {"null_date_key"}
+    assert not sink.path_exists(spark, c.gold_path("fact_sales"))
