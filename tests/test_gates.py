@@ -107,3 +107,30 @@ def test_side_by_side(spark):
     b = spark.range(3).agg(F.sum("id"))
     row = quality.side_by_side({"five": a, "three": b}).first().asDict()
     assert row == {"five": 5, "three": 3}
+
+
+from collections import Counter  # noqa: E402
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+gate_rows = st.lists(st.tuples(st.integers(0, 5) | st.none(), st.sampled_from(["a", "b", None]),
+                               st.integers(0, 2)), max_size=25)
+
+
+@settings(max_examples=10, deadline=None)
+@given(gate_rows, gate_rows)
+def test_key_gates_match_python(spark, rows, other):
+    schema = "k int, v string, w int"
+    df, df2 = spark.createDataFrame(rows, schema), spark.createDataFrame(other, schema)
+    per_key = Counter(r[0] for r in rows)
+    assert quality.duplicate_keys(df, "k").first()[0] == sum(1 for n in per_key.values() if n > 1)
+    names = {}
+    for k, v, _ in rows:
+        if v is not None:
+            names.setdefault(k, set()).add(v)
+    assert quality.inconsistent_mappings(df, "k", "v").first()[0] == sum(1 for s in names.values() if len(s) > 1)
+    nulls = {r["column_name"]: r["null_count"] for r in quality.null_profile(df).collect()}
+    assert nulls == {"k": sum(r[0] is None for r in rows), "v": sum(r[1] is None for r in rows), "w": 0}
+    a, b = Counter(rows), Counter(other)
+    got = quality.reconcile(df, df2, ["k", "v", "w"]).first().asDict()
+    assert got == {"missing_rows": sum((a - b).values()), "extra_rows": sum((b - a).values())}
