@@ -67,8 +67,11 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     base = base.withColumn("row", F.struct("doc_id", F.sha2("text", 256).alias("sha")))
     rows = store(recipes(base, fingerprint)
                  .select("doc_id", F.col("row.sha").alias("text_sha256"), "recipe"))
-    groups = rows.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"),
-                                        F.count("*").alias("group_size"))
-    return (rows.join(groups, "recipe")
-            .select("doc_id", "keep_id", "group_size",
+    # Stored, so that the join may split a recipe that many rows share.
+    groups = store(rows.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+                   .where("group_size > 1"))
+    alone = F.col("group_size").isNull()
+    return (rows.join(groups, "recipe", "left")
+            .withColumn("keep_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")))
+            .select("doc_id", "keep_id", F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
                     F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"))
