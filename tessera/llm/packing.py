@@ -20,12 +20,28 @@ from tessera.llm.common import store, worker_cache
 #: A space between two characters that no definition of white space includes:
 #: byte-level BPE always starts a new piece at such a space.
 GAP = re.compile(r"(?<=\S) (?=\S)")
-#: Entries of a worker's cache of encoded words, and the longest such word.
+#: Marks that may follow a word and form one piece of their own.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
+#: Entries of a worker's caches of encoded words, and the longest such word.
 CACHE, CACHED_CHARS = 400_000, 64
 
 
+def byte_names() -> dict[int, str]:
+    """The printable stand-ins that byte-level BPE files use for bytes (format
+    of the vocabulary): printable Latin-1 for itself, others from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class Encoder:
-    """Token ids of whole texts, with a cache of the ids of single words."""
+    """Token ids of whole texts by a byte-level BPE file.
+
+    A text is cut at single spaces, where a new piece must start, and the ids
+    of each part are kept.  A part of letters and marks is a piece of letters
+    and one of marks, which go straight to the tokenizer's model; all other
+    parts go through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -33,28 +49,50 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cache: dict[str, bytes] = {}
-
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(parts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+        self.names = byte_names()
+        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one piece; a leading space belongs to it."""
+        out = self.words.get(piece)
+        if out is None:
+            named = piece.encode().decode("latin-1").translate(self.names)
+            out = np.array([t.id for t in self.tokenizer.model.tokenize(named)], dtype="<u4").tobytes()
+            if len(piece) <= CACHED_CHARS:
+                self.words[piece] = out
+        return out
+
+    def _part(self, part: str) -> bytes:
+        """Ids of a space and a part that has no white space at either end."""
+        word = part.rstrip(MARKS)
+        if word.isalpha():
+            out = self._piece(" " + word) + (self._piece(part[len(word):]) if len(word) < len(part) else b"")
+        else:
+            out = self._encode(" " + part)
+        if len(part) <= CACHED_CHARS:
+            self.parts[part] = out
+        return out
 
     def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Little-endian 32-bit ids of each text."""
         for text in texts:
-            first, *rest = GAP.split(text)
-            if len(self.cache) > CACHE:
-                self.cache = {}
-            cache = self.cache
-            out = [cache.get(x) for x in rest]
+            for cache in (self.parts, self.words):
+                if len(cache) > CACHE:
+                    cache.clear()
+            first, *rest = text.split(" ")
+            out = [self.parts.get(x) for x in rest]
             missing = [i for i, x in enumerate(out) if x is None]
-            if missing:
-                new = list(dict.fromkeys(rest[i] for i in missing))
-                found = dict(zip(new, self._encode([" " + x for x in new])))
-                for i in missing:
-                    out[i] = found[rest[i]]
-                cache.update(x for x in found.items() if len(x[0]) <= CACHED_CHARS)
-            head = self._encode([first])[0] if first else b""
+            if first[-1:].isspace() or any(not (x := rest[i]) or x[0].isspace() or x[-1].isspace() for i in missing):
+                first, *rest = GAP.split(text)
+                out = [self.parts.get(x) for x in rest]
+                missing = [i for i, x in enumerate(out) if x is None]
+            for i in missing:
+                out[i] = self._part(rest[i])
+            head = self._encode(first) if first else b""
             yield np.frombuffer(head + b"".join(out), dtype="<u4")
 
 
