@@ -34,19 +34,20 @@ def _step(links: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether every node points at one smaller node that points nowhere."""
+    twice = links.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("b")).where("n > 1 or a < b").select("a")
+    chained = links.join(links.select(F.col("a").alias("b")).distinct(), "b", "left_semi").select("a")
+    return twice.union(chained).isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of the undirected links (a, b); the
     component is its smallest node.  Each round is written to the shared folder,
     so neither the lineage nor the driver grows; rounds grow with the logarithm
     of the longest chain.  An empty table gives an empty result."""
     now = store(links.select("a", "b").where("a <> b").distinct())
-
-    def mark(df):
-        return df.agg(F.count("*"), F.sum(F.hash("a", "b").cast("decimal(38,0)"))).first()
-
-    was = None
-    while (seen := mark(now)) != was:
-        was = seen
+    while not _settled(now):
         now = store(_step(_step(now, True), False))
     low = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(low)

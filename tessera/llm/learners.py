@@ -46,4 +46,4 @@ class Logistic:
 
 def platt(logit: np.ndarray, y: np.ndarray) -> Logistic:
     """Calibration of a view's logits on rows it was not fitted on."""
-    return Logistic(ridge=0.1).fit(logit.reshape(len(logit), -1), y)
+    return Logistic(ridge=0.1).fit(logit if logit.ndim == 2 else logit[:, None], y)

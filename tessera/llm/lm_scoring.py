@@ -239,7 +239,7 @@ def _score(sums: dict, weights: dict):
         starts = np.cumsum(lengths) - lengths
         held_out = table["block"][0].as_py() % 4 == HELD_OUT
         return pa.table({
-            "doc_id": docs, "held_out": pa.array([held_out] * len(docs), pa.bool_()), "n_tokens": lengths,
+            "doc_id": pa.array(docs, table.schema.field("docs").type.value_type), "held_out": pa.array([held_out] * len(docs), pa.bool_()), "n_tokens": lengths,
             "n_known": np.add.reduceat((word > 0).astype(np.int64), starts),
             "train_tokens": np.full(len(docs), sums["tokens"], dtype=np.int64),
             "base_score": np.add.reduceat(base, starts), "score": np.add.reduceat(model, starts)})

@@ -96,7 +96,7 @@ def _bands(sig: np.ndarray) -> np.ndarray:
 
 def _sign(size: int):
     schema = pa.schema([("n_shingles", pa.int64()), ("key", pa.binary()), ("sig", pa.binary()),
-                        ("bands", pa.list_(pa.int64()))])
+                        ("bands", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
 
     def run(batches):
         np.seterr(over="ignore")
@@ -110,7 +110,8 @@ def _sign(size: int):
                 keys = [hashlib.sha256(b" ".join(w)).digest() if w else None for w in found]
                 own = [pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
                        pa.array([x.tobytes() for x in low], pa.binary()),
-                       pa.array([list(b) if k else [] for b, k in zip(bands.tolist(), keys)], pa.list_(pa.int64()))]
+                       pa.array([b if k else [] for b, k in zip(bands.tolist(), keys)], pa.list_(pa.int64())),
+                       pa.array(np.packbits(low & 1, axis=1).view(np.int64).tolist(), pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, 64), *own],
                     schema=pa.schema([pa.field("doc_id", batch.schema.field(0).type), *schema]))
@@ -172,19 +173,20 @@ def near_dup(docs: DataFrame, *, size: int = 5, per_cent: int = 75) -> DataFrame
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     signed = store(docs.mapInArrow(
-        _sign(size), f"doc_id {kind}, n_shingles long, key binary, sig binary, bands array<long>"))
+        _sign(size), f"doc_id {kind}, n_shingles long, key binary, sig binary, bands array<long>, bits array<long>"))
     usable = signed.where("doc_id is not null and key is not null")
     classes = store(usable.groupBy("key").agg(F.min("doc_id").alias("id")))
     reps = (usable.join(classes, "key").where("doc_id = id")
-            .select("id", "n_shingles", "sig", "bands").dropDuplicates(["id"]))
-    members = reps.select("id", F.explode("bands").alias("bucket"))
+            .select("id", "n_shingles", "sig", "bands", "bits").dropDuplicates(["id"]))
+    members = reps.select("id", "n_shingles", F.col("bits")[0].alias("s"), F.col("bits")[1].alias("t"),
+                          F.explode("bands").alias("bucket"))
     large = members.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     members = store(members.join(large, "bucket"))
     most = members.agg(F.max("members")).first()[0] or 0
     label = None
     if most:
         ids = members.select("id").distinct()
-        signs = store(reps.drop("bands").join(ids, "id", "left_semi"))
+        signs = store(reps.drop("bands", "bits").join(ids, "id", "left_semi"))
         texts = store(docs.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
                       .dropDuplicates(["id", "text"]))
         label = _link(members, signs, texts, most, size, per_cent)
@@ -202,9 +204,13 @@ def near_dup(docs: DataFrame, *, size: int = 5, per_cent: int = 75) -> DataFrame
 
 def _link(members, signs, texts, most, size, per_cent) -> DataFrame | None:
     """(node, component) of the verified links; None when there are none."""
-    label, edges, tested = None, None, None
+    label, tested = None, None
     by_id = Window.partitionBy("bucket").orderBy("id")
     least = int(ROWS * (per_cent / 100 - SLACK))
+    # Lowest bits agree in (1 + J) / 2 of the rows; 5 standard deviations below.
+    bits = F.bit_count(F.col("s").bitwiseXOR(F.col("sa"))) + F.bit_count(F.col("t").bitwiseXOR(F.col("ta")))
+    close = bits <= ROWS * (0.5 - per_cent / 200) + 5 * (ROWS * 0.125 * 0.875) ** 0.5
+    alike = 100 * F.least("n_shingles", "na") >= per_cent * F.greatest("n_shingles", "na")
     pivots, best_only = 1, True
     while True:
         rows = members
@@ -213,37 +219,40 @@ def _link(members, signs, texts, most, size, per_cent) -> DataFrame | None:
         else:
             rows = rows.withColumn("component", F.col("id"))
         rows = rows.withColumn("component", F.coalesce("component", "id"))
-        open_ = (rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                 .where("low <> high").select("bucket"))
+        open_ = store(rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                      .where("low <> high").select("bucket"))
         rows = rows.join(open_, "bucket", "left_semi")
         first = (rows.withColumn("rank", F.row_number().over(by_id)).where(F.col("rank") <= pivots)
-                 .select("bucket", F.col("id").alias("a"), F.col("component").alias("ca")))
-        pairs = (rows.select("bucket", F.col("id").alias("b"), F.col("component").alias("cb"))
-                 .join(first, "bucket").where("a < b and ca <> cb").select("a", "b").distinct())
+                 .select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"),
+                         F.col("n_shingles").alias("na"), F.col("s").alias("sa"), F.col("t").alias("ta")))
+        on = ((F.col("bucket") == F.col("bucket_a")) & (F.col("a") < F.col("id"))
+              & (F.col("component") != F.col("ca")) & alike & close)
+        pairs = (rows.join(first.withColumnRenamed("bucket", "bucket_a"), on)
+                 .select("a", F.col("id").alias("b")).distinct())
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        sa = signs.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("sig").alias("sa"))
-        sb = signs.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sig").alias("sb"))
+        sa = signs.select(F.col("id").alias("a"), F.col("sig").alias("sa"))
+        sb = signs.select(F.col("id").alias("b"), F.col("sig").alias("sb"))
         pairs = (pairs.join(sa, "a").join(sb, "b")
-                 .where(100 * F.least("na", "nb") >= per_cent * F.greatest("na", "nb"))
                  .withColumn("agree", _agreement("sa", "sb")).where(F.col("agree") >= least))
         if best_only:
             # First the most promising pair of each document: it settles most.
             pairs = pairs.groupBy("b").agg(F.max_by("a", "agree").alias("a"))
         pairs = store(pairs.select("a", "b"))
-        good = store(pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-                     .join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-                     .select("a", "b", "ta", "tb")
-                     .mapInArrow(_verify(size, per_cent), pairs.select("a", "b").schema), 100)
-        edges = good if edges is None else edges.union(good)
-        tested = pairs if tested is None else tested.union(pairs)
-        if not good.isEmpty():
-            label = components(edges)
+        if not pairs.isEmpty():
+            good = store(pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+                         .join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+                         .select("a", "b", "ta", "tb")
+                         .mapInArrow(_verify(size, per_cent), pairs.select("a", "b").schema), 100)
+            tested = pairs if tested is None else tested.union(pairs)
+            if not good.isEmpty():
+                known = good if label is None else good.union(
+                    label.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")))
+                label = store(components(known))
         if best_only:
-            best_only = False
-        elif pivots >= most:
+            best_only, pivots = False, min(8, most)
+        elif pivots >= most or members.join(open_, "bucket", "left_semi").where(
+                F.col("members") > pivots).isEmpty():
             return label
         else:
-            if members.join(open_, "bucket", "left_semi").where(F.col("members") > pivots).isEmpty():
-                return label
             pivots *= 8
