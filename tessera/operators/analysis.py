@@ -32,8 +32,10 @@ def kpis(fact: DataFrame) -> DataFrame:
 
 
 def by_month(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Totals per month; sales without a known date are the row of nulls, so the
+    months add up to ``kpis``."""
     per_day = fact.groupBy("date_key").agg(*_measures())
-    return (per_day.join(dim_date.select("date_key", "year", "quarter", "month"), "date_key")
+    return (per_day.join(dim_date.select("date_key", "year", "quarter", "month"), "date_key", "left")
                    .groupBy("year", "quarter", "month")
                    .agg(F.sum("sales").alias("sales"), F.sum("units").cast("long").alias("units"),
                         F.sum("revenue").cast(MONEY).alias("revenue")))
@@ -79,10 +81,10 @@ def top_by_revenue(fact: DataFrame, dim: DataFrame, key: str, n: int = 10) -> Da
 def region_year_cube(fact: DataFrame, dim_region: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Revenue by region × year with every subtotal (``CUBE``), tagged by
     ``grouping_id`` (0 = detail, 1 = region subtotal, 2 = year subtotal,
-    3 = grand total)."""
+    3 = grand total).  Sales without a known date have year null."""
     per_key = fact.groupBy("region_key", "date_key").agg(*_measures())
     years = dim_date.select("date_key", "year")
-    detail = (per_key.join(years, "date_key")
+    detail = (per_key.join(years, "date_key", "left")
                      .join(dim_region, "region_key", "left"))
     return (detail.cube("region_name", "year")
                   .agg(F.grouping_id().cast("int").alias("grouping_level"),

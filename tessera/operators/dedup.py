@@ -27,8 +27,9 @@ class asc:  # noqa: N801 -- reads as a function at the call site: asc("quantity"
 
     Resolved against the DataFrame's schema by ``keep_best``: integers are
     widened to ``long`` then negated (no value overflows), floating-point and
-    decimal values are negated as they are, dates and timestamps through their
-    day / microsecond counts.  Other types have no order-reversing negation
+    decimal values are negated (NaN ranks last of all values, as in an
+    ascending sort), dates and timestamps through their day / microsecond
+    counts, without a time zone for ``timestamp_ntz``.  Other types have no order-reversing negation
     and are refused."""
 
     def __init__(self, column: str):
@@ -39,12 +40,17 @@ class asc:  # noqa: N801 -- reads as a function at the call site: asc("quantity"
         kind = df.schema[self.column].dataType.typeName()
         if kind in ("byte", "short", "integer", "long"):
             return -(c.cast("long"))
-        if kind in ("float", "double", "decimal"):
+        if kind == "decimal":
             return -c
+        if kind in ("float", "double"):
+            return F.when(c.isNotNull(), F.struct(~F.isnan(c), -c))
         if kind == "date":
             return -F.unix_date(c)
-        if kind in ("timestamp", "timestamp_ntz"):
-            return -F.unix_micros(c.cast("timestamp"))
+        if kind == "timestamp":
+            return -F.unix_micros(c)
+        if kind == "timestamp_ntz":
+            seconds = F.unix_date(c.cast("date")).cast("long") * 86_400 + F.hour(c) * 3600 + F.minute(c) * 60
+            return -(seconds * 1_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long"))
         raise TypeError(f"asc({self.column!r}): no ascending rank for type {kind}")
 
 

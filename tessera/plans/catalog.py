@@ -439,7 +439,7 @@ def bi_kpis(spark, root):
 @query("bi_by_month", sql.with_layers("fact", "dim_date")
        + "SELECT d.year, d.quarter, d.month, count(*) AS sales, CAST(sum(f.quantity) AS BIGINT) AS units, "
          "CAST(sum(f.total_amount) AS DECIMAL(38,2)) AS revenue FROM fact f "
-         "JOIN dim_date d ON f.date_key = d.date_key GROUP BY d.year, d.quarter, d.month")
+         "LEFT JOIN dim_date d ON f.date_key = d.date_key GROUP BY d.year, d.quarter, d.month")
 def bi_by_month(spark, root):
     lay = Layers(spark, root)
     return analysis.by_month(lay.fact, lay.dim_date)
@@ -502,7 +502,7 @@ def bi_top_customers(spark, root):
        + "SELECT r.region_name, d.year, CAST(grouping(r.region_name, d.year) AS INTEGER) AS grouping_level, "
          "count(*) AS sales, CAST(sum(f.quantity) AS BIGINT) AS units, "
          "CAST(sum(f.total_amount) AS DECIMAL(38,2)) AS revenue FROM fact f "
-         "JOIN dim_date d ON f.date_key = d.date_key LEFT JOIN dim_region r ON f.region_key = r.region_key "
+         "LEFT JOIN dim_date d ON f.date_key = d.date_key LEFT JOIN dim_region r ON f.region_key = r.region_key "
          "GROUP BY CUBE (r.region_name, d.year)")
 def bi_region_year_cube(spark, root):
     lay = Layers(spark, root)

@@ -61,9 +61,10 @@ def _one_row(parts: dict[str, DataFrame]) -> dict:
 
 # ------------------------------------------------------------------ ingest ---
 
-def ingest(source: DataFrame, cfg: PipelineConfig, *, now=None) -> str:
-    """Snapshot ``source`` (e.g. ``sources.jdbc.extract_source``) as a new drop."""
-    return write_drop(source, cfg.bronze_root, now=now)
+def ingest(source: DataFrame, cfg: PipelineConfig, *, now=None, min_files: int | None = None) -> str:
+    """Snapshot ``source`` (e.g. ``sources.jdbc.extract_source``) as a new drop;
+    ``min_files`` spreads a source of few partitions."""
+    return write_drop(source, cfg.bronze_root, now=now, min_files=min_files)
 
 
 def validate_drop(spark: SparkSession, cfg: PipelineConfig) -> dict:
@@ -300,8 +301,11 @@ def validate_silver(spark: SparkSession, cfg: PipelineConfig) -> dict:
             "nulls": nulls, **{c.name: row[c.name] for c in checks}}
 
 
-def diagnose_mapping(spark: SparkSession, cfg: PipelineConfig, *, limit: int = 100) -> dict:
-    """Products with more than one name in the cleaned table (worst first)."""
+def diagnose_mapping(spark: SparkSession, cfg: PipelineConfig, *, limit: int = 100,
+                     report_path: str | None = None) -> dict:
+    """Products with more than one name in the cleaned table (worst first).
+    The result holds ``limit`` rows to look at; ``report_path`` gets them all,
+    as Parquet."""
     silver = read_table(spark, cfg.silver_path, cfg.table_format)
     # How many products are inconsistent and the worst case, from one aggregation.
     per_product = silver.groupBy("product_id").agg(F.count_distinct("product_name").alias("_n"))
@@ -309,6 +313,8 @@ def diagnose_mapping(spark: SparkSession, cfg: PipelineConfig, *, limit: int = 1
         F.count_if(F.col("_n") > 1).alias("inconsistent_products"),
         F.max(F.when(F.col("_n") > 1, F.col("_n"))).cast("long").alias("max_names")).first().asDict()
     report = quality.mapping_report(silver, "product_id", "product_name")
+    if report_path:
+        report.write.mode("overwrite").parquet(report_path)
     return {**summary, "preview": [r.asDict() for r in report.limit(limit).collect()]}
 
 

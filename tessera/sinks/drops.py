@@ -7,7 +7,6 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tessera.sources.tables import ensure_parallel
 from tessera.sources.files import DROP_PARTITION, DROP_PREFIX, DROP_SUFFIX, TIMESTAMP_FORMAT
 
 
@@ -37,16 +36,16 @@ def write_drop(df: DataFrame, root: str, *, now: datetime | None = None,
     that round-trips commas, quotes and newlines.  Values keep their leading
     and trailing spaces (the raw layer must not be cleaned on the way in).
     Drops are read with ``multiLine``, one task per file, so the file layout
-    is the read parallelism of the next job: a source with fewer partitions
-    than ``min_files`` (default: the cluster's parallelism) is spread first,
-    and no file holds more than ``max_rows_per_file`` rows, so the number of
+    is the read parallelism of the next job: ``min_files`` spreads a source
+    that comes in few partitions over so many (by default it is written as it
+    comes, without a shuffle), and no file holds more than ``max_rows_per_file`` rows, so the number of
     files grows with the data and no reading task grows with it.
     The row count is observed during the write (the source is read once --
     a JDBC source is not queried twice); an empty source raises
     ``EmptySource`` and its empty drop folder is removed, so no run sees it."""
     path = drop_path(root, now)
     seen = Observation()
-    out = ensure_parallel(df, min_files).observe(seen, F.count(F.lit(1)).alias("rows"))
+    out = (df.repartition(min_files) if min_files else df).observe(seen, F.count(F.lit(1)).alias("rows"))
     (out.write.mode("errorifexists").option("maxRecordsPerFile", str(max_rows_per_file))
        .option("header", "true").option("encoding", "UTF-8")
        .option("quote", '"').option("escape", '"').option("quoteAll", "false")

@@ -27,18 +27,3 @@ def read_table(spark: SparkSession, path: str, table_format: str = "parquet") ->
     """Current snapshot of a stored table, in whatever format the cluster has
     (``parquet`` by default, ``delta`` when its jar is on the classpath)."""
     return spark.read.format(table_format).load(path)
-
-
-def ensure_parallel(df: DataFrame, min_partitions: int | None = None, *by: str) -> DataFrame:
-    """Spread ``df`` over at least ``min_partitions`` tasks (default: the
-    cluster's parallelism) when its source cannot be split that far -- a
-    single-row-group Parquet file, one JDBC cursor, one CSV file read with
-    ``multiLine``.  Sources that are already parallel are returned untouched,
-    so a large input never pays for an extra shuffle.  ``by`` hash-partitions
-    on those columns (no sort needed, and a later join on them can reuse it);
-    without it rows are dealt round-robin.  Counting partitions plans the
-    query; it runs nothing."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want, *by) if by else df.repartition(want)

@@ -2,6 +2,7 @@
 from decimal import Decimal
 
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from tessera.operators import analysis
 
@@ -34,3 +35,16 @@ def test_reports_match_python(spark, rows):
     top = [r["product_key"] for r in analysis.top_by_revenue(fact, dim, "product_key", n=3).collect()]
     want = sorted(per, key=lambda key: (-per[key][2], key))[:3]
     assert sorted(top) == sorted(want)
+
+
+def test_sales_without_a_known_date_stay_in_the_totals(spark):
+    fact = spark.createDataFrame(
+        [(1, 20240101, 1, 2, "3.00"), (2, None, 1, 1, "5.00"), (3, 20990101, 1, 1, "7.00")],
+        "sale_id int, date_key int, region_key int, quantity int, total_amount string").withColumn(
+        "total_amount", F.col("total_amount").cast("decimal(18,2)"))
+    dates = spark.createDataFrame([(20240101, 2024, 1, 1)], "date_key int, year int, quarter int, month int")
+    regions = spark.createDataFrame([(1, "NORTH")], "region_key int, region_name string")
+    total = analysis.kpis(fact).first().revenue
+    assert sum(r.revenue for r in analysis.by_month(fact, dates).collect()) == total
+    cube = analysis.region_year_cube(fact, regions, dates).where("grouping_level = 3").first()
+    assert cube.revenue == total and cube.sales == 3

@@ -73,3 +73,20 @@ def test_ascending_terms_follow_the_column_type(spark):
     assert got == {1: (2.25, datetime.date(2024, 1, 3)), 2: (1.0, datetime.date(2024, 1, 4))}
     with pytest.raises(TypeError):
         keep_best(spark.createDataFrame([(1, "a")], "k int, s string"), "k", [asc("s")])
+
+
+def test_asc_ranks_nan_behind_every_value(spark):
+    rows = [(1, float("nan")), (1, 2.0), (2, float("nan")), (2, None), (3, float("inf")), (3, float("nan"))]
+    got = keep_best(spark.createDataFrame(rows, "id int, x double"), ["id"], [asc("x")]).collect()
+    assert {r.id: str(r.x) for r in got} == {1: "2.0", 2: "nan", 3: "inf"}
+
+
+def test_asc_of_local_timestamps_needs_no_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:  # 02:30 does not exist there; 03:10 lies 40 minutes later on the clock
+        df = spark.sql("select 1 id, timestamp_ntz'2024-03-31 02:30:00.000001' t "
+                       "union all select 1, timestamp_ntz'2024-03-31 03:10:00'")
+        assert keep_best(df, ["id"], [asc("t")]).select(F.col("t").cast("string")).first()[0].endswith("02:30:00.000001")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
