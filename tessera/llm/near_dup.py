@@ -7,7 +7,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import store, words, worker_cache
@@ -17,6 +17,9 @@ ROWS, BAND = 128, 4  # signature length and rows of a band: at 0.75 a pair is mi
 #: A pair is read when its signatures agree this far below the threshold
 #: (5 standard deviations of the estimate).
 SLACK = 0.2
+#: Shingles in a block of a bucket, and what each member counts besides its own:
+#: bounds the memory of a comparing task.  One longer text is a block by itself.
+BLOCK_WEIGHT, ROW_WEIGHT = 200_000, 64
 _U = np.uint64
 _GOLD = 0x9E3779B97F4A7C15
 
@@ -96,7 +99,7 @@ def _bands(sig: np.ndarray) -> np.ndarray:
 
 def _sign(size: int):
     schema = pa.schema([("n_shingles", pa.int64()), ("key", pa.binary()), ("sig", pa.binary()),
-                        ("bands", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
+                        ("bands", pa.list_(pa.int64()))])
 
     def run(batches):
         np.seterr(over="ignore")
@@ -110,8 +113,7 @@ def _sign(size: int):
                 keys = [hashlib.sha256(b" ".join(w)).digest() if w else None for w in found]
                 own = [pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
                        pa.array([x.tobytes() for x in low], pa.binary()),
-                       pa.array([b if k else [] for b, k in zip(bands.tolist(), keys)], pa.list_(pa.int64())),
-                       pa.array(np.packbits(low & 1, axis=1).view(np.int64).tolist(), pa.list_(pa.int64()))]
+                       pa.array([b if k else [] for b, k in zip(bands.tolist(), keys)], pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, 64), *own],
                     schema=pa.schema([pa.field("doc_id", batch.schema.field(0).type), *schema]))
@@ -119,26 +121,84 @@ def _sign(size: int):
     return run
 
 
-def _verify(size: int, per_cent: int):
+def _sets(size: int):
+    """(id, text) -> (id, shingles): the sorted set as 8 bytes each."""
     def run(batches):
         np.seterr(over="ignore")
-        kept: dict = {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                found = [shingle_set(words(t), size).tobytes() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())],
+                                                 names=["id", "shingles"])
+
+    return run
+
 
-        def own(doc_id, text):
-            if doc_id not in kept or kept[doc_id][0] != text:
-                if len(kept) > 64:
-                    kept.clear()
-                kept[doc_id] = (text, shingle_set(words(text), size))
-            return kept[doc_id][1]
+def _set(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, dtype=np.uint64)
 
+
+def _linked(x: np.ndarray, y: np.ndarray, per_cent: int) -> bool:
+    """The exact test of two sorted sets."""
+    if len(x) > len(y):
+        x, y = y, x
+    both = np.count_nonzero(y.take(np.searchsorted(y, x), mode="clip") == x)
+    return 100 * both >= per_cent * (len(x) + len(y) - both)
+
+
+def _verify(per_cent: int):
+    def run(batches):
         for batch in batches:
-            out = []
-            for a, b, ta, tb in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                x, y = own(a, ta), own(b, tb)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                out.append(100 * both >= per_cent * (len(x) + len(y) - both))
+            good = [_linked(_set(x), _set(y), per_cent)
+                    for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)],
-                                             names=["a", "b"]).filter(pa.array(out, pa.bool_()))
+                                             names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return run
+
+
+def _compare(per_cent: int, least: int):
+    """Links (a, b) that join components within two blocks of one bucket.
+
+    A pair is taken in the first band it shares only, and tested on its full
+    sets unless links found here have joined its components already."""
+    def run(table):
+        ids = table.column("id").combine_chunks()
+        n = len(ids)
+        part = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
+        block = table.column("block").to_numpy()
+        count = table.column("n_shingles").to_numpy()
+        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(n, -1)
+        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(n, -1)
+        sets = [_set(x) for x in table.column("shingles").to_pylist()]
+        band = int(np.argmax(bands[0] == table.column("bucket")[0].as_py()))
+        one_block = table.column("lo")[0] == table.column("hi")[0]
+        root = list(range(int(part.max()) + 1))
+
+        def find(x):
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        a, b = [], []
+        at = np.arange(n)
+        for i in range(n):
+            later = (at > i) & (part != part[i])
+            if not one_block:
+                later &= block != block[i]
+            later &= 100 * np.minimum(count, count[i]) >= per_cent * np.maximum(count, count[i])
+            other = np.flatnonzero(later)
+            other = other[~(bands[other, :band] == bands[i, :band]).any(axis=1)]
+            agree = (sig[other] == sig[i]).sum(axis=1)
+            order = np.argsort(-agree, kind="stable")
+            for j in other[order[: np.count_nonzero(agree >= least)]]:
+                x, y = find(part[i]), find(part[j])
+                if x != y and _linked(sets[i], sets[j], per_cent):
+                    root[x] = y
+                    a.append(i)
+                    b.append(int(j))
+        return pa.table({"a": ids.take(pa.array(a, pa.int64())), "b": ids.take(pa.array(b, pa.int64()))})
 
     return run
 
@@ -159,10 +219,11 @@ def near_dup(docs: DataFrame, *, size: int = 5, per_cent: int = 75) -> DataFrame
     documents that share a band of four SuperMinHash values; a pair at the
     threshold shares none of 32 bands in about 1 of 200,000 cases.
 
-    Texts with equal words are one class.  In a bucket, members are compared
-    with its smallest ids first (1, then 8 times more per round) and only with
-    ids of other components, so a large group of copies costs its size and not
-    its square, and a bucket is left only when all its pairs are settled.
+    Texts with equal words are one class.  First each class meets the smallest
+    id of its buckets, which joins most of a large group at the cost of its
+    size.  Buckets that still hold several components are then compared whole,
+    within tasks: members go to blocks of bounded weight, each pair of blocks
+    is one task's group, and only links that join components leave it.
 
     Null and empty texts, and texts of white space, have the empty set and link
     with nothing; fewer words than ``size`` are one shingle.  A row whose id is
@@ -173,23 +234,20 @@ def near_dup(docs: DataFrame, *, size: int = 5, per_cent: int = 75) -> DataFrame
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     signed = store(docs.mapInArrow(
-        _sign(size), f"doc_id {kind}, n_shingles long, key binary, sig binary, bands array<long>, bits array<long>"))
+        _sign(size), f"doc_id {kind}, n_shingles long, key binary, sig binary, bands array<long>"))
     usable = signed.where("doc_id is not null and key is not null")
     classes = store(usable.groupBy("key").agg(F.min("doc_id").alias("id")))
     reps = (usable.join(classes, "key").where("doc_id = id")
-            .select("id", "n_shingles", "sig", "bands", "bits").dropDuplicates(["id"]))
-    members = reps.select("id", "n_shingles", F.col("bits")[0].alias("s"), F.col("bits")[1].alias("t"),
-                          F.explode("bands").alias("bucket"))
-    large = members.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
-    members = store(members.join(large, "bucket"))
-    most = members.agg(F.max("members")).first()[0] or 0
+            .select("id", "n_shingles", "sig", "bands").dropDuplicates(["id"]))
+    members = reps.select("id", F.explode("bands").alias("bucket"))
+    large = members.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("members")).where("members > 1")
+    members = store(members.join(large.drop("members"), "bucket"))
     label = None
-    if most:
+    if not members.isEmpty():
         ids = members.select("id").distinct()
-        signs = store(reps.drop("bands", "bits").join(ids, "id", "left_semi"))
-        texts = store(docs.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
-                      .dropDuplicates(["id", "text"]))
-        label = _link(members, signs, texts, most, size, per_cent)
+        sets = docs.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi").dropDuplicates(["id", "text"])
+        full = store(reps.join(sets.mapInArrow(_sets(size), f"id {kind}, shingles binary"), "id"))
+        label = _link(members, full, per_cent)
     out = signed.join(classes, "key", "left")
     if label is not None:
         out = out.join(label.withColumnRenamed("node", "id"), "id", "left")
@@ -202,57 +260,46 @@ def near_dup(docs: DataFrame, *, size: int = 5, per_cent: int = 75) -> DataFrame
                     F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
 
 
-def _link(members, signs, texts, most, size, per_cent) -> DataFrame | None:
+def _link(members, full, per_cent) -> DataFrame | None:
     """(node, component) of the verified links; None when there are none."""
-    label, tested = None, None
-    by_id = Window.partitionBy("bucket").orderBy("id")
     least = int(ROWS * (per_cent / 100 - SLACK))
-    # Lowest bits agree in (1 + J) / 2 of the rows; 5 standard deviations below.
-    bits = F.bit_count(F.col("s").bitwiseXOR(F.col("sa"))) + F.bit_count(F.col("t").bitwiseXOR(F.col("ta")))
-    close = bits <= ROWS * (0.5 - per_cent / 200) + 5 * (ROWS * 0.125 * 0.875) ** 0.5
-    alike = 100 * F.least("n_shingles", "na") >= per_cent * F.greatest("n_shingles", "na")
-    pivots, best_only = 1, True
-    while True:
-        rows = members
-        if label is not None:
-            rows = rows.join(label.withColumnRenamed("node", "id"), "id", "left")
-        else:
-            rows = rows.withColumn("component", F.col("id"))
-        rows = rows.withColumn("component", F.coalesce("component", "id"))
-        open_ = store(rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                      .where("low <> high").select("bucket"))
-        rows = rows.join(open_, "bucket", "left_semi")
-        first = (rows.withColumn("rank", F.row_number().over(by_id)).where(F.col("rank") <= pivots)
-                 .select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"),
-                         F.col("n_shingles").alias("na"), F.col("s").alias("sa"), F.col("t").alias("ta")))
-        on = ((F.col("bucket") == F.col("bucket_a")) & (F.col("a") < F.col("id"))
-              & (F.col("component") != F.col("ca")) & alike & close)
-        pairs = (rows.join(first.withColumnRenamed("bucket", "bucket_a"), on)
-                 .select("a", F.col("id").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        sa = signs.select(F.col("id").alias("a"), F.col("sig").alias("sa"))
-        sb = signs.select(F.col("id").alias("b"), F.col("sig").alias("sb"))
-        pairs = (pairs.join(sa, "a").join(sb, "b")
-                 .withColumn("agree", _agreement("sa", "sb")).where(F.col("agree") >= least))
-        if best_only:
-            # First the most promising pair of each document: it settles most.
-            pairs = pairs.groupBy("b").agg(F.max_by("a", "agree").alias("a"))
-        pairs = store(pairs.select("a", "b"))
-        if not pairs.isEmpty():
-            good = store(pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-                         .join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-                         .select("a", "b", "ta", "tb")
-                         .mapInArrow(_verify(size, per_cent), pairs.select("a", "b").schema), 100)
-            tested = pairs if tested is None else tested.union(pairs)
-            if not good.isEmpty():
-                known = good if label is None else good.union(
-                    label.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")))
-                label = store(components(known))
-        if best_only:
-            best_only, pivots = False, min(8, most)
-        elif pivots >= most or members.join(open_, "bucket", "left_semi").where(
-                F.col("members") > pivots).isEmpty():
-            return label
-        else:
-            pivots *= 8
+    ids = members.select("id").schema
+
+    def side(x):
+        return full.select(F.col("id").alias(x), F.col("n_shingles").alias("n" + x), F.col("sig").alias("s" + x))
+
+    # The most promising of the smallest ids that a document meets.
+    alike = 100 * F.least("na", "nb") >= per_cent * F.greatest("na", "nb")
+    best = (members.where("first < id").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+            .join(side("a"), "a").join(side("b"), "b").where(alike)
+            .withColumn("agree", _agreement("sa", "sb")).where(F.col("agree") >= least)
+            .groupBy("b").agg(F.max_by("a", "agree").alias("a")))
+    kind = ids["id"].dataType.simpleString()
+    pairs = (best.join(full.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
+             .join(full.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y"))
+    good = store(pairs.mapInArrow(_verify(per_cent), f"a {kind}, b {kind}"), 100)
+    label = None if good.isEmpty() else store(components(good))
+
+    # What several components still share is compared block by block.
+    rows = members.select("bucket", "id").withColumn("component", F.col("id"))
+    if label is not None:
+        rows = (rows.select("bucket", "id").join(label.withColumnRenamed("node", "id"), "id", "left")
+                .withColumn("component", F.coalesce("component", "id")))
+    rows = rows.join(full.select("id", "n_shingles"), "id")
+    weight = F.sum(F.col("n_shingles") + ROW_WEIGHT)
+    left = (rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                       F.least(F.ceil(weight / BLOCK_WEIGHT), F.count("*")).alias("blocks"))
+            .where("low <> high").select("bucket", "blocks"))
+    rows = (rows.drop("n_shingles").join(left, "bucket")
+            .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+            .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+            .select("bucket", "id", "component", "block", F.least("block", "with").alias("lo"),
+                    F.greatest("block", "with").alias("hi")))
+    found = store(rows.join(full, "id").groupBy("bucket", "lo", "hi")
+                  .applyInArrow(_compare(per_cent, least), f"a {kind}, b {kind}"))
+    if found.isEmpty():
+        return label
+    if label is not None:
+        found = found.union(label.where("node <> component").select(
+            F.col("node").alias("a"), F.col("component").alias("b")))
+    return store(components(found))
