@@ -206,6 +206,17 @@ def test_near_dup_finds_every_link_in_large_buckets(spark):
     assert {r.doc_id: r.component_id for r in got} == {i: min(i, 80) for i in range(120)}
 
 
+def test_near_dup_links_across_blocks(spark, monkeypatch):
+    # A chain of texts that differ in more and more words: most pairs are under the threshold, all are linked.
+    base = [f"b{i}" for i in range(200)]
+    texts = [" ".join([f"x{i}" for i in range(k)] + base[k:]) for k in range(0, 150, 10)]
+    texts += [" ".join(f"y{i}" if i < 90 else w for i, w in enumerate(base))]  # alone: 0.37 with its nearest
+    rows = [(i, t) for i, t in enumerate(texts)]
+    monkeypatch.setattr("tessera.llm.near_dup.BLOCK_WEIGHT", 600)
+    got = near_dup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {**dict.fromkeys(range(15), 0), 15: 15}
+
+
 def test_super_minhash_estimates_jaccard():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**63, 900).astype(np.uint64)
