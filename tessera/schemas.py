@@ -15,6 +15,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# The data contract's columns and types.
 # The raw and cleaned sales record; every field nullable, the cleaned layer
 # changes values, not types.
 SALES_SCHEMA = StructType([
@@ -40,6 +41,7 @@ def sales_schema(*, timestamp_ntz: bool = False) -> StructType:
     return StructType([StructField(f.name, TimestampNTZType(), True) if f.name == "created_at" else f
                        for f in SALES_SCHEMA.fields])
 
+# The contract's column names.
 # Columns that must all be present for a row to enter the cleaned layer.
 CRITICAL_COLUMNS = ["id", "sale_date", "product_id", "customer_id", "quantity", "unit_price"]
 

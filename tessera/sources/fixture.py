@@ -4,7 +4,7 @@ The test folders hold clean TPC-H-like tables; the pipeline needs a raw sales
 feed with the usual dirt (missing values, blanks, padding, lower case, invalid
 quantities and prices, several versions of one sale).  Dirt is a pure function
 of the keys, so every engine derives the same rows; the SQL text in
-``tessera.catalog`` is the same rule for the oracle.
+``tessera.plans.oracle`` is the same rule for the oracle.
 """
 
 from __future__ import annotations
