@@ -39,8 +39,8 @@ class Encoder:
 
     A text is cut at single spaces, where a new piece must start, and the ids
     of each part are kept.  A part of letters and marks is a piece of letters
-    and one of marks, which go straight to the tokenizer's model; all other
-    parts go through the whole tokenizer.
+    and one of marks, which go straight to the tokenizer's model, also on both
+    sides of a line break; all other parts go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -66,17 +66,31 @@ class Encoder:
                 self.words[piece] = out
         return out
 
+    def _simple(self, space: str, part: str) -> bytes | None:
+        """Ids of letters, after ``space``, and marks; None for other parts."""
+        word = part.rstrip(MARKS)
+        if not word.isalpha():
+            return None
+        return self._piece(space + word) + (self._piece(part[len(word):]) if len(word) < len(part) else b"")
+
     def _part(self, part: str) -> bytes:
         """Ids of a space and a part that has no white space at either end."""
-        word = part.rstrip(MARKS)
-        if word.isalpha():
-            out = self._piece(" " + word) + (self._piece(part[len(word):]) if len(word) < len(part) else b"")
-        else:
-            out = self._encode(" " + part)
+        out = self._simple(" ", part)
+        if out is None:
+            # One line break between two such parts is a piece of its own.
+            end, line, start = part.partition("\n")
+            head = self._simple(" ", end) if line else None
+            tail = self._simple("", start) if head is not None else None
+            out = head + self._piece(line) + tail if tail is not None else self._encode(" " + part)
         if len(part) <= CACHED_CHARS:
             self.parts[part] = out
         return out
 
+    def _known(self, parts: list[str]) -> tuple[list, list[int]]:
+        """Ids of the parts met before, None for others, and where those are."""
+        out = list(map(self.parts.get, parts))
+        return out, [i for i, x in enumerate(out) if x is None] if None in out else []
+
     def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Little-endian 32-bit ids of each text."""
         for text in texts:
@@ -84,12 +98,10 @@ class Encoder:
                 if len(cache) > CACHE:
                     cache.clear()
             first, *rest = text.split(" ")
-            out = [self.parts.get(x) for x in rest]
-            missing = [i for i, x in enumerate(out) if x is None]
+            out, missing = self._known(rest)
             if first[-1:].isspace() or any(not (x := rest[i]) or x[0].isspace() or x[-1].isspace() for i in missing):
                 first, *rest = GAP.split(text)
-                out = [self.parts.get(x) for x in rest]
-                missing = [i for i, x in enumerate(out) if x is None]
+                out, missing = self._known(rest)
             for i in missing:
                 out[i] = self._part(rest[i])
             head = self._encode(first) if first else b""
