@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from tessera.session import checkpoint_dir
+
 MONEY = DecimalType(38, 2)
 
 
@@ -66,13 +68,15 @@ def by_region(fact: DataFrame, dim_region: DataFrame) -> DataFrame:
 def top_by_revenue(fact: DataFrame, dim: DataFrame, key: str, n: int = 10) -> DataFrame:
     """The ``n`` keys with the highest revenue (ties: lower key first), with
     their dimension attributes.  The limit is the feature: a top-k report.
-    ``orderBy().limit()`` runs as a per-partition top-k and a merge.  The
-    dimension is then filtered by a semi-join against the ``n`` broadcast keys
+    ``orderBy().limit()`` runs as a per-partition top-k and a merge; its at
+    most ``n`` rows are checkpointed, so the fact is read once.  The dimension is then filtered by a semi-join against the ``n`` broadcast keys
     (streamed once, never shuffled, however large it is), and the at most
     ``n`` matching rows are joined back to the top-k -- a left join, so a key
     missing from the dimension still shows, with NULL attributes."""
     per_key = fact.groupBy(key).agg(*_measures())
     top = per_key.orderBy(F.col("revenue").desc(), F.col(key).asc()).limit(n)
+    checkpoint_dir(fact.sparkSession)
+    top = top.checkpoint(eager=True)
     matched = dim.join(F.broadcast(top.select(key)), key, "left_semi")
     return (top.join(F.broadcast(matched), key, "left")
                .select(*dim.columns, "sales", "units", "revenue"))

@@ -79,11 +79,12 @@ def inconsistent_mappings(df: DataFrame, key: str, value: str,
     """One row: number of ``key`` values mapped to more than one distinct
     non-NULL ``value``.
 
-    "More than one distinct value" is ``min(value) < max(value)``: one plain
-    aggregation, combined on the map side, where ``COUNT(DISTINCT)`` would
-    first de-duplicate ``(key, value)`` pairs in a shuffle of its own."""
-    return (df.groupBy(key).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-              .agg(F.count_if(F.col("_lo") < F.col("_hi")).alias(alias)))
+    The distinct pairs are hashed on the map side, then counted per key.
+    ``min(value) < max(value)`` needs one shuffle less, but a ``min`` of strings
+    is a sort of all rows by key."""
+    pairs = df.where(F.col(value).isNotNull()).select(key, value).distinct()
+    return (pairs.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+                 .agg(F.count_if(F.col("_n") > 1).alias(alias)))
 
 
 def null_profile(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
@@ -101,8 +102,10 @@ def mapping_report(df: DataFrame, key: str, value: str, *, count_alias: str = "n
     with very many values never becomes a single in-memory list."""
     pairs = (df.where(F.col(value).isNotNull())
                .groupBy(key, value).agg(F.count(F.lit(1)).alias(rows_alias)))
-    bad = (pairs.groupBy(key).agg(F.count(F.lit(1)).alias(count_alias))
-                .where(F.col(count_alias) > 1))
+    # Reading the row counts on this side too keeps both sides the same plan,
+    # so the scan and shuffle of the pairs run once and are reused.
+    bad = (pairs.groupBy(key).agg(F.count(F.lit(1)).alias(count_alias), F.min(rows_alias).alias("_least"))
+                .where((F.col(count_alias) > 1) & (F.col("_least") > 0)).drop("_least"))
     return (pairs.join(bad, key)
                  .select(key, count_alias, value, rows_alias)
                  .orderBy(F.col(count_alias).desc(), F.col(key), F.col(value)))

@@ -37,12 +37,18 @@ def dim_date(silver: DataFrame) -> DataFrame:
                           F.month(d).alias("month"), F.dayofmonth(d).alias("day")))
 
 
+def product_names(silver: DataFrame) -> DataFrame:
+    """The distinct (product, name) pairs: two hashed columns, so all but a row
+    per pair and task is gone before any string is compared or shuffled."""
+    return silver.select("product_id", "product_name").distinct()
+
+
 def dim_product(silver: DataFrame, *, partitions: int | None = None) -> DataFrame:
     """One row per product with its (single, gate-checked) name and a dense key.
 
     ``min`` picks the name: equal to any other choice once the mapping gate has
     passed, and deterministic when it has not."""
-    base = silver.groupBy("product_id").agg(F.min("product_name").alias("product_name"))
+    base = product_names(silver).groupBy("product_id").agg(F.min("product_name").alias("product_name"))
     return dense_key(base, "product_id", "product_key", partitions=partitions) \
         .select("product_key", "product_id", "product_name")
 

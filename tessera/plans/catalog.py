@@ -8,19 +8,20 @@ is the feature.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import analysis, cleaning, quality, star
+from tessera.plans import jobs
 from tessera.plans import oracle as sql
-from tessera.plans.layers import Layers
-from tessera.schemas import SALES_COLUMNS, sales_schema
-from tessera.session import checkpoint_dir
+from tessera.plans.layers import Layers, Published
+from tessera.schemas import SALES_COLUMNS, STAR_TABLES, sales_schema
 from tessera.sinks.drops import write_drop
-from tessera.sources.files import read_bronze
+from tessera.sinks.tables import scratch_path
+from tessera.sources.files import latest_drop, read_bronze, read_drops
 from tessera.sources.tables import load
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -57,11 +58,79 @@ def source_extract(spark, root):
 def bronze_scan(spark, root):
     """Raw feed written as a CSV drop (into the shared checkpoint folder), then
     read back with the explicit schema."""
-    drop_root = f"{checkpoint_dir(spark).rstrip('/')}/bronze-drops-{uuid.uuid4().hex}"
-    path = write_drop(Layers(spark, root).bronze, drop_root)
+    path = write_drop(Layers(spark, root).bronze, scratch_path(spark, "drops"))
     return read_bronze(spark, path, schema=sales_schema(timestamp_ntz=True))
 
 
+def _two_drops(spark, root) -> str:
+    """Folder of two drops on two dates: every second sale, then all."""
+    folder = scratch_path(spark, "drops")
+    feed = Layers(spark, root).bronze
+    write_drop(feed.where("id % 2 = 0"), folder, now=datetime(2024, 1, 1, tzinfo=timezone.utc))
+    write_drop(feed, folder, now=datetime(2024, 1, 2, tzinfo=timezone.utc))
+    return folder
+
+
+@query("bronze_scan_split", sql.with_layers("bronze") + f"SELECT {sql.COLS} FROM bronze")
+def bronze_scan_split(spark, root):
+    """The newest of two drops, its files split between tasks (no field of the
+    feed holds a line break)."""
+    return read_bronze(spark, latest_drop(spark, _two_drops(spark, root)),
+                       schema=sales_schema(timestamp_ntz=True), multiline=False)
+
+
+@query("bronze_scan_inferred", sql.with_layers("bronze") + "SELECT count(*) AS rows, "
+       "CAST(sum(id) AS BIGINT) AS ids, CAST(sum(quantity) AS BIGINT) AS quantities, "
+       "min(sale_date) AS first_date, max(sale_date) AS last_date, "
+       "count(DISTINCT product_id) AS products FROM bronze")
+def bronze_scan_inferred(spark, root):
+    """A drop with its types inferred: numbers add up, dates compare."""
+    path = write_drop(Layers(spark, root).bronze, scratch_path(spark, "drops"))
+    return read_bronze(spark, path, schema=None).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("id").cast("long").alias("ids"),
+        F.sum("quantity").cast("long").alias("quantities"), F.min("sale_date").alias("first_date"),
+        F.max("sale_date").alias("last_date"), F.count_distinct("product_id").alias("products"))
+
+
+@query("bronze_drops", sql.with_layers("bronze")
+       + "SELECT DATE '2024-01-01' AS ingestion_date, count(*) FILTER (WHERE id % 2 = 0) AS rows, "
+         "CAST(sum(id) FILTER (WHERE id % 2 = 0) AS BIGINT) AS ids FROM bronze UNION ALL "
+         "SELECT DATE '2024-01-02', count(*), CAST(sum(id) AS BIGINT) FROM bronze")
+def bronze_drops(spark, root):
+    """Rows per dated drop folder."""
+    found = read_drops(spark, _two_drops(spark, root), schema=sales_schema(timestamp_ntz=True))
+    return found.groupBy("ingestion_date").agg(F.count(F.lit(1)).alias("rows"),
+                                               F.sum("id").cast("long").alias("ids"))
+
+
+@query("drop_validation", sql.with_layers("bronze")
+       + "SELECT (SELECT count(*) FROM bronze) AS rows, count(*) AS inconsistent_products FROM (SELECT product_id "
+         "FROM bronze GROUP BY product_id HAVING count(DISTINCT product_name) > 1) t")
+def drop_validation(spark, root):
+    """The validation job on the newest drop; its product names differ by
+    padding, so the gate reports them."""
+    cfg = jobs.PipelineConfig(bronze_root=_two_drops(spark, root), silver_path="", gold_root="")
+    return jobs.drop_checks(spark, latest_drop(spark, cfg.bronze_root), cfg)
+
+
+@query("job_pipeline", sql.with_layers("fact", "dim_date") + "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS table_name, count(*) AS rows FROM {src}" for name, src in (
+        ("sales", "silver"), ("dim_date", "dim_date"), ("dim_product", "dim_product"),
+        ("dim_customer", "dim_customer"), ("dim_region", "dim_region"), ("fact_sales", "fact"))))
+def job_pipeline(spark, root):
+    """Drop, cleaned table, star: the whole chain of jobs over CSV drops, run
+    twice so that published tables are replaced, then read back."""
+    lake = scratch_path(spark, "lake")
+    cfg = jobs.PipelineConfig(bronze_root=f"{lake}/bronze", silver_path=f"{lake}/silver", gold_root=f"{lake}/gold",
+                              bronze_schema=sales_schema(timestamp_ntz=True))
+    feed = Layers(spark, root).bronze
+    jobs.ingest(feed.where("id % 2 = 0"), cfg, now=datetime(2024, 1, 1, tzinfo=timezone.utc))
+    jobs.run_pipeline(spark, cfg)
+    jobs.ingest(feed, cfg, now=datetime(2024, 1, 2, tzinfo=timezone.utc))
+    jobs.run_pipeline(spark, cfg)
+    return _row_counts({t: jobs.read_published(spark, cfg, t) for t in ("sales", *STAR_TABLES)})
+
+
 # ----------------------------------------------------------------- silver ---
 
 @query("silver_dedup", sql.with_layers("bronze") + sql.dedup("bronze"))
@@ -236,35 +305,35 @@ def diagnose_mapping_part_max(spark, root):
 
 @query("gold_dim_date", sql.with_layers("dim_date") + "SELECT * FROM dim_date")
 def gold_dim_date(spark, root):
-    return Layers(spark, root).dim_date
+    return Published(spark, root).dim_date
 
 
 @query("gold_dim_product", sql.with_layers("dim_product") + "SELECT * FROM dim_product")
 def gold_dim_product(spark, root):
-    return Layers(spark, root).dim_product
+    return Published(spark, root).dim_product
 
 
 @query("gold_dim_customer", sql.with_layers("dim_customer") + "SELECT * FROM dim_customer")
 def gold_dim_customer(spark, root):
-    return Layers(spark, root).dim_customer
+    return Published(spark, root).dim_customer
 
 
 @query("gold_dim_region", sql.with_layers("dim_region") + "SELECT * FROM dim_region")
 def gold_dim_region(spark, root):
-    return Layers(spark, root).dim_region
+    return Published(spark, root).dim_region
 
 
 @query("scaled_customer_key", sql.with_layers("dim_customer") + "SELECT * FROM dim_customer")
 def scaled_customer_key(spark, root):
     """Customer keys over many range partitions (more than cores, most of them
     small), to exercise the offset arithmetic across partition boundaries."""
-    return Layers(spark, root, key_partitions=61).dim_customer
+    return star.dim_customer(Published(spark, root).stored_silver, partitions=61)
 
 
 @query("join_date", sql.with_layers("dim_date")
        + "SELECT s.id, s.sale_date, d.date_key FROM silver s LEFT JOIN dim_date d ON s.sale_date = d.full_date")
 def join_date(spark, root):
-    lay = Layers(spark, root)
+    lay = Published(spark, root)
     return star.lookup_key(lay.stored_silver, lay.dim_date, "sale_date", "full_date", "date_key") \
         .select("id", "sale_date", "date_key")
 
@@ -273,7 +342,7 @@ def join_date(spark, root):
        + "SELECT s.id, s.product_id, p.product_key FROM silver s "
          "LEFT JOIN dim_product p ON s.product_id = p.product_id")
 def join_product(spark, root):
-    lay = Layers(spark, root)
+    lay = Published(spark, root)
     return star.lookup_key(lay.stored_silver, lay.dim_product, "product_id", "product_id", "product_key") \
         .select("id", "product_id", "product_key")
 
@@ -282,7 +351,7 @@ def join_product(spark, root):
        + "SELECT s.id, s.customer_id, c.customer_key FROM silver s "
          "LEFT JOIN dim_customer c ON s.customer_id = c.customer_id")
 def join_customer(spark, root):
-    lay = Layers(spark, root)
+    lay = Published(spark, root)
     return star.lookup_key(lay.stored_silver, lay.dim_customer, "customer_id", "customer_id", "customer_key") \
         .select("id", "customer_id", "customer_key")
 
@@ -290,20 +359,20 @@ def join_customer(spark, root):
 @query("join_region", sql.with_layers("dim_region")
        + "SELECT s.id, s.region, r.region_key FROM silver s LEFT JOIN dim_region r ON s.region = r.region_name")
 def join_region(spark, root):
-    lay = Layers(spark, root)
+    lay = Published(spark, root)
     return star.lookup_key(lay.stored_silver, lay.dim_region, "region", "region_name", "region_key") \
         .select("id", "region", "region_key")
 
 
 @query("gold_fact_sales", sql.with_layers("fact") + "SELECT * FROM fact")
 def gold_fact_sales(spark, root):
-    return Layers(spark, root).fact
+    return Published(spark, root).fact
 
 
 @query("gold_fact_sales_joined_date", sql.with_layers("fact", "dim_date") + "SELECT * FROM fact")
 def gold_fact_sales_joined_date(spark, root):
     """Fact with ``date_key`` looked up in ``dim_date`` (the four-join form)."""
-    lay = Layers(spark, root)
+    lay = Published(spark, root)
     return star.fact_sales(lay.stored_silver, lay.dim_product, lay.dim_customer, lay.dim_region,
                            dates=lay.dim_date)
 
@@ -314,7 +383,7 @@ def gold_fact_sales_joined_date(spark, root):
        + "SELECT s.n AS silver_rows, f.n AS fact_rows, abs(s.n - f.n) AS grain_difference "
          "FROM (SELECT count(*) AS n FROM silver) s, (SELECT count(*) AS n FROM fact) f")
 def gate_fact_grain(spark, root):
-    lay = Layers(spark, root)
+    lay = Published(spark, root)
     both = quality.side_by_side({"silver_rows": _rows(lay.stored_silver), "fact_rows": _rows(lay.fact)})
     return both.withColumn("grain_difference", F.abs(F.col("silver_rows") - F.col("fact_rows")))
 
@@ -322,7 +391,7 @@ def gate_fact_grain(spark, root):
 @query("gate_fk_nulls", sql.with_layers("fact") + "SELECT " + ", ".join(
     f"count(*) FILTER (WHERE {k} IS NULL) AS null_{k}" for k in quality.FACT_KEY_COLUMNS) + " FROM fact")
 def gate_fk_nulls(spark, root):
-    return quality.count_violations(Layers(spark, root).fact,
+    return quality.count_violations(Published(spark, root).fact,
                                     [quality.null_key(k) for k in quality.FACT_KEY_COLUMNS], rows=None)
 
 
@@ -334,11 +403,15 @@ def gate_fk_nulls(spark, root):
 def gate_fk_orphans(spark, root):
     """Fact keys with no dimension row, one left-anti join per dimension; the
     four one-row counts come back as one row (``side_by_side``)."""
-    lay = Layers(spark, root)
+    lay = Published(spark, root)
+    return _orphans(lay.fact, lay)
+
+
+def _orphans(fact: DataFrame, lay: Published) -> DataFrame:
     dims = {"date_key": lay.dim_date, "product_key": lay.dim_product,
             "customer_key": lay.dim_customer, "region_key": lay.dim_region}
     return quality.side_by_side({
-        f"orphan_{k}": (lay.fact.where(F.col(k).isNotNull()).select(k)
+        f"orphan_{k}": (fact.where(F.col(k).isNotNull()).select(k)
                         .join(dim.select(k), k, "left_anti").agg(F.count(F.lit(1))))
         for k, dim in dims.items()})
 
@@ -347,13 +420,13 @@ def gate_fk_orphans(spark, root):
        + "SELECT count(*) AS duplicate_sale_ids FROM (SELECT sale_id FROM fact GROUP BY sale_id "
          "HAVING count(*) > 1) t")
 def gate_duplicate_sale_ids(spark, root):
-    return quality.duplicate_keys(Layers(spark, root).fact, "sale_id", "duplicate_sale_ids")
+    return quality.duplicate_keys(Published(spark, root).fact, "sale_id", "duplicate_sale_ids")
 
 
 @query("gate_negative_amount", sql.with_layers("fact")
        + "SELECT count(*) FILTER (WHERE total_amount < 0) AS negative_amount FROM fact")
 def gate_negative_amount(spark, root):
-    return quality.count_violations(Layers(spark, root).fact, [quality.negative_amount()], rows=None)
+    return quality.count_violations(Published(spark, root).fact, [quality.negative_amount()], rows=None)
 
 
 @query("gold_row_checks", sql.with_layers("fact") + "SELECT count(*) AS rows, "
@@ -362,7 +435,7 @@ def gate_negative_amount(spark, root):
 def gold_row_checks(spark, root):
     """Every row-level gate of the fact from one scan."""
     checks = [quality.null_key(k) for k in quality.FACT_KEY_COLUMNS] + [quality.negative_amount()]
-    return quality.count_violations(Layers(spark, root).fact, checks)
+    return quality.count_violations(Published(spark, root).fact, checks)
 
 
 @query("reconcile_rows", sql.with_layers("fact")
@@ -371,7 +444,7 @@ def gold_row_checks(spark, root):
          "(SELECT count(*) FROM (SELECT sale_id, quantity, unit_price FROM fact EXCEPT ALL "
          "SELECT id, quantity, unit_price FROM silver) b) AS extra_rows")
 def reconcile_rows(spark, root):
-    lay = Layers(spark, root)
+    lay = Published(spark, root)
     return quality.reconcile(lay.stored_silver.withColumnRenamed("id", "sale_id"), lay.fact,
                              ["sale_id", "quantity", "unit_price"])
 
@@ -388,7 +461,7 @@ def _counts_sql(tables: dict[str, str], columns: dict[str, int] | None = None) -
 @query("layer_row_counts", sql.with_layers("fact") + _counts_sql(
     {"bronze": "bronze", "silver": "silver", "fact_sales": "fact"}))
 def layer_row_counts(spark, root):
-    lay = Layers(spark, root)
+    lay = Published(spark, root)
     return _row_counts({"bronze": lay.bronze, "silver": lay.stored_silver, "fact_sales": lay.fact})
 
 
@@ -409,20 +482,20 @@ _STAR = {"dim_date": "dim_date", "dim_product": "dim_product", "dim_customer": "
 
 @query("star_summary", sql.with_layers("fact", "dim_date") + _counts_sql(_STAR))
 def star_summary(spark, root):
-    lay = Layers(spark, root)
+    lay = Published(spark, root)
     return _row_counts({n: lay.table(n) for n in _STAR})
 
 
 @query("inspect_row_counts", sql.with_layers("fact", "dim_date") + _counts_sql(
     _STAR, {"dim_date": 6, "dim_product": 3, "dim_customer": 2, "dim_region": 2, "fact_sales": 9}))
 def inspect_row_counts(spark, root):
-    lay = Layers(spark, root)
+    lay = Published(spark, root)
     return _row_counts({n: lay.table(n) for n in _STAR}, with_columns=True)
 
 
 @query("preview_top10", sql.with_layers("fact") + "SELECT * FROM fact ORDER BY sale_id LIMIT 10")
 def preview_top10(spark, root):
-    return Layers(spark, root).fact.orderBy("sale_id").limit(10)
+    return Published(spark, root).fact.orderBy("sale_id").limit(10)
 
 
 _MEASURES = ("count(*) AS sales, CAST(sum(quantity) AS BIGINT) AS units, "
@@ -433,7 +506,7 @@ _MEASURES = ("count(*) AS sales, CAST(sum(quantity) AS BIGINT) AS units, "
        + f"SELECT *, CAST(round(revenue / sales, 2) AS DECIMAL(38,2)) AS avg_basket FROM "
          f"(SELECT {_MEASURES} FROM fact) t")
 def bi_kpis(spark, root):
-    return analysis.kpis(Layers(spark, root).fact)
+    return analysis.kpis(Published(spark, root).fact)
 
 
 @query("bi_by_month", sql.with_layers("fact", "dim_date")
@@ -441,7 +514,7 @@ def bi_kpis(spark, root):
          "CAST(sum(f.total_amount) AS DECIMAL(38,2)) AS revenue FROM fact f "
          "LEFT JOIN dim_date d ON f.date_key = d.date_key GROUP BY d.year, d.quarter, d.month")
 def bi_by_month(spark, root):
-    lay = Layers(spark, root)
+    lay = Published(spark, root)
     return analysis.by_month(lay.fact, lay.dim_date)
 
 
@@ -449,7 +522,7 @@ def bi_by_month(spark, root):
        + f"SELECT f.date_key, d.full_date, {_MEASURES.replace('quantity', 'f.quantity')} FROM fact f "
          "LEFT JOIN dim_date d ON f.date_key = d.date_key GROUP BY f.date_key, d.full_date")
 def bi_by_date(spark, root):
-    lay = Layers(spark, root)
+    lay = Published(spark, root)
     return analysis.by_date(lay.fact, lay.dim_date)
 
 
@@ -458,7 +531,7 @@ def bi_by_date(spark, root):
          f"(SELECT product_key, {_MEASURES} FROM fact GROUP BY product_key) t "
          f"LEFT JOIN dim_product p ON t.product_key = p.product_key")
 def bi_by_product(spark, root):
-    lay = Layers(spark, root)
+    lay = Published(spark, root)
     return analysis.by_key(lay.fact, lay.dim_product, "product_key")
 
 
@@ -467,7 +540,7 @@ def bi_by_product(spark, root):
          f"(SELECT customer_key, {_MEASURES} FROM fact GROUP BY customer_key) t "
          f"LEFT JOIN dim_customer c ON t.customer_key = c.customer_key")
 def bi_by_customer(spark, root):
-    lay = Layers(spark, root)
+    lay = Published(spark, root)
     return analysis.by_key(lay.fact, lay.dim_customer, "customer_key")
 
 
@@ -475,7 +548,7 @@ def bi_by_customer(spark, root):
        + f"SELECT f.region_key, r.region_name, {_MEASURES.replace('quantity', 'f.quantity')} FROM fact f "
          "LEFT JOIN dim_region r ON f.region_key = r.region_key GROUP BY f.region_key, r.region_name")
 def bi_by_region(spark, root):
-    lay = Layers(spark, root)
+    lay = Published(spark, root)
     return analysis.by_region(lay.fact, lay.dim_region)
 
 
@@ -484,7 +557,7 @@ def bi_by_region(spark, root):
          f"(SELECT product_key, {_MEASURES} FROM fact GROUP BY product_key "
          f"ORDER BY revenue DESC, product_key LIMIT 10) t LEFT JOIN dim_product p ON t.product_key = p.product_key")
 def bi_top_products(spark, root):
-    lay = Layers(spark, root)
+    lay = Published(spark, root)
     return analysis.top_by_revenue(lay.fact, lay.dim_product, "product_key")
 
 
@@ -494,7 +567,7 @@ def bi_top_products(spark, root):
          f"ORDER BY revenue DESC, customer_key LIMIT 10) t "
          f"LEFT JOIN dim_customer c ON t.customer_key = c.customer_key")
 def bi_top_customers(spark, root):
-    lay = Layers(spark, root)
+    lay = Published(spark, root)
     return analysis.top_by_revenue(lay.fact, lay.dim_customer, "customer_key")
 
 
@@ -505,5 +578,97 @@ def bi_top_customers(spark, root):
          "LEFT JOIN dim_date d ON f.date_key = d.date_key LEFT JOIN dim_region r ON f.region_key = r.region_key "
          "GROUP BY CUBE (r.region_name, d.year)")
 def bi_region_year_cube(spark, root):
-    lay = Layers(spark, root)
+    lay = Published(spark, root)
     return analysis.region_year_cube(lay.fact, lay.dim_region, lay.dim_date)
+
+
+# ----------------------------------------------------------- damaged star ---
+#
+# The published star passes its gates, so the same checks also run on a copy
+# of the fact with deliberate damage, by sale id.
+
+_DAMAGED = (",\ndamaged AS (SELECT sale_id, CASE WHEN sale_id % 29 = 0 THEN NULL ELSE date_key END AS date_key, "
+            "CASE WHEN sale_id % 17 = 0 THEN product_key + 100000000 WHEN sale_id % 13 = 0 THEN NULL "
+            "ELSE product_key END AS product_key, customer_key, "
+            "CASE WHEN sale_id % 31 = 0 THEN -1 ELSE region_key END AS region_key, quantity, unit_price, "
+            "CASE WHEN sale_id % 23 = 0 THEN -total_amount ELSE total_amount END AS total_amount "
+            "FROM fact WHERE sale_id % 37 <> 0 "
+            "UNION ALL SELECT sale_id, date_key, product_key, customer_key, region_key, quantity, unit_price, "
+            "total_amount FROM fact WHERE sale_id % 19 = 0)\n")
+
+
+def _damaged_sql(*layers: str) -> str:
+    return sql.with_layers(*layers).rstrip("\n") + _DAMAGED
+
+
+def _damaged(lay: Published) -> DataFrame:
+    """The fact with missing and unknown keys, negated amounts, lost and repeated sales."""
+    def bad(n):
+        return F.col("sale_id") % n == 0
+
+    fact = lay.fact.drop("created_at")
+    changed = fact.where(~bad(37)).withColumns({
+        "date_key": F.when(~bad(29), F.col("date_key")),
+        "product_key": F.when(bad(17), F.col("product_key") + 100_000_000).when(~bad(13), F.col("product_key")),
+        "region_key": F.when(bad(31), -1).otherwise(F.col("region_key")),
+        "total_amount": F.when(bad(23), -F.col("total_amount")).otherwise(F.col("total_amount"))})
+    return changed.unionByName(fact.where(bad(19)))
+
+
+@query("damaged_row_checks", _damaged_sql("fact") + "SELECT count(*) AS rows, "
+       + ", ".join(f"count(*) FILTER (WHERE {k} IS NULL) AS null_{k}" for k in quality.FACT_KEY_COLUMNS)
+       + ", count(*) FILTER (WHERE total_amount < 0) AS negative_amount FROM damaged")
+def damaged_row_checks(spark, root):
+    checks = [quality.null_key(k) for k in quality.FACT_KEY_COLUMNS] + [quality.negative_amount()]
+    return quality.count_violations(_damaged(Published(spark, root)), checks)
+
+
+@query("damaged_fk_orphans", _damaged_sql("fact", "dim_date") + "SELECT " + ", ".join(
+    f"(SELECT count(*) FROM damaged f WHERE f.{k} IS NOT NULL AND NOT EXISTS "
+    f"(SELECT 1 FROM {d} x WHERE x.{k} = f.{k})) AS orphan_{k}"
+    for k, d in (("date_key", "dim_date"), ("product_key", "dim_product"),
+                 ("customer_key", "dim_customer"), ("region_key", "dim_region"))))
+def damaged_fk_orphans(spark, root):
+    lay = Published(spark, root)
+    return _orphans(_damaged(lay), lay)
+
+
+@query("damaged_duplicate_sale_ids", _damaged_sql("fact")
+       + "SELECT count(*) AS duplicate_sale_ids FROM (SELECT sale_id FROM damaged GROUP BY sale_id "
+         "HAVING count(*) > 1) t")
+def damaged_duplicate_sale_ids(spark, root):
+    return quality.duplicate_keys(_damaged(Published(spark, root)), "sale_id", "duplicate_sale_ids")
+
+
+@query("damaged_grain", _damaged_sql("fact")
+       + "SELECT s.n AS silver_rows, f.n AS fact_rows, abs(s.n - f.n) AS grain_difference "
+         "FROM (SELECT count(*) AS n FROM silver) s, (SELECT count(*) AS n FROM damaged) f")
+def damaged_grain(spark, root):
+    lay = Published(spark, root)
+    both = quality.side_by_side({"silver_rows": _rows(lay.stored_silver), "fact_rows": _rows(_damaged(lay))})
+    return both.withColumn("grain_difference", F.abs(F.col("silver_rows") - F.col("fact_rows")))
+
+
+@query("damaged_reconcile", _damaged_sql("fact")
+       + "SELECT (SELECT count(*) FROM (SELECT id, quantity, unit_price FROM silver EXCEPT ALL "
+         "SELECT sale_id, quantity, unit_price FROM damaged) a) AS missing_rows, "
+         "(SELECT count(*) FROM (SELECT sale_id, quantity, unit_price FROM damaged EXCEPT ALL "
+         "SELECT id, quantity, unit_price FROM silver) b) AS extra_rows")
+def damaged_reconcile(spark, root):
+    lay = Published(spark, root)
+    return quality.reconcile(lay.stored_silver.withColumnRenamed("id", "sale_id"), _damaged(lay),
+                             ["sale_id", "quantity", "unit_price"])
+
+
+@query("damaged_totals", _damaged_sql("fact", "dim_date") + "\nUNION ALL\n".join(
+    f"SELECT '{report}' AS report, count(*) AS sales, CAST(sum(total_amount) AS DECIMAL(38,2)) AS revenue "
+    "FROM damaged" for report in ("kpis", "month", "cube")))
+def damaged_totals(spark, root):
+    """Totals of three reports agree although sales lack a date or a known region."""
+    lay = Published(spark, root)
+    fact = _damaged(lay)
+    cube = analysis.region_year_cube(fact, lay.dim_region, lay.dim_date).where("grouping_level = 0")
+    parts = {"kpis": analysis.kpis(fact), "month": analysis.by_month(fact, lay.dim_date), "cube": cube}
+    return _union_layers({n: df.agg(F.sum("sales").cast("long").alias("sales"),
+                                    F.sum("revenue").cast(analysis.MONEY).alias("revenue"))
+                          for n, df in parts.items()}).withColumnRenamed("layer", "report")

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import logging
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from pyspark.sql.types import StructType
 from tessera.operators import cleaning, quality, star
 from tessera.operators.keys import dense_key
 from tessera.plans.parallel import run_concurrently
-from tessera.schemas import SALES_SCHEMA, STAR_TABLES
+from tessera.schemas import SALES_SCHEMA, STAR_SCHEMAS, STAR_TABLES, check_schema
 from tessera.sinks import tables as sink
 from tessera.sinks.bi import BI_BATCH_SIZE, BI_WRITERS, load_star
 from tessera.sinks.drops import write_drop
@@ -37,8 +37,11 @@ class PipelineConfig:
     silver_path: str
     gold_root: str
     table_format: str = "parquet"          # "delta" when its jar is on the classpath
+    catalog: str | None = None             # catalog database: tables sales, dim_*, fact_sales in it, each
+                                           # run a new folder under the paths, switched to once it is checked
     bronze_schema: StructType | None = SALES_SCHEMA   # None = infer types (extra pass)
     enforce_header: bool = False           # fail when a drop's header differs from the schema
+    csv_multiline: bool = True             # False: no line breaks inside fields, files are split between tasks
     strict_reference_order: bool = False   # de-duplicate before filtering
     variant: str = "standard"              # "basic": only a missing id drops a row, blanks stay
     expected_rows: int | None = None       # exact raw row count the newest drop must hold
@@ -48,11 +51,41 @@ class PipelineConfig:
     bi: JdbcConfig | None = None
     bi_batch_size: int = BI_BATCH_SIZE
     bi_partitions: int = BI_WRITERS
-    extra: dict = field(default_factory=dict)
 
     def gold_path(self, table: str) -> str:
         return f"{self.gold_root.rstrip('/')}/{table}"
 
+    def path(self, table: str) -> str:
+        """Path of ``sales`` (the cleaned table) or of a star table."""
+        return self.silver_path if table == "sales" else self.gold_path(table)
+
+
+def read_published(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFrame:
+    """The current ``sales`` (cleaned table) or star table."""
+    if cfg.catalog:
+        return spark.table(f"{cfg.catalog}.{table}")
+    return read_table(spark, cfg.path(table), cfg.table_format)
+
+
+def _staging(cfg: PipelineConfig, table: str) -> str:
+    run = uuid.uuid4().hex[:12]
+    path = cfg.path(table)
+    return f"{path.rstrip('/')}/run_{run}" if cfg.catalog else sink.staging_path(path, run)
+
+
+def _publish(spark: SparkSession, cfg: PipelineConfig, table: str, staged: str, rows: int,
+             schema: StructType) -> None:
+    """Publish a staged table of ``rows`` rows, checked before and after."""
+    def check(path: str, fmt: str) -> None:
+        sink.verify_commit(spark, path, table_format=fmt)
+        sink.verify_table(spark, path, rows, table_format=fmt, schema=schema)
+
+    if cfg.catalog:
+        check(staged, cfg.table_format)
+        sink.switch_location(spark, f"{cfg.catalog}.{table}", staged, schema, table_format=cfg.table_format)
+    else:
+        sink.publish(spark, staged, cfg.path(table), table_format=cfg.table_format, schema=schema, check=check)
+
 
 def _one_row(parts: dict[str, DataFrame]) -> dict:
     """Collect several one-row, one-column aggregates with a single action."""
@@ -67,20 +100,21 @@ def ingest(source: DataFrame, cfg: PipelineConfig, *, now=None, min_files: int |
     return write_drop(source, cfg.bronze_root, now=now, min_files=min_files)
 
 
+def drop_checks(spark: SparkSession, path: str, cfg: PipelineConfig) -> DataFrame:
+    """One row on a drop, types inferred: its rows and the products with more
+    than one name.  Both come from the distinct (product, name) pairs, counted
+    in one scan."""
+    raw = read_bronze(spark, path, schema=None, multiline=cfg.csv_multiline)
+    pairs = raw.groupBy("product_id", "product_name").agg(F.count(F.lit(1)).alias("_n"))
+    per_product = pairs.groupBy("product_id").agg(F.sum("_n").alias("_n"), F.count("product_name").alias("_names"))
+    return per_product.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"),
+                           F.count_if(F.col("_names") > 1).alias("inconsistent_products"))
+
+
 def validate_drop(spark: SparkSession, cfg: PipelineConfig) -> dict:
-    """Newest drop, types inferred: exact row count (if configured) and the
-    product → name mapping, from one aggregation each."""
+    """Newest drop: exact row count (if configured) and one name per product."""
     path = latest_drop(spark, cfg.bronze_root)
-    raw = read_bronze(spark, path, schema=None)
-    # Row count and the one-name-per-product check from one scan of the drop:
-    # per product its rows and lowest/highest name, then one global roll-up.
-    per_product = raw.groupBy("product_id").agg(F.count(F.lit(1)).alias("_n"),
-                                                F.min("product_name").alias("_lo"),
-                                                F.max("product_name").alias("_hi"))
-    found = per_product.agg(F.sum("_n").cast("long").alias("rows"),
-                            F.count_if(F.col("_lo") < F.col("_hi")).alias("inconsistent_products")
-                            ).first().asDict()
-    found["rows"] = found["rows"] or 0
+    found = drop_checks(spark, path, cfg).first().asDict()
     gates = ["inconsistent_products"]
     if cfg.expected_rows is not None:
         found["row_count_mismatch"] = abs(found["rows"] - cfg.expected_rows)
@@ -98,11 +132,13 @@ SILVER_KEY_GATES = ("duplicate_ids", "inconsistent_products")
 def _stage_silver(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame, silver: DataFrame,
                   seen: Observation, staged: str, source: str | None) -> dict:
     """Write the cleaned table to ``staged`` and run every gate on it."""
-    written = sink.write_table(silver, staged, table_format=cfg.table_format,
+    check_schema(silver, SALES_SCHEMA)
+    fmt = sink.staging_format(cfg.table_format)
+    written = sink.write_table(silver, staged, table_format=fmt,
                                metrics=[F.count_if(c.violates).alias(c.name)
                                         for c in (quality.invalid_quantity(), quality.invalid_price())])
     bronze_rows = int(seen.get["bronze_rows"])
-    stored = sink.read_back(spark, staged, silver.schema, table_format=cfg.table_format)
+    stored = sink.read_back(spark, staged, silver.schema, table_format=fmt)
     keys = _one_row({
         "duplicate_ids": quality.duplicate_keys(stored, "id"),
         "inconsistent_products": quality.inconsistent_mappings(stored, "product_id", "product_name"),
@@ -136,7 +172,8 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, *, bronze: DataFr
     source = None
     if bronze is None:
         source = latest_drop(spark, cfg.bronze_root)
-        bronze = read_bronze(spark, source, schema=cfg.bronze_schema, enforce_header=cfg.enforce_header)
+        bronze = read_bronze(spark, source, schema=cfg.bronze_schema, enforce_header=cfg.enforce_header,
+                             multiline=cfg.csv_multiline)
     seen = Observation()
     observed = bronze.observe(seen, F.count(F.lit(1)).alias("bronze_rows"))
     if cfg.variant == "basic":
@@ -145,17 +182,14 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, *, bronze: DataFr
         silver = cleaning.build_silver(observed, strict_reference_order=cfg.strict_reference_order)
     else:
         raise ValueError(f"unknown cleaning variant {cfg.variant!r}")
-    staged = sink.staging_path(cfg.silver_path, uuid.uuid4().hex[:12])
+    staged = _staging(cfg, "sales")
     log.info("cleaned layer: reading %s", source or "given raw rows")
     try:
         report = _stage_silver(spark, cfg, bronze, silver, seen, staged, source)
     except Exception:
         sink.discard(spark, staged)  # a failed write or gate leaves nothing behind
         raise
-    sink.publish(spark, staged, cfg.silver_path)
-    sink.verify_table(spark, cfg.silver_path, report["silver_rows"], table_format=cfg.table_format,
-                      schema=silver.schema)
-    sink.verify_commit(spark, cfg.silver_path, table_format=cfg.table_format)
+    _publish(spark, cfg, "sales", staged, report["silver_rows"], silver.schema)
     log.info("cleaned layer published: %s raw rows -> %s rows", report["bronze_rows"], report["silver_rows"])
     return report
 
@@ -170,25 +204,32 @@ def build_star(silver: DataFrame, cfg: PipelineConfig, staged: dict[str, str]) -
     (keys in fact and dimensions come from the same files).  Returns the
     observed metrics of every write."""
     spark = silver.sparkSession
-    fmt = cfg.table_format
+    fmt = sink.staging_format(cfg.table_format)
     metrics: dict[str, dict] = {}
 
     def product() -> dict:
-        # The product-name gate rides on the dimension build: "several names"
-        # (min < max) comes from the same aggregation that picks the name.
-        base = silver.groupBy("product_id").agg(
+        # The product-name gate rides on the dimension build: the name and the
+        # number of names come from the same distinct pairs.
+        base = star.product_names(silver).groupBy("product_id").agg(
             F.min("product_name").alias("product_name"),
-            (F.min("product_name") < F.max("product_name")).alias("_several_names"))
+            (F.count("product_name") > 1).alias("_several_names"))
         keyed = dense_key(base, "product_id", "product_key", partitions=cfg.key_partitions)
-        return _write_dim_product(keyed, staged["dim_product"], fmt)
+        seen = Observation()
+        out = (keyed.observe(seen, F.count_if(F.col("_several_names")).alias("inconsistent_products"))
+                    .select("product_key", "product_id", "product_name"))
+        return {**write_dim("dim_product", out),
+                "inconsistent_products": int(seen.get["inconsistent_products"])}
+
+    def write_dim(table: str, dim: DataFrame) -> dict:
+        check_schema(dim, STAR_SCHEMAS[table])
+        return sink.write_table(dim, staged[table], table_format=fmt)
 
     builders = {
-        "dim_date": lambda: sink.write_table(star.dim_date(silver), staged["dim_date"], table_format=fmt),
+        "dim_date": lambda: write_dim("dim_date", star.dim_date(silver)),
         "dim_product": product,
-        "dim_customer": lambda: sink.write_table(star.dim_customer(silver, partitions=cfg.key_partitions),
-                                                 staged["dim_customer"], table_format=fmt),
-        "dim_region": lambda: sink.write_table(star.dim_region(silver, partitions=cfg.key_partitions),
-                                               staged["dim_region"], table_format=fmt),
+        "dim_customer": lambda: write_dim("dim_customer",
+                                          star.dim_customer(silver, partitions=cfg.key_partitions)),
+        "dim_region": lambda: write_dim("dim_region", star.dim_region(silver, partitions=cfg.key_partitions)),
     }
     # Fact sale ids are the cleaned ids: the fact is the cleaned table LEFT
     # JOINed to dimensions, which can only add rows, never drop them, so once
@@ -209,29 +250,25 @@ def build_star(silver: DataFrame, cfg: PipelineConfig, staged: dict[str, str]) -
                            stored["dim_product"], stored["dim_customer"], stored["dim_region"],
                            dim_rows={t: m["rows"] for t, m in metrics.items() if t.startswith("dim_")},
                            max_broadcast_bytes=cfg.max_broadcast_bytes)
+    check_schema(fact, STAR_SCHEMAS["fact_sales"])
     checks = ([quality.null_key(k) for k in quality.FACT_KEY_COLUMNS]
               + [quality.negative_amount(), quality.null_amount()])
     metrics["fact_sales"] = sink.write_table(
         fact, staged["fact_sales"], table_format=fmt,
         metrics=[F.count_if(c.violates).alias(c.name) for c in checks])
-    metrics["fact_sales"]["silver_rows"] = int(seen.get["silver_rows"])
+    # Seen below the joins: with a shuffled join that is a map stage, which a
+    # lost executor can run twice, so a difference is confirmed by a count.
+    silver_rows = int(seen.get["silver_rows"])
+    if silver_rows != metrics["fact_sales"]["rows"]:
+        silver_rows = silver.count()
+    metrics["fact_sales"]["silver_rows"] = silver_rows
     return metrics
 
 
-def _write_dim_product(product: DataFrame, path: str, fmt: str) -> dict:
-    seen = Observation()
-    out = (product.observe(seen, F.count_if(F.col("_several_names")).alias("inconsistent_products"))
-                  .select("product_key", "product_id", "product_name"))
-    m = sink.write_table(out, path, table_format=fmt)
-    m["inconsistent_products"] = int(seen.get["inconsistent_products"])
-    return m
-
-
 def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict:
     """Cleaned table → star schema (4 dimensions + fact), gated, then published."""
-    silver = read_table(spark, cfg.silver_path, cfg.table_format)
-    run = uuid.uuid4().hex[:12]
-    staged = {t: sink.staging_path(cfg.gold_path(t), run) for t in STAR_TABLES}
+    silver = read_published(spark, cfg, "sales")
+    staged = {t: _staging(cfg, t) for t in STAR_TABLES}
     try:
         m = build_star(silver, cfg, staged)
         dup = m["duplicate_sale_ids"]
@@ -255,15 +292,9 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict:
         raise
     # Dimensions first, the fact last: a reader never sees a fact whose keys
     # are missing from the published dimensions of the same run.
-    for t in STAR_TABLES:
-        sink.publish(spark, staged[t], cfg.gold_path(t))
-
-    def verify(t):
-        sink.verify_commit(spark, cfg.gold_path(t), table_format=cfg.table_format)
-        return sink.verify_table(spark, cfg.gold_path(t), report["rows"][t], table_format=cfg.table_format,
-                                 schema=schemas[t])
-
-    run_concurrently(spark, {t: (lambda t=t: verify(t)) for t in STAR_TABLES})
+    run_concurrently(spark, {t: (lambda t=t: _publish(spark, cfg, t, staged[t], report["rows"][t], schemas[t]))
+                             for t in STAR_TABLES if t != "fact_sales"})
+    _publish(spark, cfg, "fact_sales", staged["fact_sales"], report["rows"]["fact_sales"], schemas["fact_sales"])
     log.info("star published: %s", report["rows"])
     return report
 
@@ -275,7 +306,7 @@ def gold_to_bi(spark: SparkSession, cfg: PipelineConfig) -> dict:
     if cfg.bi is None:
         raise ValueError("no BI database configured")
     probe(spark, cfg.bi)
-    tables = {t: read_table(spark, cfg.gold_path(t), cfg.table_format) for t in STAR_TABLES}
+    tables = {t: read_published(spark, cfg, t) for t in STAR_TABLES}
     expected = _one_row({t: df.agg(F.count(F.lit(1))) for t, df in tables.items()})
     return load_star(spark, tables, cfg.bi, expected, batch_size=cfg.bi_batch_size,
                      num_partitions=cfg.bi_partitions)
@@ -286,8 +317,8 @@ def gold_to_bi(spark: SparkSession, cfg: PipelineConfig) -> dict:
 def validate_silver(spark: SparkSession, cfg: PipelineConfig) -> dict:
     """Report (never raise): schema, raw vs cleaned rows, duplicate ids, NULLs
     per column, invalid quantities and prices of the stored cleaned table."""
-    silver = read_table(spark, cfg.silver_path, cfg.table_format)
-    raw = read_bronze(spark, latest_drop(spark, cfg.bronze_root), schema=None)
+    silver = read_published(spark, cfg, "sales")
+    raw = read_bronze(spark, latest_drop(spark, cfg.bronze_root), schema=None, multiline=cfg.csv_multiline)
     checks = [f() for f in quality.SALES_ROW_CHECKS]
     # Violations and the NULL profile are plain aggregates: one scan for both.
     null_checks = [quality.Check(f"_null_{c}", F.col(c).isNull()) for c in silver.columns]
@@ -306,7 +337,7 @@ def diagnose_mapping(spark: SparkSession, cfg: PipelineConfig, *, limit: int = 1
     """Products with more than one name in the cleaned table (worst first).
     The result holds ``limit`` rows to look at; ``report_path`` gets them all,
     as Parquet."""
-    silver = read_table(spark, cfg.silver_path, cfg.table_format)
+    silver = read_published(spark, cfg, "sales")
     # How many products are inconsistent and the worst case, from one aggregation.
     per_product = silver.groupBy("product_id").agg(F.count_distinct("product_name").alias("_n"))
     summary = per_product.agg(
@@ -322,7 +353,7 @@ def inspect_gold(spark: SparkSession, cfg: PipelineConfig, *, preview: int = 5)
     """Row count, schema and a few rows of every star table."""
     out = {}
     for t in STAR_TABLES:
-        df = read_table(spark, cfg.gold_path(t), cfg.table_format)
+        df = read_published(spark, cfg, t)
         out[t] = {"rows": df.count(), "schema": [tuple(r) for r in sink.describe_table(df).collect()],
                   "preview": [r.asDict() for r in df.limit(preview).collect()]}
     return out
@@ -376,10 +407,10 @@ def register_views(spark: SparkSession, cfg: PipelineConfig, *, prefix: str = ""
     can query them with ``spark.sql``.  Nothing is read until a query runs."""
     names = []
     if cfg.silver_path:
-        read_table(spark, cfg.silver_path, cfg.table_format).createOrReplaceTempView(f"{prefix}sales")
+        read_published(spark, cfg, "sales").createOrReplaceTempView(f"{prefix}sales")
         names.append(f"{prefix}sales")
     if cfg.gold_root:
         for t in STAR_TABLES:
-            read_table(spark, cfg.gold_path(t), cfg.table_format).createOrReplaceTempView(f"{prefix}{t}")
+            read_published(spark, cfg, t).createOrReplaceTempView(f"{prefix}{t}")
             names.append(f"{prefix}{t}")
     return names

@@ -1,9 +1,9 @@
-"""Lazy access to every layer of one data folder, for ad-hoc queries.
+"""Access to every layer of one data folder.
 
 ``Layers(spark, root)`` derives the raw feed from the folder's tables and
 builds the cleaned layer and the star on demand; each property is planned once
-per instance.  The production path (``tessera.plans.jobs``) writes each layer
-and reads it back instead.
+per instance.  ``Published(spark, root)`` has the same properties, read from
+the tables that the production jobs (``tessera.plans.jobs``) publish.
 """
 
 from __future__ import annotations
@@ -13,9 +13,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators import cleaning, star
+from tessera.plans import jobs
 from tessera.plans.parallel import run_concurrently
-from tessera.session import checkpoint_dir
-from tessera.sources.fixture import bronze_from_tables
+from tessera.sinks.tables import modification_times, path_exists, scratch_path, store
+from tessera.sources.fixture import FEED_TABLES, bronze_from_tables
+from tessera.sources.tables import table_path
 
 
 class Layers:
@@ -34,11 +36,10 @@ class Layers:
 
     @cached_property
     def stored_silver(self) -> DataFrame:
-        """The cleaned layer written once to the checkpoint folder: the four
-        dimensions and the fact all read it, instead of each re-deriving it
-        from the raw joins and the de-duplication."""
-        checkpoint_dir(self.spark)
-        return self.silver.checkpoint(eager=True)
+        """The cleaned layer written once as Parquet to the checkpoint folder:
+        the four dimensions and the fact all read their columns of it, instead
+        of each re-deriving it from the raw joins and the de-duplication."""
+        return store(self.silver, "silver")
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -72,3 +73,37 @@ class Layers:
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, "fact" if name == "fact_sales" else name)
+
+
+class Published(Layers):
+    """The layers as the jobs publish them, all gates passed.
+
+    The jobs run once per session and state of the source tables; later
+    instances read the same published tables.  ``instance.cfg`` names them."""
+
+    _done: dict[tuple, jobs.PipelineConfig] = {}
+
+    @cached_property
+    def cfg(self) -> jobs.PipelineConfig:
+        feed = [table_path(self.root, t) for t in FEED_TABLES]
+        state = (self.spark.sparkContext.applicationId, self.root, self.key_partitions,
+                 tuple(modification_times(self.spark, feed)))
+        done = self._done.get(state)
+        if done is None or not path_exists(self.spark, done.gold_path("fact_sales")):
+            lake = scratch_path(self.spark, "lake")
+            done = jobs.PipelineConfig(bronze_root=f"{lake}/bronze", silver_path=f"{lake}/silver",
+                                       gold_root=f"{lake}/gold", key_partitions=self.key_partitions)
+            jobs.bronze_to_silver(self.spark, done, bronze=self.bronze)
+            jobs.silver_to_gold(self.spark, done)
+            self._done[state] = done
+        return done
+
+    def _read(self, name: str) -> DataFrame:
+        return jobs.read_published(self.spark, self.cfg, name)
+
+    stored_silver = property(lambda self: self._read("sales"))
+    dim_date = property(lambda self: self._read("dim_date"))
+    dim_product = property(lambda self: self._read("dim_product"))
+    dim_customer = property(lambda self: self._read("dim_customer"))
+    dim_region = property(lambda self: self._read("dim_region"))
+    fact = property(lambda self: self._read("fact_sales"))

@@ -54,6 +54,15 @@ FACT_COLUMNS = ["sale_id", "date_key", "product_key", "customer_key", "region_ke
 
 FACT_AMOUNT_TYPE = DecimalType(18, 2)
 
+_STAR_TYPES = {"full_date": DateType(), "product_name": StringType(), "region_name": StringType(),
+               "unit_price": DoubleType(), "total_amount": FACT_AMOUNT_TYPE, "created_at": TimestampType()}
+#: Schema of each star table: keys, ids and date parts are integers.
+STAR_SCHEMAS = {
+    table: StructType([StructField(c, _STAR_TYPES.get(c, IntegerType()), True) for c in columns])
+    for table, columns in (("dim_date", DIM_DATE_COLUMNS), ("dim_product", DIM_PRODUCT_COLUMNS),
+                           ("dim_customer", DIM_CUSTOMER_COLUMNS), ("dim_region", DIM_REGION_COLUMNS),
+                           ("fact_sales", FACT_COLUMNS))}
+
 STAR_TABLES = ("dim_date", "dim_product", "dim_customer", "dim_region", "fact_sales")
 
 

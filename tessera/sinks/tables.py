@@ -4,13 +4,17 @@ after the checks pass, read-back and commit-marker verification."""
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 from pyspark.sql import functions as F
 
 from tessera.schemas import SchemaMismatch, schema_problems
+from tessera.session import checkpoint_dir
+
+# Formats whose overwrite is one atomic commit to the table.
+TRANSACTIONAL = ("delta", "iceberg", "hudi")
 
 
 def _fs(spark: SparkSession, path: str):
@@ -24,9 +28,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def modification_times(spark: SparkSession, paths: Sequence[str]) -> list[int]:
+    """Modification time of each path, in milliseconds."""
+    out = []
+    for path in paths:
+        fs, p = _fs(spark, path)
+        out.append(int(fs.getFileStatus(p).getModificationTime()))
+    return out
+
+
 def write_table(df: DataFrame, path: str, *, table_format: str = "parquet",
-                replace_schema: bool = True, metrics: Sequence[Column] = (),
-                partition_by: Sequence[str] = ()) -> dict:
+                replace_schema: bool = True, metrics: Sequence[Column] = ()) -> dict:
     """Overwrite the table at ``path`` and return metrics observed *during* the
     write: ``rows`` plus each aggregate in ``metrics`` (e.g. violation counts),
     and the ``schema`` written (for reading it back without inference).
@@ -46,8 +58,6 @@ def write_table(df: DataFrame, path: str, *, table_format: str = "parquet",
     writer = observed.write.format(table_format).mode("overwrite")
     if table_format == "delta":
         writer = writer.option("overwriteSchema", "true" if replace_schema else "false")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
     writer.save(path)
     out = {k: (int(v) if isinstance(v, int) else v) for k, v in obs.get.items()}
     out["schema"] = df.schema
@@ -58,12 +68,51 @@ def staging_path(path: str, run_id: str) -> str:
     return f"{path.rstrip('/')}.__staging_{run_id}"
 
 
-def publish(spark: SparkSession, staged: str, path: str) -> None:
-    """Swap a checked staging folder into place: the old table is renamed
-    aside, the staged one renamed in, then the old one deleted.  Readers see
-    either the old or the new table, never a half-written one.  (With a
-    transactional format the overwrite itself is atomic; this is for plain
-    Parquet.)"""
+def staging_format(table_format: str) -> str:
+    """Format of a staged table: Parquet ahead of a transactional target."""
+    return "parquet" if table_format in TRANSACTIONAL else table_format
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared checkpoint folder; it goes with all in it
+    when the session's file system closes."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return path
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to the shared checkpoint folder and read
+    back: cuts the lineage, and later scans read the columns they need."""
+    path = f"{scratch_path(df.sparkSession, name)}/data"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def publish(spark: SparkSession, staged: str, path: str, *, table_format: str = "parquet",
+            schema: StructType | None = None, check: Callable[[str, str], object] | None = None) -> None:
+    """Make a staged table the current one.  ``check(path, format)`` raises when
+    a table is not as it should be; it sees the staged table first.
+
+    A transactional format gets one overwrite commit on the target: nothing
+    is renamed or deleted, so the table keeps its history, and readers see the
+    old or the new version.
+
+    A folder of plain files is swapped by two renames, which suits file
+    systems that rename without copying; between them there is no table for a
+    moment.  The old table is kept until ``check`` has passed on the new one,
+    and comes back when it fails.  On object stores use a transactional format
+    or a catalog table (``switch_location``)."""
+    if check:
+        check(staged, staging_format(table_format))
+    if table_format in TRANSACTIONAL:
+        write_table(read_back(spark, staged, schema), path, table_format=table_format)
+        if check:
+            check(path, table_format)
+        discard(spark, staged)
+        return
     fs, target = _fs(spark, path)
     jvm = spark.sparkContext._jvm
     src = jvm.org.apache.hadoop.fs.Path(staged)
@@ -75,14 +124,33 @@ def publish(spark: SparkSession, staged: str, path: str) -> None:
         old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old_{uuid.uuid4().hex[:8]}")
         if not fs.rename(target, old):
             raise OSError(f"could not move {path} aside")
-    if not fs.rename(src, target):
+    try:
+        if not fs.rename(src, target):
+            raise OSError(f"could not publish {staged} to {path}")
+        if check:
+            check(path, table_format)
+    except Exception:
         if old is not None:
+            fs.delete(target, True)
             fs.rename(old, target)
-        raise OSError(f"could not publish {staged} to {path}")
+        raise
     if old is not None:
         fs.delete(old, True)
 
 
+def switch_location(spark: SparkSession, table: str, path: str, schema: StructType, *,
+                    table_format: str = "parquet") -> None:
+    """Point catalog table ``table`` (made on first use) to the folder ``path``:
+    one metadata change, no file moves.  Folders of earlier runs stay, for
+    queries still on them."""
+    if not spark.catalog.tableExists(table):
+        spark.catalog.createTable(table, path=path, source=table_format, schema=schema)
+        return
+    escaped = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{escaped}'")
+    spark.catalog.refreshTable(table)
+
+
 def discard(spark: SparkSession, staged: str) -> None:
     fs, p = _fs(spark, staged)
     if fs.exists(p):

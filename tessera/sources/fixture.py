@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from tessera.sources.tables import load
 
+#: The tables that the raw feed is derived from.
+FEED_TABLES = ("lineitem", "orders", "part", "customer", "nation", "region")
+
 
 def bronze_from_tables(spark: SparkSession, root: str) -> DataFrame:
     """Raw sales rows (9 columns of the sales schema) at the scale of ``lineitem``.
