@@ -113,7 +113,10 @@ def fit_forest(labelled: DataFrame, *, max_labelled: int = 20_000, trees: int =
     if picked.select("label").distinct().count() < 2:
         return None
     rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(picked)
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(rows.select("features", "label"))
+    model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(rows.select("features", "label"))
+    # A copy has no training summary, which holds the session and so cannot be
+    # sent to tasks once the session has observed metrics.
+    return model.copy()
 
 
 def secret_scan(docs: DataFrame, labelled: DataFrame | None = None, *, folds: int = 5, keep: float = 0.5,

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tessera.llm.embedding_dedup import embedding_dedup
@@ -290,6 +291,8 @@ def test_trained_scores_without_labels(docs, labels):
 
 
 def test_secret_scan(spark):
+    seen = Observation()  # a session that has observed metrics
+    assert spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).count() == 3 and seen.get["n"] == 3
     texts = [f'the value token = "{"%040x" % (i * 7919 ** 9)}" and number 4{i:015d} is here' for i in range(1, 61)]
     table = [(i, "a/b.txt", t) for i, t in enumerate(texts)] + [(900, None, None), (901, "x", ""), (None, "x", texts[0])]
     got = secret_scan(spark.createDataFrame(table, "doc_id long, source string, text string"), trees=5).collect()
