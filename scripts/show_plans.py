@@ -48,12 +48,12 @@ def main():
          cleaning.build_silver(raw)),
         ("Dense keys: range partitions over distinct keys, offsets from a per-partition table",
          dense_key(silver.select("customer_id").distinct(), "customer_id", "customer_key", checkpoint=False)),
-        ("Fact: date key computed, dimensions broadcast behind the size check, unused columns pruned", fact),
-        ("Gate: one product, several names (min < max, one aggregation)",
+        ("Fact: date key computed, dimensions broadcast within a measured budget, unused columns pruned", fact),
+        ("Gate: one product, several names (distinct pairs, hash aggregates only)",
          quality.inconsistent_mappings(silver, "product_id", "product_name")),
         ("Gate: duplicate ids (partial count)", quality.duplicate_keys(silver, "id")),
         ("Report: revenue by region, aggregated before the join", analysis.by_region(fact, region)),
-        ("Report: top 10 customers, dimension streamed through a semi-join", 
+        ("Report: top 10 customers from their stored rows, dimension streamed through a semi-join",
          analysis.top_by_revenue(fact, customer, "customer_key")),
         ("Report: region x year cube over pre-aggregated keys",
          analysis.region_year_cube(fact, region, star.dim_date(silver))),

@@ -14,11 +14,15 @@ import argparse
 import json
 import logging
 import sys
+from collections import deque
 
 from pyspark.sql import SparkSession
 
 from tessera.plans import jobs
-from tessera.sources.jdbc import BI_ENV_PREFIX, SOURCE_ENV_PREFIX, extract_source, postgres_from_env
+from tessera.sinks.bi import BI_BATCH_SIZE, BI_WRITERS
+from tessera.sources.jdbc import (BI_ENV_PREFIX, SOURCE_ENV_PREFIX, SOURCE_READERS, extract_source,
+                                  postgres_from_env)
+from tessera.sources.s3a import s3a_conf
 
 
 # Which paths each command needs.
@@ -38,7 +42,9 @@ def _config(args) -> jobs.PipelineConfig:
                               table_format=args.format, expected_rows=args.expected_rows,
                               strict_reference_order=args.strict_order, variant=args.variant,
                               key_partitions=args.key_partitions, enforce_header=args.enforce_header,
-                              null_amount_gate=args.null_amount_gate)
+                              null_amount_gate=args.null_amount_gate, csv_multiline=not args.single_line,
+                              catalog=args.catalog, bi_partitions=args.bi_partitions,
+                              bi_batch_size=args.bi_batch_size)
     if args.command in ("bi", "pipeline", "stream") and args.with_bi:
         cfg.bi = postgres_from_env(prefix=BI_ENV_PREFIX)
     return cfg
@@ -61,6 +67,16 @@ def main(argv=None) -> int:
                    help="fail when a drop's header differs from the schema")
     p.add_argument("--null-amount-gate", action="store_true",
                    help="also fail the star on a NULL total_amount")
+    p.add_argument("--single-line", action="store_true",
+                   help="no CSV field holds a line break: split drop files between tasks")
+    p.add_argument("--catalog", default=None,
+                   help="catalog database whose tables are switched to each run's folders")
+    p.add_argument("--s3a", action="store_true",
+                   help="take the object-store settings from the environment (see tessera.sources.s3a)")
+    p.add_argument("--source-partitions", type=int, default=SOURCE_READERS,
+                   help="ingest: parallel cursors on the source table")
+    p.add_argument("--bi-partitions", type=int, default=BI_WRITERS, help="concurrent writers of the BI load")
+    p.add_argument("--bi-batch-size", type=int, default=BI_BATCH_SIZE, help="rows per insert of the BI load")
     p.add_argument("--source-table", default="sales")
     p.add_argument("--sort-drop", action="store_true",
                    help="write the drop in id order (a range-partitioned sort of the whole source)")
@@ -76,11 +92,14 @@ def main(argv=None) -> int:
     logging.basicConfig(level=logging.INFO)
 
     cfg = _config(args)   # fail on missing arguments before starting anything
-    spark = SparkSession.builder.appName(f"tessera-{args.command}").getOrCreate()
+    builder = SparkSession.builder.appName(f"tessera-{args.command}")
+    for key, value in (s3a_conf() if args.s3a else {}).items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     try:
         if args.command == "ingest":
             src = extract_source(spark, postgres_from_env(prefix=SOURCE_ENV_PREFIX, schema=None),
-                                 args.source_table)
+                                 args.source_table, num_partitions=args.source_partitions)
             out = {"drop": jobs.ingest(src.orderBy("id") if args.sort_drop else src, cfg)}
         elif args.command == "validate-drop":
             out = jobs.validate_drop(spark, cfg)
@@ -106,11 +125,11 @@ def main(argv=None) -> int:
 
             if not args.stream_checkpoint:
                 raise ValueError("--stream-checkpoint is required")
-            reports: list = []
+            reports: deque = deque(maxlen=100)   # of a stream that runs on, the last ones
             q = start_silver_stream(spark, cfg, args.stream_checkpoint, processing_time=args.every,
                                     reports=reports, steps=tuple(args.steps.split(",")))
             q.awaitTermination()
-            out = {"batches": reports}
+            out = {"batches": list(reports)}
         else:
             out = jobs.run_pipeline(spark, cfg)
         print(json.dumps(out, default=str, indent=2))

@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 from tessera.functions import date_key, sale_amount
 from tessera.operators.keys import dense_key
 
-# A dimension whose estimated in-memory size is within this budget is broadcast
+# Dimensions whose in-memory size, together, is within this budget are broadcast
 # to the fact join; a larger one goes through a shuffle join that AQE can still
 # convert (by actual size) or split for skew.
 DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
 # Per-row overhead of a broadcast hash relation (pointers, hash slots).
 _ROW_OVERHEAD_BYTES = 16
-# Spark's default size in bytes per column type (its own size
-# estimate); decimals up to 18 digits are 8 bytes, wider ones 16.
+# Spark's size in bytes per fixed-size column type; decimals up
+# to 18 digits are 8 bytes, wider ones 16.
 _TYPE_BYTES = {"byte": 1, "boolean": 1, "short": 2, "integer": 4, "float": 4, "date": 4,
-               "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "string": 20,
-               "binary": 100}
+               "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8,
+               # An offset and a length; their bytes are measured.
+               "string": 8, "binary": 8}
 
 
 def _width(data_type) -> int:
@@ -65,29 +66,41 @@ def dim_region(silver: DataFrame, *, partitions: int | None = None) -> DataFrame
         .select("region_key", "region_name")
 
 
-def estimated_bytes(df: DataFrame, rows: int) -> int:
+def estimated_bytes(df: DataFrame, rows: int, string_bytes: int = 0) -> int:
     """In-memory size of ``rows`` rows of ``df``'s columns as a broadcast hash
-    relation: Spark's default width per column type plus a fixed overhead."""
+    relation: Spark's width per fixed-size column type, the measured bytes of
+    all strings, and a fixed overhead per row."""
     width = sum(_width(f.dataType) for f in df.schema.fields) + _ROW_OVERHEAD_BYTES
-    return rows * width
+    return rows * width + string_bytes
+
+
+def measured_bytes(side: DataFrame, rows: int | None = None) -> int:
+    """``estimated_bytes`` with what it needs counted: one small aggregate over
+    a stored dimension, none when its ``rows`` are known and it has no strings."""
+    strings = [F.sum(F.octet_length(f.name)) for f in side.schema.fields
+               if f.dataType.typeName() in ("string", "binary")]
+    if rows is not None and not strings:
+        return estimated_bytes(side, rows)
+    total = sum((F.coalesce(x, F.lit(0)) for x in strings), F.lit(0)).cast("long")
+    found = side.agg(F.count(F.lit(1)).alias("n"), total.alias("b")).first()
+    return estimated_bytes(side, found["n"], found["b"])
 
 
 def lookup_key(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str, key: str, *,
-               dim_rows: int | None = None,
+               dim_rows: int | None = None, dim_bytes: int | None = None,
                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """``fact LEFT JOIN dim ON fact_col = dim_col``, adding ``key``.
 
-    The dimension is broadcast only when its estimated size -- row count
-    (given, e.g. observed while writing it, or counted: cheap on a stored or
-    checkpointed dimension) times the width of the two columns shipped -- is
-    within ``max_broadcast_bytes``.  Beyond that the join shuffles on the
-    natural key, and AQE splits a hot key's partition
-    (``spark.sql.adaptive.skewJoin``).  A NULL natural key never matches, so
-    it keeps a NULL surrogate key.
+    The dimension is broadcast only when the measured size of the two columns
+    shipped (``dim_bytes`` if given) is within ``max_broadcast_bytes``.  Beyond
+    that the join shuffles on the natural key, and AQE splits a hot key's
+    partition (``spark.sql.adaptive.skewJoin``).  A NULL natural key never
+    matches, so it keeps a NULL surrogate key.
     """
     side = dim.select(F.col(dim_col).alias("_nk"), F.col(key))
-    rows = dim_rows if dim_rows is not None else dim.count()
-    if estimated_bytes(side, rows) <= max_broadcast_bytes:
+    if dim_bytes is None:
+        dim_bytes = measured_bytes(side, dim_rows)
+    if dim_bytes <= max_broadcast_bytes:
         side = F.broadcast(side)
     return fact.join(side, fact[fact_col] == side["_nk"], "left").drop("_nk")
 
@@ -102,18 +115,20 @@ def fact_sales(silver: DataFrame, product: DataFrame, customer: DataFrame, regio
     result for dates that occur, NULL otherwise).
     """
     rows = dim_rows or {}
-    f = silver
-    if dates is None:
-        f = f.withColumn("date_key", date_key("sale_date"))
-    else:
-        f = lookup_key(f, dates, "sale_date", "full_date", "date_key",
-                       dim_rows=rows.get("dim_date"), max_broadcast_bytes=max_broadcast_bytes)
-    f = lookup_key(f, product, "product_id", "product_id", "product_key",
-                   dim_rows=rows.get("dim_product"), max_broadcast_bytes=max_broadcast_bytes)
-    f = lookup_key(f, customer, "customer_id", "customer_id", "customer_key",
-                   dim_rows=rows.get("dim_customer"), max_broadcast_bytes=max_broadcast_bytes)
-    f = lookup_key(f, region, "region", "region_name", "region_key",
-                   dim_rows=rows.get("dim_region"), max_broadcast_bytes=max_broadcast_bytes)
+    lookups = [("dim_product", product, "product_id", "product_id", "product_key"),
+               ("dim_customer", customer, "customer_id", "customer_id", "customer_key"),
+               ("dim_region", region, "region", "region_name", "region_key")]
+    if dates is not None:
+        lookups.insert(0, ("dim_date", dates, "sale_date", "full_date", "date_key"))
+    sizes = {name: measured_bytes(dim.select(col, key), rows.get(name)) for name, dim, _, col, key in lookups}
+    f = silver if dates is not None else silver.withColumn("date_key", date_key("sale_date"))
+    # All broadcasts share one budget; the smallest dimensions get theirs first.
+    left, limits = max_broadcast_bytes, {}
+    for name in sorted(sizes, key=sizes.get):
+        limits[name] = left
+        left -= sizes[name] if sizes[name] <= left else 0
+    for name, dim, fact_col, col, key in lookups:
+        f = lookup_key(f, dim, fact_col, col, key, dim_bytes=sizes[name], max_broadcast_bytes=limits[name])
     return f.select(
         F.col("id").alias("sale_id"), "date_key", "product_key", "customer_key", "region_key",
         "quantity", "unit_price", sale_amount("quantity", "unit_price").alias("total_amount"),

@@ -127,7 +127,8 @@ def read_drops(spark: SparkSession, root: str, *, schema: StructType | None = SA
 
 def drops(spark: SparkSession, root: str) -> list[tuple[str, str, bool]]:
     """``(name, path, complete)`` of every drop, oldest first by name (names
-    carry the UTC time of the drop).  A single file is complete (it appears
+    carry the UTC time of the drop) -- a report; the newest drop is what
+    ``latest_drop`` says.  A single file is complete (it appears
     at once); a folder of part files is complete once ``_SUCCESS`` exists.
     Metadata only: one listing per date folder, no file is opened."""
     jvm = spark.sparkContext._jvm
@@ -144,15 +145,3 @@ def drops(spark: SparkSession, root: str) -> list[tuple[str, str, bool]]:
             done = (not st.isDirectory()) or fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"))
             out.append((name, path, bool(done)))
     return sorted(out)
-
-
-def newest_complete_drop(spark: SparkSession, root: str) -> str:
-    """Path of the newest drop by name; ``IncompleteDrop`` if it is still being
-    written, ``NoDropFound`` if there is none."""
-    found = drops(spark, root)
-    if not found:
-        raise NoDropFound(f"no drop under {root}")
-    name, path, complete = found[-1]
-    if not complete:
-        raise IncompleteDrop(f"{path} has no _SUCCESS marker yet")
-    return path

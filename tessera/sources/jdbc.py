@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 SOURCE_COLUMNS = ("id", "sale_date", "product_id", "product_name", "customer_id", "region",
                   "quantity", "unit_price", "created_at")
 
+# Parallel cursors by default: what a small source database bears.
+SOURCE_READERS = 8
+
 
 @dataclass
 class JdbcConfig:
@@ -51,7 +54,7 @@ def probe(spark: SparkSession, cfg: JdbcConfig) -> bool:
 
 def extract_source(spark: SparkSession, cfg: JdbcConfig, table: str, *,
                    columns: Sequence[str] = SOURCE_COLUMNS, partition_column: str = "id",
-                   num_partitions: int = 8, fetch_size: int = 10_000, quote: str = "") -> DataFrame:
+                   num_partitions: int = SOURCE_READERS, fetch_size: int = 10_000, quote: str = "") -> DataFrame:
     """Full snapshot of ``table`` read by ``num_partitions`` parallel cursors.
 
     The id range comes from one pushed-down ``min/max`` query; Spark splits it

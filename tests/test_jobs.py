@@ -402,3 +402,89 @@ def test_basic_cleaning_is_stopped_at_the_star(spark, sf001, tmp_path):
         jobs.silver_to_gold(spark, c)
     assert set(err.value.failures) == {"null_date_key"}
     assert not sink.path_exists(spark, c.gold_path("fact_sales"))
+
+
+def _small_cfg(spark, sf001, path, **kw):
+    cfg = jobs.PipelineConfig(bronze_root=str(path / "bronze"), silver_path=str(path / "silver"),
+                              gold_root=str(path / "gold"), **kw)
+    jobs.ingest(bronze_from_tables(spark, sf001), cfg)
+    return cfg
+
+
+def test_transactional_publish_is_one_overwrite_of_the_target(spark, sf001, tmp_path, monkeypatch):
+    """ORC stands in for a transactional format: the target folder is written
+    to, never moved, and nothing staged is left."""
+    monkeypatch.setattr(sink, "TRANSACTIONAL", ("orc",))
+    cfg = _small_cfg(spark, sf001, tmp_path, table_format="orc")
+    targets = []
+    write = sink.write_table
+    monkeypatch.setattr(sink, "write_table", lambda df, path, **kw: targets.append(
+        (path, kw["table_format"])) or write(df, path, **kw))
+    jobs.bronze_to_silver(spark, cfg)
+    assert [f for _, f in targets] == ["parquet", "orc"] and targets[1][0] == cfg.silver_path
+    assert spark.read.orc(cfg.silver_path).count() == 4225
+    assert not [p for p in tmp_path.iterdir() if "__" in p.name]
+
+
+def test_failed_check_brings_the_old_table_back(spark, tmp_path):
+    path, staged = str(tmp_path / "t"), str(tmp_path / "t.__staging_1")
+    sink.write_table(spark.range(3), path)
+    sink.write_table(spark.range(5), staged)
+
+    def check(where, fmt):
+        if where == path:
+            raise sink.VerificationError("after the swap")
+
+    with pytest.raises(sink.VerificationError):
+        sink.publish(spark, staged, path, check=check)
+    assert spark.read.parquet(path).count() == 3
+    sink.write_table(spark.range(5), staged)
+    with pytest.raises(sink.VerificationError):
+        sink.publish(spark, staged, path, check=lambda p, f: sink.verify_table(spark, p, 6))
+    assert spark.read.parquet(path).count() == 3
+    sink.publish(spark, staged, path, check=lambda p, f: sink.verify_table(spark, p, 5))
+    assert spark.read.parquet(path).count() == 5
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_catalog_tables_switch_to_each_run(spark, sf001, tmp_path):
+    spark.sql(f"CREATE DATABASE lake_test LOCATION '{tmp_path}/db'")
+    try:
+        cfg = _small_cfg(spark, sf001, tmp_path, catalog="lake_test")
+        for _ in range(2):
+            jobs.run_pipeline(spark, cfg)
+        assert len(list((tmp_path / "silver").glob("run_*"))) == 2    # no folder is moved or deleted
+        assert spark.table("lake_test.sales").count() == 4225
+        assert spark.table("lake_test.fact_sales").join(
+            spark.table("lake_test.dim_product"), "product_key").count() == 4225
+        assert len(spark.table("lake_test.fact_sales").inputFiles()) == len(
+            spark.read.parquet(spark.table("lake_test.fact_sales").inputFiles()[0].rsplit("/", 1)[0]).inputFiles())
+    finally:
+        spark.sql("DROP DATABASE lake_test CASCADE")
+
+
+def test_wrong_type_stops_the_publish(spark, sf001, tmp_path):
+    from tessera.schemas import SchemaMismatch
+
+    cfg = _small_cfg(spark, sf001, tmp_path)
+    raw = bronze_from_tables(spark, sf001).withColumn("sale_date", F.col("sale_date").cast("timestamp"))
+    with pytest.raises(SchemaMismatch, match="sale_date"):
+        jobs.bronze_to_silver(spark, cfg, bronze=raw)
+    assert not (tmp_path / "silver").exists()
+
+
+def test_long_strings_are_not_broadcast(spark):
+    from tessera.operators import star
+
+    dim = spark.range(1000).select(F.rpad(F.col("id").cast("string"), 2000, "x").alias("_nk"),
+                                   F.col("id").cast("int").alias("k"))
+    assert star.measured_bytes(dim) == 1000 * (2000 + 8 + 4 + 16)
+    assert star.measured_bytes(dim.select("k"), rows=7) == 7 * 20
+
+
+def test_jdbc_readers_are_an_option(spark, sf001):
+    db = derby()
+    load_star(spark, {"sales": bronze_from_tables(spark, sf001)}, db, {"sales": 6000}, num_partitions=4,
+              batch_size=1000)
+    got = extract_source(spark, db, "sales", quote='"', num_partitions=3)
+    assert got.rdd.getNumPartitions() == 3 and got.count() == 6000

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.plans import jobs
 from tessera.sinks.drops import write_drop
-from tessera.sources.files import IncompleteDrop, drops
+from tessera.sources.files import drops, latest_drop
 from tessera.sources.fixture import bronze_from_tables
 from tessera.streaming.drops import start_silver_stream
 
@@ -62,14 +62,32 @@ def test_stream_cleans_newest_complete_drop(spark, sf001, tmp_path):
     assert spark.read.parquet(cfg.silver_path).count() == 1
 
 
-def test_incomplete_newest_drop_is_reported(spark, tmp_path):
-    from tessera.sources.files import newest_complete_drop
+def test_stream_and_batch_agree_on_the_newest_drop(spark, sf001, tmp_path):
+    """The drop written last is the newest, whatever its name says."""
+    cfg = jobs.PipelineConfig(bronze_root=str(tmp_path / "bronze"), silver_path=str(tmp_path / "silver"),
+                              gold_root=str(tmp_path / "gold"))
+    raw = bronze_from_tables(spark, sf001)
+    write_drop(raw, cfg.bronze_root, now=datetime(2024, 1, 2, tzinfo=timezone.utc))
+    write_drop(raw.filter("id % 2 = 0"), cfg.bronze_root, now=datetime(2024, 1, 1, tzinfo=timezone.utc))
+    reports = []
+    assert run(spark, cfg, str(tmp_path / "ck"), reports).exception() is None
+    assert reports[0]["source"] == latest_drop(spark, cfg.bronze_root)
+    assert "20240101" in reports[0]["source"]
+
+
+def test_stream_waits_for_a_drop_being_written(spark, tmp_path):
+    import threading
 
-    folder = tmp_path / "ingestion_date=2024-01-01" / "sales_20240101_000000.csv"
+    cfg = jobs.PipelineConfig(bronze_root=str(tmp_path / "bronze"), silver_path=str(tmp_path / "silver"),
+                              gold_root=str(tmp_path / "gold"))
+    folder = tmp_path / "bronze" / "ingestion_date=2024-01-04" / "sales_20240104_000000.csv"
     folder.mkdir(parents=True)
-    (folder / "part-00000.csv").write_text(HEADER)
-    with pytest.raises(IncompleteDrop):
-        newest_complete_drop(spark, str(tmp_path))
+    (folder / "part-00000.csv").write_text(HEADER + "1,2024-01-04,1,n,1,EUROPE,2,3.0,2024-01-04 00:00:00\n")
+    reports = []
+    threading.Timer(3, lambda: (folder / "_SUCCESS").write_text("")).start()
+    q = start_silver_stream(spark, cfg, str(tmp_path / "ck"), reports=reports, wait_seconds=120)
+    q.awaitTermination(300)
+    assert q.exception() is None and [r["silver_rows"] for r in reports] == [1]
 
 
 def test_stream_runs_the_chain(spark, sf001, tmp_path):
