@@ -1,10 +1,8 @@
 """Deterministic de-duplication by key, written as an aggregation.
 
-``row_number() OVER (PARTITION BY key ORDER BY ...) = 1`` sends every copy of
-a key to one task and sorts them there, so one hot key (a third of the rows)
-becomes one task.  Keeping the *largest* row per key is an ordinary ``max``
-over a struct, which Spark aggregates partially on the map side: each map task
-ships at most one row per key into the shuffle, whatever the skew.
+Keeping the *largest* row per key is an ordinary ``max`` over a struct, which
+Spark aggregates partially on the map side: each map task ships at most one
+row per key into the shuffle, whatever the skew.
 """
 
 from __future__ import annotations
