@@ -98,20 +98,22 @@ def _bands(sig: np.ndarray) -> np.ndarray:
 
 
 def _sign(size: int):
-    schema = pa.schema([("n_shingles", pa.int64()), ("key", pa.binary()), ("sig", pa.binary()),
+    """(id, sha, text) -> the id and the sha with what the words of the text give."""
+    schema = pa.schema([("sha", pa.string()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("sig", pa.binary()),
                         ("bands", pa.list_(pa.int64()))])
 
     def run(batches):
         np.seterr(over="ignore")
         for batch in batches:
-            texts = batch.column(1)
+            texts = batch.column(2)
             for at in range(0, batch.num_rows, 64):
                 found = [words(t) for t in texts.slice(at, 64).to_pylist()]
                 sets = [shingle_set(w, size) for w in found]
                 sig = super_minhash(sets)
                 bands, low = _bands(sig), (_mix(sig) & _U(255)).astype(np.uint8)
                 keys = [hashlib.sha256(b" ".join(w)).digest() if w else None for w in found]
-                own = [pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
+                own = [batch.column(1).slice(at, 64).cast(pa.string()),
+                       pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
                        pa.array([x.tobytes() for x in low], pa.binary()),
                        pa.array([b if k else [] for b, k in zip(bands.tolist(), keys)], pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(
@@ -215,8 +217,8 @@ def near_dup(docs: DataFrame, *, size: int = 5, per_cent: int = 75) -> DataFrame
 
     Documents are linked when ``100 * |A and B| >= per_cent * |A or B|`` holds
     for their sets of distinct word shingles, confirmed on the full sets (64-bit
-    fingerprints); a component is named by its smallest id.  Candidates are
-    documents that share a band of four SuperMinHash values; a pair at the
+    fingerprints); a component is named by its smallest id, and of that id's texts
+    in it the one with the smallest SHA-256 value is kept.  Candidates are documents that share a band of four SuperMinHash values; a pair at the
     threshold shares none of 32 bands in about 1 of 200,000 cases.
 
     Texts with equal words are one class.  First each class meets the smallest
@@ -227,37 +229,45 @@ def near_dup(docs: DataFrame, *, size: int = 5, per_cent: int = 75) -> DataFrame
 
     Null and empty texts, and texts of white space, have the empty set and link
     with nothing; fewer words than ``size`` are one shingle.  A row whose id is
-    null links with nothing, has no component and is kept.  Repeated rows are
-    one class; rows sharing an id are one node.  An empty table gives an empty
-    result; other columns are ignored.
+    null links with nothing, has no component and is kept.  Repeated rows (same
+    id, same text) are kept or not together; different texts that share an id
+    are documents of their own.  An empty table gives an empty result; other
+    columns are ignored.
     """
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", F.sha2("text", 256).alias("sha"), "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     signed = store(docs.mapInArrow(
-        _sign(size), f"doc_id {kind}, n_shingles long, key binary, sig binary, bands array<long>"))
+        _sign(size), f"doc_id {kind}, sha string, n_shingles long, key binary, sig binary, bands array<long>"))
     usable = signed.where("doc_id is not null and key is not null")
-    classes = store(usable.groupBy("key").agg(F.min("doc_id").alias("id")))
-    reps = (usable.join(classes, "key").where("doc_id = id")
+    # A class is numbered in the order of its first document; texts may share an id.
+    first = F.min(F.struct("doc_id", "sha")).alias("first")
+    classes = store(usable.groupBy("key").agg(first)
+                    .select("key", F.col("first.doc_id").alias("first_id"), F.col("first.sha").alias("first_sha"))
+                    .orderBy("first_id", "first_sha").withColumn("id", F.monotonically_increasing_id()))
+    reps = (usable.join(classes, "key").where("doc_id = first_id and sha = first_sha")
             .select("id", "n_shingles", "sig", "bands").dropDuplicates(["id"]))
     members = reps.select("id", F.explode("bands").alias("bucket"))
     large = members.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("members")).where("members > 1")
     members = store(members.join(large.drop("members"), "bucket"))
     label = None
     if not members.isEmpty():
-        ids = members.select("id").distinct()
-        sets = docs.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi").dropDuplicates(["id", "text"])
-        full = store(reps.join(sets.mapInArrow(_sets(size), f"id {kind}, shingles binary"), "id"))
+        ids = (classes.join(members.select("id").distinct(), "id")
+               .select("id", F.col("first_id").alias("doc_id"), F.col("first_sha").alias("sha")))
+        sets = docs.join(ids, ["doc_id", "sha"]).dropDuplicates(["doc_id", "sha"]).select("id", "text")
+        full = store(reps.join(sets.mapInArrow(_sets(size), "id long, shingles binary"), "id"))
         label = _link(members, full, per_cent)
     out = signed.join(classes, "key", "left")
     if label is not None:
-        out = out.join(label.withColumnRenamed("node", "id"), "id", "left")
+        names = classes.select(F.col("id").alias("component"), F.col("first_id").alias("name"))
+        out = out.join(label.withColumnRenamed("node", "id").join(names, "component"), "id", "left")
     else:
-        out = out.withColumn("component", F.col("id"))
-    own = F.when(F.col("key").isNull(), F.col("doc_id")).when(
-        F.col("doc_id").isNotNull(), F.coalesce("component", "id"))
-    return (out.withColumn("component_id", own)
-            .select("doc_id", "n_shingles", "component_id",
-                    F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+        out = out.withColumns({"component": F.col("id"), "name": F.col("first_id")})
+    alone = F.col("key").isNull() | F.col("doc_id").isNull()
+    lead = F.coalesce("component", "id") == F.col("id")
+    return out.select(
+        "doc_id", "n_shingles",
+        F.when(alone, F.col("doc_id")).otherwise(F.coalesce("name", "first_id")).alias("component_id"),
+        (alone | (lead & (F.col("doc_id") == F.col("first_id")) & (F.col("sha") == F.col("first_sha")))).alias("kept"))
 
 
 def _link(members, full, per_cent) -> DataFrame | None:
