@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -21,9 +22,9 @@ AROUND = 60
 ANNOUNCE = r"(?i)(api|access|secret|private|auth|client|aws)?[_ -]?(key|token|secret|passw(or)?d|pwd|credential|bearer)"
 PROVIDERS = (r"AKIA[0-9A-Z]{16}", r"gh[pousr]_[A-Za-z0-9]{36}", r"sk_live_[0-9A-Za-z]{24,}", r"AIza[0-9A-Za-z_-]{35}",
              r"xox[abp]-[0-9A-Za-z-]{10,}")
-#: Pieces of a candidate that the dictionary is asked for, and the number of
-#: documents a word must be in to count as one.
-PIECE, DICTIONARY_DOCS = r"[a-z]{3,}", 3
+#: Pieces of a candidate that the dictionary is asked for, and the share of the
+#: distinct texts a word must be in to count as one, ``DICTIONARY_DOCS`` at least.
+PIECE, DICTIONARY_SHARE, DICTIONARY_DOCS = r"[a-z]{3,}", 1e-4, 3
 
 FEATURES = ["length", "digits", "uppers", "lowers", "marks", "transitions", "letter_digit", "case_changes", "distinct",
             "hex_only", "digits_only", "coverage", "announced", "assigned", "quoted", "in_path", "left_length",
@@ -57,13 +58,18 @@ def _matches(pattern: str, of: str) -> Column:
 
 def coverage(found: DataFrame, docs: DataFrame) -> DataFrame:
     """(candidate, covered): characters of the candidate's lower-case pieces
-    that are words of at least ``DICTIONARY_DOCS`` documents."""
+    that are words: found outside all candidates in at least
+    ``DICTIONARY_SHARE`` of the distinct texts, so neither a candidate's own
+    pieces nor copies of a text make a word."""
     pieces = found.select("candidate").distinct().select("candidate", F.explode(F.regexp_extract_all(
         F.lower("candidate"), F.lit(PIECE), F.lit(0))).alias("word"))
     wanted = pieces.select("word").distinct()
-    known = (docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower("text"), F.lit(PIECE), F.lit(0)))).alias("word")).groupBy("word").count()
-        .where(F.col("count") >= DICTIONARY_DOCS).join(wanted, "word", "left_semi").select("word"))
+    texts = docs.where("text is not null").select(F.sha2("text", 256).alias("sha"), "text")
+    least = max(DICTIONARY_DOCS, math.ceil(DICTIONARY_SHARE * texts.select("sha").distinct().count()))
+    outside = F.lower(F.regexp_replace("text", CANDIDATE, " "))
+    words = texts.select("sha", F.array_distinct(F.regexp_extract_all(outside, F.lit(PIECE), F.lit(0))).alias("words"))
+    known = (words.dropDuplicates(["sha"]).select(F.explode("words").alias("word")).groupBy("word").count()
+             .where(F.col("count") >= least).join(wanted, "word", "left_semi").select("word"))
     return pieces.join(known, "word").groupBy("candidate").agg(F.sum(F.length("word")).alias("covered"))
 
 
