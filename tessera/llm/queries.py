@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.collocations import collocations
 from tessera.llm.common import n_words, store, table
 from tessera.llm.embedding_dedup import embedding_dedup
 from tessera.llm.exact_dedup import exact_dedup
+from tessera.llm.graph_search import graph_search
 from tessera.llm.lm_scoring import lm_score
 from tessera.llm.mixing import mix, source_targets
 from tessera.llm.near_dup import near_dup
@@ -18,6 +20,7 @@ from tessera.llm.quality import quality_scores
 from tessera.llm.secret_scan import secret_scan
 from tessera.llm.toxicity import toxicity_scores
 from tessera.llm.url_filter import url_filter
+from tessera.llm.whitening import whiten
 
 #: Fixed values of the contracts.
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -100,6 +103,23 @@ def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents"))
 
 
+def whitened_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All usable embeddings on their eight leading axes; a deviation that a
+    long cannot hold is null here."""
+    found = whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of each language of all documents."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest others of every vector whose id 50 divides."""
+    return graph_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": lm_scoring,
     "op2_quality": quality,
@@ -111,6 +131,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dup": near_duplicates,
     "op9_url_filter": url_verdicts,
     "op10_mixing": mixing,
+    "op11_whitening": whitened_vectors,
+    "op12_collocations": phrases,
+    "op13_graph_search": nearest_vectors,
 }
 
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
@@ -137,4 +160,37 @@ best as (
   from split join rules on (host = r_host or ends_with(host, '.' || r_host)) and starts_with(path, r_path)
   group by n)
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from split left join best using (n)""",
+    "op12_collocations": r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+runs as (select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') as ws from pieces),
+places as (select lang, ws, unnest(range(1, len(ws) + 1)) as i from runs),
+grams as (select lang, ws[i] as w1, ws[i + 1] as w2, ws[i + 2] as w3 from places),
+one as (select lang, w1, count(*) as f from grams group by all),
+two as (select lang, w1, w2, count(*) as a from grams where w2 is not null group by all having count(*) >= 10),
+three as (select lang, w1, w2, w3, count(*) as a from grams where w3 is not null group by all having count(*) >= 10),
+longer as (
+  select lang, w1, w2, max(a) as most from (
+    select lang, w1, w2, a from three union all select lang, w2, w3, a from three) group by all),
+cuts as (
+  select lang, w1 || ' ' || w2 as phrase, a, 1 as k, x.f as l, y.f as r
+  from two left join longer using (lang, w1, w2) join one x using (lang, w1)
+       join one y on y.lang = two.lang and y.w1 = two.w2
+  where 100 * coalesce(most, 0) < 50 * a
+  union all
+  select t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.a, 1, x.f, y.a
+  from three t join one x using (lang, w1) join two y on y.lang = t.lang and y.w1 = t.w2 and y.w2 = t.w3
+  union all
+  select t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.a, 2, x.a, y.f
+  from three t join two x using (lang, w1, w2) join one y on y.lang = t.lang and y.w1 = t.w3),
+scored as (select *, cast(1000000::hugeint * a * a // (l::hugeint * r) as bigint) as score from cuts),
+weakest as (
+  select *, row_number() over (partition by lang, phrase order by score, k) as turn from scored),
+ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+  from weakest where turn = 1)
+select lang, rank, phrase, a, l, r, cast(n as bigint) as n, score
+from ranked join (select lang, sum(f) as n from one group by lang) using (lang) where rank <= 2000""",
 }
