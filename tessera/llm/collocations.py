@@ -20,6 +20,8 @@ END, OF_LANG, NEXT = b"\xff", b"\xfe", b"\xfd"
 TABLE = bytes(END[0] if chr(b) in PIECE_ENDS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Tokens and distinct words gathered before stripes leave a task, and bytes of text split at once.
 TOKENS, WORDS, CUT = 2_000_000, 1 << 20, 1 << 20
+#: Parts that a language's phrases are limited in before they are ranked.
+SALTS = 64
 #: Odd numbers that mix two word hashes into a stripe's.
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
 
@@ -191,6 +193,25 @@ def _score(left: str, right: str) -> Column:
                   f"div ({wide[left]} * {wide[right]})").cast("long")
 
 
+def _best(scored: DataFrame, top: int) -> DataFrame:
+    """The first ``top`` rows of each language, with their ``rank``.  A histogram
+    of scores, of a few hundred rows a language, tells which of its bins can be
+    among them; SALTS parts of a language are limited first, so one task never
+    orders more than SALTS * ``top`` rows, however many tie."""
+    scored = store(scored.withColumn("bin", F.floor(16 * F.log1p("score"))))
+    bins = scored.groupBy("lang", "bin").agg(F.count(F.lit(1)).alias("rows"))
+    above = F.coalesce(F.sum("rows").over(Window.partitionBy("lang").orderBy(F.desc("bin")).rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0))
+    reached = bins.withColumn("above", above).where(F.col("above") < top).select("lang", "bin")
+    order = F.desc("score"), F.desc("a"), "phrase"
+    part = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
+    some = (scored.join(reached, ["lang", "bin"]).withColumn("part", part)
+            .withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
+            .where(F.col("rank") <= top))
+    return (some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+            .where(F.col("rank") <= top))
+
+
 def collocations(docs: DataFrame, *, least: int = 10, share: int = 50, top: int = 2000,
                  bucket_bytes: int = 1 << 24) -> DataFrame:
     """Best ``top`` phrases of two or three words of each language: ``lang, rank,
@@ -237,7 +258,6 @@ def collocations(docs: DataFrame, *, least: int = 10, share: int = 50, top: int
                     F.when(F.col("second"), F.col("l2")).otherwise(F.col("f_first")).alias("l"),
                     F.when(F.col("second"), F.col("f_last")).otherwise(F.col("r1")).alias("r"),
                     F.least("s1", "s2").alias("score")))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    best = both.withColumn("rank", place).where(F.col("rank") <= top)
+    best = _best(both, top)
     return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase",
                                             "a", "l", "r", "n", "score")
