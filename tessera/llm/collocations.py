@@ -19,7 +19,7 @@ END, OF_LANG, NEXT = b"\xff", b"\xfe", b"\xfd"
 #: A-Z lower-cased, piece ends turned into END.
 TABLE = bytes(END[0] if chr(b) in PIECE_ENDS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Tokens and distinct words gathered before stripes leave a task, and bytes of text split at once.
-TOKENS, WORDS, CUT = 2_000_000, 1 << 20, 1 << 20
+TOKENS, WORDS, CUT = 1_000_000, 1 << 19, 1 << 20
 #: Parts that a language's phrases are limited in before they are ranked.
 SALTS = 64
 #: Odd numbers that mix two word hashes into a stripe's.
@@ -174,7 +174,7 @@ def _merge(least: int):
     return run
 
 
-def stripe_counts(docs: DataFrame, *, least: int, bucket_bytes: int = 1 << 24) -> DataFrame:
+def stripe_counts(docs: DataFrame, *, least: int, bucket_bytes: int = 1 << 23) -> DataFrame:
     """Merged stripes of all texts (COUNTED).  Prefixes are dealt to buckets by
     their hash, so that the stripes of a frequent word's prefixes spread, and a
     bucket holds the tokens of ``bucket_bytes`` of text on average."""
@@ -213,7 +213,7 @@ def _best(scored: DataFrame, top: int) -> DataFrame:
 
 
 def collocations(docs: DataFrame, *, least: int = 10, share: int = 50, top: int = 2000,
-                 bucket_bytes: int = 1 << 24) -> DataFrame:
+                 bucket_bytes: int = 1 << 23) -> DataFrame:
     """Best ``top`` phrases of two or three words of each language: ``lang, rank,
     phrase, a, l, r, n, score``.
 
