@@ -133,6 +133,65 @@ def reconcile(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Data
          .cast("long").alias("extra_rows"))
 
 
+# Fixed value: hash buckets of a table's fingerprint, at 40 bytes each.
+FINGERPRINT_BUCKETS = 4096
+
+
+def _row_hash(df: DataFrame, columns: Sequence[str], seed: int) -> Column:
+    """64-bit hash of a row's values; nulls count by their place, as values
+    equal in a ``GROUP BY`` (0.0 and -0.0, all NaN) have equal hashes."""
+    parts: list[Column] = [F.lit(seed)]
+    for c in columns:
+        value = F.col(c) + 0.0 if df.schema[c].dataType.typeName() in ("float", "double") else F.col(c)
+        parts += [F.col(c).isNull(), value]
+    return F.xxhash64(*parts)
+
+
+def fingerprint(df: DataFrame, columns: Sequence[str], *, buckets: int = FINGERPRINT_BUCKETS) -> DataFrame:
+    """``(bucket, rows, low1, high1, low2, high2)``: for each hash bucket of
+    rows its size and the order-free sums of two row hashes, by halves of 32
+    bits, which leave a long only beyond 2^31 rows a bucket.  Combined on the
+    map side: a task ships one row per bucket."""
+    halves = [part.alias(f"{name}{i}")
+              for i, h in enumerate((_row_hash(df, columns, 1), _row_hash(df, columns, 2)), 1)
+              for name, part in (("low", F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF)))),
+                                 ("high", F.sum(F.shiftrightunsigned(h, 32))))]
+    bucket = F.pmod(_row_hash(df, columns, 0), F.lit(buckets)).alias("bucket")
+    return df.groupBy(bucket).agg(F.count(F.lit(1)).alias("rows"), *halves)
+
+
+def differing_buckets(left: DataFrame, right: DataFrame, columns: Sequence[str], *,
+                      buckets: int = FINGERPRINT_BUCKETS) -> DataFrame:
+    """``bucket`` of every hash bucket whose fingerprints differ."""
+    sides = fingerprint(left, columns, buckets=buckets).withColumn("_side", F.lit(1)).unionByName(
+        fingerprint(right, columns, buckets=buckets).withColumn("_side", F.lit(-1)))
+    sums = [c for c in sides.columns if c not in ("bucket", "_side")]
+    gaps = sides.groupBy("bucket").agg(*[F.sum(F.col(c) * F.col("_side")).alias(c) for c in sums])
+    return gaps.where(" or ".join(f"{c} <> 0" for c in sums)).select("bucket")
+
+
+def reconcile_by_fingerprint(left: DataFrame, right: DataFrame, columns: Sequence[str], *,
+                             buckets: int = FINGERPRINT_BUCKETS) -> DataFrame:
+    """``reconcile``, with whole rows shuffled only where they may differ.
+
+    Both tables are scanned for their fingerprints, of at most ``buckets``
+    rows; only rows of buckets that differ go on to the exact comparison, and
+    for equal tables no row does (the list of differing buckets is broadcast,
+    so adaptive execution skips that scan when it is empty).  Both tables must
+    give the same rows when read twice: use stored ones.
+
+    Different multisets pass unseen only if the size and both 64-bit hash sums
+    of their bucket agree by chance (about 2^-128 for each differing bucket);
+    rows that a differing bucket holds are compared by value."""
+    changed = F.broadcast(differing_buckets(left, right, columns, buckets=buckets))
+
+    def suspects(df: DataFrame) -> DataFrame:
+        bucket = F.pmod(_row_hash(df, columns, 0), F.lit(buckets))
+        return df.select(*columns).withColumn("bucket", bucket).join(changed, "bucket", "left_semi").drop("bucket")
+
+    return reconcile(suspects(left), suspects(right), columns)
+
+
 def side_by_side(values: Mapping[str, DataFrame]) -> DataFrame:
     """Several one-row, one-column results (counts, gate values) as one row
     with a column per name: the values are tagged and unioned, then pivoted

@@ -105,6 +105,14 @@ def lookup_key(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str, key
     return fact.join(side, fact[fact_col] == side["_nk"], "left").drop("_nk")
 
 
+def in_date_ranges(silver: DataFrame) -> DataFrame:
+    """The cleaned sales dealt to tasks by ranges of their date, by id within a
+    date, so a date with a third of all sales is spread over several tasks.
+    Broadcast lookups keep the ranges: ``fact_sales`` of this, sorted within
+    its partitions, has files and row groups of few dates each."""
+    return silver.repartitionByRange("sale_date", "id")
+
+
 def fact_sales(silver: DataFrame, product: DataFrame, customer: DataFrame, region: DataFrame,
                *, dates: DataFrame | None = None, dim_rows: dict | None = None,
                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:

@@ -8,8 +8,9 @@ is the feature.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from tessera.plans import oracle as sql
 from tessera.plans.layers import Layers, Published
 from tessera.schemas import SALES_COLUMNS, STAR_TABLES, sales_schema
 from tessera.sinks.drops import write_drop
-from tessera.sinks.tables import scratch_path
+from tessera.sinks.tables import scratch_path, store
 from tessera.sources.files import latest_drop, read_bronze, read_drops
 from tessera.sources.tables import load
 
@@ -131,6 +132,51 @@ def job_pipeline(spark, root):
     return _row_counts({t: jobs.read_published(spark, cfg, t) for t in ("sales", *STAR_TABLES)})
 
 
+@query("job_pipeline_set", sql.with_layers("fact", "dim_date") + "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS table_name, count(*) AS rows, count(*) AS keyed_sales FROM {src}" if name == "fact_sales" else
+    f"SELECT '{name}' AS table_name, count(*) AS rows, (SELECT count(*) FROM fact JOIN {src} USING ({key})) "
+    f"AS keyed_sales FROM {src}" for name, src, key in (
+        ("dim_date", "dim_date", "date_key"), ("dim_product", "dim_product", "product_key"),
+        ("dim_customer", "dim_customer", "customer_key"), ("dim_region", "dim_region", "region_key"),
+        ("fact_sales", "fact", ""))))
+def job_pipeline_set(spark, root):
+    """The star published as one set, twice: its tables by one reading of the
+    pointer, and the sales that find their row in each dimension of that run."""
+    lake = scratch_path(spark, "lake")
+    cfg = jobs.PipelineConfig(bronze_root=f"{lake}/bronze", silver_path=f"{lake}/silver", gold_root=f"{lake}/gold",
+                              star_as_set=True)
+    feed = Layers(spark, root).bronze
+    for part in (feed.where("id % 2 = 0"), feed):
+        jobs.bronze_to_silver(spark, cfg, bronze=part)
+        jobs.silver_to_gold(spark, cfg)
+    tables = jobs.read_star(spark, cfg)
+    fact = tables["fact_sales"]
+    out = None
+    for name, df in tables.items():
+        key = name.removeprefix("dim_") + "_key"
+        keyed = fact.join(df.select(key), key) if name.startswith("dim_") else fact
+        row = quality.side_by_side({"rows": _rows(df), "keyed_sales": _rows(keyed)}).select(
+            F.lit(name).alias("table_name"), "rows", "keyed_sales")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("gate_duplicate_ids_bucketed", sql.with_layers("silver")
+       + "SELECT count(*) AS rows, (SELECT count(*) FROM (SELECT id FROM silver GROUP BY id HAVING count(*) > 1) t) "
+         "AS duplicate_ids, (SELECT count(DISTINCT id) FROM silver) AS rows_after_dedup FROM silver")
+def gate_duplicate_ids_bucketed(spark, root):
+    """The cleaned catalog table, bucketed by id: the duplicate gate and another
+    de-duplication, both without a shuffle of the ids."""
+    lake, name = scratch_path(spark, "lake"), f"lake_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{lake}/db'")
+    cfg = jobs.PipelineConfig(bronze_root=f"{lake}/bronze", silver_path=f"{lake}/silver", gold_root=f"{lake}/gold",
+                              catalog=name)
+    jobs.bronze_to_silver(spark, cfg, bronze=Layers(spark, root).bronze)
+    sales = jobs.read_published(spark, cfg, "sales")
+    return quality.side_by_side({"rows": _rows(sales), "duplicate_ids": quality.duplicate_keys(sales, "id"),
+                                 "rows_after_dedup": _rows(cleaning.dedup_sales(sales))})
+
+
 # ----------------------------------------------------------------- silver ---
 
 @query("silver_dedup", sql.with_layers("bronze") + sql.dedup("bronze"))
@@ -449,6 +495,19 @@ def reconcile_rows(spark, root):
                              ["sale_id", "quantity", "unit_price"])
 
 
+@query("reconcile_fingerprint", sql.with_layers("fact")
+       + "SELECT (SELECT count(*) FROM (SELECT id, quantity, unit_price, created_at FROM silver EXCEPT ALL "
+         "SELECT sale_id, quantity, unit_price, created_at FROM fact) a) AS missing_rows, "
+         "(SELECT count(*) FROM (SELECT sale_id, quantity, unit_price, created_at FROM fact EXCEPT ALL "
+         "SELECT id, quantity, unit_price, created_at FROM silver) b) AS extra_rows")
+def reconcile_fingerprint(spark, root):
+    """The fact against the cleaned table by fingerprints of hash buckets: as
+    they are equal, no row is shuffled."""
+    lay = Published(spark, root)
+    return quality.reconcile_by_fingerprint(lay.stored_silver.withColumnRenamed("id", "sale_id"), lay.fact,
+                                            jobs.RECONCILED)
+
+
 # ---------------------------------------------------------------- reports ---
 
 def _counts_sql(tables: dict[str, str], columns: dict[str, int] | None = None) -> str:
@@ -526,6 +585,44 @@ def bi_by_date(spark, root):
     return analysis.by_date(lay.fact, lay.dim_date)
 
 
+@query("bi_date_range", sql.with_layers("fact", "dim_date")
+       + f"SELECT f.date_key, d.full_date, {_MEASURES.replace('quantity', 'f.quantity')} FROM fact f "
+         "LEFT JOIN dim_date d ON f.date_key = d.date_key WHERE d.full_date BETWEEN DATE '1995-01-01' "
+         "AND DATE '1995-03-31' GROUP BY f.date_key, d.full_date")
+def bi_date_range(spark, root):
+    """The daily series of one quarter, from the files and row groups of the
+    clustered fact that hold it."""
+    lay = Published(spark, root)
+    return analysis.by_date(analysis.between_dates(lay.fact, date(1995, 1, 1), date(1995, 3, 31)), lay.dim_date)
+
+
+@query("bi_sketched_customers", sql.with_layers("fact", "dim_date")
+       + "SELECT d.year, d.month, r.region_name, count(*) AS sales, count(DISTINCT f.customer_key) AS customers, "
+         "count(DISTINCT f.product_key) AS products, true AS within_bound FROM fact f "
+         "LEFT JOIN dim_date d ON f.date_key = d.date_key LEFT JOIN dim_region r ON f.region_key = r.region_key "
+         "GROUP BY d.year, d.month, r.region_name")
+def bi_sketched_customers(spark, root):
+    """Distinct customers and products per month and region from stored daily
+    sketches, beside the exact counts: whether all estimates are within three
+    standard errors (5 %, or one)."""
+    lay = Published(spark, root)
+    sketched = analysis.sketch_report(store(analysis.sales_sketches(lay.fact), "sketches"), lay.dim_date, lay.dim_region)
+    keys = ("year", "month", "region_name")
+    exact = (lay.fact.join(lay.dim_date.select("date_key", "year", "month"), "date_key", "left")
+             .join(lay.dim_region, "region_key", "left").groupBy(*keys)
+             .agg(F.count_distinct("customer_key").alias("exact_customers"),
+                  F.count_distinct("product_key").alias("exact_products")))
+
+    def near(name):
+        return F.abs(F.col(name) - F.col(f"exact_{name}")) <= F.greatest(F.lit(1), 0.05 * F.col(f"exact_{name}"))
+
+    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"e.{k}")) for k in keys]
+    both = sketched.alias("s").join(exact.alias("e"), same[0] & same[1] & same[2])
+    return both.select(*[F.col(f"s.{k}") for k in keys], "sales", F.col("exact_customers").alias("customers"),
+                       F.col("exact_products").alias("products"),
+                       (near("customers") & near("products")).alias("within_bound"))
+
+
 @query("bi_by_product", sql.with_layers("fact")
        + f"SELECT p.product_key, p.product_id, p.product_name, t.sales, t.units, t.revenue FROM "
          f"(SELECT product_key, {_MEASURES} FROM fact GROUP BY product_key) t "
@@ -589,7 +686,9 @@ def bi_region_year_cube(spark, root):
 
 _DAMAGED = (",\ndamaged AS (SELECT sale_id, CASE WHEN sale_id % 29 = 0 THEN NULL ELSE date_key END AS date_key, "
             "CASE WHEN sale_id % 17 = 0 THEN product_key + 100000000 WHEN sale_id % 13 = 0 THEN NULL "
-            "ELSE product_key END AS product_key, customer_key, "
+            "ELSE product_key END AS product_key, "
+            "CASE WHEN sale_id % 41 = 0 THEN NULL WHEN sale_id % 43 = 0 THEN customer_key + 100000000 "
+            "ELSE customer_key END AS customer_key, "
             "CASE WHEN sale_id % 31 = 0 THEN -1 ELSE region_key END AS region_key, quantity, unit_price, "
             "CASE WHEN sale_id % 23 = 0 THEN -total_amount ELSE total_amount END AS total_amount "
             "FROM fact WHERE sale_id % 37 <> 0 "
@@ -610,6 +709,8 @@ def _damaged(lay: Published) -> DataFrame:
     changed = fact.where(~bad(37)).withColumns({
         "date_key": F.when(~bad(29), F.col("date_key")),
         "product_key": F.when(bad(17), F.col("product_key") + 100_000_000).when(~bad(13), F.col("product_key")),
+        "customer_key": F.when(bad(43) & ~bad(41), F.col("customer_key") + 100_000_000).when(
+            ~bad(41), F.col("customer_key")),
         "region_key": F.when(bad(31), -1).otherwise(F.col("region_key")),
         "total_amount": F.when(bad(23), -F.col("total_amount")).otherwise(F.col("total_amount"))})
     return changed.unionByName(fact.where(bad(19)))
@@ -672,3 +773,11 @@ def damaged_totals(spark, root):
     return _union_layers({n: df.agg(F.sum("sales").cast("long").alias("sales"),
                                     F.sum("revenue").cast(analysis.MONEY).alias("revenue"))
                           for n, df in parts.items()}).withColumnRenamed("layer", "report")
+
+
+@query("damaged_reconcile_fingerprint", SQL["damaged_reconcile"])
+def damaged_reconcile_fingerprint(spark, root):
+    """As ``damaged_reconcile``, exact, by way of the buckets that differ."""
+    lay = Published(spark, root)
+    return quality.reconcile_by_fingerprint(lay.stored_silver.withColumnRenamed("id", "sale_id"), _damaged(lay),
+                                            ["sale_id", "quantity", "unit_price"])

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -48,6 +49,9 @@ class PipelineConfig:
     key_partitions: int | None = None      # range partitions for surrogate keys
     max_broadcast_bytes: int = star.DEFAULT_BROADCAST_BYTES
     null_amount_gate: bool = False         # also fail on a NULL total_amount
+    reconcile_gate: bool = False           # also compare the fact with the cleaned table, as multisets
+    cluster_fact: bool = False             # files of the fact by ranges of dates: one shuffle of it more
+    star_as_set: bool = False              # all star tables of a run in one folder, switched by one pointer
     bi: JdbcConfig | None = None
     bi_batch_size: int = BI_BATCH_SIZE
     bi_partitions: int = BI_WRITERS
@@ -59,32 +63,76 @@ class PipelineConfig:
         """Path of ``sales`` (the cleaned table) or of a star table."""
         return self.silver_path if table == "sales" else self.gold_path(table)
 
+    def run_path(self, run: str, table: str) -> str:
+        """Path of a star table in one run's set (``star_as_set``)."""
+        return f"{self.gold_root.rstrip('/')}/{RUNS}/{run}/{table}"
+
+    def __post_init__(self):
+        sink.check_format(self.table_format)
+        if self.star_as_set and (self.catalog or self.table_format in sink.TRANSACTIONAL):
+            raise ValueError("star_as_set publishes plain folders: no catalog, no transactional format")
+
+
+# Fixed value: folder of the runs of a star that is published as a set.
+RUNS = "runs"
+
+
+class NotPublished(FileNotFoundError):
+    """No run of the star has been published yet."""
+
 
 def read_published(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFrame:
-    """The current ``sales`` (cleaned table) or star table."""
+    """The current ``sales`` (cleaned table) or star table.  Several star tables
+    of one run come from ``read_star``."""
+    if cfg.star_as_set and table != "sales":
+        return read_star(spark, cfg, (table,))[table]
     if cfg.catalog:
         return spark.table(f"{cfg.catalog}.{table}")
     return read_table(spark, cfg.path(table), cfg.table_format)
 
 
-def _staging(cfg: PipelineConfig, table: str) -> str:
-    run = uuid.uuid4().hex[:12]
+def read_star(spark: SparkSession, cfg: PipelineConfig, tables: Sequence[str] = STAR_TABLES) -> dict[str, DataFrame]:
+    """The current star tables.  Published as a set, they are all of one run,
+    named by one reading of the pointer."""
+    if not cfg.star_as_set:
+        return {t: read_published(spark, cfg, t) for t in tables}
+    run = sink.pointed_to(spark, cfg.gold_root)
+    if run is None:
+        raise NotPublished(f"no star published under {cfg.gold_root}")
+    return {t: read_table(spark, cfg.run_path(run, t), cfg.table_format) for t in tables}
+
+
+def _staging(cfg: PipelineConfig, table: str, run: str | None = None) -> str:
+    run = run or uuid.uuid4().hex[:12]
     path = cfg.path(table)
+    if cfg.star_as_set and table != "sales":
+        return cfg.run_path(run, table)
     return f"{path.rstrip('/')}/run_{run}" if cfg.catalog else sink.staging_path(path, run)
 
 
+def _check(spark: SparkSession, path: str, fmt: str, rows: int, schema: StructType) -> None:
+    """The commit marker is there and the rows that were written can be read."""
+    sink.verify_commit(spark, path, table_format=fmt)
+    sink.verify_table(spark, path, rows, table_format=fmt, schema=schema)
+
+
 def _publish(spark: SparkSession, cfg: PipelineConfig, table: str, staged: str, rows: int,
-             schema: StructType) -> None:
-    """Publish a staged table of ``rows`` rows, checked before and after."""
+             schema: StructType, like: str | None = None) -> None:
+    """Publish a staged table of ``rows`` rows.  Its rows are read where the
+    table can still be taken back: ahead of a switch or a commit, but behind a
+    swap of folders, which needs the marker alone ahead."""
     def check(path: str, fmt: str) -> None:
-        sink.verify_commit(spark, path, table_format=fmt)
-        sink.verify_table(spark, path, rows, table_format=fmt, schema=schema)
+        if path == staged and cfg.table_format not in sink.TRANSACTIONAL:
+            sink.verify_commit(spark, path, table_format=fmt)
+        else:
+            _check(spark, path, fmt, rows, schema)
 
     if cfg.catalog:
-        check(staged, cfg.table_format)
-        sink.switch_location(spark, f"{cfg.catalog}.{table}", staged, schema, table_format=cfg.table_format)
+        _check(spark, staged, cfg.table_format, rows, schema)
+        sink.switch_location(spark, f"{cfg.catalog}.{table}", staged, schema, table_format=cfg.table_format, like=like)
     else:
-        sink.publish(spark, staged, cfg.path(table), table_format=cfg.table_format, schema=schema, check=check)
+        sink.publish(spark, staged, cfg.path(table), table_format=cfg.table_format, schema=schema,
+                     check=check)
 
 
 def _one_row(parts: dict[str, DataFrame]) -> dict:
@@ -129,16 +177,33 @@ SILVER_ROW_GATES = ("invalid_quantity", "invalid_price")
 SILVER_KEY_GATES = ("duplicate_ids", "inconsistent_products")
 
 
+def _sales_buckets(spark: SparkSession, cfg: PipelineConfig) -> int | None:
+    """Buckets by id of the cleaned catalog table: as many as it has, the
+    session's shuffle partitions for a new one, None outside a catalog."""
+    if not cfg.catalog:
+        return None
+    name = f"{cfg.catalog}.sales"
+    if spark.catalog.tableExists(name):
+        return sink.bucket_count(spark, name)
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _stage_silver(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame, silver: DataFrame,
-                  seen: Observation, staged: str, source: str | None) -> dict:
-    """Write the cleaned table to ``staged`` and run every gate on it."""
+                  seen: Observation, staged: str, source: str | None, bucketed: str | None) -> dict:
+    """Write the cleaned table to ``staged`` and run every gate on it.  As
+    catalog table ``bucketed`` it is bucketed by id, so that the duplicate gate
+    (here, and for the star) needs no shuffle of the ids."""
     check_schema(silver, SALES_SCHEMA)
     fmt = sink.staging_format(cfg.table_format)
-    written = sink.write_table(silver, staged, table_format=fmt,
-                               metrics=[F.count_if(c.violates).alias(c.name)
-                                        for c in (quality.invalid_quantity(), quality.invalid_price())])
+    metrics = [F.count_if(c.violates).alias(c.name) for c in (quality.invalid_quantity(), quality.invalid_price())]
+    if bucketed:
+        written = sink.write_bucketed(silver, bucketed, staged, "id", _sales_buckets(spark, cfg),
+                                      table_format=fmt, metrics=metrics)
+        stored = spark.table(bucketed)
+    else:
+        written = sink.write_table(silver, staged, table_format=fmt, metrics=metrics)
+        stored = sink.read_back(spark, staged, silver.schema, table_format=fmt)
     bronze_rows = int(seen.get["bronze_rows"])
-    stored = sink.read_back(spark, staged, silver.schema, table_format=fmt)
     keys = _one_row({
         "duplicate_ids": quality.duplicate_keys(stored, "id"),
         "inconsistent_products": quality.inconsistent_mappings(stored, "product_id", "product_name"),
@@ -183,19 +248,25 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, *, bronze: DataFr
     else:
         raise ValueError(f"unknown cleaning variant {cfg.variant!r}")
     staged = _staging(cfg, "sales")
+    bucketed = f"{cfg.catalog}.sales__{uuid.uuid4().hex[:12]}" if _sales_buckets(spark, cfg) else None
     log.info("cleaned layer: reading %s", source or "given raw rows")
     try:
-        report = _stage_silver(spark, cfg, bronze, silver, seen, staged, source)
+        report = _stage_silver(spark, cfg, bronze, silver, seen, staged, source, bucketed)
+        _publish(spark, cfg, "sales", staged, report["silver_rows"], silver.schema, like=bucketed)
     except Exception:
-        sink.discard(spark, staged)  # a failed write or gate leaves nothing behind
+        sink.discard(spark, staged)  # a failed write, gate or publish leaves nothing behind
         raise
-    _publish(spark, cfg, "sales", staged, report["silver_rows"], silver.schema)
+    finally:
+        if bucketed:
+            spark.sql(f"DROP TABLE IF EXISTS {bucketed}")  # the name only: the files are the published table's
     log.info("cleaned layer published: %s raw rows -> %s rows", report["bronze_rows"], report["silver_rows"])
     return report
 
 
 # -------------------------------------------------------------------- gold ---
 
+# Columns the fact shares with the cleaned table.
+RECONCILED = ("sale_id", "quantity", "unit_price", "created_at")
 FACT_ROW_GATES = tuple(f"null_{k}" for k in quality.FACT_KEY_COLUMNS) + ("negative_amount",)
 
 
@@ -225,7 +296,7 @@ def build_star(silver: DataFrame, cfg: PipelineConfig, staged: dict[str, str]) -
         return sink.write_table(dim, staged[table], table_format=fmt)
 
     builders = {
-        "dim_date": lambda: write_dim("dim_date", star.dim_date(silver)),
+        "dim_date": lambda: write_dim("dim_date", star.dim_date(silver).orderBy("date_key")),
         "dim_product": product,
         "dim_customer": lambda: write_dim("dim_customer",
                                           star.dim_customer(silver, partitions=cfg.key_partitions)),
@@ -246,10 +317,15 @@ def build_star(silver: DataFrame, cfg: PipelineConfig, staged: dict[str, str]) -
     stored = {t: sink.read_back(spark, staged[t], metrics[t]["schema"], table_format=fmt)
               for t in STAR_TABLES if t != "fact_sales"}
     seen = Observation()
-    fact = star.fact_sales(silver.observe(seen, F.count(F.lit(1)).alias("silver_rows")),
+    # Dealt by date before the lookups, as a sample of the stored table costs
+    # less than one of the joined fact; the sample is not to be observed.
+    dealt = star.in_date_ranges(silver) if cfg.cluster_fact else silver
+    fact = star.fact_sales(dealt.observe(seen, F.count(F.lit(1)).alias("silver_rows")),
                            stored["dim_product"], stored["dim_customer"], stored["dim_region"],
                            dim_rows={t: m["rows"] for t, m in metrics.items() if t.startswith("dim_")},
                            max_broadcast_bytes=cfg.max_broadcast_bytes)
+    if cfg.cluster_fact:
+        fact = fact.sortWithinPartitions("date_key", "sale_id")
     check_schema(fact, STAR_SCHEMAS["fact_sales"])
     checks = ([quality.null_key(k) for k in quality.FACT_KEY_COLUMNS]
               + [quality.negative_amount(), quality.null_amount()])
@@ -265,10 +341,27 @@ def build_star(silver: DataFrame, cfg: PipelineConfig, staged: dict[str, str]) -
     return metrics
 
 
+def _publish_star(spark: SparkSession, cfg: PipelineConfig, run: str, staged: dict[str, str],
+                  rows: dict[str, int], schemas: dict[str, StructType]) -> None:
+    if cfg.star_as_set:
+        # Nothing of the run can be seen before its pointer, so a failure up to
+        # there leaves readers wholly on the old star.
+        run_concurrently(spark, {t: (lambda t=t: _check(spark, staged[t], cfg.table_format, rows[t], schemas[t]))
+                                 for t in STAR_TABLES})
+        sink.point_to(spark, cfg.gold_root, run)
+        return
+    # Dimensions first, the fact last: a reader never sees a fact whose keys
+    # are missing from the published dimensions of the same run.
+    run_concurrently(spark, {t: (lambda t=t: _publish(spark, cfg, t, staged[t], rows[t], schemas[t]))
+                             for t in STAR_TABLES if t != "fact_sales"})
+    _publish(spark, cfg, "fact_sales", staged["fact_sales"], rows["fact_sales"], schemas["fact_sales"])
+
+
 def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict:
     """Cleaned table → star schema (4 dimensions + fact), gated, then published."""
     silver = read_published(spark, cfg, "sales")
-    staged = {t: _staging(cfg, t) for t in STAR_TABLES}
+    run = uuid.uuid4().hex[:12]
+    staged = {t: _staging(cfg, t, run) for t in STAR_TABLES}
     try:
         m = build_star(silver, cfg, staged)
         dup = m["duplicate_sale_ids"]
@@ -284,21 +377,65 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict:
         report["null_amount"] = fm["null_amount"]
         gates = ["inconsistent_products", "grain_difference", *FACT_ROW_GATES, "duplicate_sale_ids"]
         gates += ["null_amount"] if cfg.null_amount_gate else []
+        if cfg.reconcile_gate:
+            fact = sink.read_back(spark, staged["fact_sales"], schemas["fact_sales"],
+                                  table_format=sink.staging_format(cfg.table_format))
+            report |= quality.reconcile_by_fingerprint(silver.withColumnRenamed("id", "sale_id"), fact,
+                                                       RECONCILED).first().asDict()
+            gates += ["missing_rows", "extra_rows"]
         log.info("star gates: %s", {g: report[g] for g in gates})
         quality.enforce(report, gates)
+        _publish_star(spark, cfg, run, staged, report["rows"], schemas)
     except Exception:
-        for p in staged.values():
-            sink.discard(spark, p)
+        for p in staged.values():  # of tables switched to already, the folder is the table's
+            if not _in_use(spark, cfg, p):
+                sink.discard(spark, p)
         raise
-    # Dimensions first, the fact last: a reader never sees a fact whose keys
-    # are missing from the published dimensions of the same run.
-    run_concurrently(spark, {t: (lambda t=t: _publish(spark, cfg, t, staged[t], report["rows"][t], schemas[t]))
-                             for t in STAR_TABLES if t != "fact_sales"})
-    _publish(spark, cfg, "fact_sales", staged["fact_sales"], report["rows"]["fact_sales"], schemas["fact_sales"])
     log.info("star published: %s", report["rows"])
     return report
 
 
+def _in_use(spark: SparkSession, cfg: PipelineConfig, path: str) -> bool:
+    if not cfg.catalog:
+        return False
+    name = f"{cfg.catalog}.{path.rstrip('/').split('/')[-2]}"
+    return spark.catalog.tableExists(name) and sink.location(spark, name).rstrip("/").endswith(path.rstrip("/"))
+
+
+def remove_old_runs(spark: SparkSession, cfg: PipelineConfig, *, keep: int = 2, older_than_hours: float = 24) -> list[str]:
+    """Delete what earlier runs have left and nothing reads any more; returns
+    the deleted folders.
+
+    Runs of a star published as a set, and run folders of catalog tables: the
+    current one and the newest ``keep - 1`` others stay, and so does whatever
+    changed in the last ``older_than_hours``, for runs being written and queries
+    still on an old one.  Staging folders of interrupted runs go by age alone."""
+    least, gone = older_than_hours * 3600, []
+
+    def remove(root: str, names: Sequence[str]):
+        for name in names:
+            sink.discard(spark, f"{root}/{name}")
+            gone.append(f"{root}/{name}")
+
+    def old(root: str, prefix: str, current: str | None) -> list[str]:
+        found = [(n, age) for n, age in sink.folders(spark, root) if n.startswith(prefix) and n != current]
+        return [n for n, age in found[max(0, keep - 1):] if age >= least]
+
+    gold = cfg.gold_root.rstrip("/")
+    if cfg.star_as_set:
+        current = sink.pointed_to(spark, gold)
+        remove(f"{gold}/{RUNS}", old(f"{gold}/{RUNS}", "", current))
+    for table in ("sales", *STAR_TABLES):
+        path = cfg.path(table).rstrip("/")
+        if cfg.catalog and spark.catalog.tableExists(f"{cfg.catalog}.{table}"):
+            current = sink.location(spark, f"{cfg.catalog}.{table}").rstrip("/").rsplit("/", 1)[-1]
+            remove(path, old(path, "run_", current))
+        parent, name = path.rsplit("/", 1)
+        remove(parent, [n for n, age in sink.folders(spark, parent)
+                        if n.startswith(f"{name}.__staging_") and age >= least])
+    return gone
+
+
 # ---------------------------------------------------------------------- BI ---
 
 def gold_to_bi(spark: SparkSession, cfg: PipelineConfig) -> dict:
@@ -306,7 +443,7 @@ def gold_to_bi(spark: SparkSession, cfg: PipelineConfig) -> dict:
     if cfg.bi is None:
         raise ValueError("no BI database configured")
     probe(spark, cfg.bi)
-    tables = {t: read_published(spark, cfg, t) for t in STAR_TABLES}
+    tables = read_star(spark, cfg)
     expected = _one_row({t: df.agg(F.count(F.lit(1))) for t, df in tables.items()})
     return load_star(spark, tables, cfg.bi, expected, batch_size=cfg.bi_batch_size,
                      num_partitions=cfg.bi_partitions)
@@ -352,8 +489,7 @@ def diagnose_mapping(spark: SparkSession, cfg: PipelineConfig, *, limit: int = 1
 def inspect_gold(spark: SparkSession, cfg: PipelineConfig, *, preview: int = 5) -> dict:
     """Row count, schema and a few rows of every star table."""
     out = {}
-    for t in STAR_TABLES:
-        df = read_published(spark, cfg, t)
+    for t, df in read_star(spark, cfg).items():
         out[t] = {"rows": df.count(), "schema": [tuple(r) for r in sink.describe_table(df).collect()],
                   "preview": [r.asDict() for r in df.limit(preview).collect()]}
     return out
@@ -410,7 +546,7 @@ def register_views(spark: SparkSession, cfg: PipelineConfig, *, prefix: str = ""
         read_published(spark, cfg, "sales").createOrReplaceTempView(f"{prefix}sales")
         names.append(f"{prefix}sales")
     if cfg.gold_root:
-        for t in STAR_TABLES:
-            read_published(spark, cfg, t).createOrReplaceTempView(f"{prefix}{t}")
+        for t, df in read_star(spark, cfg).items():
+            df.createOrReplaceTempView(f"{prefix}{t}")
             names.append(f"{prefix}{t}")
     return names

@@ -92,7 +92,8 @@ class Published(Layers):
         if done is None or not path_exists(self.spark, done.gold_path("fact_sales")):
             lake = scratch_path(self.spark, "lake")
             done = jobs.PipelineConfig(bronze_root=f"{lake}/bronze", silver_path=f"{lake}/silver",
-                                       gold_root=f"{lake}/gold", key_partitions=self.key_partitions)
+                                       gold_root=f"{lake}/gold", key_partitions=self.key_partitions,
+                                       cluster_fact=True)
             jobs.bronze_to_silver(self.spark, done, bronze=self.bronze)
             jobs.silver_to_gold(self.spark, done)
             self._done[state] = done

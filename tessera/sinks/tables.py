@@ -3,6 +3,7 @@ after the checks pass, read-back and commit-marker verification."""
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -13,8 +14,23 @@ from pyspark.sql import functions as F
 from tessera.schemas import SchemaMismatch, schema_problems
 from tessera.session import checkpoint_dir
 
-# Formats whose overwrite is one atomic commit to the table.
-TRANSACTIONAL = ("delta", "iceberg", "hudi")
+# Formats whose overwrite is one atomic commit to the table, and
+# those that Spark writes as files with a ``_SUCCESS`` marker.  ``verify_commit``
+# knows these; a table in any other format is refused before it is written.
+TRANSACTIONAL = ("delta",)
+FILE_FORMATS = ("parquet", "orc", "csv", "json", "avro")
+
+
+class UnsupportedFormat(ValueError):
+    pass
+
+
+def check_format(table_format: str) -> str:
+    """``table_format`` when its commits can be verified, else ``UnsupportedFormat``."""
+    if table_format not in TRANSACTIONAL + FILE_FORMATS:
+        raise UnsupportedFormat(f"{table_format}: commits of this format cannot be verified, "
+                                f"use one of {', '.join(FILE_FORMATS + TRANSACTIONAL)}")
+    return table_format
 
 
 def _fs(spark: SparkSession, path: str):
@@ -94,17 +110,20 @@ def store(df: DataFrame, name: str) -> DataFrame:
 def publish(spark: SparkSession, staged: str, path: str, *, table_format: str = "parquet",
             schema: StructType | None = None, check: Callable[[str, str], object] | None = None) -> None:
     """Make a staged table the current one.  ``check(path, format)`` raises when
-    a table is not as it should be; it sees the staged table first.
+    a table is not as it should be; it sees the staged table first, then the
+    published one.
 
-    A transactional format gets one overwrite commit on the target: nothing
-    is renamed or deleted, so the table keeps its history, and readers see the
-    old or the new version.
+    A transactional format gets one overwrite commit on the target: nothing is
+    renamed or deleted, so readers see the old or the new version.  When the
+    check of the target raises, the commit is made already, and the version
+    before it is in the table's history.
 
     A folder of plain files is swapped by two renames, which suits file
     systems that rename without copying; between them there is no table for a
     moment.  The old table is kept until ``check`` has passed on the new one,
-    and comes back when it fails.  On object stores use a transactional format
-    or a catalog table (``switch_location``)."""
+    and comes back when it fails.  On object stores use a transactional format,
+    a catalog table (``switch_location``) or a pointer (``point_to``)."""
+    check_format(table_format)
     if check:
         check(staged, staging_format(table_format))
     if table_format in TRANSACTIONAL:
@@ -138,15 +157,95 @@ def publish(spark: SparkSession, staged: str, path: str, *, table_format: str =
         fs.delete(old, True)
 
 
+# Fixed value: the file that names the current run of a set of tables.
+POINTER = "_current"
+
+
+def point_to(spark: SparkSession, root: str, run: str) -> None:
+    """Make ``run`` the current one of ``root``: the one-line pointer file is
+    written beside its place and renamed over it, so that a reader sees the old
+    name or the new one (on HDFS and local disks the rename is atomic)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs, beside = _fs(spark, f"{root.rstrip('/')}/{POINTER}.{uuid.uuid4().hex}")
+    out = fs.create(beside)
+    try:
+        out.write(bytearray(run.encode()))
+    finally:
+        out.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    target = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{POINTER}")
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(beside, target, how)
+
+
+def pointed_to(spark: SparkSession, root: str) -> str | None:
+    """The current run of ``root``, None before the first."""
+    fs, p = _fs(spark, f"{root.rstrip('/')}/{POINTER}")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+    finally:
+        stream.close()
+
+
+def folders(spark: SparkSession, root: str) -> list[tuple[str, float]]:
+    """``(name, seconds since the last change)`` of each folder in ``root``, newest first."""
+    fs, p = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    now = time.time()
+    found = [(st.getPath().getName(), now - st.getModificationTime() / 1000)
+             for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted(found, key=lambda f: f[1])
+
+
+def location(spark: SparkSession, table: str) -> str:
+    """Folder that catalog table ``table`` reads."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else ""
+
+
+def bucket_count(spark: SparkSession, table: str) -> int | None:
+    """Number of buckets of catalog table ``table``, None without buckets."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Num Buckets'").collect()
+    return int(rows[0]["data_type"]) if rows else None
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int, *,
+                   table_format: str = "parquet", metrics: Sequence[Column] = ()) -> dict:
+    """As ``write_table``, but a catalog table over ``path`` whose rows are
+    bucketed and sorted by ``key``: grouping or joining it by the key needs no
+    shuffle.
+
+    Rows that a shuffle by ``key`` has just dealt to the session's number of
+    partitions are in their buckets already, if there are as many; otherwise
+    they are dealt once more, so that every bucket is one file."""
+    spark = df.sparkSession
+    if buckets != int(spark.conf.get("spark.sql.shuffle.partitions")):
+        df = df.repartition(buckets, key)
+    obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics)
+    (observed.write.format(table_format).mode("overwrite").option("path", path)
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+    return {**{k: (int(v) if isinstance(v, int) else v) for k, v in obs.get.items()}, "schema": df.schema}
+
+
 def switch_location(spark: SparkSession, table: str, path: str, schema: StructType, *,
-                    table_format: str = "parquet") -> None:
+                    table_format: str = "parquet", like: str | None = None) -> None:
     """Point catalog table ``table`` (made on first use) to the folder ``path``:
     one metadata change, no file moves.  Folders of earlier runs stay, for
-    queries still on them."""
+    queries still on them.  A new table is made like catalog table ``like``,
+    buckets and all, where one is named."""
+    escaped = path.replace("\\", "\\\\").replace("'", "\\'")
     if not spark.catalog.tableExists(table):
-        spark.catalog.createTable(table, path=path, source=table_format, schema=schema)
+        if like:
+            spark.sql(f"CREATE TABLE {table} LIKE {like} LOCATION '{escaped}'")
+        else:
+            spark.catalog.createTable(table, path=path, source=table_format, schema=schema)
         return
-    escaped = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{escaped}'")
     spark.catalog.refreshTable(table)
 
