@@ -29,7 +29,7 @@ from tessera.sources.s3a import s3a_conf
 _NEEDS = {"ingest": (), "validate-drop": (), "silver": ("silver",), "gold": ("silver", "gold"),
           "bi": ("gold",), "validate": ("silver",), "diagnose": ("silver",), "inspect": ("gold",),
           "pipeline": ("silver", "gold"), "stream": ("silver",), "storage-check": ("gold",),
-          "bi-check": ()}
+          "bi-check": (), "clean": ("silver", "gold")}
 
 
 def _config(args) -> jobs.PipelineConfig:
@@ -43,7 +43,9 @@ def _config(args) -> jobs.PipelineConfig:
                               strict_reference_order=args.strict_order, variant=args.variant,
                               key_partitions=args.key_partitions, enforce_header=args.enforce_header,
                               null_amount_gate=args.null_amount_gate, csv_multiline=not args.single_line,
-                              catalog=args.catalog, bi_partitions=args.bi_partitions,
+                              quarantine_path=args.quarantine, drops_by_date=args.drops_by_date,
+                              cluster_fact=args.cluster_fact, star_as_set=args.star_set,
+                              reconcile_gate=args.reconcile, catalog=args.catalog, bi_partitions=args.bi_partitions,
                               bi_batch_size=args.bi_batch_size)
     if args.command in ("bi", "pipeline", "stream") and args.with_bi:
         cfg.bi = postgres_from_env(prefix=BI_ENV_PREFIX)
@@ -54,7 +56,7 @@ def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="tessera")
     p.add_argument("command", choices=["ingest", "validate-drop", "silver", "gold", "bi", "validate",
                                        "diagnose", "inspect", "pipeline", "stream", "storage-check",
-                                       "bi-check"])
+                                       "bi-check", "clean"])
     p.add_argument("--bronze", required=True, help="folder of raw drops")
     p.add_argument("--silver", default="", help="cleaned table path")
     p.add_argument("--gold", default="", help="folder of the star tables")
@@ -71,6 +73,15 @@ def main(argv=None) -> int:
                    help="no CSV field holds a line break: split drop files between tasks")
     p.add_argument("--catalog", default=None,
                    help="catalog database whose tables are switched to each run's folders")
+    p.add_argument("--report", default=None, help="diagnose: folder for the whole report (Parquet)")
+    p.add_argument("--quarantine", default=None, help="folder for records with unparsable fields")
+    p.add_argument("--drops-by-date", action="store_true",
+                   help="drops are never back-dated: list the newest date folder only")
+    p.add_argument("--cluster-fact", action="store_true", help="write the fact in ranges of dates")
+    p.add_argument("--star-set", action="store_true", help="publish the star tables as one set")
+    p.add_argument("--reconcile", action="store_true", help="also compare the fact with the cleaned table")
+    p.add_argument("--keep-runs", type=int, default=2, help="clean: runs to keep, the current one included")
+    p.add_argument("--older-than-hours", type=float, default=24, help="clean: younger folders stay")
     p.add_argument("--s3a", action="store_true",
                    help="take the object-store settings from the environment (see tessera.sources.s3a)")
     p.add_argument("--source-partitions", type=int, default=SOURCE_READERS,
@@ -112,9 +123,12 @@ def main(argv=None) -> int:
         elif args.command == "validate":
             out = jobs.validate_silver(spark, cfg)
         elif args.command == "diagnose":
-            out = jobs.diagnose_mapping(spark, cfg)
+            out = jobs.diagnose_mapping(spark, cfg, report_path=args.report)
         elif args.command == "inspect":
             out = jobs.inspect_gold(spark, cfg)
+        elif args.command == "clean":
+            out = {"removed": jobs.remove_old_runs(spark, cfg, keep=args.keep_runs,
+                                                   older_than_hours=args.older_than_hours)}
         elif args.command == "storage-check":
             out = jobs.storage_check(spark, f"{args.gold.rstrip('/')}/_storage_check", table_format=args.format)
         elif args.command == "bi-check":

@@ -14,7 +14,7 @@ the offsets are taken, so a recomputed task can never renumber a key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.session import checkpoint_dir
@@ -23,9 +23,18 @@ _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
+def checked_int(value: Column, name: str) -> Column:
+    """``value`` as an int; above 2^31 - 1 the query fails, with ANSI off too,
+    where a cast would wrap to another, negative key."""
+    fits = value.isNull() | value.between(-(1 << 31), (1 << 31) - 1)
+    return F.when(fits, value.cast("int")).otherwise(
+        F.raise_error(F.concat(F.lit(f"{name} does not fit an int: "), value.cast("string"))).cast("int"))
+
+
 def dense_key(df: DataFrame, key: str, out: str, *, partitions: int | None = None,
               checkpoint: bool = True) -> DataFrame:
-    """Add ``out`` = rank of ``key`` among the distinct keys (1-based, int).
+    """Add ``out`` = rank of ``key`` among the distinct keys (1-based, int; more
+    than 2^31 - 1 of them raise an error).
 
     ``df`` must hold each key once (a dimension base); its other columns are
     carried along.  Order is ascending with NULL first, as ``ORDER BY key``.
@@ -56,7 +65,7 @@ def dense_key(df: DataFrame, key: str, out: str, *, partitions: int | None = Non
             Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
     cols = [c for c in df.columns]
     return (numbered.join(F.broadcast(offsets), "_part")
-                    .select(*cols, (F.col("_offset") + F.col("_pos") + 1).cast("int").alias(out)))
+                    .select(*cols, checked_int(F.col("_offset") + F.col("_pos") + 1, out).alias(out)))
 
 
 def dense_key_single_task(df: DataFrame, key: str, out: str) -> DataFrame:

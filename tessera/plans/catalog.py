@@ -114,6 +114,34 @@ def drop_validation(spark, root):
     return jobs.drop_checks(spark, latest_drop(spark, cfg.bronze_root), cfg)
 
 
+#: Text that no value of the column can be read from, and the ids it is put in.
+_BAD_FIELDS = {"quantity": ("many", 53), "sale_date": ("soon", 59), "created_at": ("then", 61)}
+
+
+@query("drop_quarantine", sql.with_layers("bronze") + "\nUNION ALL\n".join(
+    [f"SELECT 'bad_{c}' AS reason, count(*) AS rows FROM bronze WHERE id % {n} = 0" for c, (_, n) in _BAD_FIELDS.items()]
+    + ["SELECT 'any', count(*) FROM bronze WHERE "
+       + " OR ".join(f"id % {n} = 0" for _, n in _BAD_FIELDS.values()),
+       f"SELECT 'cleaned', count(DISTINCT id) FROM bronze WHERE {sql.CRITICAL} AND {sql.BUSINESS} AND id % 53 <> 0 "
+       "AND id % 59 <> 0"]))
+def drop_quarantine(spark, root):
+    """A drop with unparsable numbers, dates and times: the cleaning job keeps
+    their records, with the reasons, beside the cleaned table."""
+    lake = scratch_path(spark, "lake")
+    cfg = jobs.PipelineConfig(bronze_root=f"{lake}/bronze", silver_path=f"{lake}/silver", gold_root=f"{lake}/gold",
+                              bronze_schema=sales_schema(timestamp_ntz=True), quarantine_path=f"{lake}/quarantine")
+    feed = Layers(spark, root).bronze
+    spoiled = feed.withColumns({c: F.when(F.col("id") % n == 0, F.lit(text)).otherwise(F.col(c).cast("string"))
+                                for c, (text, n) in _BAD_FIELDS.items()})
+    jobs.ingest(spoiled, cfg)
+    jobs.bronze_to_silver(spark, cfg)
+    stored = spark.read.parquet(cfg.quarantine_path)
+    reasons = stored.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+    for name, df in (("any", stored), ("cleaned", jobs.read_published(spark, cfg, "sales"))):
+        reasons = reasons.unionByName(df.agg(F.count(F.lit(1)).alias("rows")).withColumn("reason", F.lit(name)))
+    return reasons
+
+
 @query("job_pipeline", sql.with_layers("fact", "dim_date") + "\nUNION ALL\n".join(
     f"SELECT '{name}' AS table_name, count(*) AS rows FROM {src}" for name, src in (
         ("sales", "silver"), ("dim_date", "dim_date"), ("dim_product", "dim_product"),

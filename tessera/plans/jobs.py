@@ -25,7 +25,7 @@ from tessera.schemas import SALES_SCHEMA, STAR_SCHEMAS, STAR_TABLES, check_schem
 from tessera.sinks import tables as sink
 from tessera.sinks.bi import BI_BATCH_SIZE, BI_WRITERS, load_star
 from tessera.sinks.drops import write_drop
-from tessera.sources.files import latest_drop, read_bronze
+from tessera.sources.files import CORRUPT, latest_drop, read_bronze, read_with_corrupt, with_reasons
 from tessera.sources.jdbc import JdbcConfig, probe
 from tessera.sources.tables import read_table
 
@@ -41,8 +41,10 @@ class PipelineConfig:
     catalog: str | None = None             # catalog database: tables sales, dim_*, fact_sales in it, each
                                            # run a new folder under the paths, switched to once it is checked
     bronze_schema: StructType | None = SALES_SCHEMA   # None = infer types (extra pass)
+    drops_by_date: bool = False            # drops are never back-dated: look in the newest date folder only
     enforce_header: bool = False           # fail when a drop's header differs from the schema
     csv_multiline: bool = True             # False: no line breaks inside fields, files are split between tasks
+    quarantine_path: str | None = None     # keeps the records of a drop that hold an unparsable field
     strict_reference_order: bool = False   # de-duplicate before filtering
     variant: str = "standard"              # "basic": only a missing id drops a row, blanks stay
     expected_rows: int | None = None       # exact raw row count the newest drop must hold
@@ -161,7 +163,7 @@ def drop_checks(spark: SparkSession, path: str, cfg: PipelineConfig) -> DataFram
 
 def validate_drop(spark: SparkSession, cfg: PipelineConfig) -> dict:
     """Newest drop: exact row count (if configured) and one name per product."""
-    path = latest_drop(spark, cfg.bronze_root)
+    path = latest_drop(spark, cfg.bronze_root, by_date=cfg.drops_by_date)
     found = drop_checks(spark, path, cfg).first().asDict()
     gates = ["inconsistent_products"]
     if cfg.expected_rows is not None:
@@ -226,6 +228,21 @@ def _stage_silver(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame, s
     return report
 
 
+def _quarantine(kept: DataFrame, cfg: PipelineConfig, *, found: int) -> dict:
+    """Store the corrupt records of a drop, with what is wrong in each.  They
+    were counted in the read that cleaned it; only a drop that holds some is
+    read again for them.  The rows that PERMISSIVE made of them are cleaned as
+    any others, and dropped when a critical field is the bad one."""
+    spark = kept.sparkSession
+    if not found:
+        sink.discard(spark, cfg.quarantine_path)
+        return {"corrupt_rows": 0, "corrupt_reasons": {}}
+    written = sink.write_table(with_reasons(kept, cfg.bronze_schema), cfg.quarantine_path)
+    stored = sink.read_back(spark, cfg.quarantine_path, written["schema"])
+    reasons = stored.select(F.explode("reasons").alias("reason")).groupBy("reason").count().collect()
+    return {"corrupt_rows": written["rows"], "corrupt_reasons": {r["reason"]: r["count"] for r in reasons}}
+
+
 def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, *, bronze: DataFrame | None = None) -> dict:
     """Newest drop → cleaned table.  One pass reads, cleans, writes and counts;
     one more job checks keys on the written files.
@@ -234,13 +251,17 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, *, bronze: DataFr
     exact.  ``bronze_rows`` is observed before the shuffle: exact unless a map
     stage is re-run after an executor loss, when it can only over-count; it is
     a report, and the exact-row-count gate re-counts before failing."""
-    source = None
+    source, kept = None, None
     if bronze is None:
-        source = latest_drop(spark, cfg.bronze_root)
-        bronze = read_bronze(spark, source, schema=cfg.bronze_schema, enforce_header=cfg.enforce_header,
-                             multiline=cfg.csv_multiline)
+        source = latest_drop(spark, cfg.bronze_root, by_date=cfg.drops_by_date)
+        how = {"enforce_header": cfg.enforce_header, "multiline": cfg.csv_multiline}
+        if cfg.quarantine_path and cfg.bronze_schema:
+            kept = bronze = read_with_corrupt(spark, source, schema=cfg.bronze_schema, **how)
+        else:
+            bronze = read_bronze(spark, source, schema=cfg.bronze_schema, **how)
     seen = Observation()
-    observed = bronze.observe(seen, F.count(F.lit(1)).alias("bronze_rows"))
+    counts = [F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt_rows")] if kept else []
+    observed = bronze.observe(seen, F.count(F.lit(1)).alias("bronze_rows"), *counts).drop(CORRUPT)
     if cfg.variant == "basic":
         silver = cleaning.build_silver_basic(observed)
     elif cfg.variant == "standard":
@@ -252,6 +273,8 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig, *, bronze: DataFr
     log.info("cleaned layer: reading %s", source or "given raw rows")
     try:
         report = _stage_silver(spark, cfg, bronze, silver, seen, staged, source, bucketed)
+        if kept:
+            report |= _quarantine(kept, cfg, found=int(seen.get["corrupt_rows"]))
         _publish(spark, cfg, "sales", staged, report["silver_rows"], silver.schema, like=bucketed)
     except Exception:
         sink.discard(spark, staged)  # a failed write, gate or publish leaves nothing behind
@@ -455,7 +478,7 @@ def validate_silver(spark: SparkSession, cfg: PipelineConfig) -> dict:
     """Report (never raise): schema, raw vs cleaned rows, duplicate ids, NULLs
     per column, invalid quantities and prices of the stored cleaned table."""
     silver = read_published(spark, cfg, "sales")
-    raw = read_bronze(spark, latest_drop(spark, cfg.bronze_root), schema=None, multiline=cfg.csv_multiline)
+    raw = read_bronze(spark, latest_drop(spark, cfg.bronze_root, by_date=cfg.drops_by_date), schema=None, multiline=cfg.csv_multiline)
     checks = [f() for f in quality.SALES_ROW_CHECKS]
     # Violations and the NULL profile are plain aggregates: one scan for both.
     null_checks = [quality.Check(f"_null_{c}", F.col(c).isNull()) for c in silver.columns]

@@ -4,6 +4,8 @@ inside the database, and reconciled against what was written."""
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,20 +46,102 @@ def reconcile_counts(expected: dict[str, int], loaded: dict[str, int]) -> dict[s
     return {t: (expected[t], loaded.get(t, -1)) for t in expected if loaded.get(t) != expected[t]}
 
 
+# Names beside a live table, of its successor and its predecessor.
+NEW, OLD = "__new", "__old"
+
+
+@contextmanager
+def transaction(spark: SparkSession, cfg: JdbcConfig):
+    """A connection from the driver whose statements are committed together, or
+    rolled back when the block raises."""
+    jvm = spark.sparkContext._jvm
+    if cfg.driver:
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(cfg.driver)
+    properties = jvm.java.util.Properties()
+    for key, value in cfg.options().items():
+        if key not in ("url", "driver"):
+            properties.setProperty(key, str(value))
+    connection = jvm.java.sql.DriverManager.getConnection(cfg.url, properties)
+    try:
+        connection.setAutoCommit(False)
+        yield connection
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
+
+
+def _execute(connection, sql: str) -> None:
+    statement = connection.createStatement()
+    try:
+        statement.execute(sql)
+    finally:
+        statement.close()
+
+
+def _present(connection, cfg: JdbcConfig) -> set[str]:
+    """Lower-cased names of the tables in the configured (else the current) schema."""
+    schema = cfg.schema or connection.getSchema()
+    found, names = connection.getMetaData().getTables(None, None, None, None), set()
+    while found.next():
+        if schema is None or str(found.getString("TABLE_SCHEM")).lower() == str(schema).lower():
+            names.add(found.getString("TABLE_NAME").lower())
+    found.close()
+    return names
+
+
+def swap_in(spark: SparkSession, cfg: JdbcConfig, tables: Sequence[str]) -> None:
+    """Put ``<table>__new`` in the place of each table, all in one transaction:
+    readers see the old tables or the new ones.  The database must roll back
+    renames (PostgreSQL and Derby do)."""
+    with transaction(spark, cfg) as connection:
+        present = _present(connection, cfg)
+        for name in tables:
+            if name.lower() in present:
+                _execute(connection, cfg.rename_sql.format(old=cfg.qualified(name), new=name + OLD))
+            _execute(connection, cfg.rename_sql.format(old=cfg.qualified(name + NEW), new=name))
+            if name.lower() in present:
+                _execute(connection, f"DROP TABLE {cfg.qualified(name + OLD)}")
+
+
+def drop_new(spark: SparkSession, cfg: JdbcConfig, tables: Sequence[str]) -> None:
+    """Drop what a failed load has left beside the live tables."""
+    with transaction(spark, cfg) as connection:
+        present = _present(connection, cfg)
+        for name in tables:
+            if (name + NEW).lower() in present:
+                _execute(connection, f"DROP TABLE {cfg.qualified(name + NEW)}")
+
+
 def load_star(spark: SparkSession, tables: dict[str, DataFrame], cfg: JdbcConfig,
               expected: dict[str, int], *, batch_size: int = BI_BATCH_SIZE,
-              num_partitions: int = BI_WRITERS) -> dict:
-    """Load dimensions first, then the fact; recount each table in the database
-    and raise ``BIMismatch`` if any count differs.  An empty table is loaded
-    and reported with a warning, not an error."""
+              num_partitions: int = BI_WRITERS, staged: bool = True) -> dict:
+    """Load dimensions first, then the fact, beside the live tables; recount
+    each in the database, and swap all in at once (``swap_in``).  If any count
+    differs, ``BIMismatch`` is raised and the live tables are as they were.  An
+    empty table is loaded and reported with a warning, not an error.
+
+    ``staged=False`` overwrites the live tables one by one, for databases that
+    cannot rename in a transaction: readers then see dropped and half-filled
+    tables, and a mismatch is found after the old rows are gone."""
     order = [t for t in tables if t.startswith("dim_")] + [t for t in tables if not t.startswith("dim_")]
+    beside = NEW if staged else ""
     loaded = {}
-    for name in order:
-        if expected.get(name, 0) == 0:
-            log.warning("table %s is empty", name)
-        load_table(tables[name], cfg, name, batch_size=batch_size, num_partitions=num_partitions)
-        loaded[name] = table_count(spark, cfg, name)
-    bad = reconcile_counts(expected, loaded)
-    if bad:
-        raise BIMismatch(f"row counts differ (stored, database): {bad}")
+    try:
+        for name in order:
+            if expected.get(name, 0) == 0:
+                log.warning("table %s is empty", name)
+            load_table(tables[name], cfg, name + beside, batch_size=batch_size, num_partitions=num_partitions)
+            loaded[name] = table_count(spark, cfg, name + beside)
+        bad = reconcile_counts(expected, loaded)
+        if bad:
+            raise BIMismatch(f"row counts differ (stored, database): {bad}")
+        if staged:
+            swap_in(spark, cfg, order)
+    except Exception:
+        if staged:
+            drop_new(spark, cfg, order)
+        raise
     return {"tables": loaded, "total_rows": sum(loaded.values())}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.schemas import SALES_SCHEMA
 
@@ -12,6 +12,8 @@ from tessera.schemas import SALES_SCHEMA
 DROP_PARTITION = "ingestion_date"
 DROP_PREFIX = "sales_"
 DROP_SUFFIX = ".csv"
+#: Column of the unparsable record, where it is asked for.
+CORRUPT = "_corrupt"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
@@ -57,29 +59,64 @@ def read_bronze(spark: SparkSession, path: str | list[str], schema: StructType |
     return reader.csv(path)
 
 
-def list_drops(spark: SparkSession, root: str) -> DataFrame:
-    """``(path, modificationTime, length)`` of every drop file under ``root``.
+def read_with_corrupt(spark: SparkSession, path: str | list[str], schema: StructType = SALES_SCHEMA,
+                      **options) -> DataFrame:
+    """``read_bronze`` with one column more, ``CORRUPT``: the whole record of a
+    row in which a field could not be parsed, or that has too few or too many
+    fields; NULL for sound rows."""
+    return read_bronze(spark, path, schema=StructType([*schema.fields, StructField(CORRUPT, StringType(), True)]),
+                       columnNameOfCorruptRecord=CORRUPT, **options)
+
+
+def with_reasons(rows: DataFrame, schema: StructType = SALES_SCHEMA) -> DataFrame:
+    """Rows of ``read_with_corrupt`` whose record is corrupt, with ``reasons``:
+    ``bad_<column>`` for each field that holds text but no value of its type,
+    ``extra_fields`` for a record longer than the schema, and ``short_row`` for
+    one that is corrupt for neither."""
+    fields = ", ".join(f"`f{i}` string" for i in range(len(schema.fields) + 1))
+    same = {k: v for k, v in csv_options().items() if k in ("quote", "escape", "mode")}
+    raw = F.from_csv(CORRUPT, F.lit(fields), same)
+    bad = [F.when(F.col(f.name).isNull() & (F.trim(F.col("_raw")[f"f{i}"]) != ""), F.lit(f"bad_{f.name}"))
+           for i, f in enumerate(schema.fields)]
+    extra = F.when(F.col("_raw")[f"f{len(schema.fields)}"].isNotNull(), F.lit("extra_fields"))
+    found = F.array_compact(F.array(*bad, extra))
+    return (rows.where(F.col(CORRUPT).isNotNull()).withColumn("_raw", raw)
+            .withColumn("reasons", F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("short_row")))).drop("_raw"))
+
+
+def list_drops(spark: SparkSession, root: str, date: str = "*") -> DataFrame:
+    """``(path, modificationTime, length)`` of every drop file under ``root``,
+    or of one ``date`` folder.
 
     Uses the ``binaryFile`` source only for its listing: the ``content``
     column is never selected, so no file is read."""
-    pattern = f"{root.rstrip('/')}/{DROP_PARTITION}=*/{DROP_PREFIX}*"
+    pattern = f"{root.rstrip('/')}/{DROP_PARTITION}={date}/{DROP_PREFIX}*"
     return (spark.read.format("binaryFile").option("pathGlobFilter", f"*{DROP_SUFFIX}")
                  .load(pattern).select("path", "modificationTime", "length"))
 
 
-def latest_drop(spark: SparkSession, root: str, *, require_complete: bool = True) -> str:
-    """Path of the newest drop (latest modification time; ties → smallest
-    path).  A drop written by Spark is a folder of part files: the newest part
-    names the folder that is returned, and with ``require_complete`` a folder
-    without its ``_SUCCESS`` marker (still being committed) raises
-    ``IncompleteDrop`` rather than being read half-written."""
+def _newest(spark: SparkSession, root: str, date: str = "*"):
     try:
-        files = list_drops(spark, root)
-        newest = files.orderBy(F.col("modificationTime").desc(), F.col("path")).select("path").first()
+        files = list_drops(spark, root, date)
+        return files.orderBy(F.col("modificationTime").desc(), F.col("path")).select("path").first()
     except Exception as exc:  # the glob matched nothing at all
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            raise NoDropFound(f"no drop under {root}") from exc
+            return None
         raise
+
+
+def latest_drop(spark: SparkSession, root: str, *, require_complete: bool = True, by_date: bool = False) -> str:
+    """Path of the newest drop (latest modification time; ties → smallest
+    path).  A drop written by Spark is a folder of part files: the newest part
+    names the folder that is returned, and with ``require_complete`` a folder
+    without its ``_SUCCESS`` marker (still being committed) raises
+    ``IncompleteDrop`` rather than being read half-written.
+
+    Every drop file of the history is listed, unless ``by_date`` says that drops
+    are never back-dated: then date folders are walked from the newest to the
+    first that holds a drop, and no older one is listed."""
+    days = reversed(drop_dates(spark, root)) if by_date else ["*"]
+    newest = next((found for day in days if (found := _newest(spark, root, day)) is not None), None)
     if newest is None:
         raise NoDropFound(f"no drop under {root}")
     path = newest["path"]

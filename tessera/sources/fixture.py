@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.keys import checked_int
 from tessera.sources.tables import load
 
 #: The tables that the raw feed is derived from.
@@ -48,15 +49,15 @@ def bronze_from_tables(spark: SparkSession, root: str) -> DataFrame:
     raw_id = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     pk, sk, ck, ln = F.col("l_partkey"), F.col("l_suppkey"), F.col("o_custkey"), F.col("l_linenumber")
     return rows.select(
-        raw_id.cast("int").alias("id"),
+        checked_int(raw_id, "id").alias("id"),
         F.when(raw_id % 97 == 0, F.lit(None)).otherwise(F.col("l_shipdate").cast("date"))
          .alias("sale_date"),
-        pk.cast("int").alias("product_id"),
+        checked_int(pk, "product_id").alias("product_id"),
         F.when(pk % 100 == 0, F.lit(None).cast("string"))
          .when(pk % 50 == 0, F.lit("  "))
          .when(sk % 5 == 0, F.concat(F.lit("  "), F.col("p_name"), F.lit(" ")))
          .otherwise(F.col("p_name")).alias("product_name"),
-        ck.cast("int").alias("customer_id"),
+        checked_int(ck, "customer_id").alias("customer_id"),
         F.when(ck % 41 == 0, F.lit(None).cast("string"))
          .when(ck % 43 == 0, F.lit(" "))
          .when(ln == 2, F.concat(F.lit(" "), F.lower(F.col("r_name"))))

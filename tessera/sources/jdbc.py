@@ -25,6 +25,7 @@ class JdbcConfig:
     driver: str | None = None
     schema: str | None = None          # table prefix, e.g. ``public``
     probe_sql: str = "SELECT 1 AS ok"  # Derby: ``SELECT 1 AS ok FROM SYSIBM.SYSDUMMY1``
+    rename_sql: str = "ALTER TABLE {old} RENAME TO {new}"   # Derby: ``RENAME TABLE {old} TO {new}``
     properties: dict = field(default_factory=dict, repr=False)
 
     def options(self) -> dict:
@@ -52,25 +53,81 @@ def probe(spark: SparkSession, cfg: JdbcConfig) -> bool:
     return jdbc_query(spark, cfg, cfg.probe_sql).first() is not None
 
 
+# Fixed value: bins of one histogram query on the partition column.
+HISTOGRAM_BINS = 1024
+
+
+def _histogram(spark: SparkSession, cfg: JdbcConfig, name: str, column: str, low: int, high: int) -> list[tuple]:
+    """``(first, last, rows)`` of the non-empty bins of equal width in
+    ``[low, high]``, counted by the database (integer division of BIGINTs)."""
+    width = -(-(high - low + 1) // HISTOGRAM_BINS)
+    rows = jdbc_query(spark, cfg, f"SELECT b, COUNT(*) AS n FROM (SELECT (CAST({column} AS BIGINT) - ({low})) / {width} "
+                                  f"AS b FROM {name} WHERE {column} BETWEEN {low} AND {high}) x GROUP BY b").collect()
+    found = sorted((int(b), int(n)) for b, n in rows)
+    return [(low + b * width, min(high, low + (b + 1) * width - 1), n) for b, n in found]
+
+
+def measured_ranges(spark: SparkSession, cfg: JdbcConfig, table: str, column: str, low: int, high: int,
+                    parts: int) -> list[int]:
+    """Ends of ranges of ``column`` that hold about equal numbers of rows.
+
+    The database counts bins of equal width; bins with more than a part's share
+    are counted again in smaller ones (at most seven times for any 64-bit
+    range).  Bins are then joined in order until they reach the share, so no
+    range holds twice of it, unless one single value does."""
+    name = cfg.qualified(table)
+    # A difference of two values has to be a BIGINT too.
+    spans = [(low, high)] if high - low < 1 << 63 else [(low, -1), (0, high)]
+    bins = [b for first, last in spans for b in _histogram(spark, cfg, name, column, first, last)]
+    share = sum(n for *_, n in bins) / parts
+    while any(n > share and last > first for first, last, n in bins):
+        bins = [small for first, last, n in bins for small in (
+            _histogram(spark, cfg, name, column, first, last) if n > share and last > first else [(first, last, n)])]
+    ends, held = [], 0
+    for first, last, n in bins:
+        # A bin that would take the range to twice the share begins the next one.
+        if held and held + n >= 2 * share:
+            ends.append(first - 1)
+            held = 0
+        held += n
+        if held >= share:
+            ends.append(last)
+            held = 0
+    return ends if held else ends[:-1]
+
+
 def extract_source(spark: SparkSession, cfg: JdbcConfig, table: str, *,
                    columns: Sequence[str] = SOURCE_COLUMNS, partition_column: str = "id",
-                   num_partitions: int = SOURCE_READERS, fetch_size: int = 10_000, quote: str = "") -> DataFrame:
+                   num_partitions: int = SOURCE_READERS, fetch_size: int = 10_000, quote: str = "",
+                   measured: bool = True) -> DataFrame:
     """Full snapshot of ``table`` read by ``num_partitions`` parallel cursors.
 
-    The id range comes from one pushed-down ``min/max`` query; Spark splits it
-    into strides, one task and one connection each (rows outside the bounds
-    still land in the first/last stride, so nothing is lost).  ``quote``
-    wraps column names for databases that keep their case (``'"'``)."""
+    The id range comes from one pushed-down ``min/max`` query.  Integer ids are
+    read in ranges that the database has counted (``measured_ranges``), so a
+    gap or a cluster of ids gives no reader twice its share; with
+    ``measured=False``, or for other types, the range is split into equal
+    strides.  Rows outside the bounds, and without an id, land in the first or
+    last range, so nothing is lost.  ``quote`` wraps column names for databases
+    that keep their case (``'"'``)."""
     name = cfg.qualified(table)
     q = lambda c: f"{quote}{c}{quote}"
-    bounds = jdbc_query(spark, cfg, f"SELECT MIN({q(partition_column)}) AS lo, "
-                                    f"MAX({q(partition_column)}) AS hi FROM {name}").first()
-    cols = ", ".join(q(c) for c in columns)
-    reader = (spark.read.format("jdbc").options(**cfg.options())
-              .option("dbtable", f"(SELECT {cols} FROM {name}) src")
-              .option("fetchsize", str(fetch_size)))
+    key = q(partition_column)
+    bounds = jdbc_query(spark, cfg, f"SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {name}").first()
+    source = f"(SELECT {', '.join(q(c) for c in columns)} FROM {name}) src"
     lo, hi = (bounds[0], bounds[1]) if bounds is not None else (None, None)
-    if lo is not None and hi is not None and hi > lo:
+    spread = lo is not None and hi is not None and hi > lo and num_partitions > 1
+    if spread and measured and isinstance(lo, int):
+        ends = measured_ranges(spark, cfg, table, key, lo, hi, num_partitions)
+        if ends:
+            wheres = [f"{key} <= {ends[0]} OR {key} IS NULL"]
+            wheres += [f"{key} > {a} AND {key} <= {b}" for a, b in zip(ends, ends[1:])]
+            wheres += [f"{key} > {ends[-1]}"]
+            options = {k: v for k, v in cfg.options().items() if k != "url"}
+            return spark.read.jdbc(cfg.url, source, predicates=wheres,
+                                   properties={**options, "fetchsize": str(fetch_size)})
+    reader = (spark.read.format("jdbc").options(**cfg.options()).option("dbtable", source)
+              .option("fetchsize", str(fetch_size)))
+    if spread:
         reader = (reader.option("partitionColumn", partition_column)
                   .option("lowerBound", str(lo)).option("upperBound", str(hi + 1))
                   .option("numPartitions", str(num_partitions)))

@@ -165,3 +165,23 @@ def test_split_reads_keep_doubled_quotes(spark, tmp_path):
     path = _write(tmp_path, "q.csv", '7,2024-01-01,1,"say ""hi"", you",2,EUROPE,1,1.0,2024-01-01 00:00:00\n')
     row = read_bronze(spark, path, multiline=False).first()
     assert row["product_name"] == 'say "hi", you' and row["region"] == "EUROPE"
+
+
+def test_newest_date_folder_alone_is_listed(spark, tmp_path, monkeypatch):
+    """Walking from the newest date stops at the first folder with a drop."""
+    from tessera.sources import files
+
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        (tmp_path / f"ingestion_date={day}").mkdir()
+    old, new = (tmp_path / f"ingestion_date=2024-01-0{d}" / f"sales_2024010{d}_000000.csv" for d in (1, 2))
+    new.write_text("id\n2\n")
+    old.write_text("id\n1\n")
+    os.utime(new, (1, 1))                                   # back-dated by its time, not by its folder
+    listed = []
+    real = files.list_drops
+    monkeypatch.setattr(files, "list_drops", lambda s, root, date="*": listed.append(date) or real(s, root, date))
+    assert files.latest_drop(spark, str(tmp_path), by_date=True).endswith(new.name)
+    assert listed == ["2024-01-03", "2024-01-02"]
+    assert files.latest_drop(spark, str(tmp_path)).endswith(old.name)
+    with pytest.raises(files.NoDropFound):
+        files.latest_drop(spark, str(tmp_path / "none"), by_date=True)

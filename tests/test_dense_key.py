@@ -56,3 +56,20 @@ def test_dense_key_property(spark, keys, parts):
     base = spark.createDataFrame([(k,) for k in keys], "k long")
     got = {r["k"]: r["key"] for r in dense_key(base, "k", "key", partitions=parts).collect()}
     assert got == {k: i + 1 for i, k in enumerate(sorted(keys))}
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_values_beyond_an_int_raise(spark, ansi):
+    from tessera.operators.keys import checked_int
+
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        low, high = -(1 << 31), (1 << 31) - 1
+        fine = spark.createDataFrame([(low,), (high,), (None,)], "v long").select(checked_int(F.col("v"), "key").alias("k"))
+        assert [r.k for r in fine.collect()] == [low, high, None] and dict(fine.dtypes)["k"] == "int"
+        for v in (low - 1, high + 1):
+            with pytest.raises(Exception, match="key does not fit an int"):
+                spark.createDataFrame([(v,)], "v long").select(checked_int(F.col("v"), "key")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

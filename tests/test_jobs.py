@@ -17,7 +17,8 @@ from tessera.sources.jdbc import JdbcConfig, extract_source, jdbc_query, probe
 def derby(name=None):
     return JdbcConfig(url=f"jdbc:derby:memory:{name or uuid.uuid4().hex};create=true",
                       driver="org.apache.derby.jdbc.EmbeddedDriver",
-                      probe_sql="SELECT 1 AS ok FROM SYSIBM.SYSDUMMY1")
+                      probe_sql="SELECT 1 AS ok FROM SYSIBM.SYSDUMMY1",
+                      rename_sql="RENAME TABLE {old} TO {new}")
 
 
 @pytest.fixture(scope="module")
@@ -380,6 +381,25 @@ def test_register_views(spark, pipeline, cfg):
         sorted((r["region_name"], r["sales"], r["revenue"]) for r in want)
 
 
+def test_cli_writes_the_whole_diagnosis_and_cleans_up(spark, pipeline, cfg, tmp_path, capsys):
+    import json
+
+    from tessera import cli
+
+    silver = spark.read.parquet(cfg.silver_path)
+    several = silver.unionByName(silver.withColumn("product_name", F.concat("product_name", F.lit(" 2"))))
+    several.write.parquet(str(tmp_path / "several"))
+    base = ["--bronze", cfg.bronze_root, "--silver", str(tmp_path / "several"), "--gold", str(tmp_path / "gold")]
+    assert cli.main(["diagnose", *base, "--report", str(tmp_path / "report")]) == 0
+    shown = json.loads(capsys.readouterr().out)
+    assert shown["inconsistent_products"] == 200 and len(shown["preview"]) == 100
+    assert spark.read.parquet(str(tmp_path / "report")).count() == 400       # two names of each
+    (tmp_path / "several.__staging_x").mkdir()
+    assert cli.main(["clean", *base]) == 0 and (tmp_path / "several.__staging_x").exists()
+    assert cli.main(["clean", *base, "--older-than-hours", "0"]) == 0
+    assert not (tmp_path / "several.__staging_x").exists()
+
+
 def test_diagnose_finds_a_renamed_product(spark, pipeline, cfg, tmp_path):
     silver = spark.read.parquet(cfg.silver_path)
     bad_path = str(tmp_path / "renamed")

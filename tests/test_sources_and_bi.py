@@ -1,0 +1,147 @@
+"""Quarantined records, measured JDBC ranges and the staged BI load."""
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.plans import jobs
+from tessera.schemas import SALES_SCHEMA
+from tessera.sinks import bi
+from tessera.sources.files import CORRUPT, read_with_corrupt, with_reasons
+from tessera.sources.jdbc import extract_source, jdbc_query, measured_ranges
+
+from test_jobs import derby
+
+HEADER = "id,sale_date,product_id,product_name,customer_id,region,quantity,unit_price,created_at\n"
+GOOD = "1,2024-01-02,7,Pen,3,North,2,1.5,2024-01-02 10:00:00\n"
+
+
+# --------------------------------------------------------------- quarantine ---
+
+def drop(tmp_path, body):
+    folder = tmp_path / "bronze" / "ingestion_date=2024-01-02"
+    folder.mkdir(parents=True)
+    (folder / "sales_20240102_100000.csv").write_text(HEADER + body)
+    return jobs.PipelineConfig(bronze_root=str(tmp_path / "bronze"), silver_path=str(tmp_path / "silver"),
+                               gold_root=str(tmp_path / "gold"), quarantine_path=str(tmp_path / "quarantine"))
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+def test_reasons_of_corrupt_records(spark, tmp_path, multiline):
+    body = (GOOD + "2,soon,7,Pen,3,North,many,1.5,2024-01-02 10:00:00\n"
+            '3,2024-01-02,7,"a ""b"", c",3,North,2,dear,2024-01-02 10:00:00\n'
+            "4,2024-01-02,7,Pen\n"
+            "5,2024-01-02,7,Pen,3,North,2,1.5,2024-01-02 10:00:00,more\n"
+            "6,,7,,3,,2,1.5,\n")
+    cfg = drop(tmp_path, body)
+    rows = read_with_corrupt(spark, cfg.bronze_root + "/*/*", multiline=multiline)
+    assert rows.columns == [f.name for f in SALES_SCHEMA.fields] + [CORRUPT]
+    got = {r.id: (sorted(r.reasons), r[CORRUPT]) for r in with_reasons(rows).collect()}
+    assert {i: r for i, (r, _) in got.items()} == {
+        2: ["bad_quantity", "bad_sale_date"], 3: ["bad_unit_price"], 4: ["short_row"], 5: ["extra_fields"]}
+    assert got[3][1] == '3,2024-01-02,7,"a ""b"", c",3,North,2,dear,2024-01-02 10:00:00'
+
+
+def test_cleaning_job_keeps_corrupt_records(spark, tmp_path):
+    body = GOOD + GOOD.replace("1,", "2,", 1).replace(",2,1.5", ",many,1.5") + GOOD.replace("1,", "3,", 1).replace("10:00:00", "noon")
+    cfg = drop(tmp_path, body)
+    report = jobs.bronze_to_silver(spark, cfg)
+    assert (report["bronze_rows"], report["silver_rows"], report["corrupt_rows"]) == (3, 2, 2)
+    assert report["corrupt_reasons"] == {"bad_quantity": 1, "bad_created_at": 1}
+    assert spark.read.parquet(cfg.quarantine_path).count() == 2
+    (tmp_path / "sound").mkdir()
+    sound = drop(tmp_path / "sound", GOOD)
+    sound.quarantine_path = cfg.quarantine_path
+    assert jobs.bronze_to_silver(spark, sound)["corrupt_rows"] == 0
+    assert not (tmp_path / "quarantine").exists()      # of the drop before
+
+
+# ---------------------------------------------------------- measured ranges ---
+
+def ids_table(spark, db, ids, name="t"):
+    bi.load_table(spark.createDataFrame([(i, f"v{n}") for n, i in enumerate(ids)], "id long, v string"), db, name)
+
+
+@pytest.mark.parametrize("ids", [
+    [*range(990), *(10**12 + 10**9 * i for i in range(10))],              # nearly all at one end
+    [*range(500), *range(10**9, 10**9 + 500)],                            # a gap
+    [-2**62, *range(-300, 300), 2**62],                                   # 64-bit bounds
+    [*range(7)]])
+def test_no_reader_has_twice_its_share(spark, ids):
+    db, parts = derby(), 4
+    ids_table(spark, db, ids)
+    got = extract_source(spark, db, "t", columns=("id", "v"), num_partitions=parts, quote='"')
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sorted(r.id for r in got.collect()) == sorted(ids)
+    assert max(sizes) < 2 * len(ids) / parts and got.rdd.getNumPartitions() <= 2 * parts
+    strides = extract_source(spark, db, "t", columns=("id", "v"), num_partitions=parts, quote='"', measured=False)
+    assert strides.count() == len(ids)
+
+
+def test_ranges_lose_no_row(spark):
+    """Rows without an id, one very frequent id, one row, no row."""
+    db = derby()
+    ids_table(spark, db, [None, None, *[5] * 50, *range(20)])
+    got = extract_source(spark, db, "t", columns=("id", "v"), num_partitions=4, quote='"')
+    assert got.count() == 72 and got.where("id = 5").count() == 51 and got.where("id is null").count() == 2
+    for ids in ([3], [], [None]):
+        db = derby()
+        ids_table(spark, db, ids)
+        assert extract_source(spark, db, "t", columns=("id", "v"), num_partitions=4, quote='"').count() == len(ids)
+
+
+def test_ranges_are_counted_by_the_database(spark):
+    db = derby()
+    ids_table(spark, db, range(100))
+    assert measured_ranges(spark, db, "t", '"id"', 0, 99, 4) == [24, 49, 74]
+
+
+# ---------------------------------------------------------------- BI staging ---
+
+def star(spark, rows):
+    return {"fact_sales": spark.range(rows).withColumnRenamed("id", "sale_id"),
+            "dim_region": spark.createDataFrame([(1, "N")], "region_key int, region_name string")}
+
+
+def test_mismatch_leaves_the_old_tables(spark):
+    db = derby()
+    bi.load_star(spark, star(spark, 5), db, {"fact_sales": 5, "dim_region": 1})
+    with pytest.raises(bi.BIMismatch):
+        bi.load_star(spark, star(spark, 9), db, {"fact_sales": 8, "dim_region": 1})
+    assert bi.table_count(spark, db, "fact_sales") == 5 and bi.table_count(spark, db, "dim_region") == 1
+    names = jdbc_query(spark, db, "SELECT TABLENAME FROM SYS.SYSTABLES WHERE TABLETYPE = 'T'").collect()
+    assert sorted(r[0] for r in names) == ["DIM_REGION", "FACT_SALES"]
+
+
+def test_failed_load_leaves_the_old_tables(spark, monkeypatch):
+    db = derby()
+    bi.load_star(spark, star(spark, 5), db, {"fact_sales": 5, "dim_region": 1})
+    real = bi.load_table
+
+    def failing(df, cfg, table, **kw):
+        if table.startswith("fact"):
+            raise OSError("connection lost")
+        real(df, cfg, table, **kw)
+
+    monkeypatch.setattr(bi, "load_table", failing)
+    with pytest.raises(OSError):
+        bi.load_star(spark, star(spark, 9), db, {"fact_sales": 9, "dim_region": 1})
+    assert bi.table_count(spark, db, "fact_sales") == 5
+
+
+def test_swap_is_one_transaction(spark):
+    """The second rename fails, so the first is rolled back."""
+    db = derby()
+    bi.load_star(spark, star(spark, 5), db, {"fact_sales": 5, "dim_region": 1})
+    bi.load_table(spark.range(2), db, "dim_region" + bi.NEW)
+    with pytest.raises(Exception):
+        bi.swap_in(spark, db, ["dim_region", "fact_sales"])     # there is no fact_sales__new
+    assert bi.table_count(spark, db, "dim_region") == 1 and bi.table_count(spark, db, "fact_sales") == 5
+    bi.load_star(spark, star(spark, 7), db, {"fact_sales": 7, "dim_region": 1})
+    assert bi.table_count(spark, db, "fact_sales") == 7
+
+
+def test_empty_and_unstaged_loads(spark):
+    db = derby()
+    out = bi.load_star(spark, star(spark, 0), db, {"fact_sales": 0, "dim_region": 1})
+    assert out == {"tables": {"dim_region": 1, "fact_sales": 0}, "total_rows": 1}
+    bi.load_star(spark, star(spark, 3), db, {"fact_sales": 3, "dim_region": 1}, staged=False)
+    assert bi.table_count(spark, db, "fact_sales") == 3
