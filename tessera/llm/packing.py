@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -22,7 +23,7 @@ from tessera.llm.common import store, worker_cache
 GAP = re.compile(r"(?<=\S) (?=\S)")
 #: Marks that may follow a word and form one piece of their own.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
-#: Entries of a worker's caches of encoded words, and the longest such word.
+#: Entries of each generation of a worker's caches of encoded words, and the longest such word.
 CACHE, CACHED_CHARS = 400_000, 64
 
 
@@ -34,10 +35,37 @@ def byte_names() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def _bytes(ids: list[int]) -> bytes:
+    """Little-endian 32-bit ids."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class Recent:
+    """A bounded cache in two generations: when the young one is full it becomes
+    the old one, and what is asked for again comes back, so that frequent
+    entries are never learned twice."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def again(self, key: str) -> bytes | None:
+        """An entry of the old generation, young from now on."""
+        out = self.old.get(key)
+        if out is not None:
+            self.young[key] = out
+        return out
+
+    def age(self) -> None:
+        if len(self.young) > CACHE:
+            self.young, self.old = {}, self.young
+
+
 class Encoder:
     """Token ids of whole texts by a byte-level BPE file.
 
-    A text is cut at single spaces, where a new piece must start, and the ids
+    A text that holds an added token (``<|endoftext|>``) goes through the whole
+    tokenizer, where it is one id.  Any other text is cut at single spaces, where a new piece must start, and the ids
     of each part are kept.  A part of letters and marks is a piece of letters
     and one of marks, which go straight to the tokenizer's model, also on both
     sides of a line break; all other parts go through the whole tokenizer.
@@ -48,22 +76,21 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.names = byte_names()
-        self.parts: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.parts, self.words = Recent(), Recent()
 
     def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one piece; a leading space belongs to it."""
-        out = self.words.get(piece)
+        out = self.words.young.get(piece) or self.words.again(piece)
         if out is None:
             named = piece.encode().decode("latin-1").translate(self.names)
-            out = np.array([t.id for t in self.tokenizer.model.tokenize(named)], dtype="<u4").tobytes()
+            out = _bytes([t.id for t in self.tokenizer.model.tokenize(named)])
             if len(piece) <= CACHED_CHARS:
-                self.words[piece] = out
+                self.words.young[piece] = out
         return out
 
     def _simple(self, space: str, part: str) -> bytes | None:
@@ -75,6 +102,9 @@ class Encoder:
 
     def _part(self, part: str) -> bytes:
         """Ids of a space and a part that has no white space at either end."""
+        out = self.parts.again(part)
+        if out is not None:
+            return out
         out = self._simple(" ", part)
         if out is None:
             # One line break between two such parts is a piece of its own.
@@ -83,20 +113,22 @@ class Encoder:
             tail = self._simple("", start) if head is not None else None
             out = head + self._piece(line) + tail if tail is not None else self._encode(" " + part)
         if len(part) <= CACHED_CHARS:
-            self.parts[part] = out
+            self.parts.young[part] = out
         return out
 
     def _known(self, parts: list[str]) -> tuple[list, list[int]]:
         """Ids of the parts met before, None for others, and where those are."""
-        out = list(map(self.parts.get, parts))
+        out = list(map(self.parts.young.get, parts))
         return out, [i for i, x in enumerate(out) if x is None] if None in out else []
 
     def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Little-endian 32-bit ids of each text."""
         for text in texts:
-            for cache in (self.parts, self.words):
-                if len(cache) > CACHE:
-                    cache.clear()
+            if any(token in text for token in self.added):
+                yield np.frombuffer(self._encode(text), dtype="<u4")
+                continue
+            self.parts.age()
+            self.words.age()
             first, *rest = text.split(" ")
             out, missing = self._known(rest)
             if first[-1:].isspace() or any(not (x := rest[i]) or x[0].isspace() or x[-1].isspace() for i in missing):

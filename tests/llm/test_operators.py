@@ -150,7 +150,6 @@ def test_packing_round_trip(docs, rows):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     want = Counter()
     for r in rows:
         ids = np.array([*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 0], dtype="<u4")
@@ -307,3 +306,22 @@ def test_empty_tables(spark, empty, labels):
                mix_documents(empty), quality_scores(empty, labels), toxicity_scores(empty, labels),
                secret_scan(empty), embedding_dedup(vectors)):
         assert df.count() == 0
+
+
+def test_packing_ids_are_those_of_the_plain_call(monkeypatch, sf001):
+    """Also for texts that hold an added token, and over caches that fill up
+    again and again."""
+    import pyarrow.dataset
+    from tokenizers import Tokenizer
+
+    from tessera.llm import packing
+
+    monkeypatch.setattr(packing, "CACHE", 500)
+    encoder, plain = packing.Encoder(tokenizer_path()), Tokenizer.from_file(tokenizer_path())
+    texts = [t for t in pyarrow.dataset.dataset(f"{sf001}/documents.parquet").to_table()["text"].to_pylist() if t]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "a<|endoftext|>", "<|endoftext|><|endoftext|> x\n", "<|endoftext", "",
+              " lead", "trail ", "two  gaps", "a\n\nb", "don't stop", "é日本 x", "tab\tx", "1234 5", "end.\nStart"]
+    assert plain.encode(texts[-15], add_special_tokens=False).ids.count(50256) == 1
+    for text, ids in zip(texts, encoder.ids(texts)):
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert max(len(c) for r in (encoder.parts, encoder.words) for c in (r.young, r.old)) < 500 + max(map(len, texts))
