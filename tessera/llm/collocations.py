@@ -183,7 +183,8 @@ def stripe_counts(docs: DataFrame, *, least: int, bucket_bytes: int = 1 << 23) -
                         F.col("text").cast("binary").alias("text")).where(F.length("text") > 0)
     size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / bucket_bytes))
-    return store(texts.mapInArrow(_count(buckets), STRIPES).groupBy("bucket").applyInArrow(_merge(least), COUNTED))
+    stripes = texts.mapInArrow(_count(buckets), STRIPES).repartition(buckets, "bucket")  # tasks grow with the text
+    return store(stripes.groupBy("bucket").applyInArrow(_merge(least), COUNTED))
 
 
 def _score(left: str, right: str) -> Column:
