@@ -217,8 +217,8 @@ def near_dup(docs: DataFrame, *, size: int = 5, per_cent: int = 75) -> DataFrame
 
     Documents are linked when ``100 * |A and B| >= per_cent * |A or B|`` holds
     for their sets of distinct word shingles, confirmed on the full sets (64-bit
-    fingerprints); a component is named by its smallest id, and of that id's texts
-    in it the one with the smallest SHA-256 value is kept.  Candidates are documents that share a band of four SuperMinHash values; a pair at the
+    fingerprints); a component is named by its smallest id, and the rows of that id
+    are kept.  Candidates are documents that share a band of four SuperMinHash values; a pair at the
     threshold shares none of 32 bands in about 1 of 200,000 cases.
 
     Texts with equal words are one class.  First each class meets the smallest
@@ -229,9 +229,10 @@ def near_dup(docs: DataFrame, *, size: int = 5, per_cent: int = 75) -> DataFrame
 
     Null and empty texts, and texts of white space, have the empty set and link
     with nothing; fewer words than ``size`` are one shingle.  A row whose id is
-    null links with nothing, has no component and is kept.  Repeated rows (same
-    id, same text) are kept or not together; different texts that share an id
-    are documents of their own.  An empty table gives an empty result; other
+    null links with nothing, has no component and is kept.  Different texts that
+    share an id are documents of their own, each with its links; in a component
+    named by their id all of them are kept, as are repeated rows (give rows ids
+    of their own, as the pipeline does, to keep one).  An empty table gives an empty result; other
     columns are ignored.
     """
     docs = docs.select("doc_id", F.sha2("text", 256).alias("sha"), "text")
@@ -263,11 +264,9 @@ def near_dup(docs: DataFrame, *, size: int = 5, per_cent: int = 75) -> DataFrame
     else:
         out = out.withColumns({"component": F.col("id"), "name": F.col("first_id")})
     alone = F.col("key").isNull() | F.col("doc_id").isNull()
-    lead = F.coalesce("component", "id") == F.col("id")
-    return out.select(
-        "doc_id", "n_shingles",
-        F.when(alone, F.col("doc_id")).otherwise(F.coalesce("name", "first_id")).alias("component_id"),
-        (alone | (lead & (F.col("doc_id") == F.col("first_id")) & (F.col("sha") == F.col("first_sha")))).alias("kept"))
+    named = F.when(alone, F.col("doc_id")).otherwise(F.coalesce("name", "first_id"))
+    return (out.select("doc_id", "n_shingles", named.alias("component_id"))
+            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def _link(members, full, per_cent) -> DataFrame | None:
