@@ -28,10 +28,11 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from tessera.operators import analysis  # noqa: E402
+from tessera.functions import sale_amount  # noqa: E402
+from tessera.operators import analysis, cleaning, quality, star  # noqa: E402
+from tessera.operators.keys import dense_key_single_task  # noqa: E402
 from tessera.plans import catalog, jobs  # noqa: E402
 from tessera.schemas import STAR_TABLES  # noqa: E402
 from tessera.session import local_session  # noqa: E402
@@ -49,55 +50,45 @@ def timed(results: dict, name: str, fn):
 
 
 def naive_pipeline(spark, bronze_path: str, out: str) -> None:
-    """The straightforward composition, for comparison (not library code)."""
+    """The library's operators put together as a textbook would, for comparison:
+    any row of an id survives, every check is an action of its own that runs the
+    whole plan again, keys come from one-task windows, nothing is stored between
+    the steps but the cleaned table, which is cached."""
     raw = read_bronze(spark, bronze_path)
-    raw.count()
-    s = raw.dropDuplicates(["id"])
-    s.count()
-    s = s.filter(F.col("id").isNotNull() & F.col("sale_date").isNotNull() & F.col("product_id").isNotNull()
-                 & F.col("customer_id").isNotNull() & F.col("quantity").isNotNull()
-                 & F.col("unit_price").isNotNull())
-    s = s.withColumn("product_name", F.when(F.col("product_name").isNull() | (F.trim("product_name") == ""),
-                                            "UNKNOWN").otherwise(F.trim("product_name")))
-    s = s.withColumn("region", F.when(F.col("region").isNull() | (F.trim("region") == ""),
-                                      "UNKNOWN").otherwise(F.upper(F.trim("region"))))
-    s = s.filter((F.col("quantity") > 0) & (F.col("unit_price") >= 0))
-    s.count()
-    s.groupBy("id").count().filter("count > 1").count()
-    s.filter("quantity <= 0").count()
-    s.filter("unit_price < 0").count()
-    s.groupBy("product_id").agg(F.countDistinct("product_name").alias("n")).filter("n > 1").count()
-    s.write.mode("overwrite").parquet(f"{out}/silver")
+    single = raw.dropDuplicates(["id"])
+    clean = cleaning.business_rules(cleaning.clean_text(cleaning.require_columns(single)))
+    for step in (raw, single, clean):
+        step.count()
+    for gate in (quality.duplicate_keys(clean, "id"),
+                 quality.inconsistent_mappings(clean, "product_id", "product_name"),
+                 *[quality.count_violations(clean, [c()], rows=None) for c in quality.SALES_ROW_CHECKS]):
+        gate.collect()
+    clean.write.mode("overwrite").parquet(f"{out}/silver")
     silver = spark.read.parquet(f"{out}/silver").cache()
     silver.count()
-    d = (silver.select(F.col("sale_date").alias("full_date")).dropDuplicates()
-         .withColumn("date_key", F.date_format("full_date", "yyyyMMdd").cast("int")))
-    d.count()
-    p = (silver.groupBy("product_id").agg(F.first("product_name", True).alias("product_name"))
-         .withColumn("product_key", F.row_number().over(Window.orderBy("product_id"))))
-    p.count()
-    c = (silver.select("customer_id").dropDuplicates()
-         .withColumn("customer_key", F.row_number().over(Window.orderBy("customer_id"))))
-    c.count()
-    r = (silver.select(F.col("region").alias("region_name")).dropDuplicates()
-         .withColumn("region_key", F.row_number().over(Window.orderBy("region_name"))))
-    r.count()
-    f = (silver.join(d, silver.sale_date == d.full_date, "left")
-         .join(p.select("product_id", "product_key"), "product_id", "left")
-         .join(c, "customer_id", "left")
-         .join(r, silver.region == r.region_name, "left")
-         .select(F.col("id").alias("sale_id"), "date_key", "product_key", "customer_key", "region_key",
-                 "quantity", "unit_price",
-                 F.round(F.col("quantity") * F.col("unit_price"), 2).cast("decimal(18,2)").alias("total_amount"),
-                 "created_at"))
-    f.count()
-    f.count() == silver.count()
-    for k in ("date_key", "product_key", "customer_key", "region_key"):
-        f.filter(F.col(k).isNull()).count()
-    f.groupBy("sale_id").count().filter("count > 1").count()
-    f.filter("total_amount < 0").count()
-    for name, df in (("dim_date", d), ("dim_product", p), ("dim_customer", c), ("dim_region", r),
-                     ("fact_sales", f)):
+    names = star.product_names(silver).groupBy("product_id").agg(F.min("product_name").alias("product_name"))
+    regions = silver.select(F.col("region").alias("region_name")).distinct()
+    tables = {"dim_date": star.dim_date(silver),
+              "dim_product": dense_key_single_task(names, "product_id", "product_key"),
+              "dim_customer": dense_key_single_task(silver.select("customer_id").distinct(), "customer_id",
+                                                    "customer_key"),
+              "dim_region": dense_key_single_task(regions, "region_name", "region_key")}
+    for dim in tables.values():
+        dim.count()
+    joined = silver
+    for name, mine, theirs in (("dim_date", "sale_date", "full_date"), ("dim_product", "product_id", "product_id"),
+                               ("dim_customer", "customer_id", "customer_id"), ("dim_region", "region", "region_name")):
+        # No size is claimed, so the planner chooses the join.
+        joined = star.lookup_key(joined, tables[name], mine, theirs, name[4:] + "_key", dim_bytes=1 << 62)
+    fact = joined.select(F.col("id").alias("sale_id"), *quality.FACT_KEY_COLUMNS, "quantity", "unit_price",
+                         sale_amount("quantity", "unit_price").alias("total_amount"), "created_at")
+    for step in (fact, silver):
+        step.count()
+    for gate in (*[quality.count_violations(fact, [quality.null_key(k)], rows=None) for k in quality.FACT_KEY_COLUMNS],
+                 quality.duplicate_keys(fact, "sale_id"),
+                 quality.count_violations(fact, [quality.negative_amount()], rows=None)):
+        gate.collect()
+    for name, df in {**tables, "fact_sales": fact}.items():
         df.write.mode("overwrite").parquet(f"{out}/gold/{name}")
         spark.read.parquet(f"{out}/gold/{name}").count()
     silver.unpersist()
