@@ -24,7 +24,8 @@ def _step(links: DataFrame, large: bool) -> DataFrame:
     (large star) or the smaller ones and the node itself (small star)."""
     around = _both(links) if large else links.select(
         F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other"))
-    low = _star(around)
+    # Stored, so that the join may split a node of very many links.
+    low = store(_star(around))
     joined = around.join(low, "node")
     if large:
         out = joined.where("other > node").select(F.col("other").alias("a"), F.col("low").alias("b"))

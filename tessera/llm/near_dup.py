@@ -248,7 +248,9 @@ def near_dup(docs: DataFrame, *, size: int = 5, per_cent: int = 75) -> DataFrame
     reps = (usable.join(classes, "key").where("doc_id = first_id and sha = first_sha")
             .select("id", "n_shingles", "sig", "bands").dropDuplicates(["id"]))
     members = reps.select("id", F.explode("bands").alias("bucket"))
-    large = members.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("members")).where("members > 1")
+    # What is known of buckets is stored, so that joins may split one of very many members.
+    large = store(members.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("members"))
+                  .where("members > 1"))
     members = store(members.join(large.drop("members"), "bucket"))
     label = None
     if not members.isEmpty():
@@ -296,9 +298,9 @@ def _link(members, full, per_cent) -> DataFrame | None:
                 .withColumn("component", F.coalesce("component", "id")))
     rows = rows.join(full.select("id", "n_shingles"), "id")
     weight = F.sum(F.col("n_shingles") + ROW_WEIGHT)
-    left = (rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                       F.least(F.ceil(weight / BLOCK_WEIGHT), F.count("*")).alias("blocks"))
-            .where("low <> high").select("bucket", "blocks"))
+    left = store(rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                            F.least(F.ceil(weight / BLOCK_WEIGHT), F.count("*")).alias("blocks"))
+                 .where("low <> high").select("bucket", "blocks"))
     rows = (rows.drop("n_shingles").join(left, "bucket")
             .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
             .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))

@@ -1,0 +1,42 @@
+"""Joins on a hot key are split at run time: a node of nearly all links."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.llm.common import store
+from tessera.llm.components import _step, components
+
+SETTINGS = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+
+
+@pytest.fixture()
+def tight(spark):
+    if spark.conf.get("spark.sql.adaptive.enabled") != "true":
+        pytest.skip("splitting is adaptive execution's")
+    before = {k: spark.conf.get(k) for k in SETTINGS}
+    for k, v in SETTINGS.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("large", [True, False])
+def test_the_centre_of_a_star_is_split(tight, large):
+    """The centre is the smallest id for the large step and the largest for the
+    small one, which are the ends that each step joins by."""
+    centre = -1 if large else 10**9
+    links = store(tight.range(300_000).select(F.lit(centre).cast("long").alias("a"), "id").toDF("a", "b").union(
+        tight.range(300).select((F.col("id") * 7).alias("a"), (F.col("id") * 7 + 1).alias("b"))))
+    step = _step(links, large)
+    assert step.count() > 0
+    step.collect()
+    assert "skew=true" in step._jdf.queryExecution().executedPlan().toString()
+
+
+def test_components_of_a_star(tight):
+    links = tight.range(5000).select(F.lit(10**9).alias("a"), F.col("id").alias("b"))
+    got = components(links)
+    assert got.count() == 5001 and {r.component for r in got.collect()} == {0}
