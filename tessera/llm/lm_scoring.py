@@ -21,6 +21,8 @@ from tessera.llm.common import fold, store, words
 TRAIN, DELETED, HELD_OUT = 0, 1, 2
 #: Tokens of a block, and bytes of text for each count shard.
 BLOCK_TOKENS, SHARD_BYTES = 1_000_000, 6_000_000
+#: Text of the blocks that one scoring task takes on average.
+TASK_BYTES = 16_000_000
 #: The end of a text as a word, and the context in front of its first word.
 END, START = np.uint64(0x7F4A7C159E3779B9), np.uint64(0x94D049BB133111EB)
 _U = np.uint64
@@ -286,8 +288,12 @@ def lm_score(docs: DataFrame, *, folds: int = 10, held_out: int = 0, deleted: in
     id_type = to_arrow_type(docs.schema["doc_id"].dataType)
     shape = f"block long, gram int, shard int, data binary, more binary, docs array<{kind}>"
 
+    # As many tasks as the text asks for, not as the session has shuffle partitions.
+    tasks = max(4, -(-text_bytes // TASK_BYTES))
+
     def blocks(rows: DataFrame, kinds: tuple, answers: DataFrame):
-        return rows.mapInArrow(_tokens(id_type, kinds), shape).union(answers).groupBy("block")
+        tokens_of = rows.mapInArrow(_tokens(id_type, kinds), shape)
+        return tokens_of.union(answers).repartition(tasks, "block").groupBy("block")
 
     events = blocks(base.where(F.col("kind") == DELETED), (DELETED,),
                     replies.where(F.col("block") % 4 == DELETED)).applyInArrow(

@@ -64,14 +64,27 @@ def meta_view(lang: str | None, source: str | None, n_chars: int | None, text: s
     return out
 
 
-def _features(batches):
-    for batch in batches:
-        cols = [batch.column(i).to_pylist() for i in range(6)]
-        a = [text_view(t).astype(np.float16).tobytes() for t in cols[2]]
-        b = [meta_view(*x).astype(np.float16).tobytes() for x in zip(cols[3], cols[4], cols[5], cols[2])]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.float64()),
-             pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["place", "label", "a", "b"])
+WIDTH = {"a": PAIRS + len(CLASSES) + 3, "b": LANGS + SOURCES + 5}
+
+
+def _views(docs: DataFrame) -> DataFrame:
+    """``doc_id, of, a, b``: both views of every row of ``docs``, as bytes, and
+    the fingerprint (64 bits) of its text, null as empty."""
+    rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("of"), "text", "lang", "source", "n_chars")
+
+    def run(batches):
+        for batch in batches:
+            cols = [batch.column(i).to_pylist() for i in range(2, 6)]
+            a = [text_view(t).astype(np.float16).tobytes() for t in cols[0]]
+            b = [meta_view(*x).astype(np.float16).tobytes() for x in zip(*cols[1:], cols[0])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(a, pa.binary()),
+                                              pa.array(b, pa.binary())], names=["doc_id", "of", "a", "b"])
+
+    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, of long, a binary, b binary")
+
+
+def _matrix(values: list, view: str) -> np.ndarray:
+    return np.frombuffer(b"".join(values), np.float16).reshape(-1, WIDTH[view]).astype(np.float64)
 
 
 class CoTrained:
@@ -87,64 +100,122 @@ class CoTrained:
         return sigmoid(self.joint.logit(np.stack([za, zb], axis=1))), sigmoid(za), sigmoid(zb)
 
 
-def co_train(xa, xb, y, pool_a, pool_b, *, rounds: int = 4, confident: float = 0.97,
-             per_round: int = 500) -> CoTrained:
-    """Each round either view labels the pool rows it is most sure of (by its
-    calibrated probability) and hands them to the other view.
+def sure_enough(sure: np.ndarray, right: np.ndarray, precise: float) -> float | None:
+    """The lowest confidence from which on measured rows are right often enough:
+    the Wilson lower bound (one standard error) of their share is at least
+    ``precise``.  None where no confidence is."""
+    order = np.argsort(-sure, kind="stable")
+    n, k = np.arange(1, len(sure) + 1), np.cumsum(right[order])
+    share = k / n
+    low = (share + 1 / (2 * n) - np.sqrt(share * (1 - share) / n + 1 / (4 * n * n))) / (1 + 1 / n)
+    ends = np.append(np.diff(sure[order]) != 0, True)[: len(n)]   # equal confidences go together
+    good = np.flatnonzero(ends & (low >= precise))
+    return float(sure[order][good[-1]]) if len(good) else None
 
-    Every third labelled row calibrates and is never trained on.  A round adds
-    at most ``per_round`` rows a view and class, in the ratio of the labels.
+
+def most_sure(views: DataFrame, labelled: DataFrame, models: list, cals: list, bars: dict, given: list,
+              quota: dict) -> list:
+    """Of all unlabelled texts, those that view 0 or 1 (``me``) is surest to be of
+    a class: ``me, label, of, a, b``, at most ``quota`` per view and class.
+
+    Every row is scored in its task; a text counts once, with its greatest
+    confidence, and only texts at or above their bar leave the task, without
+    their views.  Views of the chosen are fetched afterwards.
+    """
+    wanted = sorted((m, c) for (m, c), bar in bars.items() if bar is not None)
+    taken = [np.array(sorted(g), dtype=np.int64) for g in given]
+
+    def candidates(batches):
+        for batch in batches:
+            of = batch.column("of").to_numpy()
+            out = []
+            for m, view in enumerate("ab"):
+                p = sigmoid(cals[m].logit(models[m].logit(_matrix(batch.column(view).to_pylist(), view))[:, None]))
+                fresh = ~np.isin(of, taken[1 - m])
+                for label, sure in ((0, 1 - p), (1, p)):
+                    if (m, label) in wanted:
+                        at = np.flatnonzero(fresh & (sure >= bars[m, label]))
+                        out += [(m, label, of[i], sure[i]) for i in at]
+            cols = list(zip(*out)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int64(), pa.float64()))],
+                                             names=["me", "label", "of", "sure"])
+
+    found = store(views.select("of", "a", "b").mapInArrow(candidates, "me int, label int, of long, sure double")
+                  .groupBy("me", "label", "of").agg(F.max("sure").alias("sure")).join(labelled, "of", "left_anti"))
+    top = None
+    for m, c in wanted:
+        best = found.where((F.col("me") == m) & (F.col("label") == c)).orderBy(F.desc("sure"), "of").limit(quota[c])
+        top = best if top is None else top.union(best)
+    # At most one quota per view and class is broadcast and returned.
+    return sorted(views.join(F.broadcast(top), "of").groupBy("me", "label", "of").agg(F.min("a").alias("a"), F.min("b").alias("b"))
+                  .collect(), key=lambda r: (r.me, r.label, r.of))
+
+
+def co_train(xa, xb, y, propose=None, *, rounds: int = 4, precise: float = 0.99, per_round: int = 500) -> CoTrained:
+    """Each round either view labels the unlabelled texts it is most sure of and
+    hands them to the other view, while ``propose`` finds any.
+
+    Of the labelled rows, every sixth calibrates and every sixth measures; none
+    of these is trained on until the last calibration, of both views together.
+    A view hands over a class only from the confidence at which its measured
+    precision is ``precise``, at most ``per_round`` texts a view and class on
+    average, in the ratio of the labels.
     """
-    hold = np.arange(len(y)) % 3 == 2
-    share = float(y[~hold].mean()) if (~hold).any() else 0.5
+    part = np.arange(len(y)) % 6
+    train, tune, test = (part != 2) & (part != 5), part == 2, part == 5
+    share = float(y[train].mean()) if train.any() else 0.5
     quota = {1: max(1, round(2 * per_round * share)), 0: max(1, round(2 * per_round * (1 - share)))}
-    pool = [pool_a, pool_b]
-    sets = [[xa[~hold], y[~hold].astype(float)], [xb[~hold], y[~hold].astype(float)]]
-    held = [xa[hold], xb[hold]]
-    given = [set(), set()]
+    sets = [[x[train], y[train].astype(float)] for x in (xa, xb)]
+    given = [set(), set()]                      # by the view that received them
     for turn in range(rounds + 1):
-        views = [Logistic(ridge=3.0).fit(*s) for s in sets]
-        cals = [platt(v.logit(x), y[hold]) for v, x in zip(views, held)]
-        if turn == rounds or not len(pool_a):
+        models = [Logistic(ridge=3.0).fit(*s) for s in sets]
+        cals = [platt(v.logit(x[tune]), y[tune]) for v, x in zip(models, (xa, xb))]
+        if turn == rounds or propose is None or not test.any():
+            break
+        bars = {}
+        for m, x in enumerate((xa, xb)):
+            p = sigmoid(cals[m].logit(models[m].logit(x[test])[:, None]))
+            bars |= {(m, 1): sure_enough(p, y[test] == 1, precise), (m, 0): sure_enough(1 - p, y[test] == 0, precise)}
+        if all(b is None for b in bars.values()):
             break
-        for me, other in ((0, 1), (1, 0)):
-            p = sigmoid(cals[me].logit(views[me].logit(pool[me])[:, None]))
-            for label, sure in ((1, p), (0, 1 - p)):
-                order = [i for i in np.argsort(-sure, kind="stable") if i not in given[other]]
-                rows = [i for i in order[: quota[label]] if sure[i] >= confident]
-                if rows:
-                    given[other].update(rows)
-                    sets[other][0] = np.vstack([sets[other][0], pool[other][rows]])
-                    sets[other][1] = np.concatenate([sets[other][1], np.full(len(rows), float(label))])
-    z = np.stack([c.logit(v.logit(x)[:, None]) for c, v, x in zip(cals, views, held)], axis=1)
-    return CoTrained(*views, *cals, platt(z, y[hold]))
-
-
-def fit_quality(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 9000, max_pool: int = 6000,
-                seed: int = 5, **options) -> CoTrained:
-    """Fit on the ``max_labelled`` labelled and ``max_pool`` unlabelled rows with
-    the smallest seeded hash of their id: the only rows the driver gets."""
-    known = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(
-        F.max("quality").cast("double").alias("label"))
-    order = F.xxhash64(F.lit(seed), "doc_id")
-    ids = docs.where("doc_id is not null").select("doc_id").distinct().join(known, "doc_id", "left")
-    picked = (ids.where("label is not null").orderBy(order).limit(max_labelled)
-              .union(ids.where("label is null").orderBy(order).limit(max_pool)))
-    rows = (docs.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
-            .select(F.xxhash64(F.lit(seed), "doc_id").alias("place"), "label",
-                    *(F.col(c) for c in ("text", "lang", "source", "n_chars"))))
-    found = store(rows.mapInArrow(_features, "place long, label double, a binary, b binary"))
-    found = sorted(found.collect(), key=lambda r: (r.place, r.a, r.b))
-    width = {"a": PAIRS + len(CLASSES) + 3, "b": LANGS + SOURCES + 5}
-
-    def matrix(rows, view):
-        data = b"".join(getattr(r, view) for r in rows)
-        return np.frombuffer(data, np.float16).reshape(-1, width[view]).astype(np.float64)
-
-    marked = [r for r in found if r.label is not None]
-    pool = [r for r in found if r.label is None]
-    return co_train(matrix(marked, "a"), matrix(marked, "b"), np.array([r.label for r in marked]),
-                    matrix(pool, "a"), matrix(pool, "b"), **options)
+        rows = propose(models, cals, bars, given, quota)
+        if not rows:
+            break
+        for m, view in enumerate("ab"):
+            mine = [r for r in rows if r.me == 1 - m]
+            given[m].update(r.of for r in mine)
+            sets[m][0] = np.vstack([sets[m][0], _matrix([r[view] for r in mine], view)])
+            sets[m][1] = np.concatenate([sets[m][1], [float(r.label) for r in mine]])
+    z = np.stack([c.logit(v.logit(x[tune | test])[:, None]) for c, v, x in zip(cals, models, (xa, xb))], axis=1)
+    return CoTrained(*models, *cals, platt(z, y[tune | test]))
+
+
+def _fit(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 9000, seed: int = 5,
+         **options) -> tuple[CoTrained, DataFrame]:
+    """The model of ``fit_quality`` and the stored views of all rows."""
+    known = store(labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(
+        F.max("quality").cast("double").alias("label")))
+    views = store(_views(docs))
+    labelled = store(views.select("doc_id", "of").join(known, "doc_id").groupBy("of").agg(F.max("label").alias("label")))
+    picked = labelled.orderBy(F.xxhash64(F.lit(seed), "of"), "of").limit(max_labelled)
+    # A text is fitted on once; of its metadata the smallest counts.
+    rows = (views.join(F.broadcast(picked), "of").groupBy("of", "label").agg(F.min("a").alias("a"), F.min("b").alias("b"))
+            .withColumn("place", F.xxhash64(F.lit(seed), "of")).collect())
+    rows = sorted(rows, key=lambda r: (r.place, r.of))
+    seen = labelled.select("of")
+
+    def propose(*args):
+        return most_sure(views, seen, *args)
+
+    return co_train(_matrix([r.a for r in rows], "a"), _matrix([r.b for r in rows], "b"),
+                    np.array([r.label for r in rows]), propose, **options), views
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame, **options) -> CoTrained:
+    """Fit on the ``max_labelled`` labelled texts with the smallest seeded hash
+    and on pseudo-labels from all unlabelled texts.  The driver gets the views
+    of the former and of the texts handed over in a round, nothing else."""
+    return _fit(docs, labels, **options)[0]
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, *, keep: float = 0.5, model: CoTrained | None = None,
@@ -154,28 +225,28 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, keep: float = 0.5, mod
 
     The score is the probability of good quality from both calibrated views;
     documents with at least ``keep`` are kept.  Null and empty texts have an
-    all-zero text view; null metadata counts as empty; a null id is scored but
-    never trained on; repeated rows are scored each; conflicting labels of an
-    id count as good.  Without labels, or with one class only, the scores are
-    that class's smoothed share or one half.  An empty table gives an empty
-    result; other columns are ignored.
+    all-zero text view; very long ones are read whole; null metadata counts as
+    empty; a null id is scored and may be given a pseudo-label, but has no label
+    of its own; repeated rows are scored each; rows of equal text are fitted on
+    once and share a label, and conflicting labels count as good.  Without
+    labels, or with one class only, the scores are that class's smoothed share
+    or one half.  An empty table gives an empty result; other columns are
+    ignored.
     """
     docs = docs.select("doc_id", "text", "lang", "source", "n_chars")
     if model is None:
-        model = fit_quality(docs, labels, **options)
+        model, views = _fit(docs, labels, **options)
+    else:
+        views = _views(docs)
     id_type = docs.schema["doc_id"].dataType
     arrow = pa.schema([("doc_id", to_arrow_type(id_type)), *((n, pa.float64()) for n in
                                                              ("score", "text_score", "meta_score"))])
 
     def run(batches):
         for batch in batches:
-            ids, *cols = (batch.column(i).to_pylist() for i in range(5))
-            if not ids:
-                continue
-            xa = np.stack([text_view(t) for t in cols[0]])
-            xb = np.stack([meta_view(*x) for x in zip(cols[1], cols[2], cols[3], cols[0])])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip([ids, *model.scores(xa, xb)], arrow)], schema=arrow)
-
-    scored = docs.mapInArrow(run, f"doc_id {id_type.simpleString()}, score double, text_score double, meta_score double")
+            if batch.num_rows:
+                found = model.scores(*(_matrix(batch.column(v).to_pylist(), v) for v in "ab"))
+                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in found)], schema=arrow)
+
+    scored = views.mapInArrow(run, f"doc_id {id_type.simpleString()}, score double, text_score double, meta_score double")
     return store(scored).withColumn("kept", F.col("score") >= keep)
