@@ -1,0 +1,103 @@
+"""Deleted interpolation against a plain-Python form of it."""
+
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tessera.llm.lm_scoring import _packed, _unpacked, lm_score
+
+
+def plain(texts: dict, order: int):
+    """doc_id -> log10 probability, over counts of word tuples."""
+    fold = {d: zlib.crc32(str(d).encode()) % 10 for d in texts}
+    tokens = {d: [*(t or "").lower().split(), None] for d, t in texts.items()}
+
+    def grams(d, size):
+        own = ["<s>"] * (size - 1) + tokens[d]
+        return [tuple(own[i:i + size]) for i in range(len(tokens[d]))]
+
+    def count(ids):
+        c = [Counter(g for d in ids for g in grams(d, size)) for size in range(1, order + 1)]
+        return c, len(ids), sum(c[0].values())
+
+    every = count([d for d in texts if fold[d] != 0])
+    rest = count([d for d in texts if fold[d] > 1])
+    uniform = 1 / (len(every[0][0]) + 1)
+
+    def estimates(d, counts):
+        c, n_texts, n = counts
+        per_size = [grams(d, size) for size in range(1, order + 1)]
+        for i in range(len(tokens[d])):
+            p, bucket, seen = [c[0][per_size[0][i]] / n], 0, 1
+            for size in range(2, order + 1):
+                context = c[size - 2][per_size[size - 2][i - 1]] if i else n_texts
+                p.insert(0, c[size - 1][per_size[size - 1][i]] / context if context else 0.0)
+                if context:
+                    bucket, seen = 64 * (size - 2) + 1 + int(math.log2(context)), size
+            yield p, bucket, seen
+
+    events = Counter()
+    for d in texts:
+        if fold[d] == 1:
+            for p, bucket, _ in estimates(d, rest):
+                events[bucket, tuple(round(4 * math.log2(x / uniform)) if x else None for x in p)] += 1
+    weights = {}
+    for b in [-1, *{b for b, _ in events}]:
+        w, own = [1 / (order + 1)] * (order + 1), [(x, n) for (k, x), n in events.items() if b in (-1, k)]
+        for _ in range(60):
+            total = [0.0] * (order + 1)
+            for x, n in own:
+                q = [*(0.0 if v is None else 2 ** (v / 4) for v in x), 1.0]
+                z = sum(a * v for a, v in zip(w, q))
+                total = [t + n * a * v / z for t, a, v in zip(total, w, q)]
+            w = [t / sum(total) for t in total]
+        weights[b] = [v * (1 - 1e-6) for v in w[:-1]] + [w[-1] * (1 - 1e-6) + 1e-6]
+
+    def score(d):
+        out = 0.0
+        for p, bucket, seen in estimates(d, every):
+            w = list(weights.get(bucket, weights[-1]))
+            moved = sum(w[:order - seen])
+            w = [0.0] * (order - seen) + [v + moved / (seen + 1) for v in w[order - seen:]]
+            out += math.log10(sum(a * v for a, v in zip(w, [*p, uniform])))
+        return out
+
+    return {d: score(d) for d in texts}
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_scores_are_those_of_plain_python(spark, order, tmp_path):
+    rng = random.Random(order)
+    names = "the a cat dog sat ran on under mat tree and then".split()
+    texts = {i: " ".join(rng.choices(names, weights=range(12, 0, -1), k=rng.randint(0, 40))) for i in range(300)}
+    texts |= {300: None, 301: "", 302: "unknown words here", 303: "THE Cat sat on the mat"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/d")
+    got = {r.doc_id: r.score for r in lm_score(spark.read.parquet(f"{tmp_path}/d"), order=order).collect()}
+    want = plain(texts, order)
+    assert got.keys() == want.keys()
+    assert all(got[d] == pytest.approx(want[d], rel=1e-9) for d in want)
+
+
+def test_three_words_predict_better_where_order_matters(spark, tmp_path):
+    """Each word follows from the two before it, not from the last one."""
+    rng = random.Random(1)
+    rows = []
+    for i in range(400):
+        own = [rng.randrange(20), rng.randrange(20)]
+        for _ in range(40):
+            own.append((own[-1] + own[-2]) % 20 if rng.random() < 0.9 else rng.randrange(20))
+        rows.append((i, " ".join(f"w{x}" for x in own)))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    total = {n: sum(r.score for r in lm_score(docs, order=n).where("held_out").collect()) for n in (2, 3)}
+    assert total[3] > 0.6 * total[2]
+
+
+def test_keys_round_trip():
+    for n in (0, 1, 7, 1000):
+        keys = np.unique(np.random.default_rng(n).integers(0, 1 << 64, n, dtype=np.uint64))
+        assert (_unpacked(_packed(keys)) == keys).all()
