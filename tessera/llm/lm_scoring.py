@@ -19,6 +19,9 @@ from tessera.llm.common import fold, store, words
 #: Kinds of documents; a block holds one kind.  Training text counts; its
 #: deleted part counts too, and the mixture weights are learned on it.
 TRAIN, DELETED, HELD_OUT = 0, 1, 2
+#: Width of an event's bins in quarters of a factor of two: whole factors, so
+#: that the events of all estimates together stay few.
+GRAIN = 4
 #: Tokens of a block, and bytes of text for each count shard.
 BLOCK_TOKENS, SHARD_BYTES = 1_000_000, 6_000_000
 #: Text of the blocks that one scoring task takes on average.
@@ -225,7 +228,7 @@ def _events(sums: dict, order: int):
     def run(table: pa.Table) -> pa.Table:
         _, _, _, contexts, estimates, last = _estimates(table, sums, order, True)
         with np.errstate(divide="ignore"):
-            bins = [np.where(p > 0, np.round(4 * np.log2(p / last)), -999).astype(np.int64) for p in estimates]
+            bins = [np.where(p > 0, GRAIN * np.round(4 / GRAIN * np.log2(p / last)), -999).astype(np.int64) for p in estimates]
         rows, n = np.unique(np.stack([_bucket(contexts), *bins], axis=1), axis=0, return_counts=True)
         return pa.table(dict(zip(_event_columns(order), [*rows.T, n.astype(np.int64)])))
 
@@ -235,7 +238,7 @@ def _events(sums: dict, order: int):
 def learn_weights(events: list[tuple], rounds: int = 60, order: int = 2) -> dict[int, np.ndarray]:
     """Mixture weights (longest n-gram to word, then uniform) per context
     bucket, by expectation-maximisation over (bucket, one x per estimate, n):
-    how often the estimates were 2^(x/4) times the uniform one (-999: zero).
+    how often the estimates were about 2^(x/4) times the uniform one (-999: zero).
     Key -1 has the weights over all buckets."""
     data = np.array(events, dtype=np.int64).reshape(-1, order + 2)
     out = {}

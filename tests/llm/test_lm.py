@@ -44,7 +44,7 @@ def plain(texts: dict, order: int):
     for d in texts:
         if fold[d] == 1:
             for p, bucket, _ in estimates(d, rest):
-                events[bucket, tuple(round(4 * math.log2(x / uniform)) if x else None for x in p)] += 1
+                events[bucket, tuple(4 * round(math.log2(x / uniform)) if x else None for x in p)] += 1
     weights = {}
     for b in [-1, *{b for b, _ in events}]:
         w, own = [1 / (order + 1)] * (order + 1), [(x, n) for (k, x), n in events.items() if b in (-1, k)]
