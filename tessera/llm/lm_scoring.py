@@ -98,13 +98,15 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def _small(x: np.ndarray) -> bytes:
-    """Counts as bytes: the first tells the width."""
+    """Counts as bytes: the first tells the width, the rest is compressed byte
+    by byte, as most counts are small."""
     width = 1 if not len(x) or x.max() < 256 else 4 if x.max() < 1 << 32 else 8
-    return bytes([width]) + x.astype(f"<u{width}").tobytes()
+    return bytes([width]) + zlib.compress(x.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes(), 1)
 
 
 def _large(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+    flat = np.frombuffer(zlib.decompress(data[1:]), np.uint8).reshape(data[0], -1).T
+    return np.ascontiguousarray(flat).view(f"<u{data[0]}").ravel().astype(np.int64)
 
 
 def _requests(shards: int, order: int):

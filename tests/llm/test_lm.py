@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tessera.llm.lm_scoring import _packed, _unpacked, lm_score
+from tessera.llm.lm_scoring import _large, _packed, _small, _unpacked, lm_score
 
 
 def plain(texts: dict, order: int):
@@ -97,7 +97,9 @@ def test_three_words_predict_better_where_order_matters(spark, tmp_path):
     assert total[3] > 0.6 * total[2]
 
 
-def test_keys_round_trip():
+def test_keys_and_counts_round_trip():
+    for counts in ([], [0], [1, 255], [256, 0, 3], [1 << 33, 2]):
+        assert _large(_small(np.array(counts, dtype=np.int64))).tolist() == counts
     for n in (0, 1, 7, 1000):
         keys = np.unique(np.random.default_rng(n).integers(0, 1 << 64, n, dtype=np.uint64))
         assert (_unpacked(_packed(keys)) == keys).all()
