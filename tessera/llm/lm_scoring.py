@@ -26,6 +26,8 @@ GRAIN = 4
 BLOCK_TOKENS, SHARD_BYTES = 1_000_000, 6_000_000
 #: Text of the blocks that one scoring task takes on average.
 TASK_BYTES = 16_000_000
+#: Shards of one n-gram size that one counting task answers on average.
+ASKED_PER_TASK = 3
 #: The end of a text as a word, and the context in front of its first word.
 END, START = np.uint64(0x7F4A7C159E3779B9), np.uint64(0x94D049BB133111EB)
 _U = np.uint64
@@ -320,6 +322,8 @@ def lm_score(docs: DataFrame, *, order: int = 3, folds: int = 10, held_out: int
     text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(4, -(-text_bytes // SHARD_BYTES))
     asked = base.mapInArrow(_requests(shards, order), "shard int, gram int, block long, keys binary, counts binary")
+    # As many tasks as the text asks for, not as the session has shuffle partitions.
+    asked = asked.repartition(max(4, shards * order // ASKED_PER_TASK), "shard", "gram")
     answers = store(asked.groupBy("shard", "gram").applyInArrow(
         _answer, "block long, gram int, shard int, data binary, more binary"), 32)
     found = [np.frombuffer(r.data, "<i8") for r in answers.where("block = -1 and gram = 1").collect()]
@@ -329,7 +333,6 @@ def lm_score(docs: DataFrame, *, order: int = 3, folds: int = 10, held_out: int
     id_type = to_arrow_type(docs.schema["doc_id"].dataType)
     shape = f"block long, gram int, shard int, data binary, more binary, docs array<{kind}>"
 
-    # As many tasks as the text asks for, not as the session has shuffle partitions.
     tasks = max(4, -(-text_bytes // TASK_BYTES))
 
     def blocks(rows: DataFrame, kinds: tuple, answers: DataFrame):
