@@ -149,7 +149,8 @@ def label_findings(found: DataFrame) -> DataFrame:
 
 def reviewed_findings(rows: DataFrame, labelled: DataFrame) -> DataFrame:
     """The findings whose document and candidate a reviewer has labelled; a
-    candidate labelled both ways counts as a secret."""
+    candidate labelled both ways counts as a secret, a label without an id or
+    candidate counts for nothing."""
     labels = store(labelled.where("label is not null").groupBy("doc_id", "candidate")
                    .agg(F.max(F.col("label").cast("double")).alias("label")))
     return rows.join(labels, ["doc_id", "candidate"])
