@@ -51,19 +51,33 @@ class asc:  # noqa: N801 -- reads as a function at the call site: asc("quantity"
             return -(seconds * 1_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long"))
         raise TypeError(f"asc({self.column!r}): no ascending rank for type {kind}")
 
+    def restore(self, df: DataFrame, rank: Column) -> Column | None:
+        """The column's value from its ``rank``, None for types whose rank does
+        not hold it exactly."""
+        data_type = df.schema[self.column].dataType
+        kind = data_type.typeName()
+        if kind in ("byte", "short", "integer", "long"):
+            return (-rank).cast(data_type)
+        if kind == "decimal":
+            return -rank
+        if kind == "date":
+            return F.date_from_unix_date(-rank)
+        return None
+
 
 def keep_best(df: DataFrame, key: str | Sequence[str], rank_by: Sequence[str | Column | asc]) -> DataFrame:
     """One row per ``key``: the row with the largest ``rank_by`` tuple.
 
     Terms compare left to right; a NULL term ranks below any value.  A term
     given as a column name (``desc("created_at")``) ranks that column
-    descending and is not repeated in the payload.  All other columns follow
+    descending and is not repeated in the payload; neither is one whose value
+    its ascending rank gives back.  All other columns follow
     as descending tie-breaks, so two rows only tie when they are equal, and
     the result does not depend on input order or partitioning.  A NULL key
     forms one group of its own, as ``dropDuplicates`` does.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    terms, reused = [], {}
+    terms, reused, restored = [], {}, {}
     for i, t in enumerate(rank_by):
         name = f"_rank{i}"
         if isinstance(t, str):
@@ -71,9 +85,18 @@ def keep_best(df: DataFrame, key: str | Sequence[str], rank_by: Sequence[str | C
             reused.setdefault(t, name)
         elif isinstance(t, asc):
             terms.append(t.resolve(df).alias(name))
+            value = t.restore(df, F.col("_best").getField(name))
+            if value is not None:
+                restored.setdefault(t.column, value)
         else:
             terms.append(t.alias(name))
-    rest = [c for c in df.columns if c not in keys and c not in reused]
+    rest = [c for c in df.columns if c not in keys and c not in reused and c not in restored]
     best = F.max(F.struct(*terms, *[F.col(c) for c in rest])).alias("_best")
-    picked = [F.col("_best").getField(reused.get(c, c)).alias(c) for c in df.columns if c not in keys]
+
+    def value(c: str) -> Column:
+        if c in restored and c not in reused:
+            return restored[c]
+        return F.col("_best").getField(reused.get(c, c))
+
+    picked = [value(c).alias(c) for c in df.columns if c not in keys]
     return df.groupBy(*keys).agg(best).select(*keys, *picked).select(*df.columns)

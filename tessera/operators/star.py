@@ -86,6 +86,16 @@ def measured_bytes(side: DataFrame, rows: int | None = None) -> int:
     return estimated_bytes(side, found["n"], found["b"])
 
 
+def within_budget(sizes: dict[str, int], max_bytes: int = DEFAULT_BROADCAST_BYTES) -> set[str]:
+    """The names that share one broadcast budget; the smallest get theirs first."""
+    left, fit = max_bytes, set()
+    for name in sorted(sizes, key=sizes.get):
+        if sizes[name] <= left:
+            fit.add(name)
+            left -= sizes[name]
+    return fit
+
+
 def lookup_key(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str, key: str, *,
                dim_rows: int | None = None, dim_bytes: int | None = None,
                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
@@ -130,13 +140,10 @@ def fact_sales(silver: DataFrame, product: DataFrame, customer: DataFrame, regio
         lookups.insert(0, ("dim_date", dates, "sale_date", "full_date", "date_key"))
     sizes = {name: measured_bytes(dim.select(col, key), rows.get(name)) for name, dim, _, col, key in lookups}
     f = silver if dates is not None else silver.withColumn("date_key", date_key("sale_date"))
-    # All broadcasts share one budget; the smallest dimensions get theirs first.
-    left, limits = max_broadcast_bytes, {}
-    for name in sorted(sizes, key=sizes.get):
-        limits[name] = left
-        left -= sizes[name] if sizes[name] <= left else 0
+    fit = within_budget(sizes, max_broadcast_bytes)
     for name, dim, fact_col, col, key in lookups:
-        f = lookup_key(f, dim, fact_col, col, key, dim_bytes=sizes[name], max_broadcast_bytes=limits[name])
+        f = lookup_key(f, dim, fact_col, col, key, dim_bytes=sizes[name],
+                       max_broadcast_bytes=max_broadcast_bytes if name in fit else -1)
     return f.select(
         F.col("id").alias("sale_id"), "date_key", "product_key", "customer_key", "region_key",
         "quantity", "unit_price", sale_amount("quantity", "unit_price").alias("total_amount"),

@@ -13,24 +13,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.keys import checked_int
+from tessera.operators.star import DEFAULT_BROADCAST_BYTES, measured_bytes, within_budget
 from tessera.sources.tables import load
 
 #: The tables that the raw feed is derived from.
 FEED_TABLES = ("lineitem", "orders", "part", "customer", "nation", "region")
 
 
-def bronze_from_tables(spark: SparkSession, root: str) -> DataFrame:
+def bronze_from_tables(spark: SparkSession, root: str, *,
+                       max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Raw sales rows (9 columns of the sales schema) at the scale of ``lineitem``.
 
     Join plan: the customer → nation → region chain is reduced to one
     ``(c_custkey, r_name)`` table before it meets ``orders``; only the columns
-    used reach the scans (Catalyst prunes them); ``lineitem`` meets ``orders``
-    and ``part`` by equi-joins the planner sizes itself (broadcast under the
-    threshold, sort-merge with AQE skew splitting above it).
+    used reach the scans (Catalyst prunes them), and what is needed of a
+    supplier is worked out there.  That table and the part names are broadcast
+    when their measured size is within ``max_broadcast_bytes`` together, so
+    that ``lineitem`` is shuffled for ``orders`` alone; beyond that the planner
+    sizes these equi-joins itself (sort-merge with AQE skew splitting).
     """
+    sk = F.col("l_suppkey")
     li = load(spark, root, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_shipdate")
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate",
+        (sk % 5 == 0).alias("padded"),
+        F.when(sk % 83 == 0, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice")).alias("unit_price"))
     orders = load(spark, root, "orders").select("o_orderkey", "o_custkey")
     part = load(spark, root, "part").select("p_partkey", "p_name")
     customer = load(spark, root, "customer").select("c_custkey", "c_nationkey")
@@ -41,13 +47,16 @@ def bronze_from_tables(spark: SparkSession, root: str) -> DataFrame:
                    .join(nation, customer.c_nationkey == nation.n_nationkey)
                    .join(region, nation.n_regionkey == region.r_regionkey)
                    .select("c_custkey", "r_name"))
-    order_region = (orders.join(cust_region, orders.o_custkey == cust_region.c_custkey)
+    sides = {"part": part, "cust_region": cust_region}
+    fit = within_budget({n: measured_bytes(side) for n, side in sides.items()}, max_broadcast_bytes)
+    part, cust_region = (F.broadcast(side) if n in fit else side for n, side in sides.items())
+    order_region = (orders.join(cust_region, F.col("o_custkey") == F.col("c_custkey"))
                     .select("o_orderkey", "o_custkey", "r_name"))
     rows = (li.join(order_region, li.l_orderkey == order_region.o_orderkey)
-              .join(part, li.l_partkey == part.p_partkey))
+              .join(part, F.col("l_partkey") == F.col("p_partkey")))
 
     raw_id = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    pk, sk, ck, ln = F.col("l_partkey"), F.col("l_suppkey"), F.col("o_custkey"), F.col("l_linenumber")
+    pk, ck, ln = F.col("l_partkey"), F.col("o_custkey"), F.col("l_linenumber")
     return rows.select(
         checked_int(raw_id, "id").alias("id"),
         F.when(raw_id % 97 == 0, F.lit(None)).otherwise(F.col("l_shipdate").cast("date"))
@@ -55,7 +64,7 @@ def bronze_from_tables(spark: SparkSession, root: str) -> DataFrame:
         checked_int(pk, "product_id").alias("product_id"),
         F.when(pk % 100 == 0, F.lit(None).cast("string"))
          .when(pk % 50 == 0, F.lit("  "))
-         .when(sk % 5 == 0, F.concat(F.lit("  "), F.col("p_name"), F.lit(" ")))
+         .when(F.col("padded"), F.concat(F.lit("  "), F.col("p_name"), F.lit(" ")))
          .otherwise(F.col("p_name")).alias("product_name"),
         checked_int(ck, "customer_id").alias("customer_id"),
         F.when(ck % 41 == 0, F.lit(None).cast("string"))
@@ -64,7 +73,6 @@ def bronze_from_tables(spark: SparkSession, root: str) -> DataFrame:
          .otherwise(F.col("r_name")).alias("region"),
         F.when((pk % 71 == 0) & (ln == 1), F.lit(0))
          .otherwise(F.col("l_quantity").cast("int")).alias("quantity"),
-        F.when(sk % 83 == 0, -F.col("l_extendedprice"))
-         .otherwise(F.col("l_extendedprice")).alias("unit_price"),
+        "unit_price",
         F.col("l_shipdate").alias("created_at"),
     )
