@@ -484,10 +484,13 @@ def gate_fk_orphans(spark, root):
 def _orphans(fact: DataFrame, lay: Published) -> DataFrame:
     dims = {"date_key": lay.dim_date, "product_key": lay.dim_product,
             "customer_key": lay.dim_customer, "region_key": lay.dim_region}
+    keys = {k: dim.select(k) for k, dim in dims.items()}
+    for k in star.within_budget({k: star.measured_bytes(dim) for k, dim in keys.items()}):
+        keys[k] = F.broadcast(keys[k])
     return quality.side_by_side({
         f"orphan_{k}": (fact.where(F.col(k).isNotNull()).select(k)
-                        .join(dim.select(k), k, "left_anti").agg(F.count(F.lit(1))))
-        for k, dim in dims.items()})
+                        .join(dim, k, "left_anti").agg(F.count(F.lit(1))))
+        for k, dim in keys.items()})
 
 
 @query("gate_duplicate_sale_ids", sql.with_layers("fact")

@@ -1,0 +1,39 @@
+"""The orphan check ships dimension keys, not fact keys, within the broadcast budget."""
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.operators import star
+from tessera.plans import catalog
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.fixture
+def no_automatic_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+class _Star:
+    """Rows of its own for the orphan check."""
+
+    def __init__(self, spark):
+        ids = spark.range(1, 4)
+        for name in ("date", "product", "customer", "region"):
+            setattr(self, f"dim_{name}", ids.select(F.col("id").cast("int").alias(f"{name}_key")))
+
+
+def test_orphans_shuffle_no_fact_keys(spark, no_automatic_broadcast, monkeypatch):
+    fact = spark.createDataFrame([(1, 1, 9, 1), (2, 9, 9, None), (3, None, 1, 3), (None, 3, 8, -1)],
+                                 "date_key int, product_key int, customer_key int, region_key int")
+    found = catalog._orphans(fact, _Star(spark))
+    assert "SortMergeJoin" not in plan(found)
+    want = {"orphan_date_key": 0, "orphan_product_key": 1, "orphan_customer_key": 3, "orphan_region_key": 1}
+    assert found.first().asDict() == want
+    monkeypatch.setattr(star, "within_budget", lambda sizes: set())  # dimensions beyond the budget
+    shuffled = catalog._orphans(fact, _Star(spark))
+    assert "BroadcastHashJoin" not in plan(shuffled) and shuffled.first().asDict() == want
