@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +61,17 @@ def fold(doc_id: Column, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
-def worker_cache() -> dict:
-    """A dict that lives as long as the Python worker, across tasks."""
-    return sys.modules.setdefault("_tessera_worker_cache", types.ModuleType("cache")).__dict__
+def worker_cache(owner: str) -> dict:
+    """What ``owner`` keeps in a Python worker, across its tasks.  Spark uses a
+    worker again for other stages, and an idle one keeps its memory: a task of
+    another owner (one that keeps nothing, too) drops what it finds."""
+    kept = sys.modules.setdefault("_tessera_worker_cache", types.ModuleType("cache")).__dict__
+    if kept.get("owner") != owner:
+        found = kept.pop("kept", None)
+        kept["owner"], kept["kept"] = owner, {}
+        if found:
+            found.clear()
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc: freed pages go back
+                trim(0)
+    return kept["kept"]

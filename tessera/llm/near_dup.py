@@ -35,7 +35,7 @@ def shingle_set(found: list[bytes], size: int) -> np.ndarray:
     """Sorted distinct 64-bit fingerprints of a text's shingles."""
     if not found:
         return np.zeros(0, dtype=np.uint64)
-    cache = worker_cache().setdefault("words", {})
+    cache = worker_cache("near_dup").setdefault("words", {})
     if len(cache) > 400_000:
         cache.clear()
     h = [cache.get(w) for w in found]

@@ -258,7 +258,7 @@ def pack(docs: DataFrame, tokenizer: str, *, window: int = 1024, open_windows: i
     arrow = to_arrow_schema(schema)
 
     def first_pass(batches):
-        cache = worker_cache()
+        cache = worker_cache("packing")
         encoder = cache.get(tokenizer) or cache.setdefault(tokenizer, Encoder(tokenizer))
         part, made = TaskContext.get().partitionId(), 0
         packer = Packer(window, open_windows)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tessera.llm.common import store
+from tessera.llm.common import store, worker_cache
 from tessera.llm.learners import Logistic, platt, sigmoid
 
 #: Buckets of the text view's byte pairs; of languages and sources.
@@ -73,6 +73,7 @@ def _views(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("of"), "text", "lang", "source", "n_chars")
 
     def run(batches):
+        worker_cache("quality")
         for batch in batches:
             cols = [batch.column(i).to_pylist() for i in range(2, 6)]
             a = [text_view(t).astype(np.float16).tobytes() for t in cols[0]]
@@ -126,6 +127,7 @@ def most_sure(views: DataFrame, labelled: DataFrame, models: list, cals: list, b
     taken = [np.array(sorted(g), dtype=np.int64) for g in given]
 
     def candidates(batches):
+        worker_cache("quality")
         for batch in batches:
             of = batch.column("of").to_numpy()
             out = []
@@ -243,6 +245,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, keep: float = 0.5, mod
                                                              ("score", "text_score", "meta_score"))])
 
     def run(batches):
+        worker_cache("quality")
         for batch in batches:
             if batch.num_rows:
                 found = model.scores(*(_matrix(batch.column(v).to_pylist(), v) for v in "ab"))
