@@ -44,6 +44,7 @@ class PipelineConfig:
     drops_by_date: bool = False            # drops are never back-dated: look in the newest date folder only
     enforce_header: bool = False           # fail when a drop's header differs from the schema
     csv_multiline: bool = True             # False: no line breaks inside fields, files are split between tasks
+    drop_compression: str | None = "gzip"  # of drops written here; those to be split stay plain
     quarantine_path: str | None = None     # keeps the records of a drop that hold an unparsable field
     strict_reference_order: bool = False   # de-duplicate before filtering
     variant: str = "standard"              # "basic": only a missing id drops a row, blanks stay
@@ -146,8 +147,10 @@ def _one_row(parts: dict[str, DataFrame]) -> dict:
 
 def ingest(source: DataFrame, cfg: PipelineConfig, *, now=None, min_files: int | None = None) -> str:
     """Snapshot ``source`` (e.g. ``sources.jdbc.extract_source``) as a new drop;
-    ``min_files`` spreads a source of few partitions."""
-    return write_drop(source, cfg.bronze_root, now=now, min_files=min_files)
+    ``min_files`` spreads a source of few partitions.  A drop that is read one
+    task per file anyway is compressed; one to be split stays plain."""
+    compression = cfg.drop_compression if cfg.csv_multiline else None
+    return write_drop(source, cfg.bronze_root, now=now, min_files=min_files, compression=compression)
 
 
 def drop_checks(spark: SparkSession, path: str, cfg: PipelineConfig) -> DataFrame:

@@ -28,7 +28,7 @@ DEFAULT_ROWS_PER_FILE = 1_000_000
 
 def write_drop(df: DataFrame, root: str, *, now: datetime | None = None,
                allow_empty: bool = False, min_files: int | None = None,
-               max_rows_per_file: int = DEFAULT_ROWS_PER_FILE) -> str:
+               max_rows_per_file: int = DEFAULT_ROWS_PER_FILE, compression: str | None = None) -> str:
     """Write ``df`` as one drop and return its path.
 
     The drop is a folder of CSV part files written by the executors in
@@ -40,6 +40,9 @@ def write_drop(df: DataFrame, root: str, *, now: datetime | None = None,
     that comes in few partitions over so many (by default it is written as it
     comes, without a shuffle), and no file holds more than ``max_rows_per_file`` rows, so the number of
     files grows with the data and no reading task grows with it.
+    ``compression="gzip"`` writes the same text in about a quarter of the bytes;
+    such files cannot be split between tasks, as plain ones without line breaks
+    in fields can (``multiline=False``).
     The row count is observed during the write (the source is read once --
     a JDBC source is not queried twice); an empty source raises
     ``EmptySource`` and its empty drop folder is removed, so no run sees it."""
@@ -47,6 +50,7 @@ def write_drop(df: DataFrame, root: str, *, now: datetime | None = None,
     seen = Observation()
     out = (df.repartition(min_files) if min_files else df).observe(seen, F.count(F.lit(1)).alias("rows"))
     (out.write.mode("errorifexists").option("maxRecordsPerFile", str(max_rows_per_file))
+       .option("compression", compression or "none")
        .option("header", "true").option("encoding", "UTF-8")
        .option("quote", '"').option("escape", '"').option("quoteAll", "false")
        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")

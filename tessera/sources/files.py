@@ -12,6 +12,8 @@ from tessera.schemas import SALES_SCHEMA
 DROP_PARTITION = "ingestion_date"
 DROP_PREFIX = "sales_"
 DROP_SUFFIX = ".csv"
+#: The files of drops, plain and compressed.
+DROP_FILES = f"*{{{DROP_SUFFIX},{DROP_SUFFIX}.gz}}"
 #: Column of the unparsable record, where it is asked for.
 CORRUPT = "_corrupt"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
@@ -91,7 +93,7 @@ def list_drops(spark: SparkSession, root: str, date: str = "*") -> DataFrame:
     Uses the ``binaryFile`` source only for its listing: the ``content``
     column is never selected, so no file is read."""
     pattern = f"{root.rstrip('/')}/{DROP_PARTITION}={date}/{DROP_PREFIX}*"
-    return (spark.read.format("binaryFile").option("pathGlobFilter", f"*{DROP_SUFFIX}")
+    return (spark.read.format("binaryFile").option("pathGlobFilter", DROP_FILES)
                  .load(pattern).select("path", "modificationTime", "length"))
 
 
@@ -157,7 +159,7 @@ def read_drops(spark: SparkSession, root: str, *, schema: StructType | None = SA
         raise NoDropFound(f"no drop under {root} in [{since}, {until}]")
     paths = [f"{root.rstrip('/')}/{DROP_PARTITION}={d}" for d in dates]
     df = read_bronze(spark, paths, schema=schema, recursiveFileLookup="true",
-                     pathGlobFilter=f"*{DROP_SUFFIX}", **options)
+                     pathGlobFilter=DROP_FILES, **options)
     date = F.regexp_extract(F.col("_metadata.file_path"), rf"{DROP_PARTITION}=([0-9-]+)", 1)
     return df.withColumn(DROP_PARTITION, date.cast("date"))
 

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from tessera.functions import sale_amount
 from tessera.operators import cleaning
-from tessera.schemas import SALES_SCHEMA
+from tessera.schemas import SALES_SCHEMA, sales_schema
 from tessera.sinks.drops import EmptySource, write_drop
-from tessera.sources.files import NoDropFound, latest_drop, read_bronze
+from tessera.sources.files import NoDropFound, latest_drop, read_bronze, read_drops
+from tessera.sources.fixture import bronze_from_tables
 
 HEADER = "id,sale_date,product_id,product_name,customer_id,region,quantity,unit_price,created_at\n"
 
@@ -185,3 +186,23 @@ def test_newest_date_folder_alone_is_listed(spark, tmp_path, monkeypatch):
     assert files.latest_drop(spark, str(tmp_path)).endswith(old.name)
     with pytest.raises(files.NoDropFound):
         files.latest_drop(spark, str(tmp_path / "none"), by_date=True)
+
+
+def test_drops_of_the_job_are_compressed(spark, sf001, tmp_path):
+    """Fewer bytes, the same rows; a drop to be split between tasks stays plain."""
+    from tessera.plans import jobs
+
+    feed, schema = bronze_from_tables(spark, sf001), sales_schema(timestamp_ntz=True)
+    size = {}
+    for multiline in (True, False):
+        cfg = jobs.PipelineConfig(bronze_root=str(tmp_path / str(multiline)), silver_path="", gold_root="",
+                                  csv_multiline=multiline)
+        path = jobs.ingest(feed, cfg)
+        assert latest_drop(spark, cfg.bronze_root).endswith(os.path.basename(path))
+        for found in (read_bronze(spark, path, schema=schema, multiline=multiline),
+                      read_drops(spark, cfg.bronze_root, schema=schema, multiline=multiline).drop("ingestion_date")):
+            assert found.exceptAll(feed).isEmpty() and feed.exceptAll(found).isEmpty()
+        parts = [f for f in os.listdir(path) if f.startswith("part-")]
+        assert parts and all(f.endswith(".csv.gz" if multiline else ".csv") for f in parts)
+        size[multiline] = sum(os.path.getsize(f"{path}/{f}") for f in parts)
+    assert size[True] < size[False] / 2
