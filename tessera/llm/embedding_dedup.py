@@ -14,8 +14,10 @@ from tessera.llm.components import components
 
 #: Added to every block budget, so rounding of 32-bit coordinates loses no pair.
 SLACK = 1e-4
-#: Rows of a distance matrix, and pairs confirmed at once, within a task.
-ROWS, PAIRS = 256, 50_000
+#: Rows and columns of a bound matrix, and pairs confirmed at once, within a task.
+ROWS, COLUMNS, PAIRS = 256, 4096, 50_000
+#: Axes of a block that enter a bound one by one; the others enter by their norm.
+HEAD = 24
 
 
 def fit_rotation(sample: np.ndarray, blocks: int) -> tuple[np.ndarray, list[slice], np.ndarray]:
@@ -39,6 +41,55 @@ def fit_rotation(sample: np.ndarray, blocks: int) -> tuple[np.ndarray, list[slic
     return axes[:, sum(deal, [])], [slice(a, b) for a, b in zip(edges, edges[1:])], share / share.sum()
 
 
+def fit_blocks(sample: np.ndarray, most: float, blocks: int, k: int) -> tuple:
+    """Rotation, block slices, budgets, radii and the borders of ``k`` slices of
+    each block's leading axis, for links of at most ``most`` (squared).  Of up
+    to ``blocks`` blocks, as many as let a vector meet the fewest slices in all."""
+    plans = []
+    for n in sorted({min(n, blocks, sample.shape[1]) for n in (1, 2, 4, blocks)}):
+        rotation, slices, share = fit_rotation(sample, n)
+        budget = share * most
+        radius = np.sqrt(budget + SLACK)
+        lead = sample @ rotation
+        bounds = [np.quantile(lead[:, c.start], np.arange(1, k) / k) if k > 1 else np.zeros(0) for c in slices]
+        met = 0.0
+        for c, r, edge in zip(slices, radius, bounds):
+            low, high = (np.searchsorted(edge, lead[:, c.start] + x, side="right") for x in (-r, r))
+            met += (high - low + 1).mean()
+        plans.append((met, n, (rotation, slices, budget, radius, bounds)))
+    return min(plans, key=lambda p: p[:2])[2]
+
+
+def _reduced(part: np.ndarray) -> np.ndarray:
+    """The leading axes of ``part`` and the norm of the others.  An inner product
+    of two such rows is at least that of the whole rows (Cauchy-Schwarz), and
+    the norms are the same, so their distance is at most the whole one."""
+    if part.shape[1] <= HEAD + 1:
+        return part
+    return np.column_stack([part[:, :HEAD], np.linalg.norm(part[:, HEAD:], axis=1)])
+
+
+def _close(part: np.ndarray, left: int, start: int, most: float):
+    """Index pairs i < j, some rows i at a time, of the first ``left`` rows i and
+    the rows j from ``start`` that may be within ``most`` (squared): one product per tile gives
+    ``a.b - a.a/2 - b.b/2``, minus half the distance of the reduced rows."""
+    part = _reduced(part)
+    half = (part * part).sum(axis=1, keepdims=True) / -2
+    one = np.ones_like(half)
+    a = np.hstack([part, half, one]).astype(np.float32)
+    b = np.ascontiguousarray(np.hstack([part, one, half]).astype(np.float32).T)
+    limit = np.float32(-most / 2)
+    for at in range(0, left, ROWS):
+        found = []
+        for to in range(max(start, at), b.shape[1], COLUMNS):
+            tile = a[at: min(at + ROWS, left)] @ b[:, to: to + COLUMNS]
+            i, j = np.divmod(np.flatnonzero(tile >= limit), tile.shape[1])
+            found.append(np.stack([i + at, j + to]))
+        if found:
+            i, j = np.concatenate(found, axis=1)
+            yield i[i < j], j[i < j]
+
+
 def _roots(n: int, pairs: np.ndarray) -> np.ndarray:
     """Smallest index reachable from each of ``n`` nodes."""
     low = np.arange(n)
@@ -65,8 +116,8 @@ def _emit(rotation, slices, bounds, radius):
                 continue
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             copies = batch.column(1).to_numpy(zero_copy_only=False)
-            x = np.array(batch.column(2).to_pylist(), dtype=np.float64)
-            raw = np.array([r.tobytes() for r in x], dtype=object)
+            x = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+            raw = pa.array([r.tobytes() for r in x], pa.binary())
             unit = x / np.linalg.norm(x, axis=1, keepdims=True)
             turned = unit @ rotation
             for b, cut in enumerate(slices):
@@ -84,7 +135,7 @@ def _emit(rotation, slices, bounds, radius):
                         pa.array((b * k + first) * k + second, pa.int64()),
                         pa.array((own[rows] == second).astype(np.int32) * (first != second), pa.int32()),
                         pa.array(ids[rows], pa.int64()), pa.array(copies[rows], pa.int64()),
-                        pa.array(raw[rows], pa.binary())], schema=schema)
+                        raw.take(pa.array(rows))], schema=schema)
 
     return run
 
@@ -104,15 +155,8 @@ def _join(rotation, slices, budget, threshold, per_block):
         norm = np.linalg.norm(x, axis=1)
         turned = (x / norm[:, None]) @ rotation
         start = left if left < len(ids) else 0
-        part = turned[:, slices[block]].astype(np.float32)
-        square = (part * part).sum(axis=1)
         links, low = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
-        for at in range(0, left, ROWS):
-            a = part[at: min(at + ROWS, left)]
-            gap = square[at: at + len(a), None] + square[None, start:] - 2 * (a @ part[start:].T)
-            i, j = np.nonzero(gap <= budget[block] + SLACK)
-            i, j = i + at, j + start
-            i, j = i[i < j], j[i < j]
+        for i, j in _close(turned[:, slices[block]], left, start, budget[block] + SLACK):
             found = []
             for s in range(0, len(i), PAIRS):
                 p, q = i[s: s + PAIRS], j[s: s + PAIRS]
@@ -142,15 +186,17 @@ def embedding_dedup(vectors: DataFrame, *, threshold: float = 0.9, blocks: int =
     ones are no further apart than 2 - 2 * threshold (squared), so in at least
     one block they are within that block's share of it.  Each block is joined
     by range over slices of its leading axis, and a pair found is confirmed on
-    the whole vectors.  The rotation and the slice borders are fitted on
-    ``sample_rows`` vectors; they decide the work, never the result.
+    the whole vectors.  The rotation, the slice borders and the number of blocks
+    (``blocks``, or fewer where a vector then meets fewer slices in all) are
+    fitted on ``sample_rows`` vectors; they decide the work, never the result.
+    Within a cell a bound of few axes is computed for all pairs.
 
     Equal vectors are one class and are counted, not paired.  A task joins two
     slices of about ``slice_rows`` vectors, so its memory does not grow with
     the table.  It passes on, for each vector, a count and one link of a
     spanning forest, not its pairs.  Where a rotation finds no narrow axes
-    (vectors spread evenly in all directions) most slices meet and the block
-    distances grow with the square of the table.
+    (vectors spread evenly in all directions) all slices meet: one block is
+    used, and the bounds grow with the square of the table.
 
     Vectors that are null, empty, zero or hold a null or non-finite component
     link with nothing, nor do vectors of different lengths.  Repeated rows of
@@ -173,12 +219,8 @@ def embedding_dedup(vectors: DataFrame, *, threshold: float = 0.9, blocks: int =
         picked = own.orderBy(F.xxhash64(F.lit(seed), "id")).limit(sample_rows).select("vector").collect()
         sample = np.array([r.vector for r in picked], dtype=np.float64)
         sample = sample / np.linalg.norm(sample, axis=1, keepdims=True)
-        rotation, slices, share = fit_rotation(sample, blocks)
-        budget = share * (2 - 2 * threshold)
-        radius = np.sqrt(budget + SLACK)
         k = math.ceil(count / slice_rows)
-        lead = sample @ rotation
-        bounds = [np.quantile(lead[:, c.start], np.arange(1, k) / k) if k > 1 else np.zeros(0) for c in slices]
+        rotation, slices, budget, radius, bounds = fit_blocks(sample, 2 - 2 * threshold, blocks, k)
         cells = own.select("id", "copies", "vector").mapInArrow(
             _emit(rotation, slices, bounds, radius),
             "cell long, side int, id long, copies long, vector binary")
