@@ -6,7 +6,7 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +23,9 @@ from tessera.llm.common import store, worker_cache
 GAP = re.compile(r"(?<=\S) (?=\S)")
 #: Marks that may follow a word and form one piece of their own.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
-#: Entries of each generation of a worker's caches of encoded words, and the longest such word.
-CACHE, CACHED_CHARS = 400_000, 64
+#: Entries of each generation of a worker's cache of encoded parts (a tenth of it
+#: for other pieces), and the longest such part.
+CACHE, CACHED_CHARS = 650_000, 64
 
 
 def byte_names() -> dict[int, str]:
@@ -40,35 +41,49 @@ def _bytes(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class Recent:
-    """A bounded cache in two generations: when the young one is full it becomes
-    the old one, and what is asked for again comes back, so that frequent
-    entries are never learned twice."""
+class Recent(dict):
+    """A bounded cache in two generations of what ``learn`` gives for a key: when
+    the young one (this dict) is full it becomes the old one, and what is asked
+    for again comes back, so that frequent entries are never learned twice.
+    Looking up a known key is a plain dict's lookup."""
 
-    def __init__(self):
-        self.young: dict[str, bytes] = {}
+    def __init__(self, learn: Callable[[str], bytes], share: float = 1):
+        super().__init__()
         self.old: dict[str, bytes] = {}
+        self.learn, self.share = learn, share
 
-    def again(self, key: str) -> bytes | None:
-        """An entry of the old generation, young from now on."""
+    @property
+    def young(self) -> dict[str, bytes]:
+        return self
+
+    def __missing__(self, key: str) -> bytes:
         out = self.old.get(key)
-        if out is not None:
-            self.young[key] = out
+        if out is None:
+            out = self.learn(key)
+        if len(key) <= CACHED_CHARS and "\n" not in key:  # two words and a line break seldom meet again
+            self[key] = out
         return out
 
     def age(self) -> None:
-        if len(self.young) > CACHE:
-            self.young, self.old = {}, self.young
+        if len(self) > CACHE * self.share:
+            self.old = {}  # its entries go before the copy
+            self.old = dict(self)
+            self.clear()
+
+
+class _NoPart(Exception):
+    """What lies between two spaces is empty or has white space at an end."""
 
 
 class Encoder:
     """Token ids of whole texts by a byte-level BPE file.
 
     A text that holds an added token (``<|endoftext|>``) goes through the whole
-    tokenizer, where it is one id.  Any other text is cut at single spaces, where a new piece must start, and the ids
-    of each part are kept.  A part of letters and marks is a piece of letters
-    and one of marks, which go straight to the tokenizer's model, also on both
-    sides of a line break; all other parts go through the whole tokenizer.
+    tokenizer, where it is one id.  Any other text is cut at single spaces, where
+    a new piece must start, and the ids of each part are kept.  A part of letters
+    and marks is the part without the marks, a piece that goes straight to the
+    tokenizer's model, and a piece of marks; also on both sides of a line break.
+    All other parts go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -78,48 +93,38 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.names = byte_names()
-        self.parts, self.words = Recent(), Recent()
+        self.parts, self.words = Recent(self._part), Recent(self._piece, 0.1)
+        self.line = self._piece("\n")
 
     def _encode(self, text: str) -> bytes:
         return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one piece; a leading space belongs to it."""
-        out = self.words.young.get(piece) or self.words.again(piece)
-        if out is None:
+        # Printable ASCII stands for itself.
+        rest = piece[1:]
+        if piece[0] == " " and rest.isascii() and rest.isalpha():
+            named = self.names[32] + rest
+        else:
             named = piece.encode().decode("latin-1").translate(self.names)
-            out = _bytes([t.id for t in self.tokenizer.model.tokenize(named)])
-            if len(piece) <= CACHED_CHARS:
-                self.words.young[piece] = out
-        return out
-
-    def _simple(self, space: str, part: str) -> bytes | None:
-        """Ids of letters, after ``space``, and marks; None for other parts."""
-        word = part.rstrip(MARKS)
-        if not word.isalpha():
-            return None
-        return self._piece(space + word) + (self._piece(part[len(word):]) if len(word) < len(part) else b"")
+        return _bytes([t.id for t in self.tokenizer.model.tokenize(named)])
 
     def _part(self, part: str) -> bytes:
         """Ids of a space and a part that has no white space at either end."""
-        out = self.parts.again(part)
-        if out is not None:
-            return out
-        out = self._simple(" ", part)
-        if out is None:
-            # One line break between two such parts is a piece of its own.
-            end, line, start = part.partition("\n")
-            head = self._simple(" ", end) if line else None
-            tail = self._simple("", start) if head is not None else None
-            out = head + self._piece(line) + tail if tail is not None else self._encode(" " + part)
-        if len(part) <= CACHED_CHARS:
-            self.parts.young[part] = out
-        return out
-
-    def _known(self, parts: list[str]) -> tuple[list, list[int]]:
-        """Ids of the parts met before, None for others, and where those are."""
-        out = list(map(self.parts.young.get, parts))
-        return out, [i for i, x in enumerate(out) if x is None] if None in out else []
+        word = part.rstrip(MARKS)
+        if word.isalpha():
+            if len(word) == len(part):
+                return self._piece(" " + part)
+            return self.parts[word] + self.words[part[len(word):]]
+        if not part or part[0].isspace() or part[-1].isspace():
+            raise _NoPart
+        # One line break between two parts of letters and marks is a piece of its own.
+        end, line, start = part.partition("\n")
+        word = start.rstrip(MARKS)
+        if not line or not word.isalpha() or not end.rstrip(MARKS).isalpha():
+            return self._encode(" " + part)
+        out = self.parts[end] + self.line + self.words[word]
+        return out + self.words[start[len(word):]] if len(word) < len(start) else out
 
     def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Little-endian 32-bit ids of each text."""
@@ -130,14 +135,17 @@ class Encoder:
             self.parts.age()
             self.words.age()
             first, *rest = text.split(" ")
-            out, missing = self._known(rest)
-            if first[-1:].isspace() or any(not (x := rest[i]) or x[0].isspace() or x[-1].isspace() for i in missing):
+            try:
+                if first[-1:].isspace():
+                    raise _NoPart
+                out = b"".join(map(self.parts.__getitem__, rest))
+            except _NoPart:
                 first, *rest = GAP.split(text)
-                out, missing = self._known(rest)
-            for i in missing:
-                out[i] = self._part(rest[i])
+                # Only the last of these may have white space at its end.
+                last = self._encode(" " + rest.pop()) if rest and rest[-1][-1].isspace() else b""
+                out = b"".join(map(self.parts.__getitem__, rest)) + last
             head = self._encode(first) if first else b""
-            yield np.frombuffer(head + b"".join(out), dtype="<u4")
+            yield np.frombuffer(head + out, dtype="<u4")
 
 
 class Packer:
